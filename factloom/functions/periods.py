@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import WS, strip
+from .text import BLANKS, WS, sql_list, sql_text, strip
 
 # Month names, scenario words before a year, first month of a fiscal year.
 MONTHS = {
@@ -35,140 +33,105 @@ RELATIVE_PATTERN = rf"^year{WS}+(\d+)$"
 PERIOD_FIELDS = [
     "time_type", "label", "start_date", "end_date", "is_projection", "scenario_hint",
 ]
-PERIOD_TYPE = (
-    "struct<time_type:string,label:string,start_date:date,end_date:date,"
-    "is_projection:boolean,scenario_hint:string>"
-)
 
 
-def month_number(name: Column) -> Column:
-    return reduce(
-        lambda chain, item: chain.when(name.isin(item[1]), item[0]),
-        list(MONTHS.items())[1:],
-        F.when(name.isin(MONTHS[1]), 1),
-    )
+def month_number(name: str) -> str:
+    """SQL: number of the month that the expression ``name`` spells, or NULL."""
+    cases = " ".join(f"WHEN {name} IN {sql_list(names)} THEN {n}" for n, names in MONTHS.items())
+    return f"CASE {cases} END"
 
 
-def _year(text: Column) -> Column:
-    return text.try_cast("int")
+def _extract(pattern: str, group: int, text: str = "_text") -> str:
+    return f"regexp_extract({text}, {sql_text(pattern)}, {group})"
 
 
-def _fiscal_start(text: Column, century_roll: bool) -> Column:
-    """Start year when the text is a fiscal year of two neighbouring years, else NULL."""
-    start = F.regexp_extract(text, FISCAL_PATTERN, 1)
-    end = F.regexp_extract(text, FISCAL_PATTERN, 2)
-    full_end = F.when(F.length(end) == 2, F.concat(F.substring(start, 1, 2), end)).otherwise(end)
-    follows = _year(full_end) == _year(start) + 1
+def _fiscal_start(text: str, century_roll: bool) -> str:
+    """SQL: start year when the text is a fiscal year of two neighbouring years, else NULL."""
+    start = f"try_cast({_extract(FISCAL_PATTERN, 1, text)} AS int)"
+    end = _extract(FISCAL_PATTERN, 2, text)
+    full_end = f"CASE WHEN length({end}) = 2 THEN concat(substring({text}, 1, 2), {end}) ELSE {end} END"
+    follows = f"try_cast({full_end} AS int) = {start} + 1"
     if century_roll:
-        follows = follows | ((F.length(end) == 2) & (F.pmod(_year(start) + 1, F.lit(100)) == _year(end)))
-    return F.when(follows & (_year(start) >= 1000), _year(start))
-
-
-def _period(kind, label, start, end, projection=None, scenario=None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("time_type"),
-        label.alias("label"),
-        start.alias("start_date"),
-        end.alias("end_date"),
-        (F.lit(False) if projection is None else projection).alias("is_projection"),
-        (F.lit(None).cast("string") if scenario is None else scenario).alias("scenario_hint"),
+        follows = f"({follows} OR (length({end}) = 2 AND pmod({start} + 1, 100) = try_cast({end} AS int)))"
+    return f"CASE WHEN {follows} AND {start} >= 1000 THEN {start} END"
+
+
+def _period(kind: str, label: str, start: str, end: str, dated: bool = True) -> str:
+    projected = f"coalesce(_word IN {sql_list(PROJECTION_WORDS)}, false)" if dated else "false"
+    hint = "_word" if dated else "CAST(NULL AS string)"
+    return (
+        f"named_struct('time_type', '{kind}', 'label', {label}, 'start_date', {start}, 'end_date', {end}, "
+        f"'is_projection', {projected}, 'scenario_hint', {hint})"
     )
 
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def _two(number: str) -> str:
+    return f"lpad(CAST({number} AS string), 2, '0')"
 
 
 def with_period(df: DataFrame, source: Column, out: str, century_roll: bool = False) -> DataFrame:
     """Add ``out``, a struct describing the period that ``source`` names, or NULL.
 
-    Steps are separate projections so that each regex runs once per row.
+    Steps are separate projections so that each pattern runs once per row.
     ``century_roll`` also accepts ``1999-00``; by default it is refused, because
     the end year takes the century of the start year.
     """
-    kept = df.columns
-    word = F.nullif(
-        F.regexp_extract(F.col("_text"), "^(" + "|".join(SCENARIO_WORDS) + ")", 1), F.lit("")
-    )
+    kept = [F.col(c) for c in df.columns if c != out]
     staged = (
         df.withColumn("_text", strip(F.lower(source)))
-        .withColumn("_word", word)
-        .withColumn(
-            "_body",
-            F.when(F.col("_word").isNull(), F.col("_text")).otherwise(
-                strip(F.substr("_text", F.length("_word") + 1))
-            ),
-        )
-        .withColumn("_range_years", F.regexp_extract("_text", RANGE_PATTERN, 3))
-        .withColumn(
-            "_fiscal",
-            _fiscal_start(
-                F.when(F.col("_range_years") != "", F.col("_range_years")).otherwise(F.col("_body")),
-                century_roll,
-            ),
-        )
-        .withColumn("_month", month_number(F.regexp_extract("_text", MONTH_PATTERN, 1)))
-        .withColumn("_month_year", _year(F.regexp_extract("_text", MONTH_PATTERN, 2)))
-        .withColumn("_from", F.regexp_extract("_text", RANGE_PATTERN, 1))
-        .withColumn("_to", F.regexp_extract("_text", RANGE_PATTERN, 2))
-        .withColumn("_from_month", month_number(F.col("_from")))
-        .withColumn("_to_month", month_number(F.col("_to")))
-        .withColumn("_relative", F.regexp_extract("_text", RELATIVE_PATTERN, 1))
-    )
-    scenario = F.col("_word")
-    projected = F.coalesce(scenario.isin(PROJECTION_WORDS), F.lit(False))
-    fiscal, month, month_year = F.col("_fiscal"), F.col("_month"), F.col("_month_year")
-    is_range = F.col("_range_years") != ""
-    calendar = F.when(F.col("_body").rlike(r"^\d{4}$"), _year(F.col("_body")))
-    to_year = F.when(F.col("_to_month") >= F.col("_from_month"), fiscal).otherwise(fiscal + 1)
-    no_date = F.lit(None).cast("date")
-
-    period = (
-        F.when(
-            fiscal.isNotNull() & ~is_range,
-            _period(
-                "fiscal_year",
-                F.concat(fiscal.cast("string"), F.lit("-"), _two(F.pmod(fiscal + 1, F.lit(100)))),
-                F.make_date(fiscal, F.lit(FISCAL_START_MONTH), F.lit(1)),
-                F.make_date(fiscal + 1, F.lit(FISCAL_START_MONTH - 1), F.lit(31)),
-                projected, scenario,
-            ),
+        .selectExpr(
+            "*",
+            f"nullif({_extract('^(' + '|'.join(SCENARIO_WORDS) + ')', 1)}, '') AS _word",
+            f"{_extract(RANGE_PATTERN, 3)} AS _range_years",
+            f"{_extract(RANGE_PATTERN, 1)} AS _from",
+            f"{_extract(RANGE_PATTERN, 2)} AS _to",
+            f"{_extract(MONTH_PATTERN, 1)} AS _month_name",
+            f"try_cast({_extract(MONTH_PATTERN, 2)} AS int) AS _month_year",
+            f"{_extract(RELATIVE_PATTERN, 1)} AS _relative",
         )
-        .when(
-            calendar.between(1900, 2100),
-            _period(
-                "year", calendar.cast("string"),
-                F.make_date(calendar, F.lit(1), F.lit(1)), F.make_date(calendar, F.lit(12), F.lit(31)),
-                projected, scenario,
-            ),
+        .selectExpr(
+            "*",
+            f"CASE WHEN _range_years != '' THEN _range_years WHEN _word IS NULL THEN _text "
+            f"ELSE btrim(substr(_text, length(_word) + 1), {sql_text(BLANKS)}) END AS _body",
+            f"{month_number('_month_name')} AS _month",
+            f"{month_number('_from')} AS _from_month",
+            f"{month_number('_to')} AS _to_month",
         )
-        .when(
-            month.isNotNull() & month_year.between(1900, 2100),
-            _period(
-                "month", F.concat(month_year.cast("string"), F.lit("-"), _two(month)),
-                F.make_date(month_year, month, F.lit(1)),
-                F.last_day(F.make_date(month_year, month, F.lit(1))),
-            ),
-        )
-        .when(
-            is_range & fiscal.isNotNull() & F.col("_from_month").isNotNull() & F.col("_to_month").isNotNull(),
-            _period(
-                "range",
-                F.concat(F.col("_from"), F.lit(" to "), F.col("_to"), F.lit(" "), F.col("_range_years")),
-                F.make_date(fiscal, F.col("_from_month"), F.lit(1)),
-                F.last_day(F.make_date(to_year, F.col("_to_month"), F.lit(1))),
-            ),
-        )
-        .when(
-            F.col("_relative") != "",
-            _period(
-                "range",
-                F.concat(F.lit("Year "), F.regexp_replace("_relative", r"^0+(?=\d)", "")),
-                no_date, no_date,
-            ),
+        .selectExpr(
+            "*",
+            f"{_fiscal_start('_body', century_roll)} AS _fiscal",
+            r"CASE WHEN _body RLIKE '^[0-9]{4}$' THEN try_cast(_body AS int) END AS _calendar",
         )
     )
-    return staged.select(*[F.col(c) for c in kept if c != out], period.cast(PERIOD_TYPE).alias(out))
+    first, last = FISCAL_START_MONTH, FISCAL_START_MONTH - 1
+    fiscal = _period(
+        "fiscal_year", f"concat(_fiscal, '-', {_two('pmod(_fiscal + 1, 100)')})",
+        f"make_date(_fiscal, {first}, 1)", f"last_day(make_date(_fiscal + 1, {last}, 1))",
+    )
+    calendar = _period(
+        "year", "CAST(_calendar AS string)", "make_date(_calendar, 1, 1)", "make_date(_calendar, 12, 31)"
+    )
+    month = _period(
+        "month", f"concat(_month_year, '-', {_two('_month')})", "make_date(_month_year, _month, 1)",
+        "last_day(make_date(_month_year, _month, 1))", dated=False,
+    )
+    span = _period(
+        "range", "concat(_from, ' to ', _to, ' ', _range_years)", "make_date(_fiscal, _from_month, 1)",
+        "last_day(make_date(CASE WHEN _to_month >= _from_month THEN _fiscal ELSE _fiscal + 1 END, _to_month, 1))",
+        dated=False,
+    )
+    relative = _period(
+        "range", "concat('Year ', regexp_replace(_relative, '^0+(?=[0-9])', ''))",
+        "CAST(NULL AS date)", "CAST(NULL AS date)", dated=False,
+    )
+    period = F.expr(
+        f"CASE WHEN _range_years = '' AND _fiscal IS NOT NULL THEN {fiscal} "
+        f"WHEN _calendar BETWEEN 1900 AND 2100 THEN {calendar} "
+        f"WHEN _month IS NOT NULL AND _month_year BETWEEN 1900 AND 2100 THEN {month} "
+        f"WHEN _range_years != '' AND _fiscal IS NOT NULL AND _from_month IS NOT NULL AND _to_month IS NOT NULL THEN {span} "
+        f"WHEN _relative != '' THEN {relative} END"
+    )
+    return staged.select(*kept, period.alias(out))
 
 
 def with_is_time_like(df: DataFrame, source: Column, out: str = "is_time_like") -> DataFrame:

@@ -31,6 +31,15 @@ MEASURE_WORDS = [
 GEO_ID_NAMES = ["dauid", "hruid", "csduid", "pruid", "cduid", "cmauid", "dguid"]
 
 
+def sql_text(text: str) -> str:
+    """A text as SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_list(items: list[str]) -> str:
+    return "(" + ", ".join(sql_text(item) for item in items) + ")"
+
+
 def strip(text: Column) -> Column:
     """Remove blank space, Unicode blanks included, from both ends."""
     return F.btrim(text, F.lit(BLANKS))

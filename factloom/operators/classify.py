@@ -12,19 +12,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..dictionaries import UNIT_COLUMNS, UNIT_PATTERN, VALUE_COLUMNS, Dictionaries
 from ..functions.keys import entity_key
 from ..functions.periods import PERIOD_FIELDS, with_period
-from ..functions.text import dimension_name, normalize_header
-
-CLASS_FIELDS = ["header_class", "confidence", "method", "hint"]
-KEY_FIELDS = ["metric_id", "time_id", "geography_id", "scenario_id", "attribute_type_id"]
-
-
-def _verdict(kind: str, confidence: float, method: str, hint: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("header_class"),
-        F.lit(confidence).alias("confidence"),
-        F.lit(method).alias("method"),
-        (F.lit(None).cast("string") if hint is None else hint.cast("string")).alias("hint"),
+from ..functions.text import dimension_name, normalize_header, sql_list, sql_text
+
+# Rules in order as (condition, class, confidence, method, hint).
+def _rules(junk: str) -> list[tuple[str, str, float, str, str]]:
+    return [
+        ("normalized = ''", "junk", 1.0, "empty", "NULL"),
+        (f"normalized RLIKE {sql_text(junk)}", "junk", 1.0, "junk_pattern", "NULL"),
+        (f"normalized IN {sql_list(VALUE_COLUMNS)}", "metric", 0.9, "statcan_value_column", "'observation_value'"),
+        (f"normalized IN {sql_list(UNIT_COLUMNS)}", "unit", 0.95, "statcan_unit_column", "NULL"),
+        ("period.time_type = 'range'", "time_range", 0.95, "time_parser", "period.scenario_hint"),
+        ("period IS NOT NULL", "time", 0.95, "time_parser", "period.scenario_hint"),
+        ("term.geo_code IS NOT NULL", "geography", 0.95, "geo_dictionary", "NULL"),
+        ("normalized = '@geography'", "geography", 0.95, "statcan_geo_attribute", "NULL"),
+        ("term.scenario_key IS NOT NULL", "scenario", 0.95, "scenario_dictionary", "term.scenario_key"),
+        ("normalized LIKE '@_%'", "attribute", 0.8, "statcan_dimension_attribute", "NULL"),
+        ("term.metric_key IS NOT NULL", "metric", 0.9, "metric_dictionary", "term.metric_key"),
+        (f"normalized RLIKE {sql_text(UNIT_PATTERN)}", "unit", 0.9, "unit_pattern", "NULL"),
+        ("true", "metric", 0.3, "fallback", "NULL"),
+    ]
+
+
+def _verdict(junk: str) -> Column:
+    cases = " ".join(
+        f"WHEN {condition} THEN named_struct('header_class', '{kind}', 'confidence', {confidence}D, "
+        f"'method', '{method}', 'hint', CAST({hint} AS string))"
+        for condition, kind, confidence, method, hint in _rules(junk)
     )
+    return F.expr(f"CASE {cases} END")
 
 
 def classify_headers(df: DataFrame, header: str, dictionaries: Dictionaries) -> DataFrame:
@@ -41,32 +56,7 @@ def classify_headers(df: DataFrame, header: str, dictionaries: Dictionaries) ->
     )
     staged = with_period(df.withColumn("normalized", normalize_header(F.col(header))), F.col(header), "period")
     staged = staged.join(terms, F.col("normalized") == F.col("_term"), "left")
-    text = F.col("normalized")
-    verdict = (
-        F.when(text == "", _verdict("junk", 1.0, "empty"))
-        .when(text.rlike(dictionaries.junk), _verdict("junk", 1.0, "junk_pattern"))
-        .when(text.isin(VALUE_COLUMNS), _verdict("metric", 0.9, "statcan_value_column", F.lit("observation_value")))
-        .when(text.isin(UNIT_COLUMNS), _verdict("unit", 0.95, "statcan_unit_column"))
-        .when(
-            F.col("period.time_type") == "range",
-            _verdict("time_range", 0.95, "time_parser", F.col("period.scenario_hint")),
-        )
-        .when(F.col("period").isNotNull(), _verdict("time", 0.95, "time_parser", F.col("period.scenario_hint")))
-        .when(F.col("term.geo_code").isNotNull(), _verdict("geography", 0.95, "geo_dictionary"))
-        .when(text == "@geography", _verdict("geography", 0.95, "statcan_geo_attribute"))
-        .when(
-            F.col("term.scenario_key").isNotNull(),
-            _verdict("scenario", 0.95, "scenario_dictionary", F.col("term.scenario_key")),
-        )
-        .when(text.rlike("^@."), _verdict("attribute", 0.8, "statcan_dimension_attribute"))
-        .when(
-            F.col("term.metric_key").isNotNull(),
-            _verdict("metric", 0.9, "metric_dictionary", F.col("term.metric_key")),
-        )
-        .when(text.rlike(UNIT_PATTERN), _verdict("unit", 0.9, "unit_pattern"))
-        .otherwise(_verdict("metric", 0.3, "fallback"))
-    )
-    return staged.select(*kept, "normalized", "period", "term", verdict.alias("verdict"))
+    return staged.select(*kept, "normalized", "period", "term", _verdict(dictionaries.junk).alias("verdict"))
 
 
 def with_scenario_of_period(df: DataFrame, dictionaries: Dictionaries, out: str) -> DataFrame:

@@ -8,6 +8,14 @@ MIN_CONFIDENCE = 0.8
 MAX_PLAUSIBLE = 1e15
 
 
+def large_number_text(value: Column) -> Column:
+    """A number above the plausible range as text: plain below 1e16, else ``1.5e+16``."""
+    text = value.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    scientific = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "e+$1")
+    return F.when(F.abs(value) < 1e16, plain).otherwise(scientific)
+
+
 def score_observations(facts: DataFrame, confidence: Column | None = None) -> DataFrame:
     """Confidence between 0 and 1, issue codes and notes for each observation.
 
@@ -27,7 +35,7 @@ def score_observations(facts: DataFrame, confidence: Column | None = None) -> Da
          F.format_string("Mapping confidence %.2f below threshold", confidence)),
         (no_value, 0.3, "MISSING_VALUE", F.lit("Neither numeric nor text value present")),
         (implausible, 0.2, "IMPLAUSIBLE_VALUE",
-         F.concat(F.lit("Value "), value.cast("string"), F.lit(" exceeds plausibility threshold"))),
+         F.concat(F.lit("Value "), large_number_text(value), F.lit(" exceeds plausibility threshold"))),
         (value.isNotNull() & empty(F.col("unit_raw")), 0.05, "MISSING_UNIT", None),
     ]
     score, codes, notes = F.lit(1.0), [], []

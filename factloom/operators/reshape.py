@@ -211,6 +211,28 @@ def _keeps_row() -> Column:
     )
 
 
+def _emitted_values(finite_only: bool) -> Column:
+    """Emissions of a row with their values, those without a usable value left out.
+
+    Kept inside one array expression: a filter after the explode would be
+    pushed down and repeat the number parsing for each of its uses.
+    """
+    shape = F.col("shape")
+    emissions = F.when(_keeps_row(), F.col("emissions"))
+    raw = F.transform(emissions, lambda e: F.struct(e.alias("e"), _value(e["column_number"]).alias("raw")))
+    parsed = F.transform(
+        raw, lambda p: F.struct(p["e"].alias("e"), p["raw"].alias("raw"), parse_numeric(p["raw"], finite_only).alias("value_numeric"))
+    )
+    takes_text = shape.isin("time_columns", "long")
+    return F.filter(
+        F.transform(parsed, lambda p: F.struct(
+            p["e"].alias("e"), p["value_numeric"].alias("value_numeric"),
+            F.when(takes_text & p["value_numeric"].isNull(), p["raw"]).alias("value_text"),
+        )),
+        lambda p: p["value_numeric"].isNotNull() | p["value_text"].isNotNull() | (shape == "long"),
+    )
+
+
 def composite_labels(cells: DataFrame, label_columns: list[str] | None = None) -> DataFrame:
     """Label of each source row: values of the label columns in table order, else the first column."""
     wanted = [F.lit(c) for c in (LABEL_COLUMNS if label_columns is None else label_columns)]
@@ -243,31 +265,19 @@ def observations(
     """
     extra_shapes = extra_shapes or {}
     own = cells.filter(~F.col("department_id").isin(list(extra_shapes))) if extra_shapes else cells
-    specs = table_specs(headers_of(own) if headers is None else headers, dictionaries).filter(
-        (F.col("shape") != "none") & (F.size("emissions") > 0)
-    )
+    specs = table_specs(headers_of(own) if headers is None else headers, dictionaries)
     rows = source_rows(own)
     blocked = own.select("table_id", block_of("source_row_number").alias("_block"))
     placed = rows.join(spread(specs, blocked, "table_id"), ["table_id", "_block"])
     read = classify_and_resolve(placed.withColumn("row_text", _row_text()), "row_text", dictionaries)
     geo_text = F.when(F.col("shape").isin("long", "census"), _value(F.col("geo_column")))
-    located = with_geography_key(read.filter(_keeps_row()), geo_text, dictionaries, "row_geography_id")
-    emitted = located.select(
-        "department_id", "document_id", "table_id", "shape", "source_row_number", "values",
+    located = with_geography_key(read, geo_text, dictionaries, "row_geography_id")
+    valued = located.select(
+        "department_id", "document_id", "table_id", "shape", "source_row_number",
         F.col("mapping.metric_id").alias("row_metric_id"), F.col("mapping.time_id").alias("row_time_id"),
-        "row_geography_id", F.explode("emissions").alias("e"),
+        "row_geography_id", F.inline(_emitted_values(finite_only)),
     )
     shape, column = F.col("shape"), F.col("e.column_number")
-    valued = emitted.withColumn("_raw", _value(column)).withColumn(
-        "value_numeric", parse_numeric(F.col("_raw"), finite_only)
-    ).withColumn(
-        "value_text",
-        F.when(shape.isin("time_columns", "long") & F.col("value_numeric").isNull(), F.col("_raw")),
-    ).filter(
-        F.col("value_numeric").isNotNull()
-        | ((shape == "time_columns") & F.col("value_text").isNotNull())
-        | (shape == "long")
-    )
     by_cell = ~shape.isin("long", "financial", "survey")
     observation_id = (
         F.when(by_cell, row_key(F.col("table_id"), F.col("source_row_number"), column))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_ROWS = 1000
 PREVIEW_ROWS = 30
@@ -149,8 +149,8 @@ def geo_lookup(facts, dim_metric, dim_time, dim_geography, dim_document, name: s
 
 def preview(result: DataFrame, order: list[Column | str], rows: int = PREVIEW_ROWS) -> DataFrame:
     """First rows of a result, each with the size of the whole result (at most the row cap)."""
-    total = result.agg(F.least(F.count(F.lit(1)), F.lit(MAX_ROWS)).alias("rows_returned"))
-    return result.orderBy(*order).limit(rows).join(F.broadcast(total))
+    total = result.agg(F.least(F.count(F.lit(1)), F.lit(MAX_ROWS))).scalar()
+    return result.orderBy(*order).limit(rows).withColumn("rows_returned", total)
 
 
 def metric_growth(facts: DataFrame, dim_metric: DataFrame, dim_time: DataFrame) -> DataFrame:
@@ -158,8 +158,6 @@ def metric_growth(facts: DataFrame, dim_metric: DataFrame, dim_time: DataFrame)
 
     The window runs over one row per metric and period, after aggregation.
     """
-    from pyspark.sql import Window
-
     folded = facts.filter("value_numeric is not null").groupBy("metric_id", "time_id").agg(
         F.sum(F.col("value_numeric").cast("decimal(28,4)")).alias("_sum")
     )
