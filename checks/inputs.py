@@ -254,7 +254,7 @@ FACT_SQL = f"""select {OBSERVATION} as observation_id, r_name as department_id,
   concat('t-', l_orderkey % 1000) as table_id, case when l_quantity > 49 then '' else {entity('metric', METRIC_NAME)} end as metric_id,
   case when l_discount > 0.09 then '' else {entity('time', fiscal_label('l_shipdate'))} end as time_id,
   case when l_tax < 0.02 then null else {entity('geo', 'n_name')} end as geography_id,
-  case when l_linestatus = 'O' and l_linenumber = 7 then null when l_linenumber = 6 then l_extendedprice * 1e12 else l_extendedprice end as value_numeric,
+  case when l_linestatus = 'O' and l_linenumber = 7 then null when l_linenumber = 6 then floor(l_extendedprice) * 1e12 else l_extendedprice end as value_numeric,
   case when l_linestatus = 'O' and l_linenumber = 7 and l_returnflag = 'A' then 'x' end as value_text,
   case when l_returnflag = 'N' then 'CAD' when l_returnflag = 'R' and l_linenumber > 4 then 'USD' end as unit_raw,
   case when l_linenumber > 3 then l_discount * 10 end as confidence
@@ -278,7 +278,7 @@ def star_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") > 49, "").otherwise(entity_key("metric", F.expr(METRIC_NAME))).alias("metric_id"),
         F.when(F.col("l_discount") > 0.09, "").otherwise(entity_key("time", F.expr(fiscal_label("l_shipdate")))).alias("time_id"),
         F.when(F.col("l_tax") >= 0.02, entity_key("geo", F.col("n_name"))).alias("geography_id"),
-        F.expr("case when l_linestatus = 'O' and l_linenumber = 7 then null when l_linenumber = 6 then l_extendedprice * 1e12D else l_extendedprice end").alias("value_numeric"),
+        F.expr("case when l_linestatus = 'O' and l_linenumber = 7 then null when l_linenumber = 6 then floor(l_extendedprice) * 1e12D else l_extendedprice end").alias("value_numeric"),
         F.expr("case when l_linestatus = 'O' and l_linenumber = 7 and l_returnflag = 'A' then 'x' end").alias("value_text"),
         F.expr("case when l_returnflag = 'N' then 'CAD' when l_returnflag = 'R' and l_linenumber > 4 then 'USD' end").alias("unit_raw"),
         F.expr("case when l_linenumber > 3 then l_discount * 10 end").alias("confidence"),

@@ -275,7 +275,7 @@ def _(spark, sf):
     return report.unionByName(listed)
 
 
-@check("additive_totals", f"""with f as ({i.FACT_SQL}) select canonical_name, department_id, cast(sum(cast(value_numeric as decimal(28,4))) as double) as total, count(*) as observations
+@check("additive_totals", f"""with f as ({i.FACT_SQL}) select canonical_name, department_id, cast(cast(sum(cast(cast(value_numeric as varchar) as decimal(28,4))) as varchar) as double) as total, count(*) as observations
 from f join ({i.DIM_METRIC_SQL}) m using (metric_id) where is_additive and value_numeric is not null group by canonical_name, department_id""")
 def _(spark, sf):
     return dims.additive_totals(i.star_facts(spark, sf), i.dim_metric(spark, sf), ["department_id"])

@@ -9,10 +9,11 @@ MAX_PLAUSIBLE = 1e15
 
 
 def large_number_text(value: Column) -> Column:
-    """A number above the plausible range as text: plain below 1e16, else ``1.5e+16``."""
-    text = value.cast("string")
-    plain = F.regexp_replace(text.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    scientific = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "e+$1")
+    """A number above the plausible range in the fewest digits: plain below 1e16, else ``1.5e+16``."""
+    digits = [F.format_string(f"%.{n}e", value) for n in (14, 15, 16)]
+    exact = F.coalesce(*[F.when(d.try_cast("double") == value, d) for d in digits])
+    scientific = F.regexp_replace(exact, r"\.?0+e", "e")
+    plain = F.regexp_replace(exact.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
     return F.when(F.abs(value) < 1e16, plain).otherwise(scientific)
 
 

@@ -40,7 +40,7 @@ def csv_grid(text: Column) -> Column:
     records = F.filter(records, lambda r: r != "")
 
     def fields(record: Column) -> Column:
-        closed = F.when(record.rlike(OPEN_QUOTE), F.concat(record, F.lit('"'))).otherwise(
+        closed = F.when(record.contains('"') & record.rlike(OPEN_QUOTE), F.concat(record, F.lit('"'))).otherwise(
             F.regexp_replace(record, r"(?:\r\n|\r|\n)\z", "")
         )
         found = F.regexp_extract_all(F.concat(closed, F.lit(",")), F.lit(CSV_FIELD), F.lit(1))
@@ -79,11 +79,8 @@ def rectangularise(grids: DataFrame, style: str) -> DataFrame:
     """
     kept = [c for c in grids.columns if c != "grid"]
     staged = (
-        grids.filter(F.size("grid") >= 2)
-        .withColumn("_head", F.element_at("grid", 1))
-        .withColumn("_body", F.slice("grid", 2, F.size("grid")))
+        grids.select(*kept, F.element_at("grid", 1).alias("_head"), F.slice("grid", 2, F.size("grid")).alias("_body"))
         .withColumn("_named", named_columns(F.col("_head")))
-        .filter(F.size("_named") > 0)
     )
     head, body, named = F.col("_head"), F.col("_body"), F.col("_named")
     if style == "html":
@@ -94,18 +91,20 @@ def rectangularise(grids: DataFrame, style: str) -> DataFrame:
         rows = F.filter(picked, has_content)
         if style == "csv":
             rows = F.transform(rows, lambda r: _fit(r, F.size(named)))
-    return (
-        staged.select(*kept, pick(head, named).alias("headers"), rows.alias("rows"))
-        .filter(F.size("rows") > 0)
+    tables = staged.select(
+        *kept, F.when(F.size(named) > 0, pick(head, named)).alias("_headers"), F.when(F.size(named) > 0, rows).alias("_rows")
     )
+    # Empty tables are dropped by the generator: a filter would be pushed below
+    # the projections and read every document a second time.
+    table = F.array(F.struct(F.col("_headers").alias("headers"), F.col("_rows").alias("rows")))
+    return tables.select(*kept, F.inline(F.when(F.size("_rows") > 0, table)))
 
 
 def csv_tables(documents: DataFrame, offset: int = 0) -> DataFrame:
     """``documents(department_id, document_id, title, text)`` to at most one table per document."""
     grids = documents.filter(not_blank(F.col("text"))).select(
-        "department_id", "document_id", F.nullif("title", F.lit("")).alias("table_title_raw"),
-        csv_grid(F.col("text")).alias("grid"),
-    )
+        "department_id", "document_id", F.nullif("title", F.lit("")).alias("table_title_raw"), "text"
+    ).withColumn("grid", csv_grid(F.col("text"))).drop("text")
     return rectangularise(grids, "csv").select(
         "department_id", "document_id",
         row_key(F.col("document_id"), "csv", F.lit(offset)).alias("table_id"),

@@ -146,7 +146,9 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
         "department_id", "document_id", F.nullif("title", F.lit("")).alias("title"),
         xml_route(F.col("text")).alias("route"),
         F.regexp_replace("text", _COMMENTS, "").alias("text"),
-    ).filter(F.col("route").isin(routes or ["sdmx_data", "sdmx_structure", "generic"]))
+    )
+    if routes is not None:
+        routed = routed.filter(F.col("route").isin(routes))
 
     root_body = F.regexp_extract(
         F.regexp_replace("text", _PROLOG, ""), r"(?s)^<[^>]*[^/]>(.*)</[^>]*>\s*$", 1

@@ -56,16 +56,16 @@ def extract_stats(documents: DataFrame, guarded: DataFrame) -> DataFrame:
     """Documents, tables kept and skipped, headers and cells per department."""
     per_document = guarded.groupBy("document_id").agg(
         F.count_if(F.col("guard") == "kept").alias("kept"), F.count_if(F.col("guard") != "kept").alias("skipped"),
-        F.sum(F.when(F.col("guard") == "kept", F.size("headers")).otherwise(0)).alias("headers"),
+        F.sum(F.when(F.col("guard") == "kept", F.size("headers")).otherwise(0)).alias("_headers"),
         F.sum(F.when(
             F.col("guard") == "kept",
             F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers"))),
-        ).otherwise(0)).alias("cells"),
+        ).otherwise(0)).alias("_cells"),
     )
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c if c not in ("kept", "skipped") else f"tables_{c}")
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
     return documents.select("document_id", "department_id").join(per_document, "document_id", "left").groupBy(
         "department_id"
-    ).agg(F.count(F.lit(1)).alias("documents"), total("kept"), total("skipped"), total("headers"), total("cells"))
+    ).agg(F.count(F.lit(1)).alias("documents"), total("kept", "tables_kept"), total("skipped", "tables_skipped"), total("_headers", "headers"), total("_cells", "cells"))
 
 
 def extract(warehouse: Warehouse, contents: DataFrame, batch: str, department: str | None = None) -> DataFrame:
