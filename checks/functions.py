@@ -17,15 +17,15 @@ from factloom.operators.classify import classify_and_resolve, classify_headers,
 from factloom.operators.reshape import composite_labels, headers_of
 
 from . import inputs as i
-from .kit import blank_null, check, classify_ctes, entity, in_list, language, norm, number, period_ctes, q, strip, table
+from .kit import blank_null, check, classify_ctes, entity, in_list, language, norm, number, period_ctes, q, spread, strip, table
 
 
 @check("normalize_header", f"""
 select doc_id, {norm('text')} as normalized from documents
 union all select -1 - p_partkey, {norm(i.HEADER_TEXT)} from part""")
 def _(spark, sf):
-    texts = table(spark, sf, "documents").select(F.col("doc_id"), normalize_header(F.col("text")).alias("normalized"))
-    headers = table(spark, sf, "part").selectExpr("-1 - p_partkey as doc_id", f"{i.HEADER_TEXT} as h")
+    texts = spread(spark, sf, "documents").select(F.col("doc_id"), normalize_header(F.col("text")).alias("normalized"))
+    headers = spread(spark, sf, "part").selectExpr("-1 - p_partkey as doc_id", f"{i.HEADER_TEXT} as h")
     return texts.unionByName(headers.select("doc_id", normalize_header(F.col("h")).alias("normalized")))
 
 
@@ -33,8 +33,8 @@ def _(spark, sf):
 select doc_id, {language('text')} as language from documents
 union all select -1 - p_partkey, {language(i.HEADER_TEXT)} from part""")
 def _(spark, sf):
-    texts = table(spark, sf, "documents").select("doc_id", detect_language(F.col("text")).alias("language"))
-    headers = table(spark, sf, "part").selectExpr("-1 - p_partkey as doc_id", f"{i.HEADER_TEXT} as h")
+    texts = spread(spark, sf, "documents").select("doc_id", detect_language(F.col("text")).alias("language"))
+    headers = spread(spark, sf, "part").selectExpr("-1 - p_partkey as doc_id", f"{i.HEADER_TEXT} as h")
     return texts.unionByName(headers.select("doc_id", detect_language(F.col("h")).alias("language")))
 
 
@@ -48,7 +48,7 @@ with n as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, {NUMBER_TEXT}
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, {number('raw')} as strict, {number('raw')} as loose from n""")
 def _(spark, sf):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    raw = table(spark, sf, "lineitem").selectExpr(*keys, f"{NUMBER_TEXT} as raw")
+    raw = spread(spark, sf, "lineitem").selectExpr(*keys, f"{NUMBER_TEXT} as raw")
     return raw.select(
         *keys, parse_numeric(F.col("raw")).alias("strict"), parse_numeric(F.col("raw"), False).alias("loose")
     )
@@ -58,7 +58,7 @@ def _(spark, sf):
 select o_orderkey, raw, p_type as time_type, p_label as label, p_start as start_date, p_end as end_date,
   p_projection as is_projection, p_hint as scenario_hint, p_type is not null as is_time_like from p""")
 def _(spark, sf):
-    labels = table(spark, sf, "orders").selectExpr("o_orderkey", f"{i.TIME_LABEL} as raw")
+    labels = spread(spark, sf, "orders").selectExpr("o_orderkey", f"{i.TIME_LABEL} as raw")
     parsed = with_period(labels, F.col("raw"), "period")
     return parsed.select("o_orderkey", "raw", *flat_periods(parsed), F.col("period").isNotNull().alias("is_time_like"))
 
@@ -68,7 +68,7 @@ select 'metric' as kind, p_name as label, {entity('metric', 'p_name')} as id, co
 union all select 'geo', n_name, {entity('geo', 'n_name')}, count(*) from customer join nation on c_nationkey = n_nationkey group by n_name
 union all select 'time', l, {entity('time', 'l')}, count(*) from (select {i.fiscal_label('o_orderdate')} as l from orders) group by l""")
 def _(spark, sf):
-    part, orders = table(spark, sf, "part"), table(spark, sf, "orders")
+    part, orders = spread(spark, sf, "part"), spread(spark, sf, "orders")
     people = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     labels = (
         part.selectExpr("'metric' as kind", "p_name as label")
@@ -88,7 +88,7 @@ select p_partkey, replace(substr({norm('raw')}, 2), '_', ' ') as type_name,
   {entity('attr_type', f"replace(substr({norm('raw')}, 2), '_', ' ')")} as attribute_type_id from h""")
 def _(spark, sf):
     raw = F.concat(F.lit("@"), "p_type", F.lit("_of  "), "p_name", F.when(F.col("p_size") > 9, ":").otherwise(""))
-    headers = table(spark, sf, "part").select("p_partkey", raw.alias("raw"))
+    headers = spread(spark, sf, "part").select("p_partkey", raw.alias("raw"))
     resolved = classify_and_resolve(headers, "raw", Dictionaries.default(spark))
     return resolved.select(
         "p_partkey", attribute_type_name(F.col("raw")).alias("type_name"), F.col("mapping.attribute_type_id").alias("attribute_type_id")
@@ -111,7 +111,7 @@ def _(spark, sf):
 @check("classify_header", f"""with src as (select p_partkey, {i.HEADER_TEXT} as raw from part), {classify_ctes('src', 'raw', 'c')}
 select p_partkey, normalized, cls as header_class, conf as confidence, method, hint from c""")
 def _(spark, sf):
-    headers = table(spark, sf, "part").selectExpr("p_partkey", f"{i.HEADER_TEXT} as raw")
+    headers = spread(spark, sf, "part").selectExpr("p_partkey", f"{i.HEADER_TEXT} as raw")
     return classify_headers(headers, "raw", Dictionaries.default(spark)).select("p_partkey", "normalized", "verdict.*")
 
 
@@ -121,8 +121,8 @@ LABELS_SQL = f"select o_orderkey as k, {i.TIME_LABEL} as raw from orders union a
 @check("resolve_mapping", f"""with src as ({LABELS_SQL}), {classify_ctes('src', 'raw', 'c')}
 select k, metric_id, time_id, geography_id, scenario_id, attribute_type_id, cls = 'junk' as is_junk from c""")
 def _(spark, sf):
-    labels = table(spark, sf, "orders").selectExpr("o_orderkey as k", f"{i.TIME_LABEL} as raw").unionByName(
-        table(spark, sf, "part").selectExpr("-1 - p_partkey as k", f"{i.HEADER_TEXT} as raw")
+    labels = spread(spark, sf, "orders").selectExpr("o_orderkey as k", f"{i.TIME_LABEL} as raw").unionByName(
+        spread(spark, sf, "part").selectExpr("-1 - p_partkey as k", f"{i.HEADER_TEXT} as raw")
     )
     return classify_and_resolve(labels, "raw", Dictionaries.default(spark)).select("k", "mapping.*")
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .kit import Grid, entity, q, table
+from .kit import Grid, entity, q, spread, table
 
 NL = "chr(10)"
 DATE = "o_orderdate"
@@ -158,7 +158,7 @@ PAGE_DEPARTMENT = "split_part(split_part(url, '/', 3), '.', 1)"
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr(f"{PAGE_DEPARTMENT} as department_id", f"{PAYLOAD} as payload")
+    return spread(spark, sf_dir, "pages").selectExpr(f"{PAGE_DEPARTMENT} as department_id", f"{PAYLOAD} as payload")
 
 
 _ITEMS = " union all ".join(
@@ -195,7 +195,7 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per distinct address and content."""
     from factloom.functions.keys import checksum, document_id
 
-    docs = table(spark, sf_dir, "documents").selectExpr(
+    docs = spread(spark, sf_dir, "documents").selectExpr(
         "doc_id", "source as department_id", f"{DOC_URL} as source_url", f"{DOC_FORMAT} as file_format",
         f"{DOC_STATUS} as ingestion_status", "concat('Text ', lang, ' ', n_chars) as title", "text",
         "cast(text as binary) as content", "lang as language",
@@ -229,7 +229,7 @@ XML_BLOB = f"""case cast(p_partkey % 5 as int) when 0 then {SDMX_BLOB} when 1 th
 
 
 def blobs(spark: SparkSession, sf_dir: str, source: str, department: str, document: str, text: str) -> DataFrame:
-    return table(spark, sf_dir, source).selectExpr(
+    return spread(spark, sf_dir, source).selectExpr(
         f"{department} as department_id", f"{document} as document_id", "'' as title", f"{text} as text"
     )
 

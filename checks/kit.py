@@ -15,6 +15,7 @@ from factloom.functions.periods import MONTHS, SCENARIO_WORDS
 from factloom.functions.text import (
     BLANKS, DASHES_QUOTES_MARK, ENGLISH_WORDS, FRENCH_LETTERS, FRENCH_WORDS, WS,
 )
+from factloom.session import spread_input
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows get much work in the first stage."""
+    return spread_input(table(spark, sf_dir, name))
+
+
 def q(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -207,7 +213,7 @@ class Grid:
         self.document, self.table_id, self.row = document, table_id, row
 
     def cells(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        wide = table(spark, sf_dir, self.source).selectExpr(
+        wide = spread(spark, sf_dir, self.source).selectExpr(
             f"{q(self.department)} as department_id", f"{self.document} as document_id", f"{self.table_id} as table_id",
             f"cast({self.row} as bigint) as source_row_number",
             *[f"cast({v} as string) as _v{i}" for i, (_, v) in enumerate(self.columns)],

@@ -13,7 +13,7 @@ from factloom.operators.quality import orphan_report, orphans
 
 from . import inputs as i
 from .kit import (
-    GEO_ROWS, GEO_TERMS, METRIC_ROWS, METRIC_TERMS, blank_null, check, classify_ctes, entity, in_list, key, norm, q, strip, table,
+    GEO_ROWS, GEO_TERMS, METRIC_ROWS, METRIC_TERMS, blank_null, check, classify_ctes, entity, in_list, key, norm, q, spread, strip, table,
 )
 from .reshape import ORACLES, facts as _facts
 
@@ -134,7 +134,7 @@ LABELS = f"select distinct label_raw from (select {i.TIME_LABEL} as label_raw fr
 def labels(spark, sf):
     part = table(spark, sf, "part")
     return (
-        table(spark, sf, "orders").selectExpr(f"{i.TIME_LABEL} as label_raw")
+        spread(spark, sf, "orders").selectExpr(f"{i.TIME_LABEL} as label_raw")
         .unionByName(part.selectExpr(f"{i.HEADER_TEXT} as label_raw"))
         .unionByName(part.selectExpr("p_name || ' | ' || p_type as label_raw"))
     )

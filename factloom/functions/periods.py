@@ -50,9 +50,9 @@ def _fiscal_start(text: str, century_roll: bool) -> str:
     start = f"try_cast({_extract(FISCAL_PATTERN, 1, text)} AS int)"
     end = _extract(FISCAL_PATTERN, 2, text)
     full_end = f"CASE WHEN length({end}) = 2 THEN concat(substring({text}, 1, 2), {end}) ELSE {end} END"
-    follows = f"try_cast({full_end} AS int) = {start} + 1"
+    follows = f"{text} RLIKE {sql_text(FISCAL_PATTERN)} AND try_cast({full_end} AS int) = {start} + 1"
     if century_roll:
-        follows = f"({follows} OR (length({end}) = 2 AND pmod({start} + 1, 100) = try_cast({end} AS int)))"
+        follows = f"(({follows}) OR (length({end}) = 2 AND pmod({start} + 1, 100) = try_cast({end} AS int)))"
     return f"CASE WHEN {follows} AND {start} >= 1000 THEN {start} END"
 
 
@@ -77,30 +77,39 @@ def with_period(df: DataFrame, source: Column, out: str, century_roll: bool = Fa
     the end year takes the century of the start year.
     """
     kept = [F.col(c) for c in df.columns if c != out]
+    digit = "{} BETWEEN '0' AND '9'"
     staged = (
         df.withColumn("_text", strip(F.lower(source)))
+        # Every period ends in a digit, and only some begin with a word: other
+        # texts become NULL here and cost no pattern matching.
         .selectExpr(
             "*",
-            f"nullif({_extract('^(' + '|'.join(SCENARIO_WORDS) + ')', 1)}, '') AS _word",
-            f"{_extract(RANGE_PATTERN, 3)} AS _range_years",
-            f"{_extract(RANGE_PATTERN, 1)} AS _from",
-            f"{_extract(RANGE_PATTERN, 2)} AS _to",
-            f"{_extract(MONTH_PATTERN, 1)} AS _month_name",
-            f"try_cast({_extract(MONTH_PATTERN, 2)} AS int) AS _month_year",
-            f"{_extract(RELATIVE_PATTERN, 1)} AS _relative",
+            f"CASE WHEN {digit.format('substring(_text, -1, 1)')} THEN _text END AS _timed",
+            f"CASE WHEN {digit.format('substring(_text, -1, 1)')} "
+            f"AND NOT {digit.format('substring(_text, 1, 1)')} THEN _text END AS _worded",
         )
         .selectExpr(
             "*",
-            f"CASE WHEN _range_years != '' THEN _range_years WHEN _word IS NULL THEN _text "
+            f"nullif({_extract('^(' + '|'.join(SCENARIO_WORDS) + ')', 1, '_worded')}, '') AS _word",
+            f"CASE WHEN contains(_worded, 'to') THEN {_extract(RANGE_PATTERN, 3, '_worded')} ELSE '' END AS _range_years",
+            f"CASE WHEN startswith(_worded, 'year') THEN {_extract(RELATIVE_PATTERN, 1, '_worded')} ELSE '' END AS _relative",
+            f"{_extract(MONTH_PATTERN, 1, '_worded')} AS _month_name",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN _range_years != '' THEN _range_years WHEN _word IS NULL THEN _timed "
             f"ELSE btrim(substr(_text, length(_word) + 1), {sql_text(BLANKS)}) END AS _body",
             f"{month_number('_month_name')} AS _month",
-            f"{month_number('_from')} AS _from_month",
-            f"{month_number('_to')} AS _to_month",
+            "CASE WHEN _month_name != '' THEN try_cast(right(_text, 4) AS int) END AS _month_year",
+            f"CASE WHEN _range_years != '' THEN {_extract(RANGE_PATTERN, 1, '_worded')} END AS _from",
+            f"CASE WHEN _range_years != '' THEN {_extract(RANGE_PATTERN, 2, '_worded')} END AS _to",
         )
         .selectExpr(
             "*",
+            f"{month_number('_from')} AS _from_month",
+            f"{month_number('_to')} AS _to_month",
             f"{_fiscal_start('_body', century_roll)} AS _fiscal",
-            r"CASE WHEN _body RLIKE '^[0-9]{4}$' THEN try_cast(_body AS int) END AS _calendar",
+            r"CASE WHEN length(_body) = 4 AND _body RLIKE '^[0-9]{4}$' THEN try_cast(_body AS int) END AS _calendar",
         )
     )
     first, last = FISCAL_START_MONTH, FISCAL_START_MONTH - 1

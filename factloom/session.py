@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,3 +18,13 @@ def session(app_name: str = "factloom", **overrides: str) -> SparkSession:
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a small input that arrives in fewer splits than there are cores.
+
+    Meant for inputs on which much work follows in the same stage. A large
+    input has splits enough and is left as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
