@@ -17,8 +17,18 @@ def large_number_text(value: Column) -> Column:
     return F.when(F.abs(value) < 1e16, plain).otherwise(scientific)
 
 
+QUALITY_COLUMNS = [
+    "quality_confidence", "issue_codes", "issue_notes", "review_status", "reviewed_by", "reviewed_at",
+]
+
+
 def score_observations(facts: DataFrame, confidence: Column | None = None) -> DataFrame:
-    """Confidence between 0 and 1, issue codes and notes for each observation.
+    """The quality record of each observation."""
+    return with_scores(facts, confidence).select("observation_id", *QUALITY_COLUMNS)
+
+
+def with_scores(facts: DataFrame, confidence: Column | None = None) -> DataFrame:
+    """Add a confidence between 0 and 1, issue codes and notes to each observation.
 
     Penalties are subtracted in a fixed order, so results are equal to the last bit.
     """
@@ -46,7 +56,7 @@ def score_observations(facts: DataFrame, confidence: Column | None = None) -> Da
         if note is not None:
             notes.append(F.when(condition, note))
     return facts.select(
-        "observation_id",
+        "*",
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("quality_confidence"),
         F.concat_ws(",", *codes).alias("issue_codes"),
         F.concat_ws("; ", *notes).alias("issue_notes"),

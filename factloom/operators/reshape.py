@@ -259,7 +259,9 @@ def observations(
 ) -> DataFrame:
     """Observations of every table in ``cells``, in the layout of the fact table.
 
-    ``headers`` saves a pass over the cells when header records exist.
+    ``shape`` and ``mapping_confidence`` (how sure the metric of a row label is)
+    are extra columns. ``headers`` saves a pass over the cells when header
+    records exist.
     ``extra_shapes`` maps a department to a function from its cells to
     observations, for sources that need a rule of their own.
     """
@@ -274,7 +276,8 @@ def observations(
     located = with_geography_key(read, geo_text, dictionaries, "row_geography_id")
     valued = located.select(
         "department_id", "document_id", "table_id", "shape", "source_row_number",
-        F.col("mapping.metric_id").alias("row_metric_id"), F.col("mapping.time_id").alias("row_time_id"),
+        F.col("mapping.metric_id").alias("row_metric_id"), F.col("verdict.confidence").alias("row_confidence"),
+        F.col("mapping.time_id").alias("row_time_id"),
         "row_geography_id", F.inline(_emitted_values(finite_only)),
     )
     shape, column = F.col("shape"), F.col("e.column_number")
@@ -299,6 +302,7 @@ def observations(
         F.col("source_row_number").cast("long").alias("source_row_number"),
         F.when(by_cell, column).alias("source_column_number"),
         F.lit(None).cast("double").alias("quality_score"), "shape",
+        F.when(shape.isin("time_columns", "dimensional"), F.col("row_confidence")).alias("mapping_confidence"),
     )
     for department, make in extra_shapes.items():
         made = make(cells.filter(F.col("department_id") == department))

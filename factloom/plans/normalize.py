@@ -8,7 +8,7 @@ from ..dictionaries import Dictionaries
 from ..operators import dimensions as dims
 from ..operators.candidates import mapping_candidates
 from ..operators.classify import classify_and_resolve
-from ..operators.quality import score_observations
+from ..operators.quality import with_scores
 from ..operators.reshape import MAX_OBSERVATIONS_PER_TABLE, capped, composite_labels, observations, table_specs
 from ..sources.warehouse import Warehouse, materialise
 
@@ -55,33 +55,22 @@ def normalize(
     """Make facts of pending tables, score them, keep the dimensions; returns statistics."""
     tables = warehouse.read("extracted_tables")
     known = warehouse.read("fact_observation", but_batch=batch)
-    tried = warehouse.read("document_status", but_batch=batch).filter("stage = 'normalize'").select("document_id")
+    tried = warehouse.read("document_status", but_batch=f"{batch}.normalize").filter("stage = 'normalize'").select("document_id")
     pending = pending_tables(tables, warehouse.read("raw_documents"), known, department).join(
         tried, "document_id", "left_anti"
     )
     cells = warehouse.read("row_values_long").join(pending.select("table_id"), "table_id", "left_semi")
     headers = warehouse.read("headers").join(pending.select("table_id"), "table_id", "left_semi")
-    facts = materialise(capped(materialise(observations(cells, dictionaries, headers)), limit))
-
-    resolved = classify_and_resolve(
-        headers.select("header_id", "department_id", "table_id", "column_number", "header_raw"), "header_raw", dictionaries
-    )
-    confidence = resolved.select(
-        "table_id", F.col("column_number").alias("source_column_number"), F.col("verdict.confidence").alias("_confidence")
-    )
-    scored = score_observations(
-        facts.join(confidence, ["table_id", "source_column_number"], "left"), F.col("_confidence")
-    )
-    warehouse.append("observation_quality", scored, batch)
+    found = materialise(observations(cells, dictionaries, headers))
+    facts = materialise(with_scores(capped(found, limit), F.col("mapping_confidence")))
+    warehouse.append("observation_quality", facts, batch)
     warehouse.append(
-        "fact_observation",
-        facts.drop("quality_score").join(
-            scored.select("observation_id", F.col("quality_confidence").alias("quality_score")), "observation_id"
-        ),
-        batch,
+        "fact_observation", facts.withColumn("quality_score", F.col("quality_confidence")), batch
+    )
+    resolved = classify_and_resolve(
+        headers.select("header_id", "header_raw").dropDuplicates(["header_id"]), "header_raw", dictionaries
     )
-    candidates = mapping_candidates(resolved.dropDuplicates(["header_id"]), dictionaries)
-    warehouse.append("mapping_candidates", candidates, batch)
+    warehouse.append("mapping_candidates", mapping_candidates(resolved, dictionaries), batch)
 
     labels = labels_in_use(cells, headers)
     merge_dimension(warehouse, "dim_time", dims.build_dim_time(labels, dictionaries), "time_id")

@@ -28,7 +28,8 @@ def landed_stream(spark: SparkSession, path: str, schema: StructType, max_files:
 
 def file_stream(spark: SparkSession, path: str) -> DataFrame:
     """Raw files as a stream of ``(path, modificationTime, length, content)``."""
-    return spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return spark.readStream.schema(schema).format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
 
 def for_each_batch(
