@@ -103,9 +103,8 @@ def oracle():
 
 
 PARITY = [
-    "coverage_by_department", "describe_coverage", "metric_lookup", "citations", "quality_score", "csv_extract", "html_extract",
-    "sdmx_data_extract", "row_values_long", "fact_observation", "observation_cap", "parse_time", "classify_header", "best_mapping",
-    "build_dims", "resource_eligibility", "raw_documents", "stream_ingest", "sheet_extract", "table_guards",
+    "coverage_by_department", "metric_lookup", "citations", "csv_extract", "fact_observation", "observation_cap", "best_mapping",
+    "raw_documents", "stream_ingest", "table_guards",
 ]
 
 
