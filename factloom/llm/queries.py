@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
 
 QUERIES = {
     "op6_simhash": op6_simhash,
+    "op7_token_records": op7_token_records,
 }
 ORACLE: dict[str, str] = {}
