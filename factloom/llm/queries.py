@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
 
 QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_records": op7_token_records,
+    "op8_mixing": op8_mixing,
 }
 ORACLE: dict[str, str] = {}
