@@ -5,10 +5,12 @@ from __future__ import annotations
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
+from factloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_token_records": op7_token_records,
     "op8_mixing": op8_mixing,
+    "op9_warc": op9_warc,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_warc": OP9_SQL}
