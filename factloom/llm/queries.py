@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from factloom.llm.language import op2_language_id
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
 from factloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op6_simhash": op6_simhash,
     "op7_token_records": op7_token_records,
     "op8_mixing": op8_mixing,
