@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from factloom.llm.decontamination import op1_decontamination
 from factloom.llm.language import op2_language_id
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
@@ -10,6 +11,7 @@ from factloom.llm.vectors import op5_vectors
 from factloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op5_vectors": op5_vectors,
     "op6_simhash": op6_simhash,
