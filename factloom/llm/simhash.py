@@ -199,10 +199,13 @@ def near_duplicates(
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, errors: int = 2) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group, one row for an id; rows without id stay."""
     near = near_duplicates(docs, id_col, text_col, words, errors)
-    gone = near.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    ids = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return ids.unionByName(kept.where(F.col(id_col).isNull()))
+    # narrow tables are written, so that Spark knows their size when it chooses whether texts are shuffled
+    gone = stored(near.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col)).distinct(), "simhash-gone")
+    repeated = stored(
+        near.where("id = component_id").groupBy(F.col("id").alias(id_col)).count().where("count > 1").select(id_col), "simhash-repeated"
+    )
+    single = docs.join(gone.union(repeated), id_col, "left_anti")
+    return single.unionByName(docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])).select(docs.columns)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
