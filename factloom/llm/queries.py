@@ -7,12 +7,14 @@ from factloom.llm.language import op2_language_id
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
+from factloom.llm.suffixes import op4_suffixes
 from factloom.llm.vectors import op5_vectors
 from factloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op4_suffixes": op4_suffixes,
     "op5_vectors": op5_vectors,
     "op6_simhash": op6_simhash,
     "op7_token_records": op7_token_records,
