@@ -7,6 +7,7 @@ from factloom.llm.language import op2_language_id
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
 from factloom.llm.simhash import op6_simhash
+from factloom.llm.sites import OP3_SQL, op3_line_dedup
 from factloom.llm.suffixes import op4_suffixes
 from factloom.llm.vectors import op5_vectors
 from factloom.llm.warc import OP9_SQL, op9_warc
@@ -14,6 +15,7 @@ from factloom.llm.warc import OP9_SQL, op9_warc
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
+    "op3_line_dedup": op3_line_dedup,
     "op4_suffixes": op4_suffixes,
     "op5_vectors": op5_vectors,
     "op6_simhash": op6_simhash,
@@ -21,4 +23,4 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
 }
-ORACLE: dict[str, str] = {"op9_warc": OP9_SQL}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_warc": OP9_SQL}
