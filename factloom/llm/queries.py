@@ -6,6 +6,7 @@ from factloom.llm.decontamination import op1_decontamination
 from factloom.llm.language import op2_language_id
 from factloom.llm.mixing import op8_mixing
 from factloom.llm.records import op7_token_records
+from factloom.llm.secrets import op10_secrets
 from factloom.llm.simhash import op6_simhash
 from factloom.llm.sites import OP3_SQL, op3_line_dedup
 from factloom.llm.suffixes import op4_suffixes
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_token_records": op7_token_records,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
+    "op10_secrets": op10_secrets,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_warc": OP9_SQL}
