@@ -67,6 +67,7 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
     def flag(column: str, pattern: str) -> Column:
         return F.col(column).rlike(pattern).cast("double")
 
+    joined = F.concat("before", F.left("candidate", F.lit(4)))  # a candidate may itself begin with slashes
     cut = F.transform(F.sequence(F.lit(1), n - (PIECE - 1)), lambda k: F.substring(F.lower(c), k, F.lit(PIECE)))
     known = F.size(F.filter(cut, lambda p: p.isin(pieces))) if pieces else F.lit(0)
     made = {
@@ -76,8 +77,8 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
         "changes": share("[a-z](?=[A-Z0-9])|[A-Z](?=[0-9])|[0-9](?=[A-Za-z])|[+/_=-](?=[A-Za-z0-9])"),
         "vowel_turns": share("(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"),
         "covered": known / (n - (PIECE - 1)),
-        "in_path": flag("before", r"[/\\.]\S*$"), "in_address": flag("before", r"(?:://|www\.|@)\S*$"), "goes_on": flag("after", r"^[./\\@:]\w"),
-        "assigned": flag("before", r"""[=:]\s*["'`]?$"""), "quoted": flag("before", r"""["'`]$""") * flag("after", r"""^["'`]"""),
+        "in_path": joined.rlike(r"[/\\.]\S*$").cast("double"), "in_address": joined.rlike(r"(?:://|www\.|@)\S*$").cast("double"), "goes_on": flag("after", r"^[./\\@:]\w"),
+        "assigned": joined.rlike(r"""[=:]\s*["'`]?[^/\s"'`]{4}$""").cast("double"), "quoted": flag("before", r"""["'`]$""") * flag("after", r"""^["'`]"""),
         "key_word": flag("before", KEY_WORDS + r"[^\n]{0,16}$"), "hash_word": flag("before", HASH_WORDS + r"[^\n]{0,16}$"),
     }
     return found.select("row", "id", "number", "gap", F.length("candidate").alias("size"), *[made[f].cast("float").alias(f) for f in FEATURES],

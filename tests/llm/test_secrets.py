@@ -1,0 +1,71 @@
+import random
+import re
+import string
+
+from pyspark.sql import functions as F
+
+from factloom.llm.secrets import CANDIDATE, FEATURES, candidates, dictionary, probability, secrets, with_features
+
+from .conftest import WORDS, rows_of
+
+
+def corpus():
+    rng = random.Random(4)
+    hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    fill = lambda n: " ".join(rng.choices(WORDS, k=n))
+    rows, secret = [], set()
+    for n in range(240):
+        kind = n % 6
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=32))
+        text = fill(6) + " " + [f'token = "{hexa(40)}"', f"sha1 {hexa(40)}", f"http://x.org/{hexa(20)}/index", f"{''.join(rng.choices(WORDS, k=5))}",
+                                f"api_key: '{key}'", f"see /usr/lib/{''.join(rng.choices(WORDS, k=4))}.so"][kind] + " " + fill(4)
+        rows.append((n, text, None, None))
+        if kind in (0, 4):
+            m = max(re.finditer(CANDIDATE, text), key=lambda m: len(set(m.group()) & set(string.digits)))
+            secret.add((n, m.start(), m.end() - m.start()))
+    return rows, secret
+
+
+def test_candidates_stand_where_they_are_said_to_stand(spark):
+    text = "a" * 16 + " x=\"" + "B" * 20 + "\"/p " + "0" * 15 + "é" + "+/" * 8
+    docs = rows_of(spark, [(1, text, None, None), (2, None, None, None), (3, "", None, None), (None, "c" * 17, None, None), (4, "z" * 70_000, None, None)])
+    got = {(r.id, r.number): r for r in candidates(docs).collect()}
+    assert {k: r.candidate for k, r in got.items()} == {(1, 0): "a" * 16, (1, 1): "B" * 20, (1, 2): "+/" * 8, (None, 0): "c" * 17, (4, 0): "z" * 70_000}
+    assert got[1, 1].before == ' x="' and got[1, 1].after.startswith('"/p 000') and got[1, 0].before == "" and got[1, 2].after == ""
+
+
+def test_features(spark):
+    docs = rows_of(spark, [(1, 'key = "0123456789abcdefAB" http://x/kastaloven_miska', None, None)])
+    rows = sorted(with_features(candidates(docs), ["kast", "asta"]).collect(), key=lambda r: r.number)
+    first, second = rows
+    assert (first.length, first.quoted, first.assigned, first.key_word, first.in_path, first.covered) == (18, 1, 1, 1, 0, 0)
+    assert abs(first.digits - 10 / 18) < 1e-6 and abs(first.changes - 2 / 18) < 1e-6 and first.hex == 0
+    assert second.in_path == second.in_address == 1 and second.assigned == 0 and abs(second.covered - 2 / (second.length - 3)) < 1e-6
+    assert dictionary(rows_of(spark, [(1, "Abcde abcde xy zzzz", None, None), (2, None, None, None)]), size=2) == ["abcd", "bcde"]
+
+
+def test_the_forest_keeps_secrets_and_drops_the_rest(spark):
+    rows, secret = corpus()
+    rows += [(None, rows[0][1], None, None), rows[6], (500, None, None, None), (501, "", None, None)]
+    docs = rows_of(spark, rows).repartition(3)
+    truth = {(i, t[s : s + n]) for i, s, n in secret for k, t, *_ in rows if k == i}
+    known = F.concat_ws(" ", F.col("id"), F.col("candidate")).isin([f"{i} {c}" for i, c in truth])
+    label = F.when(F.col("id") % 12 < 6, known.cast("int"))  # the other half is not labelled
+    for given in (label, None):
+        got = secrets(docs, label=given).collect()
+        found = {(r.id, r.start, r.length) for r in got if r.id is not None}
+        if given is None:
+            assert found == secret
+        odd = {s for s in secret if s[0] % 2}
+        right = len({f for f in found if f[0] % 2} & odd)
+        assert right >= 0.9 * len(odd) and len(found - secret) <= 0.05 * len(secret)
+        assert sum(r.id is None for r in got) == 1 and sum(r.id == 6 for r in got) == 2
+    assert sorted(map(repr, got)) == sorted(map(repr, secrets(docs.repartition(2)).collect()))
+
+
+def test_one_kind_or_none(spark):
+    docs = rows_of(spark, [(1, "q" * 20, None, None)])
+    feats = with_features(candidates(docs).withColumn("label", F.lit(0)), [])
+    assert [r.probability for r in probability(feats).collect()] == [0.0]
+    assert [r.probability for r in probability(feats.withColumn("label", F.lit(None).cast("int"))).collect()] == [0.5]
+    assert secrets(rows_of(spark, [])).count() == 0 and set(FEATURES) <= set(feats.columns)
