@@ -31,10 +31,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def python_batches(spark: SparkSession, rows: int = 1000) -> None:
+def python_batches(spark: SparkSession, rows: int = 500, megabytes: int = 4) -> None:
     """Bound the Arrow batches by rows and bytes, so that long texts cannot fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
 def texts_of(column) -> list[bytes]:

@@ -58,11 +58,15 @@ def gram_vectors(grams: np.ndarray, dim: int, seed: int) -> np.ndarray:
 
 def letters_of(text: bytes) -> np.ndarray:
     """Code points of the lower-cased letters; runs of anything else are one space, also at both ends."""
-    codes = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le"), dtype=np.uint32)
-    kept = np.where(letter_table()[codes], codes, _SPACE)
+    whole, pieces = text.decode("utf-8", "replace"), []
+    for lo in range(0, len(whole), 1 << 20):
+        codes = np.frombuffer(whole[lo : lo + (1 << 20)].lower().encode("utf-32-le"), dtype=np.uint32)
+        pieces.append(np.where(letter_table()[codes], codes, np.uint32(_SPACE)))
+    kept = np.concatenate(pieces) if pieces else np.zeros(0, dtype=np.uint32)
     if not kept.any():
         return np.zeros(0, dtype=np.uint32)
-    padded = np.concatenate([[_SPACE], kept, [_SPACE]])
+    edge = np.zeros(1, dtype=np.uint32)
+    padded = np.concatenate([edge, kept, edge])
     return padded[np.concatenate([[True], (padded[1:] != _SPACE) | (padded[:-1] != _SPACE)])]
 
 

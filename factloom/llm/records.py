@@ -33,7 +33,7 @@ from factloom.llm.common import python_batches, shared_folder, texts_of
 END_ID = 1
 _HEAD, _SUM, _LEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB")
 #: Words a worker remembers the ids of; it starts anew beyond that.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 _MARKS = "★♥•€§"
 _ENDING = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
 _ENCODERS: dict[tuple[int, bool], Encoder] = {}
@@ -142,7 +142,7 @@ def write_records(
     """
     spark = docs.sparkSession
     source = Path(tokenizer).read_text(encoding="utf-8")
-    python_batches(spark, 500)
+    python_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(source, by_words)

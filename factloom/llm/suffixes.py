@@ -26,17 +26,44 @@ WINDOW, GRAM = 100, 32
 #: Places of one anchor that a task sorts at once; more are dealt out as pairs of chunks.
 GROUP_ROWS = 8192
 _SORT_ROWS = 30_000
+_PIECE = 1 << 20
 _FIRST = -(1 << 63)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def anchors(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], window: int = WINDOW, gram: int = GRAM, piece: int = _PIECE) -> tuple[np.ndarray, ...]:
     """``text, hash, place, nearest, furthest`` of every anchor.
 
+    Texts are worked through in pieces that overlap by a window less one byte,
+    so that arrays over bytes stay small; an anchor whose windows lie in two
+    pieces has a row for each.
+
     ``place`` counts from the start of the text; the anchor stands for the
     windows that begin ``nearest`` to ``furthest`` bytes before it. Each window
     of a text has one anchor, the last of its pieces with the smallest hash.
     """
+    out, held, of, at, size = [_anchors([], window, gram)], [], [], [], 0
+
+    def flush() -> None:
+        text, hashes, place, *reach = _anchors(held, window, gram)
+        out.append((np.array(of, dtype=np.int64)[text], hashes, place + np.array(at, dtype=np.int64)[text], *reach))
+        held.clear(), of.clear(), at.clear()
+
+    for k, text in enumerate(texts):
+        for lo in range(0, max(0, len(text) - window + 1), piece):
+            held.append(text[lo : lo + piece + window - 1])
+            of.append(k)
+            at.append(lo)
+            size += len(held[-1])
+            if size >= piece:
+                flush()
+                size = 0
+    if held:
+        flush()
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _anchors(texts: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     none = np.zeros(0, dtype=np.int64)
@@ -312,7 +339,7 @@ def without_repeats(
     is no repeat. Null texts are empty; texts shorter than the window lose
     nothing. Other columns are not read. No rows: no rows.
     """
-    python_batches(docs.sparkSession, 4000)
+    python_batches(docs.sparkSession, 4000, 16)
     keyed = docs.select(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"), F.hash(F.col(text_col), F.col(id_col)).alias("k2"), F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("order"), F.col(text_col).alias("text"),

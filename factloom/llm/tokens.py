@@ -8,6 +8,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD: list[np.ndarray] = []
 _POWERS: list[np.ndarray] = []
+#: Characters hashed together; arrays over characters are dropped after each piece.
+_CHARS = 1 << 20
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,14 +49,36 @@ def word_table() -> np.ndarray:
 
 def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased runs of letters and digits of all texts, and the text each stands in."""
-    codes = [np.frombuffer(t.decode("utf-8", "replace").lower().encode("utf-32-le"), dtype=np.uint32) for t in texts]
-    gap = np.zeros(1, dtype=np.uint32)
-    every = np.concatenate([x for c in codes for x in (c, gap)] or [gap])
-    word = word_table()[every]
-    edge = np.diff(word.view(np.int8), prepend=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    ends = np.cumsum([len(c) + 1 for c in codes]) if codes else np.zeros(0, dtype=np.int64)
-    return mixed(spans(prefix_sums(every), start, end) + (end - start).astype(np.uint64)), np.searchsorted(ends, start, side="right")
+    words, owners, held, of, size = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], [], [], 0
+
+    def flush() -> None:
+        codes = [np.frombuffer(p.lower().encode("utf-32-le"), dtype=np.uint32) for p in held]
+        gap = np.zeros(1, dtype=np.uint32)
+        every = np.concatenate([x for c in codes for x in (c, gap)])
+        word = word_table()[every]
+        edge = np.diff(word.view(np.int8), prepend=0)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        piece = np.searchsorted(np.cumsum([len(c) + 1 for c in codes]), start, side="right")
+        words.append(mixed(spans(prefix_sums(every), start, end) + (end - start).astype(np.uint64)))
+        owners.append(np.array(of, dtype=np.int64)[piece])
+        held.clear()
+        of.clear()
+
+    for k, text in enumerate(texts):
+        text, lo = text.decode("utf-8", "replace"), 0
+        while lo < len(text):
+            hi = min(len(text), lo + _CHARS)
+            while hi < len(text) and text[hi - 1].isalnum():  # no word is cut
+                hi += 1
+            held.append(text[lo:hi])
+            of.append(k)
+            size, lo = size + hi - lo, hi
+            if size >= _CHARS:
+                flush()
+                size = 0
+    if held:
+        flush()
+    return np.concatenate(words), np.concatenate(owners)
 
 
 def hashed_grams(words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

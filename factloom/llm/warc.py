@@ -173,7 +173,7 @@ def pages_to_warc(
     shuffled only if the table of repeated payloads is too large for Spark to
     broadcast by its own threshold.
     """
-    python_batches(pages.sparkSession, 500)
+    python_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit(""))
     narrow = pages.select(F.col(id_col).cast("long").alias("id"), F.sha1(payload.cast("binary")).alias("sha"), F.octet_length(payload).alias("size"))
     leads = stored(

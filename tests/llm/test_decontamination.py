@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
+from factloom.llm import tokens
 from factloom.llm.decontamination import decontaminated, leaks, tiles, windows
 
 from .conftest import WORDS, rows_of
@@ -42,6 +44,13 @@ def test_tiling_by_hand_and_by_brute_force():
     assert [k for _, k in windows([1, 2, 3, 1, 2], [False, False, True, False, False], 2)] == [0, 3]
 
 
+def test_long_texts_are_hashed_in_pieces_without_cutting_words(monkeypatch):
+    texts = [("Ab c " * 50 + "x" * 70 + " é").encode(), b"", b"...", b"one"]
+    whole = tokens.hashed_words(texts)
+    monkeypatch.setattr(tokens, "_CHARS", 30)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, tokens.hashed_words(texts))) and len(whole[0]) == 103
+
+
 @pytest.fixture(scope="module")
 def bench():
     rng = random.Random(9)

@@ -30,15 +30,17 @@ def test_every_window_has_the_anchor_of_its_bytes():
     rng = random.Random(1)
     shared = bytes(rng.choices(b"ab", k=150))
     texts = [b"", bytes(rng.choices(b"abc", k=400)) + shared, shared + b"x" * 300, b"short", shared[:99], shared[:100]]
-    text, hashes, place, nearest, furthest = anchors(texts)
-    seen, by_window = {}, {}
-    for t, h, p, lo, hi in zip(text.tolist(), hashes.tolist(), place.tolist(), nearest.tolist(), furthest.tolist()):
-        for o in range(lo, hi + 1):
-            window = texts[t][p - o : p - o + 100]
-            assert len(window) == 100 and (t, p - o) not in seen
-            seen[t, p - o] = 1
-            assert by_window.setdefault(window, (h, o)) == (h, o)
-    assert len(seen) == sum(max(0, len(t) - 99) for t in texts)
+    by_window = {}
+    for piece in (1 << 20, 150):
+        text, hashes, place, nearest, furthest = anchors(texts, piece=piece)
+        seen = {}
+        for t, h, p, lo, hi in zip(text.tolist(), hashes.tolist(), place.tolist(), nearest.tolist(), furthest.tolist()):
+            for o in range(lo, hi + 1):
+                window = texts[t][p - o : p - o + 100]
+                assert len(window) == 100 and (t, p - o) not in seen
+                seen[t, p - o] = 1
+                assert by_window.setdefault(window, (h, o)) == (h, o)
+        assert len(seen) == sum(max(0, len(t) - 99) for t in texts)
     assert len(anchors([])[0]) == len(anchors([b"", b"abc"])[0]) == 0
 
 
