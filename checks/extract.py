@@ -155,7 +155,7 @@ SHEET_CELLS = "array(p_name, '', case when p_size > 30 then ' ' else p_type end,
 @check("sheet_extract", f"""
 with b as (select p_brand, p_partkey, p_name, p_type, p_size, row_number() over (partition by p_brand order by p_partkey) - 1 as r
     from part where not (p_size > 30 and p_partkey % 3 = 0)),
-k as (select *, substr(sha256(p_brand || '|xlsx|0|Sheet ' || p_brand), 1, 32) as table_id from b)
+k as (select *, substr(sha256(p_brand || case when p_brand < 'Brand#3' then '|xls|0|Sheet ' else '|xlsx|0|Sheet ' end || p_brand), 1, 32) as table_id from b)
 select p_brand as document_id, table_id, cast(r as bigint) as source_row_number, cast(0 as bigint) as source_column_number, 'Item' as header_raw,
   case when p_partkey % 3 = 0 then null else p_name end as value_raw from k
 union all select p_brand, table_id, r, 1, 'Kind', case when p_size > 30 then null else p_type end from k
@@ -163,7 +163,7 @@ union all select p_brand, table_id, r, 2, 'N', case when p_size > 30 then null e
 def _(spark, sf):
     part = table(spark, sf, "part")
     name = "case when p_partkey % 3 = 0 then '' else p_name end"
-    sheet = ["'fin' as department_id", "p_brand as document_id", "0 as sheet_index", "concat('Sheet ', p_brand) as sheet_name"]
+    sheet = ["'fin' as department_id", "p_brand as document_id", "0 as sheet_index", "concat('Sheet ', p_brand) as sheet_name", "case when p_brand < 'Brand#3' then 'xls' else 'xlsx' end as file_format"]
     body = part.selectExpr(
         *sheet, "p_partkey + 1 as row_number",
         f"array({name}, 'drop', case when p_size > 30 then ' ' else p_type end, case when p_size > 30 then '' else '5' end) as cells",
@@ -185,7 +185,7 @@ def _(spark, sf):
         "l_orderkey as table_index", "concat(l_linenumber, '-', l_partkey) as table_id",
     )
     columns = F.when(F.col("l_quantity") > 40, 501).otherwise(500)
-    return guarded_tables(tables, rows=F.col("l_linenumber"), columns=columns).select(
+    return guarded_tables(tables, 200, 500, 2, rows=F.col("l_linenumber"), columns=columns).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "guard"
     )
 
@@ -290,11 +290,11 @@ def _(spark, sf):
     return pending_documents(raw, done).select("document_id", "department_id", "file_format", "title")
 
 
-@check("reprocess_document", f"""with raw as ({i.RAW_SQL}), s as (select document_id, text from raw where doc_id in (select doc_id from labels where toxic = 1)),
+@check("reprocess_document", f"""with raw as ({i.RAW_SQL}), s as (select document_id, text from raw where doc_id in (select doc_id from labels)),
 {csv_sql('select document_id, text from s').replace('s as (', 's2 as (', 1).replace('from s),', 'from s2),', 1)}
 select document_id, count(*) as cells, count(value_raw) as filled from cells group by document_id""")
 def _(spark, sf):
-    chosen = i.raw_documents(spark, sf).join(table(spark, sf, "labels").filter("toxic = 1"), "doc_id", "left_semi")
+    chosen = i.raw_documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left_semi")
     cells = row_values_long(csv_tables(chosen.select("department_id", "document_id", "title", "text")))
     return cells.groupBy("document_id").agg(F.count(F.lit(1)).alias("cells"), F.count("value_raw").alias("filled"))
 
@@ -313,4 +313,4 @@ select department_id, count(*) as documents, count(case when n_rows >= 2 and w <
 from u left join n using (document_id) group by department_id""")
 def _(spark, sf):
     raw = i.raw_documents(spark, sf).dropDuplicates(["document_id"])
-    return extract_stats(raw, guarded_tables(extract_tables(raw)))
+    return extract_stats(raw, guarded_tables(extract_tables(raw), 200, 500, 2))

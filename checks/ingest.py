@@ -42,9 +42,9 @@ TYPE = "case " + " ".join(f"when regexp_matches(lower(title), {q(p)}) then {q(k)
 
 
 @check("document_type", f"""{RES} select dataset_id, title, {TYPE} as document_type, nullif(regexp_extract(title, '(20\\d{{2}})', 1), '') as year
-from res where resource_id = 'x0' union all select concat('doc', doc_id), text, {TYPE.replace('title', 'text')}, nullif(regexp_extract(text, '(20\\d{{2}})', 1), '') from documents""")
+from res union all select concat('doc', doc_id), text, {TYPE.replace('title', 'text')}, nullif(regexp_extract(text, '(20\\d{{2}})', 1), '') from documents""")
 def _(spark, sf):
-    titles = resources(spark, sf).filter("resource_id = 'x0'").select("dataset_id", "title").unionByName(
+    titles = resources(spark, sf).select("dataset_id", "title").unionByName(
         table(spark, sf, "documents").selectExpr("concat('doc', doc_id) as dataset_id", "text as title")
     )
     title = F.col("title")
@@ -55,7 +55,7 @@ ENDING = "\\.(zip|gz|tar|rar|7z|pdf|doc|docx)$"
 JUDGED = f"""{RES}, known as ({i.KNOWN_SQL}),
 e as (select *, case when url like '/%' then 'https://open.canada.ca' || url else url end as source_url, lower(trim(format)) as file_format, {LANGUAGE} as language
   from res where coalesce(url, '') <> ''),
-j as (select *, case when source_url in (select source_url from known) then 'known_url' when not {in_list('file_format', cat.SUPPORTED_FORMATS)} then 'format'
+j as (select *, case when (department_id, source_url) in (select (department_id, source_url) from known) then 'known_url' when not {in_list('file_format', cat.SUPPORTED_FORMATS)} then 'format'
   when regexp_matches(lower(source_url), '{ENDING}') then 'ending' when language <> 'en' then 'language'
   when regexp_matches(lower(source_url), '-fra\\.(csv|xml|xlsx|xls)$') then 'french_file' when size > 200 then 'too_large' end as reason from e),
 v as (select *, case when reason = 'known_url' then 'duplicate' when reason is not null then 'skipped' else 'eligible' end as verdict from j)"""
@@ -70,20 +70,29 @@ def _(spark, sf):
     return judged(spark, sf).select("dataset_id", "resource_id", "source_url", "file_format", "language", "reason", "verdict")
 
 
-@check("known_urls", f"""{JUDGED} select dataset_id, resource_id, source_url in (select source_url from known) as is_known from e where lower(dataset_id) like '%1%'""")
+@check("known_urls", f"""{JUDGED} select dataset_id, resource_id, (department_id, source_url) in (select (department_id, source_url) from known) as is_known from e""")
 def _(spark, sf):
     resources(spark, sf).withColumn("source_url", cat.resource_url(F.col("url"))).createOrReplaceTempView("checked_resources")
     chosen = run_sql(
-        spark, "select dataset_id, resource_id, source_url from checked_resources where coalesce(url, '') != '' and lower(dataset_id) like :pattern",
-        pattern="%1%",
+        spark, "select department_id, dataset_id, resource_id, source_url from checked_resources where coalesce(url, '') != :none", none=""
     )
-    return cat.known_urls(chosen, i.known_documents(spark, sf)).drop("source_url")
+    return cat.known_urls(chosen, i.known_documents(spark, sf)).drop("department_id", "source_url")
 
 
-@check("ingest_stats", f"""{JUDGED} select department_id, count(*) filter (verdict = 'eligible') as success, count(*) filter (verdict = 'skipped') as skipped,
+# As landed: every resource with the page as content, one in seven downloads without any.
+LANDED = JUDGED.replace("from res where", ", case when size % 7 <> 3 then raw end as html from res join (select page_id, html as raw from pages) on dataset_id = concat('d', page_id) where").replace(
+    "when size > 200 then 'too_large' end", "when coalesce(strlen(html), size) > 2000 then 'too_large' when html is null then 'no_content' end"
+).replace("when reason = 'known_url' then 'duplicate'", "when reason = 'known_url' then 'duplicate' when reason = 'no_content' then 'failed'")
+
+
+@check("ingest_stats", f"""{LANDED} select department_id, count(*) filter (verdict = 'eligible') as success, count(*) filter (verdict = 'skipped') as skipped,
   count(*) filter (verdict = 'duplicate') as duplicate, count(*) filter (verdict = 'failed') as failed from v group by department_id""")
 def _(spark, sf):
-    return cat.ingest_counts(judged(spark, sf))
+    content = table(spark, sf, "pages").selectExpr(
+        "concat('d', page_id) as dataset_id", "case when page_id % 7 != 3 then cast(html as binary) end as content"
+    )
+    landed = resources(spark, sf).join(content, "dataset_id")
+    return cat.ingest_counts(cat.with_eligibility(landed, i.known_documents(spark, sf), max_bytes=2000))
 
 
 @check("raw_documents", f"""{JUDGED}, k as (select v.*, html, sha256(html) as checksum, substr(sha256(source_url || '|' || sha256(html)), 1, 32) as document_id,

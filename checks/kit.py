@@ -15,7 +15,6 @@ from factloom.functions.periods import MONTHS, SCENARIO_WORDS
 from factloom.functions.text import (
     BLANKS, DASHES_QUOTES_MARK, ENGLISH_WORDS, FRENCH_LETTERS, FRENCH_WORDS, WS,
 )
-from factloom.session import spread_input
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,8 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows get much work in the first stage."""
-    return spread_input(table(spark, sf_dir, name))
+    """A table whose rows get much work in the first stage; the driver's tables are single files, so they are always dealt out."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def q(text: str) -> str:

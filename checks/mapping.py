@@ -91,20 +91,20 @@ def _(spark, sf):
 
 @check("review_queue", f"""with {ALL} select mc.header_id, department_id, header_raw, canonical_entity_type, canonical_entity_id, candidate_method, candidate_score
 from mc join hh on mc.header_id = hh.header_id where not coalesce(approved_flag, false) and candidate_score < 0.8 and department_id = 'ECONOMY'
-order by candidate_score desc, mc.header_id, canonical_entity_type, canonical_entity_id limit 20""")
+""")
 def _(spark, sf):
     return cand.review_queue(all_candidates(spark, sf), resolved(spark, sf), "ECONOMY")
 
 
 DECISIONS = f"""select {key(TABLE, i.HEADER_TEXT)} as header_id, p_size % 2 = 0 as approved, concat('reviewer ', p_size) as reviewer, p_partkey as decided_at
-  from part where p_size > 40"""
+  from part"""
 
 
 @check("apply_reviews", f"""with {ALL}, d as (select * from ({DECISIONS}) qualify row_number() over (partition by header_id order by decided_at desc) = 1)
 select mc.header_id, canonical_entity_type, canonical_entity_id, candidate_method, candidate_score, coalesce(approved, approved_flag) as approved_flag,
   reviewer as approved_by, decided_at as approved_at from mc left join d on mc.header_id = d.header_id""")
 def _(spark, sf):
-    part = table(spark, sf, "part").filter("p_size > 40").selectExpr("*", f"{TABLE} as t", f"{i.HEADER_TEXT} as h")
+    part = table(spark, sf, "part").selectExpr("*", f"{TABLE} as t", f"{i.HEADER_TEXT} as h")
     decisions = part.select(
         row_key(F.col("t"), F.col("h")).alias("header_id"), F.expr("p_size % 2 = 0").alias("approved"),
         F.expr("concat('reviewer ', p_size)").alias("reviewer"), F.col("p_partkey").alias("decided_at"),
@@ -141,7 +141,7 @@ def labels(spark, sf):
 
 
 @check("build_dims", f"""with l as ({LABELS}), {classify_ctes('l', 'label_raw', 'c')},
-g as (select distinct {strip('label_raw')} as t from l where {strip('label_raw')} <> '' and (label_raw like 'O%' or label_raw like 'q%' or label_raw like 'T%'))
+g as (select distinct {strip('label_raw')} as t from l where {strip('label_raw')} <> '')
 select 'time' as dimension, time_id as id, min(p_label) as name, min(p_type) as kind, min(p_start) as start_date, max(p_end) as end_date, bool_and(p_projection) as flag
   from c where time_id is not null group by time_id
 union all select 'metric', metric_id, min(coalesce(name_en, {strip('label_raw')})),
@@ -158,8 +158,7 @@ def _(spark, sf):
     metric = dims.build_dim_metric(found, known).selectExpr(
         "'metric' as dimension", "metric_id as id", "canonical_name as name", "metric_family as kind", *no_date, "is_additive as flag"
     )
-    areas = found.filter("label_raw like 'O%' or label_raw like 'q%' or label_raw like 'T%'")
-    geo = dims.build_dim_geography(areas, known).selectExpr(
+    geo = dims.build_dim_geography(found, known).selectExpr(
         "'geography' as dimension", "geography_id as id", "name_en as name", "geo_type as kind", *no_date, "cast(null as boolean) as flag"
     )
     return time.unionByName(metric).unionByName(geo)
@@ -181,10 +180,9 @@ def _(spark, sf):
 
 
 @check("build_dim_document", f"""with d as ({i.DIM_DOCUMENT_SQL}), f as ({i.FACT_SQL})
-select document_id, department_id, title, source_url from d where document_id in (select document_id from f where value_numeric is null)""")
+select document_id, department_id, title, source_url from d where document_id in (select document_id from f)""")
 def _(spark, sf):
-    without_value = i.star_facts(spark, sf).filter("value_numeric is null")
-    return dims.build_dim_document(i.dim_document(spark, sf), without_value).select(
+    return dims.build_dim_document(i.dim_document(spark, sf), i.star_facts(spark, sf)).select(
         "document_id", "department_id", "title", "source_url"
     )
 

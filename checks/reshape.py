@@ -12,6 +12,7 @@ from factloom.operators.reshape import capped, headers_of, observations, table_s
 from factloom.plans.normalize import pending_tables, table_yield
 
 from . import inputs as i
+from .scratch import written
 from .kit import GEO_TERMS, METRIC_TERMS, check, classify_ctes, entity, in_list, key, norm, number, period_ctes, q, strip
 
 OUT = [
@@ -139,7 +140,8 @@ CAP = 700
 select observation_id, table_id, source_row_number, source_column_number from ({FACTS_SQL})
 qualify row_number() over (partition by table_id order by source_row_number, coalesce(source_column_number, 0), observation_id) <= {CAP}""")
 def _(spark, sf):
-    return capped(facts(spark, sf), CAP).select("observation_id", "table_id", "source_row_number", "source_column_number")
+    columns = ["observation_id", "table_id", "source_row_number", "source_column_number"]
+    return capped(written(facts(spark, sf).select(*columns), "facts"), CAP)
 
 
 @check("pivot_grid", f"select table_id, r as source_row_number, c0, c1, c2, c3 from ({i.GEO_GRID.wide_sql()})")

@@ -12,7 +12,6 @@ from ..functions.keys import entity_key
 AUTO_APPROVE = 0.8
 MIN_SCORE = 0.5
 MAX_EDITS = 2
-REVIEW_LIMIT = 20
 
 # Where a candidate comes from, best first.
 PRIORITY = [
@@ -129,7 +128,7 @@ def best_mapping(candidates: DataFrame) -> DataFrame:
 
 
 def review_queue(
-    candidates: DataFrame, headers: DataFrame, department: str | None = None, limit: int = REVIEW_LIMIT
+    candidates: DataFrame, headers: DataFrame, department: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Candidates that wait for a person, the most certain first."""
     waiting = candidates.filter(
@@ -137,12 +136,12 @@ def review_queue(
     )
     if department is not None:
         headers = headers.filter(F.col("department_id") == department)
-    return (
+    queue = (
         waiting.join(headers.select("header_id", "department_id", "header_raw"), "header_id")
         .select("header_id", "department_id", "header_raw", *CANDIDATE_COLUMNS[1:])
         .orderBy(F.desc("candidate_score"), "header_id", "canonical_entity_type", "canonical_entity_id")
-        .limit(limit)
     )
+    return queue if limit is None else queue.limit(limit)
 
 
 def apply_reviews(candidates: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -10,33 +10,41 @@ from ..functions.text import blank_to_null, detect_language, normalize_header, n
 from .ordinals import block_of, spread, with_ordinal
 from .tables import has_content, named_columns, pick
 
-MAX_TABLES_PER_DOCUMENT = 200
-MAX_COLUMNS = 500
-MIN_ROWS = 2
-
 
 def guarded_tables(
-    tables: DataFrame, max_tables: int = MAX_TABLES_PER_DOCUMENT, max_columns: int = MAX_COLUMNS,
-    min_rows: int = MIN_ROWS, rows: Column | None = None, columns: Column | None = None,
+    tables: DataFrame, max_tables: int | None = None, max_columns: int | None = None, min_rows: int | None = None,
+    rows: Column | None = None, columns: Column | None = None,
 ) -> DataFrame:
     """Add ``guard``: ``kept``, ``beyond_table_limit``, ``too_many_columns`` or ``too_few_rows``.
 
-    The position inside the document counts every table found, then size rules
-    apply. Spark limits each group before the shuffle where the rank is filtered;
-    here the rank is needed for the verdict, so it is computed by blocks.
+    A rule applies only where its bound is given; without any, all tables are
+    kept. The position inside the document counts every table found and is
+    computed by blocks; it is only needed for its own rule.
     """
     rows = F.size("rows") if rows is None else rows
     columns = F.size("headers") if columns is None else columns
-    ranked = with_ordinal(tables, "document_id", "table_index", ["table_index", "table_id"], "_position")
+    if max_tables is None:
+        ranked = tables.withColumn("_position", F.lit(0))
+    else:
+        ranked = with_ordinal(tables, "document_id", "table_index", ["table_index", "table_id"], "_position")
+    broken = lambda bound, rule: F.lit(False) if bound is None else rule
     guard = (
-        F.when(F.col("_position") > max_tables, "beyond_table_limit")
-        .when(columns > max_columns, "too_many_columns")
-        .when(rows < min_rows, "too_few_rows")
+        F.when(broken(max_tables, F.col("_position") > max_tables), "beyond_table_limit")
+        .when(broken(max_columns, columns > max_columns), "too_many_columns")
+        .when(broken(min_rows, rows < min_rows), "too_few_rows")
         .otherwise("kept")
     )
     return ranked.withColumn("guard", guard).drop("_position")
 
 
+def rejected_tables(guarded: DataFrame) -> DataFrame:
+    """Reject records of the tables that a guard leaves out."""
+    return guarded.filter("guard != 'kept'").select(
+        F.lit("extracted_tables").alias("layer"), F.col("table_id").alias("record_id"), "document_id", "table_id",
+        F.col("guard").alias("reason"),
+    )
+
+
 def header_records(tables: DataFrame) -> DataFrame:
     """One row per column of each table."""
     exploded = tables.select(
@@ -110,12 +118,15 @@ def sheet_rows(grid_rows: DataFrame, group: str = "table_id") -> DataFrame:
     """Decoded worksheet rows to data rows under their headers.
 
     Input has a row per sheet row: ``(document_id, sheet_index, sheet_name,
-    row_number, cells array<string>)`` plus ``department_id``; row 0 is the
-    header row. A sheet may be of any length: headers are spread over the
-    blocks of its rows and rows are renumbered by blocks.
+    row_number, cells array<string>)`` plus ``department_id`` and, unless all are
+    ``xlsx``, ``file_format``; row 0 is the header row. A sheet may be of any
+    length: headers are spread over the blocks of its rows and rows are
+    renumbered by blocks.
     """
+    if "file_format" not in grid_rows.columns:
+        grid_rows = grid_rows.withColumn("file_format", F.lit("xlsx"))
     keyed = grid_rows.withColumn(
-        group, row_key(F.col("document_id"), "xlsx", F.col("sheet_index"), F.col("sheet_name"))
+        group, row_key(F.col("document_id"), F.lower("file_format"), F.col("sheet_index"), F.col("sheet_name"))
     ).withColumn("_block", block_of("row_number"))
     heads = keyed.filter("row_number = 0").select(group, F.col("cells").alias("_head"))
     heads = heads.withColumn("_named", named_columns(F.col("_head"))).filter(F.size("_named") > 0)
@@ -123,17 +134,28 @@ def sheet_rows(grid_rows: DataFrame, group: str = "table_id") -> DataFrame:
     named = F.col("_named")
     picked = body.join(spread(heads, body, group), [group, "_block"]).select(
         "department_id", "document_id", group, F.col("sheet_index").cast("long").alias("table_index"), "sheet_name",
-        "row_number", pick(F.col("_head"), named).alias("headers"), pick(F.col("cells"), named).alias("_row"),
+        F.concat(F.lower("file_format"), F.lit("_parser")).alias("extraction_method"), "row_number", pick(F.col("_head"), named).alias("headers"), pick(F.col("cells"), named).alias("_row"),
     ).filter(has_content(F.col("_row")))
     return with_ordinal(picked, group, "row_number", ["row_number"], "_ordinal").select(
-        "department_id", "document_id", group, "table_index", "sheet_name", "headers",
+        "department_id", "document_id", group, "table_index", "sheet_name", "extraction_method", "headers",
         (F.col("_ordinal") - 1).alias("source_row_number"), "_row",
     )
 
 
+def sheet_tables(rows: DataFrame) -> DataFrame:
+    """One record per sheet that has data rows, from :func:`sheet_rows`; rows are only counted."""
+    keys = ["department_id", "document_id", "table_id", "table_index", "sheet_name", "extraction_method"]
+    return rows.groupBy(*keys).agg(F.any_value("headers").alias("headers"), F.count(F.lit(1)).alias("row_count"))
+
+
 def sheet_row_values(grid_rows: DataFrame) -> DataFrame:
     """Decoded worksheet rows to cells, in the layout of :func:`row_values_long`."""
-    cells = sheet_rows(grid_rows).select(
+    return sheet_cells(sheet_rows(grid_rows))
+
+
+def sheet_cells(rows: DataFrame) -> DataFrame:
+    """Cells of :func:`sheet_rows`."""
+    cells = rows.select(
         "department_id", "document_id", "table_id", "headers", "source_row_number",
         F.nullif(F.get("_row", F.lit(0)), F.lit("")).alias("row_label_raw"),
         F.posexplode("_row").alias("source_column_number", "_cell"),

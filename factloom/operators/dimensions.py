@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..dictionaries import DIMENSION_COLUMNS, Dictionaries
 from ..functions.keys import entity_key
-from ..functions.text import attribute_type_name, blank_to_null, infer_geo_type, normalize_header, strip
+from ..functions.text import (
+    attribute_type_name, blank_to_null, header_without_years, header_year, infer_geo_type, is_measure_year_header, normalize_header, strip,
+)
 from ..functions.periods import FISCAL_START_MONTH
-from .classify import classify_and_resolve, flat_periods, with_geography_key
+from .classify import classify_and_resolve, classify_headers, flat_periods, with_geography_key, with_scenario_of_period
 
 UNRESOLVED = "unresolved"
 COMPOSITE = "composite_dimensional"
@@ -112,6 +114,33 @@ def build_dim_geography(labels: DataFrame, dictionaries: Dictionaries, text: str
     )
 
 
+def build_dim_scenario(labels: DataFrame, dictionaries: Dictionaries, text: str = "label_raw") -> DataFrame:
+    """Scenarios named by the texts in use, on their own or with a period."""
+    read = with_scenario_of_period(classify_headers(labels.select(text).distinct(), text, dictionaries), dictionaries, "_of_period")
+    key = F.coalesce("_of_period", "term.scenario_key")
+    return read.filter(key.isNotNull()).select(
+        entity_key("scenario", key).alias("scenario_id"), key.alias("scenario_name")
+    ).groupBy("scenario_id").agg(F.min("scenario_name").alias("scenario_name"))
+
+
+def resolved_dimensions(facts: DataFrame, dictionaries: Dictionaries) -> dict[str, DataFrame]:
+    """The dimension rows of exactly the keys that ``facts`` carry, from the texts they were resolved from.
+
+    Texts are made distinct before they are classified again; a key whose text
+    is a column name with a year (``Population, 2016``) gets its two parts.
+    """
+    column = F.col("column_label")
+    texts = facts.select(F.explode(F.array(
+        F.col("row_label"), column, header_year(column), F.when(is_measure_year_header(column), header_without_years(column))
+    )).alias("label_raw")).filter("label_raw is not null").distinct()
+    areas = facts.select(F.explode(F.array("area_label", "column_label")).alias("label_raw")).filter("label_raw is not null").distinct()
+    built = {
+        "time_id": build_dim_time(texts, dictionaries), "metric_id": build_dim_metric(texts, dictionaries),
+        "geography_id": build_dim_geography(areas, dictionaries), "scenario_id": build_dim_scenario(texts, dictionaries),
+    }
+    return {key: rows.join(facts.select(key).distinct(), key, "left_semi") for key, rows in built.items()}
+
+
 def build_dim_document(documents: DataFrame, facts: DataFrame) -> DataFrame:
     """Documents that facts refer to."""
     used = facts.select("document_id").distinct()

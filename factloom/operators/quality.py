@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..schemas import LAYERS
+
 MIN_CONFIDENCE = 0.8
 MAX_PLAUSIBLE = 1e15
 
@@ -14,7 +18,8 @@ def large_number_text(value: Column) -> Column:
     exact = F.coalesce(*[F.when(d.try_cast("double") == value, d) for d in digits])
     scientific = F.regexp_replace(exact, r"\.?0+e", "e")
     plain = F.regexp_replace(exact.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(value) < 1e16, plain).otherwise(scientific)
+    infinite = F.when(value == float("inf"), "inf").when(value == float("-inf"), "-inf")
+    return F.coalesce(infinite, F.when(F.abs(value) < 1e16, plain).otherwise(scientific))
 
 
 QUALITY_COLUMNS = [
@@ -118,3 +123,16 @@ def conflicting_units(facts: DataFrame, metric: str = "metric_id", unit: str = "
         pairs.groupBy(metric).agg(F.count(F.lit(1)).alias("units"), F.sum("n").alias("observations"))
         .filter("units > 1")
     )
+
+
+def layer_report(layers: dict[str, DataFrame]) -> DataFrame:
+    """Rows, required values that are missing and repeated keys of each layer, by its declared constraints."""
+    parts = []
+    for name, df in layers.items():
+        spec = LAYERS[name]
+        missing = [f"null_{c}" for c in spec.required]
+        keyed = df.select(*{*spec.required, *spec.key})
+        parts.append(constraint_report(keyed, spec.required, spec.key).select(
+            F.lit(name).alias("layer"), "rows", sum((F.col(c) for c in missing), F.lit(0)).alias("missing"), "duplicate_keys"
+        ))
+    return reduce(DataFrame.unionByName, parts)

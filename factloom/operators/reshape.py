@@ -28,8 +28,6 @@ from ..functions.text import (
 from .classify import classify_and_resolve, with_geography_key
 from .ordinals import block_of, spread, with_ordinal
 
-MAX_OBSERVATIONS_PER_TABLE = 50_000
-
 # Column names looked for, in order of preference.
 FINANCE_VALUE = ["value", "amount", "montant"]
 LONG_VALUE = ["obs_value", "value"]
@@ -46,7 +44,7 @@ FACT_COLUMNS = [
 ]
 
 _EMISSION = (
-    "struct<column_number:bigint,metric_id:string,time_id:string,geography_id:string,scenario_id:string>"
+    "struct<column_number:bigint,metric_id:string,time_id:string,geography_id:string,scenario_id:string,label:string>"
 )
 
 
@@ -68,7 +66,7 @@ def _emission(time_id=None, geography_id=None, scenario_id=None, metric_id=None)
     return F.struct(
         F.col("column_number"), metric_id if metric_id is not None else null,
         time_id if time_id is not None else null, geography_id if geography_id is not None else null,
-        scenario_id if scenario_id is not None else null,
+        scenario_id if scenario_id is not None else null, F.col("header_raw"),
     ).cast(_EMISSION)
 
 
@@ -134,14 +132,14 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
         .otherwise("time_columns")
     )
     one = lambda column: F.array(
-        F.struct(column.cast("bigint"), *[F.lit(None).cast("string")] * 4).cast(_EMISSION)
+        F.struct(column.cast("bigint"), *[F.lit(None).cast("string")] * 5).cast(_EMISSION)
     )
     value_column = F.col("_finance_value")
     times = F.filter("_times", lambda e: e["column_number"] != value_column)
     first_time = F.try_element_at(times, F.lit(1))
     value_emission = F.array(F.struct(
         value_column, F.lit(None).cast("string"), first_time["time_id"], F.lit(None).cast("string"),
-        first_time["scenario_id"],
+        first_time["scenario_id"], first_time["label"],
     ).cast(_EMISSION))
     emissions = (
         F.when(F.col("shape") == "time_columns", F.col("_times"))
@@ -260,7 +258,8 @@ def observations(
     """Observations of every table in ``cells``, in the layout of the fact table.
 
     ``shape`` and ``mapping_confidence`` (how sure the metric of a row label is)
-    are extra columns. ``headers`` saves a pass over the cells when header
+    are extra columns, and so are the texts that the keys were resolved from:
+    ``row_label``, ``column_label`` and ``area_label``. ``headers`` saves a pass over the cells when header
     records exist.
     ``extra_shapes`` maps a department to a function from its cells to
     observations, for sources that need a rule of their own.
@@ -277,7 +276,7 @@ def observations(
     valued = located.select(
         "department_id", "document_id", "table_id", "shape", "source_row_number",
         F.col("mapping.metric_id").alias("row_metric_id"), F.col("verdict.confidence").alias("row_confidence"),
-        F.col("mapping.time_id").alias("row_time_id"),
+        F.col("mapping.time_id").alias("row_time_id"), F.col("row_text").alias("row_label"), geo_text.alias("area_label"),
         "row_geography_id", F.inline(_emitted_values(finite_only)),
     )
     shape, column = F.col("shape"), F.col("e.column_number")
@@ -303,6 +302,7 @@ def observations(
         F.when(by_cell, column).alias("source_column_number"),
         F.lit(None).cast("double").alias("quality_score"), "shape",
         F.when(shape.isin("time_columns", "dimensional"), F.col("row_confidence")).alias("mapping_confidence"),
+        "row_label", F.col("e.label").alias("column_label"), "area_label",
     )
     for department, make in extra_shapes.items():
         made = make(cells.filter(F.col("department_id") == department))
@@ -310,7 +310,21 @@ def observations(
     return facts
 
 
-def capped(facts: DataFrame, limit: int = MAX_OBSERVATIONS_PER_TABLE) -> DataFrame:
-    """At most ``limit`` observations per table, in source order."""
-    order = ["source_row_number", F.coalesce("source_column_number", F.lit(0)), "observation_id"]
-    return with_ordinal(facts, "table_id", "source_row_number", order, "_ordinal", first=limit).drop("_ordinal")
+def _source_order() -> list:
+    return ["source_row_number", F.coalesce("source_column_number", F.lit(0)), "observation_id"]
+
+
+def capped(facts: DataFrame, limit: int | None = None) -> DataFrame:
+    """All observations, or the first ``limit`` of each table, in source order."""
+    if limit is None:
+        return facts
+    return with_ordinal(facts, "table_id", "source_row_number", _source_order(), "_ordinal", first=limit).drop("_ordinal")
+
+
+def beyond_cap(facts: DataFrame, limit: int) -> DataFrame:
+    """Reject records of the observations that ``capped`` leaves out."""
+    numbered = with_ordinal(facts, "table_id", "source_row_number", _source_order(), "_ordinal").filter(F.col("_ordinal") > limit)
+    return numbered.select(
+        F.lit("fact_observation").alias("layer"), F.col("observation_id").alias("record_id"), "document_id", "table_id",
+        F.lit("beyond_observation_limit").alias("reason"),
+    )

@@ -12,7 +12,7 @@ MAX_LIST = 100
 
 
 def capped_limit(requested: int | None, default: int, most: int = MAX_LIST) -> int:
-    """A requested list length, brought into 1..most."""
+    """A requested list length, brought into 1..most, as the tools of the interface ask for it."""
     return max(1, min(int(requested or default), most))
 
 
@@ -24,20 +24,39 @@ def for_department(df: DataFrame, department: str | None) -> DataFrame:
 
 
 def coverage_by_department(facts: DataFrame) -> DataFrame:
-    """Observations, distinct metrics and distinct documents per department.
+    """Observations, distinct metrics and distinct documents per department."""
+    return _departments(folded_counts(facts))
 
-    Facts are folded to (department, metric, document) first, so a department
-    that holds a third of all rows is spread over its keys.
+
+def folded_counts(facts: DataFrame) -> DataFrame:
+    """Observations per (department, metric), (department, document), period and area, in one pass.
+
+    ``set`` tells which: 0 to 3. Each task folds its facts before the shuffle,
+    and a department that holds a third of all rows is spread over its keys.
     """
-    folded = facts.groupBy("department_id", "metric_id", "document_id").agg(F.count(F.lit(1)).alias("_n"))
-    return folded.groupBy("department_id").agg(
-        F.sum("_n").alias("observations"),
-        F.countDistinct("metric_id").alias("distinct_metrics"),
-        F.countDistinct("document_id").alias("documents"),
+    keys = ["department_id", "metric_id", "document_id", "time_id", "geography_id"]
+    sets = [["department_id", "metric_id"], ["department_id", "document_id"], ["time_id"], ["geography_id"]]
+    folded = facts.select(*keys, "observation_id").groupingSets([[F.col(c) for c in s] for s in sets], *keys).agg(
+        F.grouping_id().alias("_id"), F.count(F.lit(1)).alias("_rows"), F.count("observation_id").alias("_n")
+    )
+    bit = {c: 1 << (len(keys) - 1 - n) for n, c in enumerate(keys)}
+    which = F.create_map(*[F.lit(x) for n, s in enumerate(sets) for x in (sum(bit[c] for c in keys if c not in s), n)])
+    return folded.withColumn("set", F.element_at(which, F.col("_id").cast("int"))).drop("_id")
+
+
+def _departments(folded: DataFrame) -> DataFrame:
+    of = lambda n, what: F.when(F.col("set") == n, what)
+    return folded.filter("set in (0, 1)").groupBy("department_id").agg(
+        F.sum(of(0, F.col("_rows"))).alias("observations"), F.count(of(0, F.col("metric_id"))).alias("distinct_metrics"),
+        F.count(of(1, F.col("document_id"))).alias("documents"),
     )
 
 
 def _counted(facts: DataFrame, key: str) -> DataFrame:
+    """Observations per key; counts of ``folded_counts`` are taken as they are."""
+    if "set" in facts.columns:
+        own = {"metric_id": 0, "time_id": 2, "geography_id": 3}[key]
+        return facts.filter((F.col("set") == own) & F.col(key).isNotNull()).groupBy(key).agg(F.sum("_n").alias("_n"))
     return facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("observation_id").alias("_n"))
 
 
@@ -84,7 +103,8 @@ def list_geographies(facts: DataFrame, dim_geography: DataFrame, with_data: bool
 def describe_coverage(
     facts: DataFrame, dim_metric: DataFrame, dim_time: DataFrame, dim_geography: DataFrame
 ) -> DataFrame:
-    """The four coverage summaries as one long result ``(section, name, detail, observations, documents)``."""
+    """The four coverage summaries as one long result ``(section, name, detail, observations, documents)``, from one pass."""
+    facts = folded_counts(facts)
     text = lambda c: (F.lit(None) if c is None else F.col(c)).cast("string")
 
     def section(name: str, df: DataFrame, label: str, detail: str | None, count: str, documents: str | None = None):
@@ -95,23 +115,33 @@ def describe_coverage(
         )
 
     return reduce(DataFrame.unionByName, [
-        section("coverage_by_department", coverage_by_department(facts), "department_id", None, "observations", "documents"),
+        section("coverage_by_department", _departments(facts), "department_id", None, "observations", "documents"),
         section("top_30_metrics", top_metrics(facts, dim_metric), "canonical_name", None, "obs"),
         section("time_periods", time_counts(facts, dim_time), "label", None, "obs"),
         section("named_geographies_with_data", list_geographies(facts, dim_geography, True), "name_en", "geo_type", "obs"),
     ])
 
 
-def _star(facts, dim_metric, dim_time, dim_document, metric_filter: Column | None) -> DataFrame:
+def _largest(
+    facts: DataFrame, dim_metric: DataFrame, dim_time: DataFrame, dim_document: DataFrame, order: list[Column], limit: int,
+    metric: Column | None = None, period: Column | None = None, areas: DataFrame | None = None,
+) -> DataFrame:
+    """The first facts that pass all filters, with names and sources.
+
+    Filters come first, as joins with the few dimension rows that pass them;
+    titles and addresses are fetched for the rows that are left.
+    """
     metrics = dim_metric.select("metric_id", F.col("canonical_name").alias("metric"))
-    if metric_filter is not None:
-        metrics = metrics.filter(metric_filter)
     times = dim_time.select("time_id", F.col("label").alias("year"))
-    documents = dim_document.select("document_id", "title", "source_url")
-    return (
-        facts.select("observation_id", "metric_id", "time_id", "geography_id", "document_id", "value_numeric")
-        .join(metrics, "metric_id").join(times, "time_id", "left").join(documents, "document_id")
-    )
+    columns = ["observation_id", "metric_id", "time_id", "geography_id", "document_id", "value_numeric"]
+    found = facts.select(*columns)
+    if areas is not None:
+        found = found.join(areas, "geography_id")
+    found = found.join(metrics if metric is None else metrics.filter(metric), "metric_id")
+    found = found.join(times, "time_id", "left") if period is None else found.join(times.filter(period), "time_id")
+    found = found.join(dim_document.select("document_id"), "document_id", "left_semi")
+    first = found.orderBy(*order).limit(limit)
+    return first.join(dim_document.select("document_id", "title", "source_url"), "document_id").orderBy(*order)
 
 
 VALUE_COLUMNS = ["metric", "year", "value_numeric", "title", "source_url"]
@@ -119,37 +149,31 @@ VALUE_COLUMNS = ["metric", "year", "value_numeric", "title", "source_url"]
 
 def metric_lookup(facts, dim_metric, dim_time, dim_document, name: str, period: str, limit: int = 20) -> DataFrame:
     """Largest values of a metric in a period, with their sources."""
-    star = _star(facts, dim_metric, dim_time, dim_document, F.col("metric") == name)
-    return (
-        star.filter(F.col("year") == period)
-        .orderBy(F.desc_nulls_last("value_numeric"), "observation_id")
-        .limit(min(limit, MAX_ROWS)).select(*VALUE_COLUMNS)
-    )
+    order = [F.desc_nulls_last("value_numeric"), F.col("observation_id")]
+    return _largest(
+        facts, dim_metric, dim_time, dim_document, order, limit, metric=F.col("metric") == name, period=F.col("year") == period
+    ).select(*VALUE_COLUMNS)
 
 
 def metric_history(facts, dim_metric, dim_time, dim_document, contains: str, limit: int = 50) -> DataFrame:
     """Values of metrics whose name contains a text, latest period first."""
-    star = _star(facts, dim_metric, dim_time, dim_document, F.col("metric").contains(contains))
-    return (
-        star.filter("value_numeric is not null")
-        .orderBy(F.desc_nulls_last("year"), F.desc("value_numeric"), "observation_id")
-        .limit(min(limit, MAX_ROWS)).select(*VALUE_COLUMNS)
-    )
+    order = [F.desc_nulls_last("year"), F.desc("value_numeric"), F.col("observation_id")]
+    valued = facts.filter("value_numeric is not null")
+    return _largest(valued, dim_metric, dim_time, dim_document, order, limit, metric=F.col("metric").contains(contains)).select(*VALUE_COLUMNS)
 
 
 def geo_lookup(facts, dim_metric, dim_time, dim_geography, dim_document, name: str, limit: int = 50) -> DataFrame:
     """Observations of an area, largest first."""
     areas = dim_geography.filter(F.col("name_en") == name).select("geography_id", F.col("name_en").alias("geography"))
-    star = _star(facts, dim_metric, dim_time, dim_document, None).join(areas, "geography_id")
-    return (
-        star.orderBy(F.desc_nulls_last("value_numeric"), "observation_id")
-        .limit(min(limit, MAX_ROWS)).select("metric", "year", "geography", "value_numeric", "title", "source_url")
+    order = [F.desc_nulls_last("value_numeric"), F.col("observation_id")]
+    return _largest(facts, dim_metric, dim_time, dim_document, order, limit, areas=areas).select(
+        "metric", "year", "geography", "value_numeric", "title", "source_url"
     )
 
 
 def preview(result: DataFrame, order: list[Column | str], rows: int = PREVIEW_ROWS) -> DataFrame:
-    """First rows of a result, each with the size of the whole result (at most the row cap)."""
-    total = result.agg(F.least(F.count(F.lit(1)), F.lit(MAX_ROWS))).scalar()
+    """First rows of a result, each with the size of the whole result."""
+    total = result.agg(F.count(F.lit(1))).scalar()
     return result.orderBy(*order).limit(rows).withColumn("rows_returned", total)
 
 

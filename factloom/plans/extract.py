@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.cells import guarded_tables, header_records, row_values_long
+from ..operators.cells import guarded_tables, header_records, rejected_tables, row_values_long, sheet_cells, sheet_rows, sheet_tables
 from ..operators.tables import csv_tables, html_tables
 from ..operators.xml import xml_tables
 from ..sources.files import decode_text, is_binary
-from ..sources.warehouse import Warehouse, materialise
+from ..sources.warehouse import Warehouse
 
 READERS = {"csv": csv_tables, "html": html_tables, "xml": xml_tables}
 
@@ -52,54 +52,118 @@ def extract_tables(documents: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, branches)
 
 
-def extract_stats(documents: DataFrame, guarded: DataFrame) -> DataFrame:
-    """Documents, tables kept and skipped, headers and cells per department."""
-    per_document = guarded.groupBy("document_id").agg(
+def _sizes(headers: Column, cells: Column) -> list[Column]:
+    return [headers.alias("_headers"), cells.cast("long").alias("_cells")]
+
+
+def _per_document(every: DataFrame) -> DataFrame:
+    """Tables kept and skipped, headers and cells of each document."""
+    own = lambda c: F.sum(F.when(F.col("guard") == "kept", F.col(c)).otherwise(0)).alias(c)
+    return every.groupBy("document_id").agg(
         F.count_if(F.col("guard") == "kept").alias("kept"), F.count_if(F.col("guard") != "kept").alias("skipped"),
-        F.sum(F.when(F.col("guard") == "kept", F.size("headers")).otherwise(0)).alias("_headers"),
-        F.sum(F.when(
-            F.col("guard") == "kept",
-            F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers"))),
-        ).otherwise(0)).alias("_cells"),
+        own("_headers"), own("_cells"),
+    )
+
+
+def _per_department(documents: DataFrame, per_document: DataFrame) -> DataFrame:
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    return documents.select("document_id", "department_id").join(per_document, "document_id", "left").groupBy("department_id").agg(
+        F.count(F.lit(1)).alias("documents"), total("kept", "tables_kept"), total("skipped", "tables_skipped"),
+        total("_headers", "headers"), total("_cells", "cells"),
     )
-    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
-    return documents.select("document_id", "department_id").join(per_document, "document_id", "left").groupBy(
-        "department_id"
-    ).agg(F.count(F.lit(1)).alias("documents"), total("kept", "tables_kept"), total("skipped", "tables_skipped"), total("_headers", "headers"), total("_cells", "cells"))
 
 
-def extract(warehouse: Warehouse, contents: DataFrame, batch: str, department: str | None = None) -> DataFrame:
+def extract_stats(documents: DataFrame, guarded: DataFrame) -> DataFrame:
+    """Documents, tables kept and skipped, headers and cells per department."""
+    cells = F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers")))
+    return _per_department(documents, _per_document(guarded.select("document_id", "guard", *_sizes(F.size("headers"), cells))))
+
+
+AWAITING_GRID = "awaiting_grid"
+#: What is derived from a document, in the order in which it is made.
+DERIVED = [
+    "extracted_tables", "headers", "row_values_long", "rejects", "fact_observation", "observation_quality",
+    "bridge_observation_attribute", "mapping_candidates", "document_status",
+]
+
+
+def extract(
+    warehouse: Warehouse, contents: DataFrame, batch: str, department: str | None = None, grids: DataFrame | None = None,
+    limit: int | None = None, max_tables: int | None = None, max_columns: int | None = None, min_rows: int | None = None,
+) -> DataFrame:
     """Read pending documents and store tables, headers and cells; returns statistics.
 
-    ``contents(document_id, content)`` holds the bytes of the stored documents.
+    ``contents(document_id, content)`` holds the bytes of the stored documents,
+    ``grids(document_id, sheet_index, sheet_name, row_number, cells)`` the decoded
+    rows of workbooks; a workbook without its grid stays pending. Tables are left
+    out only where a bound is given, and are then recorded as rejects.
     """
-    done = warehouse.read("document_status", but_batch=batch).filter("stage = 'extract'")
-    pending = pending_documents(warehouse.read("raw_documents"), done, department)
+    done = warehouse.read("document_status", but_batch=batch).filter((F.col("stage") == "extract") & (F.col("status") != AWAITING_GRID))
+    pending = pending_documents(warehouse.read("raw_documents"), done, department, limit)
+    # an address that several departments hold is read once, for the first of them
+    pending = pending.groupBy("document_id").agg(F.min_by(F.struct(*[c for c in pending.columns if c != "document_id"]), "department_id").alias("d")).select("document_id", "d.*")
     documents = route(pending.join(contents.select("document_id", "content"), "document_id"))
-    guarded = materialise(guarded_tables(extract_tables(documents)))
+    bounds = {"max_tables": max_tables, "max_columns": max_columns, "min_rows": min_rows}
+    guarded = warehouse.staged(guarded_tables(extract_tables(documents), **bounds), "tables", batch)
     kept = guarded.filter("guard = 'kept'")
-    warehouse.append("extracted_tables", kept, batch)
-    warehouse.append("headers", header_records(kept), batch)
-    warehouse.append("row_values_long", row_values_long(kept), batch)
-    counts = guarded.groupBy("document_id").agg(
-        F.count_if(F.col("guard") == "kept").alias("tables_kept"),
-        F.count_if(F.col("guard") != "kept").alias("tables_skipped"),
-    )
-    status = documents.select("document_id", "reader").join(counts, "document_id", "left").select(
+    tables, headers, cells, rejected = kept, header_records(kept), row_values_long(kept), rejected_tables(guarded)
+    every = guarded.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), F.aggregate(
+        "rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers"))
+    )))
+    seen = None
+    if grids is not None:
+        workbooks = documents.filter("reader = 'sheet'").select("document_id", "department_id", "file_format")
+        own = grids.join(workbooks, "document_id")
+        rows = warehouse.staged(sheet_rows(own), "sheet_rows", batch)
+        sheets = warehouse.staged(
+            guarded_tables(sheet_tables(rows), **bounds, rows=F.col("row_count"), columns=F.size("headers")), "sheets", batch
+        )
+        good = sheets.filter("guard = 'kept'")
+        tables = tables.unionByName(good, allowMissingColumns=True)
+        headers = headers.unionByName(header_records(good))
+        cells = cells.unionByName(sheet_cells(rows.join(good.select("table_id"), "table_id", "left_semi")), allowMissingColumns=True)
+        rejected = rejected.unionByName(rejected_tables(sheets))
+        every = every.unionByName(sheets.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), F.col("row_count") * F.size("headers"))))
+        seen = own.select("document_id").distinct().withColumn("_grid", F.lit(True))
+    warehouse.append("extracted_tables", tables, batch)
+    warehouse.append("headers", headers, batch)
+    warehouse.append("row_values_long", cells, batch)
+    warehouse.append("rejects", rejected, batch)
+    per_document = _per_document(every)
+    status = documents.select("document_id", "reader").join(per_document, "document_id", "left")
+    status = status.withColumn("_grid", F.lit(None).cast("boolean")) if seen is None else status.join(seen, "document_id", "left")
+    warehouse.append("document_status", status.select(
         "document_id", F.lit("extract").alias("stage"),
         F.when(F.col("reader") == "binary", "binary_content")
         .when(F.col("reader") == "unsupported", "unsupported_format")
-        .when(F.col("tables_kept") > 0, "extracted").otherwise("no_tables").alias("status"),
-        F.coalesce("tables_kept", F.lit(0)).alias("tables_kept"),
-        F.coalesce("tables_skipped", F.lit(0)).alias("tables_skipped"),
-    )
-    warehouse.append("document_status", status, batch)
-    return extract_stats(pending, guarded)
+        .when((F.col("reader") == "sheet") & F.col("_grid").isNull(), AWAITING_GRID)
+        .when(F.col("kept") > 0, "extracted").otherwise("no_tables").alias("status"),
+        F.coalesce("kept", F.lit(0)).alias("tables_kept"), F.coalesce("skipped", F.lit(0)).alias("tables_skipped"),
+    ), batch)
+    return _per_department(pending, per_document)
 
 
-def reprocess(warehouse: Warehouse, contents: DataFrame, document_ids: list[str], batch: str) -> DataFrame:
-    """Forget what was made from some documents and read them again."""
-    keep = ~F.col("document_id").isin(document_ids)
-    for layer in ("extracted_tables", "headers", "row_values_long", "fact_observation", "document_status"):
-        warehouse.replace_batches(layer, keep)
-    return extract(warehouse, contents, batch)
+def chosen_documents(warehouse: Warehouse, department: str | None = None) -> DataFrame:
+    """Ids of all stored documents, or of those of one department."""
+    stored = warehouse.read("raw_documents")
+    return (stored if department is None else stored.filter(F.col("department_id") == department)).select("document_id").distinct()
+
+
+def reprocess(warehouse: Warehouse, contents: DataFrame, documents: DataFrame, batch: str, grids: DataFrame | None = None) -> DataFrame:
+    """Forget what was made from ``documents(document_id)`` and read them again.
+
+    Every derived layer is cleared, those without a document column through the
+    observations and headers that they belong to; batches without such rows are
+    not touched.
+    """
+    ids = warehouse.staged(documents.select("document_id").distinct(), "forgotten", batch)
+    facts = warehouse.read("fact_observation").join(ids, "document_id", "left_semi")
+    heads = warehouse.read("headers").join(ids, "document_id", "left_semi")
+    keys = {
+        "observation_quality": warehouse.staged(facts.select("observation_id").distinct(), "forgotten_facts", batch),
+        "mapping_candidates": warehouse.staged(heads.select("header_id").distinct(), "forgotten_headers", batch),
+    }
+    keys["bridge_observation_attribute"] = keys["observation_quality"]
+    for layer in DERIVED:
+        warehouse.forget(layer, keys.get(layer, ids))
+    return extract(warehouse, contents, batch, grids=grids)

@@ -9,8 +9,8 @@ from ..operators import dimensions as dims
 from ..operators.candidates import mapping_candidates
 from ..operators.classify import classify_and_resolve
 from ..operators.quality import with_scores
-from ..operators.reshape import MAX_OBSERVATIONS_PER_TABLE, capped, composite_labels, observations, table_specs
-from ..sources.warehouse import Warehouse, materialise
+from ..operators.reshape import beyond_cap, capped, observations
+from ..sources.warehouse import Warehouse
 
 
 def pending_tables(tables: DataFrame, documents: DataFrame, facts: DataFrame, department: str | None = None) -> DataFrame:
@@ -38,31 +38,31 @@ def table_yield(tables: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def labels_in_use(cells: DataFrame, headers: DataFrame) -> DataFrame:
-    """Distinct texts that may name an entity: headers, first-column values, composite labels."""
-    first = cells.filter("source_column_number = 0").select(F.col("value_raw").alias("label_raw"))
-    composed = composite_labels(cells).select(F.col("label").alias("label_raw"))
-    return (
-        headers.select(F.col("header_raw").alias("label_raw")).unionByName(first).unionByName(composed)
-        .filter("label_raw is not null").distinct()
-    )
-
-
 def normalize(
     warehouse: Warehouse, dictionaries: Dictionaries, batch: str, department: str | None = None,
-    limit: int = MAX_OBSERVATIONS_PER_TABLE,
+    limit: int | None = None, max_tables: int | None = None,
 ) -> DataFrame:
-    """Make facts of pending tables, score them, keep the dimensions; returns statistics."""
+    """Make facts of pending tables, score them, keep the dimensions; returns statistics.
+
+    ``max_tables`` bounds the batch; ``limit`` bounds the observations of a
+    table, and those beyond it are recorded as rejects.
+    """
     tables = warehouse.read("extracted_tables")
     known = warehouse.read("fact_observation", but_batch=batch)
     tried = warehouse.read("document_status", but_batch=f"{batch}.normalize").filter("stage = 'normalize'").select("document_id")
     pending = pending_tables(tables, warehouse.read("raw_documents"), known, department).join(
         tried, "document_id", "left_anti"
     )
+    if max_tables is not None:
+        pending = pending.orderBy("document_id", "table_id").limit(max_tables)
+    pending = warehouse.staged(pending, "pending", batch)
     cells = warehouse.read("row_values_long").join(pending.select("table_id"), "table_id", "left_semi")
     headers = warehouse.read("headers").join(pending.select("table_id"), "table_id", "left_semi")
-    found = materialise(observations(cells, dictionaries, headers))
-    facts = materialise(with_scores(capped(found, limit), F.col("mapping_confidence")))
+    found = warehouse.staged(observations(cells, dictionaries, headers), "observations", batch)
+    facts = with_scores(capped(found, limit), F.col("mapping_confidence"))
+    facts = facts if limit is None else warehouse.staged(facts, "facts", batch)
+    if limit is not None:
+        warehouse.append("rejects", beyond_cap(found, limit), f"{batch}.normalize")
     warehouse.append("observation_quality", facts, batch)
     warehouse.append(
         "fact_observation", facts.withColumn("quality_score", F.col("quality_confidence")), batch
@@ -72,11 +72,9 @@ def normalize(
     )
     warehouse.append("mapping_candidates", mapping_candidates(resolved, dictionaries), batch)
 
-    labels = labels_in_use(cells, headers)
-    merge_dimension(warehouse, "dim_time", dims.build_dim_time(labels, dictionaries), "time_id")
-    merge_dimension(warehouse, "dim_metric", dims.build_dim_metric(labels, dictionaries), "metric_id")
-    areas = area_labels(cells, headers, dictionaries)
-    merge_dimension(warehouse, "dim_geography", dims.build_dim_geography(areas, dictionaries), "geography_id")
+    layers = {"time_id": "dim_time", "metric_id": "dim_metric", "geography_id": "dim_geography", "scenario_id": "dim_scenario"}
+    for key, rows in dims.resolved_dimensions(found, dictionaries).items():
+        merge_dimension(warehouse, layers[key], rows, key)
     documents = dims.build_dim_document(warehouse.read("raw_documents"), warehouse.read("fact_observation"))
     merge_dimension(warehouse, "dim_document", documents, "document_id")
     bridge, values = dims.attribute_bridge(cells, facts)
@@ -90,18 +88,6 @@ def normalize(
     return table_yield(pending, facts)
 
 
-def area_labels(cells: DataFrame, headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
-    """Texts that name areas: geography headers, and values of the geography column of a table."""
-    specs = table_specs(headers, dictionaries).filter("geo_column is not null").select(
-        "table_id", F.col("geo_column").alias("source_column_number")
-    )
-    values = cells.join(specs, ["table_id", "source_column_number"]).select(F.col("value_raw").alias("label_raw"))
-    named = classify_and_resolve(headers.select("header_raw").distinct(), "header_raw", dictionaries)
-    return values.distinct().unionByName(
-        named.filter(F.col("verdict.header_class") == "geography").select(F.col("header_raw").alias("label_raw"))
-    )
-
-
 def merge_dimension(warehouse: Warehouse, layer: str, incoming: DataFrame, key: str) -> None:
     merged = dims.upsert(warehouse.read(layer), incoming, key) if warehouse.exists(layer) else incoming
     warehouse.replace(layer, merged)

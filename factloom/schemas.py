@@ -21,7 +21,7 @@ LAYERS: dict[str, Layer] = {
         "title string, document_type string, file_format string, language string, published_date date, "
         "effective_date date, fiscal_year_label string, checksum string, source_system string, "
         "ingested_at timestamp, ingestion_status string",
-        ["document_id"], ["document_id", "department_id", "gcs_uri"],
+        ["department_id", "document_id"], ["document_id", "department_id", "gcs_uri"],
         {"source_system": "'open.canada.ca'", "ingested_at": "current_timestamp()"},
         ["department_id"],
     ),
@@ -117,6 +117,10 @@ LAYERS: dict[str, Layer] = {
         "review_status string, reviewed_by string, reviewed_at timestamp",
         ["observation_id"], ["observation_id"], {"review_status": "'unreviewed'"},
     ),
+    "rejects": Layer(
+        "layer string, record_id string, document_id string, table_id string, reason string, rejected_at timestamp",
+        ["layer", "record_id"], ["layer", "record_id", "reason"], {"rejected_at": "current_timestamp()"},
+    ),
     "document_status": Layer(
         "document_id string, stage string, status string, tables_kept bigint, tables_skipped bigint, updated_at timestamp",
         ["document_id", "stage"], ["document_id", "stage"], {"updated_at": "current_timestamp()"},

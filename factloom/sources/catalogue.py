@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.keys import checksum, document_id
 
 HOST = "https://open.canada.ca"
-MAX_FILE_BYTES = 500 * 1024 * 1024
 
 # Formats taken in, and address endings that are left out.
 SUPPORTED_FORMATS = ["csv", "xls", "xlsx", "xml", "json", "html"]
@@ -86,21 +85,22 @@ def _ends_with_any(text: Column, endings: list[str]) -> Column:
 
 
 def known_urls(resources: DataFrame, documents: DataFrame) -> DataFrame:
-    """Mark resources whose address was taken in before."""
-    seen = documents.select(F.col("source_url").alias("_seen")).distinct()
-    return resources.join(seen, F.col("source_url") == F.col("_seen"), "left").withColumn(
-        "is_known", F.col("_seen").isNotNull()
-    ).drop("_seen")
+    """Mark resources whose address was taken in before by the same department."""
+    seen = documents.select(F.col("department_id").alias("_department"), F.col("source_url").alias("_seen")).distinct()
+    same = F.col("department_id").eqNullSafe(F.col("_department")) & (F.col("source_url") == F.col("_seen"))
+    return resources.join(seen, same, "left").withColumn("is_known", F.col("_seen").isNotNull()).drop("_department", "_seen")
 
 
 def with_eligibility(
-    resources: DataFrame, documents: DataFrame | None = None, max_bytes: int = MAX_FILE_BYTES,
+    resources: DataFrame, documents: DataFrame | None = None, max_bytes: int | None = None,
     formats: list[str] | None = None, host: str = HOST,
 ) -> DataFrame:
     """Add ``source_url``, ``file_format``, ``language`` and a ``verdict`` with its ``reason``.
 
-    Verdicts: ``duplicate``, ``skipped`` or ``eligible``. Resources without an
-    address are dropped. ``size`` and ``content`` are looked at where present.
+    Verdicts: ``duplicate``, ``skipped``, ``failed`` (the download brought no
+    content) or ``eligible``. Resources without an address are dropped. ``size``
+    and ``content`` are looked at where present; only with ``max_bytes`` are
+    large files skipped.
     """
     staged = (
         resources.filter(F.coalesce("url", F.lit("")) != "")
@@ -112,9 +112,10 @@ def with_eligibility(
     lower = F.lower("source_url")
     no = F.lit(False)
     size = F.col("size") if "size" in resources.columns else F.lit(None).cast("long")
-    packed = no
+    packed = missing = no
     if "content" in resources.columns:
         size = F.coalesce(F.length("content"), size)
+        missing = F.col("content").isNull()
         packed = F.col("file_format").isin("csv", "xml") & (F.hex(F.substring("content", 1, 2)) == "504B")
     reason = (
         F.when(F.col("is_known"), "known_url")
@@ -122,22 +123,24 @@ def with_eligibility(
         .when(_ends_with_any(lower, SKIPPED_ENDINGS), "ending")
         .when(F.col("language") != "en", "language")
         .when(_ends_with_any(lower, FRENCH_ENDINGS), "french_file")
-        .when(F.coalesce(size > max_bytes, no), "too_large")
+        .when(no if max_bytes is None else F.coalesce(size > max_bytes, no), "too_large")
         .when(F.coalesce(packed, no), "packed_content")
+        .when(missing, "no_content")
     )
     return staged.withColumn("reason", reason).withColumn(
         "verdict",
-        F.when(F.col("reason") == "known_url", "duplicate").when(F.col("reason").isNotNull(), "skipped").otherwise("eligible"),
+        F.when(F.col("reason") == "known_url", "duplicate").when(F.col("reason") == "no_content", "failed")
+        .when(F.col("reason").isNotNull(), "skipped").otherwise("eligible"),
     ).drop("is_known")
 
 
 def document_records(landed: DataFrame, base_uri: str = "gs://raw") -> DataFrame:
-    """Eligible resources with ``content`` to document records."""
+    """Eligible resources with ``content`` to document records; without content there is no record."""
     digest = checksum(F.col("content"))
     year = F.coalesce(title_year(F.col("title")), F.lit("unknown"))
     name = F.coalesce(F.nullif("name", F.lit("")), "resource_id", F.lit("unknown"))
     filename = F.when(F.col("file_format") != "", F.concat_ws(".", name, F.col("file_format"))).otherwise(name)
-    keyed = landed.filter("verdict = 'eligible'").withColumn("checksum", digest).withColumn(
+    keyed = landed.filter("verdict = 'eligible' and content is not null").withColumn("checksum", digest).withColumn(
         "document_id", document_id(F.col("source_url"), F.col("checksum"))
     )
     return keyed.select(

@@ -15,7 +15,6 @@ BINARY_PREFIXES = [
     "52617221",      # rar
     "377ABCAF",      # 7z
 ]
-SNIFF_BYTES = 512
 MAX_CONTROL_SHARE = 0.10
 # Formats with a binary reader of their own, which are never sniffed.
 BINARY_FORMATS = ["xlsx", "xls"]
@@ -32,11 +31,11 @@ def read_files(spark: SparkSession, path: str, max_bytes: int | None = None) ->
     )
 
 
-def is_binary(content: Column, file_format: Column) -> Column:
-    """Content that must not reach a text reader."""
+def is_binary(content: Column, file_format: Column, sample_bytes: int | None = None) -> Column:
+    """Content that must not reach a text reader, judged by all of it unless a sample size is given."""
     head = F.hex(F.substring(content, 1, 4))
     prefixed = reduce(lambda a, b: a | b, [head.startswith(p) for p in BINARY_PREFIXES])
-    sample = F.decode(F.substring(content, 1, SNIFF_BYTES), "ISO-8859-1")
+    sample = F.decode(content if sample_bytes is None else F.substring(content, 1, sample_bytes), "ISO-8859-1")
     control = F.length(F.regexp_replace(sample, r"[^\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
     share = control / F.greatest(F.length(sample), F.lit(1))
     return (

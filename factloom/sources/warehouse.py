@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import LAYERS, Layer
 
@@ -47,17 +47,6 @@ def table_exists(spark: SparkSession, database: str, name: str) -> bool:
     return spark.catalog.tableExists(f"{database}.{name}")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint where the cluster names a shared folder for it.
-
-    Without that folder the plan is used as it is; it is only computed again.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df
-
-
 def run_sql(spark: SparkSession, text: str, **params: str) -> DataFrame:
     """A query with named parameters, all bound as strings."""
     return spark.sql(text, args={k: str(v) for k, v in params.items()})
@@ -107,7 +96,14 @@ class Warehouse:
     def _write(self, df: DataFrame, layer: Layer, path: str) -> None:
         if layer.partition_by or layer.sort_by:
             df = df.sortWithinPartitions(*layer.partition_by, *layer.sort_by)
-        df.write.mode("overwrite").partitionBy(*layer.partition_by).parquet(path)
+        # the whole folder is replaced: a partition that the batch no longer has must not stay
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*layer.partition_by).parquet(path)
+
+    def staged(self, df: DataFrame, name: str, batch: str) -> DataFrame:
+        """``df`` written once below the root and read back, for a job that uses it several times."""
+        path = self._path("_work", batch, name)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, layer: str, df: DataFrame, batch: str) -> None:
         self._write(conform(df, layer), LAYERS[layer], self._path(layer, f"batch_id={batch}"))
@@ -117,13 +113,22 @@ class Warehouse:
         number = versions[-1] + 1 if versions else 1
         self._write(conform(df, layer), LAYERS[layer], self._path(layer, f"version={number}"))
 
-    def replace_batches(self, layer: str, keep: Column) -> None:
-        """Keep only some rows of an appended layer; other rows can then be made again."""
+    def forget(self, layer: str, keys: DataFrame) -> None:
+        """Drop the rows of an appended layer whose key is in ``keys``; other rows can then be made again.
+
+        A batch is written anew beside the old one, in a folder that readers
+        pass over until it takes the old one's place by a rename; batches without
+        such rows are left alone.
+        """
+        key = keys.columns[0]
+        schema = T.StructType.fromDDL(LAYERS[layer].ddl)
         for batch in [c for c in self._children(self._path(layer)) if c.startswith("batch_id=")]:
-            path = self._path(layer, batch)
-            schema = T.StructType.fromDDL(LAYERS[layer].ddl)
-            kept = self.spark.read.schema(schema).parquet(path).filter(keep)
-            new = f"{batch}.kept"
-            self._write(kept, LAYERS[layer], self._path(layer, new))
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            path, new = self._path(layer, batch), self._path(layer, f"_{batch}")
+            rows = self.spark.read.schema(schema).parquet(path)
+            if rows.join(keys, key, "left_semi").isEmpty():
+                continue
+            self._write(rows.join(keys, key, "left_anti"), LAYERS[layer], new)
+            old, made = self.spark._jvm.org.apache.hadoop.fs.Path(path), self.spark._jvm.org.apache.hadoop.fs.Path(new)
+            fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            fs.delete(old, True)
+            fs.rename(made, old)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from checks import load
 from checks.compare import compare, oracle_connection
 from factloom.operators.serve import capped_limit, query_audit
-from factloom.plans.extract import extract, reprocess
+from factloom.operators.quality import layer_report
+from factloom.plans.extract import chosen_documents, extract, reprocess
 from factloom.plans.ingest import ingest
 from factloom.plans.normalize import normalize, seed
 from factloom.schemas import LAYERS
@@ -47,7 +48,8 @@ def test_files_to_facts(spark, known, tmp_path):
     first = sorted(map(str, store.read("fact_observation").drop("created_at").collect()))
     assert len(first) == 6 and store.read("dim_metric").count() >= seeded
     labels = {r.label for r in store.read("dim_time").collect()}
-    assert labels == {"2020-21", "2021-22"}
+    assert labels == {"2020-21", "2021-22", "2016", "2017"}
+    assert no_orphans(store)
     assert store.read("observation_quality").count() == 6
     # The same batch again changes nothing; a new batch finds nothing to do.
     ingest(store, files, "b1"), extract(store, contents(), "b1"), normalize(store, known, "b1")
@@ -56,9 +58,86 @@ def test_files_to_facts(spark, known, tmp_path):
     assert extract(store, contents(), "b2").count() == 0
     # Reading one document again gives the same facts.
     one = store.read("raw_documents").filter("department_id = 'fin' and file_format = 'csv'").first().document_id
-    reprocess(store, contents(), [one], "b3")
+    reprocess(store, contents(), spark.createDataFrame([(one,)], "document_id string"), "b3")
     normalize(store, known, "b3")
     assert sorted(map(str, store.read("fact_observation").drop("created_at").collect())) == first
+    reprocess(store, contents(), chosen_documents(store, "statcan"), "b4")
+    assert store.read("fact_observation").count() == 4 and store.read("observation_quality").count() == 4
+    normalize(store, known, "b4")
+    assert sorted(map(str, store.read("fact_observation").drop("created_at").collect())) == first
+    # Keys of every layer are unique and required columns are filled.
+    bad = layer_report({name: store.read(name) for name in LAYERS if store.exists(name)}).filter("missing > 0 or duplicate_keys > 0")
+    assert bad.collect() == []
+    # A batch that runs again with less keeps nothing of its first run.
+    left = store.read("raw_documents").filter("department_id = 'fin'")
+    store.append("raw_documents", spark.createDataFrame(left.collect(), left.schema), "b1")
+    assert {r.department_id for r in store.read("raw_documents").collect()} == {"fin"}
+
+
+def no_orphans(store):
+    facts = store.read("fact_observation")
+    for key, layer in (("time_id", "dim_time"), ("metric_id", "dim_metric"), ("geography_id", "dim_geography"), ("scenario_id", "dim_scenario"), ("document_id", "dim_document")):
+        own = facts.filter(F.col(key).isNotNull() & (F.col(key) != ""))
+        if own.join(store.read(layer), key, "left_anti").count():
+            return False
+    return True
+
+
+def test_every_shape_finds_its_dimensions(spark, known, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    seed(store, known)
+    seeded = {r.metric_id for r in store.read("dim_metric").collect()}
+    files = landed(
+        spark, ("statcan", "a", "csv", "en", "DAUID2016,Population 2016,Population 2021\n1001001,5,6\n1001002,7,8\n"),
+        ("statcan", "b", "csv", "en", "REF_DATE,GEO,VALUE\n2015-16,Atlantis,1\n2016,Ontario,2\n"),
+        ("fin", "c", "csv", "en", "Item,Ontario,Quebec\n2019-20,1,2\nforecast 2020-21,3,4\n"),
+        ("fin", "d", "csv", "en", "Program,Kind,Value,2018-19\nRoads,Big,3,4\nRails,,5,6\n"),
+        ("tbs-sct", "e", "csv", "en", "Vote,Amount\nA,1\nB,2\n"), ("fin", "f", "csv", "en", "Item,projection 2030-31\nSomething new,9\nRevenues,8\n"),
+        ("statcan", "g", "xlsx", "en", "workbook"), ("statcan", "h", "xls", "en", "old workbook"),
+    )
+    ingest(store, files, "b1")
+    with_url = files.select(F.concat(F.lit("https://open.canada.ca"), "url").alias("source_url"), "content")
+    contents = lambda: store.read("raw_documents").join(with_url, "source_url")
+    extract(store, contents(), "b1")
+    status = lambda: {r.status: r.n for r in store.read("document_status").filter("stage = 'extract'").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert status() == {"extracted": 6, "awaiting_grid": 2}
+    normalize(store, known, "b1")
+    books = [r.document_id for r in store.read("raw_documents").filter("file_format like 'xls%'").collect()]
+    grid = spark.createDataFrame(
+        [(d, 0, "S", n, c) for d in books for n, c in enumerate([["TIME_PERIOD", "", "OBS_VALUE"], ["2011", "x", "5"], ["2012", None, "6"]])],
+        "document_id string, sheet_index int, sheet_name string, row_number long, cells array<string>",
+    )
+    assert extract(store, contents(), "b2", grids=grid).collect()[0].asDict() == {
+        "department_id": "statcan", "documents": 2, "tables_kept": 2, "tables_skipped": 0, "headers": 4, "cells": 8}
+    normalize(store, known, "b2")
+    facts = store.read("fact_observation")
+    assert facts.count() == 4 + 2 + 4 + 4 + 2 + 2 + 4 and no_orphans(store)
+    assert {r.extraction_method for r in store.read("extracted_tables").filter("sheet_name = 'S'").collect()} == {"xlsx_parser", "xls_parser"}
+    used = {r.metric_id for r in facts.collect()}
+    assert {r.metric_id for r in store.read("dim_metric").collect()} - seeded <= used
+    assert {"2011", "2012", "2015-16", "2016", "2021", "2019-20", "2020-21", "2018-19", "2030-31"} == {r.label for r in store.read("dim_time").collect()}
+
+
+def test_downloads_without_content_fail_and_departments_stay_apart(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    files = landed(spark, ("a", "x", "csv", "en", "k,v\n1,2\n"), ("b", "x", "csv", "en", "k,v\n1,2\n"), ("a", "y", "csv", "en", ""))
+    files = files.withColumn("content", F.when(F.col("url") != "/x/y.csv", F.col("content")))
+    counts = {r.department_id: (r.success, r.failed) for r in ingest(store, files, "b1").collect()}
+    assert counts == {"a": (1, 1), "b": (1, 0)}
+    assert sorted(r.department_id for r in store.read("raw_documents").collect()) == ["a", "b"]
+    again = {r.department_id: (r.success, r.failed, r.duplicate) for r in ingest(store, files, "b2").collect()}
+    assert again == {"a": (0, 1, 1), "b": (0, 0, 1)}
+
+
+def test_bounds_leave_a_record_of_what_they_cut(spark, known, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    files = landed(spark, ("fin", "a", "csv", "en", "Item,2020-21,2021-22\nRevenues,1,2\nExpenses,3,4\n"), ("fin", "b", "csv", "en", "Item,2020-21\nRevenues,1\n"))
+    ingest(store, files, "b1")
+    with_url = files.select(F.concat(F.lit("https://open.canada.ca"), "url").alias("source_url"), "content")
+    extract(store, store.read("raw_documents").join(with_url, "source_url"), "b1", min_rows=2)
+    normalize(store, known, "b1", limit=3)
+    assert store.read("fact_observation").count() == 3
+    assert {(r.layer, r.reason) for r in store.read("rejects").collect()} == {("extracted_tables", "too_few_rows"), ("fact_observation", "beyond_observation_limit")}
 
 
 def test_stream_of_files(spark, tmp_path):

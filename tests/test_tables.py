@@ -89,7 +89,8 @@ def test_guards(spark):
         [row(0, 1, 2), row(1, 501, 2), row(2, 1, 1), row(3, 1, 5)],
         "document_id string, table_id string, table_index long, headers array<string>, rows array<array<string>>",
     )
-    got = {r.table_id: r.guard for r in guarded_tables(df, max_tables=3).collect()}
+    got = {r.table_id: r.guard for r in guarded_tables(df, max_tables=3, max_columns=500, min_rows=2).collect()}
+    assert {r.guard for r in guarded_tables(df).collect()} == {"kept"}
     assert got == {"t0": "kept", "t1": "too_many_columns", "t2": "too_few_rows", "t3": "beyond_table_limit"}
 
 
