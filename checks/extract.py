@@ -103,7 +103,7 @@ def _(spark, sf):
 # --- HTML --------------------------------------------------------------------
 
 LIST_HTML = """replace(replace(replace(replace(html, '<ul>', '<table>'), '</ul>', '</table>'), '<li>', '<tr><td>'), '</li>', '</td></tr>')"""
-_HTML_CELLS = """values (0, 0, 0, 'Item', 'N'), (0, 0, 1, 'Price & size', 'S'), (0, 1, 0, 'Item', 'T'), (0, 1, 1, 'Price & size', null), (2, 0, 0, 'A<b', 'B')"""
+_HTML_CELLS = """values (0, 0, 0, 'Item', 'N'), (0, 0, 1, 'Price & size', 'S'), (0, 1, 0, 'Item', 'T'), (0, 1, 1, 'Price & size', null), (2, 0, 0, 'A<b é–é&lt;', 'B')"""
 _LI = "regexp_replace(regexp_extract_all(regexp_extract(html, '(?s)<ul>(.*?)</ul>', 1), '(?s)<li>(.*?)</li>', 1)[{n}], '<[^>]*>', '', 'g')"
 
 
@@ -127,17 +127,17 @@ def xml_check(name: str, blob: str, rows: str, table_key: str, index: str = "0")
     @check(name, f"""with e(r, c, h, v) as ({rows})
 select cast(p_partkey as varchar) as document_id, {table_key} as table_id, cast({index} as bigint) as table_index, cast(r as bigint) as source_row_number,
   cast(c as bigint) as source_column_number, h as header_raw, case v when '$brand' then p_brand when '$size' then cast(p_size as varchar) when '$key' then cast(p_partkey as varchar)
-  when '$name' then p_name when '$type' then p_type else v end as value_raw from part, e""")
+  when '$name' then p_name when '$cdata' then p_type || ' <&amp;>' when '$less' then 'é<' || p_size else v end as value_raw from part, e""")
     def _(spark, sf):
         return flat(xml_tables(i.xml_blobs(spark, sf, blob)))
 
 
 xml_check("sdmx_data_extract", i.SDMX_BLOB, """values (0, 0, 'GEO', '$brand'), (0, 1, 'UNIT', 'u'), (0, 2, 'FLAG', null), (0, 3, 'OBS_VALUE', '$size'), (0, 4, 'TIME_PERIOD', '2019'),
- (1, 0, 'GEO', '$brand'), (1, 1, 'UNIT', 'own'), (1, 2, 'FLAG', 'a&b'), (1, 3, 'OBS_VALUE', '$key'), (1, 4, 'TIME_PERIOD', '2020'),
+ (1, 0, 'GEO', '$brand'), (1, 1, 'UNIT', 'own'), (1, 2, 'FLAG', 'a>&b'), (1, 3, 'OBS_VALUE', '$key'), (1, 4, 'TIME_PERIOD', '2020'),
  (2, 0, 'GEO', 'all'), (2, 1, 'UNIT', null), (2, 2, 'FLAG', null), (2, 3, 'OBS_VALUE', null), (2, 4, 'TIME_PERIOD', '2021')""", key("p_partkey", "'sdmx_data'", "0"))
-xml_check("sdmx_structure_extract", i.CODES_BLOB, """values (0, 0, 'Name', '$name'), (0, 1, 'Note', null), (0, 2, 'value', '1'), (1, 0, 'Name', '$type'), (1, 1, 'Note', null), (1, 2, 'value', '2')""",
+xml_check("sdmx_structure_extract", i.CODES_BLOB, """values (0, 0, 'Name', '$name'), (0, 1, 'Note', null), (0, 2, 'value', '1'), (1, 0, 'Name', '$cdata'), (1, 1, 'Note', null), (1, 2, 'value', '2')""",
           key("p_partkey", "'sdmx_structure'", "0", "concat('CL_', p_size)"))
-xml_check("generic_xml_extract", i.GENERIC_BLOB, """values (0, 0, 'id', '$key'), (0, 1, 'name', '$name'), (0, 2, 'size', null), (1, 0, 'id', 'z'), (1, 1, 'name', null), (1, 2, 'size', '$size')""",
+xml_check("generic_xml_extract", i.GENERIC_BLOB, """values (0, 0, 'id', '$key'), (0, 1, 'name', '$name'), (0, 2, 'size', null), (1, 0, 'id', 'z>'), (1, 1, 'name', null), (1, 2, 'size', '$less')""",
           key("p_partkey", "'generic_xml'", "'row'"))
 
 

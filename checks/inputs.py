@@ -216,17 +216,17 @@ RAW_SQL = f"""select doc_id, source as department_id, {DOC_URL} as source_url, {
 CSV_BLOB = f"""concat('Item,', {fiscal_label(DATE)}, ',', year({DATE}), ',  ,Note', {NL}, '"Price, total",', {money('o_totalprice')}, ',"', o_custkey, ',5",drop,"said ""hi""', {NL},
  'there"', {NL}, ',,,,', {NL}, 'Priority 5" tall,', o_orderpriority, chr(13), {NL}, 'Long,1,2,3,4,5,6', {NL}, '  , ,', {NL}, {NL}, 'Last,', o_orderkey)"""
 
-HTML_BLOB = """concat('<html><body><!-- <table><tr><td>no</td></tr></table> --><TABLE class="t"><tr><th>Item</th><th> Price &amp; size </th><th></th></tr>',
+HTML_BLOB = """concat('<html><body><!-- <table><tr><td>no</td></tr></table> --><TABLE class="t"><tr><th>Item</th><th> Price &amp; s&#x69;&#122;e </th><th></th></tr>',
  '<tr><td>', p_name, ' <b>x</b> </td><td>', p_size, '&nbsp;</td><td>drop</td><td>wide</td></tr><tr><td> </td><td></td></tr>',
- '<tr><td>', p_type, '</td></tr></TABLE><p>between</p><table><tr><td>only</td></tr></table><table><tr><td>A&lt;b</td></tr><tr><td>', p_brand, '</td></tr></table></body></html>')"""
+ '<tr><td>', p_type, '</td></tr></TABLE><p>between</p><table><tr><td>only</td></tr></table><table><tr><td>A&lt;b &eacute;&ndash;&#233;&amp;lt;</td></tr><tr><td>', p_brand, '</td></tr></table></body></html>')"""
 
 SDMX_BLOB = """concat('<?xml version="1.0"?><m:Data xmlns:m="urn:m"><m:DataSet><m:Series GEO="', p_brand, '" UNIT="u"><m:Obs TIME_PERIOD="2019" OBS_VALUE="', p_size,
- '"/><m:Obs TIME_PERIOD="2020" OBS_VALUE="', p_partkey, '" UNIT="own" FLAG="a&amp;b"/></m:Series><m:Series GEO="all"><m:Obs TIME_PERIOD="2021"></m:Obs></m:Series></m:DataSet><m:DataSet/></m:Data>')"""
-CODES_BLOB = """concat('<s:Structure xmlns:s="urn:s"><s:Codelist id="CL_', p_size, '"><s:Code value="1"><s:Name>', p_name, '</s:Name></s:Code><s:Code value="2"><s:Name>', p_type,
- '</s:Name><s:Note/></s:Code></s:Codelist><s:Codelist id="EMPTY"></s:Codelist></s:Structure>')"""
-GENERIC_BLOB = """concat('<root><meta a="1"/><row id="', p_partkey, '"><name>', p_name, '</name></row><row id="z"><size>', p_size, '</size></row></root>')"""
+ '"/><m:Obs TIME_PERIOD="2020" OBS_VALUE="', p_partkey, '" UNIT="own" FLAG="a>&amp;&#98;"/></m:Series><m:Series GEO="all"><m:Obs TIME_PERIOD="2021"></m:Obs></m:Series></m:DataSet><m:DataSet/></m:Data>')"""
+CODES_BLOB = """concat('<s:Structure xmlns:s="urn:s"><s:Codelist id="CL_', p_size, '"><s:Code value="1"><s:Name>', p_name, '</s:Name></s:Code><s:Code value="2"><s:Name><![CDATA[', p_type,
+ ' <&amp;>]]></s:Name><s:Note/></s:Code></s:Codelist><s:Codelist id="EMPTY"></s:Codelist></s:Structure>')"""
+GENERIC_BLOB = """concat('<root><meta a="1"/><row id="', p_partkey, '"><name>', p_name, '</name></row><!-- <row/> --><row id=''z>''><size>&#233;&lt;', p_size, '</size></row></root>')"""
 SHEET_BLOB = """concat('<Workbook><Row>', p_name, '</Row></Workbook>')"""
-BROKEN_BLOB = """concat('<root><row>', p_name, '</row>')"""
+BROKEN_BLOB = """concat('<root><row>', p_name, case when p_partkey % 10 = 4 then '</row>' else '<a></row></a></root>' end)"""
 XML_BLOB = f"""case cast(p_partkey % 5 as int) when 0 then {SDMX_BLOB} when 1 then {CODES_BLOB} when 2 then {GENERIC_BLOB} when 3 then {SHEET_BLOB} else {BROKEN_BLOB} end"""
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import row_key
+from ..functions.markup import HTML_NAMES, references
 from ..functions.text import WS, not_blank, strip
 
 TABLE_FIELDS = [
@@ -118,26 +119,11 @@ HTML_DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>
 HTML_TABLE = r"(?is)<table\b.*?</table\s*>"
 HTML_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|</table\b)"
 HTML_CELL = r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]\b|<t[hd]\b|</tr\b|\z)"
-# Named character references.
-HTML_NAMES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'")]
-
-
-def _numeric_references(text: Column) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,6});"), F.lit(1)))
-    utf32 = lambda code: F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
-    replaced = F.aggregate(
-        codes, text, lambda done, code: F.replace(done, F.concat(F.lit("&#"), code, F.lit(";")), utf32(code))
-    )
-    return F.when(text.contains("&#"), replaced).otherwise(text)
-
 
 def markup_text(markup: Column) -> Column:
     """Text of a fragment: every text node stripped, then joined without separator."""
-    text = F.regexp_replace(markup, r"&nbsp;|&#160;", " ")
-    text = strip(F.regexp_replace(text, f"{WS}*<[^>]*>{WS}*", ""))
-    for name, char in HTML_NAMES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.replace(_numeric_references(text), F.lit("&amp;"), F.lit("&"))
+    text = F.regexp_replace(markup, r"&nbsp;|&#160;|&#[xX][aA]0;", " ")
+    return references(strip(F.regexp_replace(text, f"{WS}*<[^>]*>{WS}*", "")), HTML_NAMES)
 
 
 def html_tables(documents: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Tables from XML documents: statistical data, statistical code lists, repeated elements.
 
 Elements are cut with regular expressions inside the row of their document.
-Limits: an element nested in another of the same name is not told apart, and
-prefixed attributes keep their prefix.
+Comments go, CDATA is escaped and ill-formed text refused beforehand. Limits: an
+element nested in another of the same name is not told apart, and prefixed
+attributes keep their prefix.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import row_key
+from ..functions.markup import XML_NAMES, is_balanced, plain_xml, references
 
 _PREFIX = r"(?:[\w.-]+:)?"
 _ATTRIBUTE = r"""([\w:.-]+)\s*=\s*(?:"[^"]*"|'[^']*')"""
 _ATTRIBUTE_VALUE = r"""[\w:.-]+\s*=\s*["']((?:(?<=")[^"]*)|(?:(?<=')[^']*))["']"""
 _CHILD = rf"(?s)<{_PREFIX}([\w.-]+)(?=[\s/>])([^>]*?)(?:/>|>(.*?)</{_PREFIX}\1\s*>)"
 _PROLOG = r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
-_COMMENTS = r"(?s)<!--.*?-->"
 
 # Root elements of spreadsheet formatting files, which hold no data.
 SPREADSHEET_ROOTS = ["Workbook", "Worksheet", "Table", "Row", "Cell", "Style", "Font", "Interior"]
@@ -41,9 +42,7 @@ def _open_tag(element: Column) -> Column:
 
 
 def _unescape(text: Column) -> Column:
-    for name, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    return references(text, XML_NAMES)
 
 
 def attributes(element: Column) -> Column:
@@ -81,14 +80,18 @@ def _row(entries: Column, headers: Column) -> Column:
 
 def xml_route(text: Column) -> Column:
     """``malformed``, ``spreadsheet``, ``sdmx_data``, ``sdmx_structure`` or ``generic``."""
-    body = F.regexp_replace(F.regexp_replace(text, _COMMENTS, ""), _PROLOG, "")
+    return _route(plain_xml(text))
+
+
+def _route(text: Column) -> Column:
+    body = F.regexp_replace(text, _PROLOG, "")
     root = F.regexp_extract(body, r"^<([\w:.-]+)", 1)
     closed = F.regexp_extract(body, r"(?s)</([\w:.-]+)\s*>\s*$", 1) == root
     self_closed = body.rlike(r"(?s)^<[^>]*/>\s*$")
     has = lambda name: body.rlike(rf"<{_PREFIX}{name}(?=[\s/>])")
     return (
         F.when(F.coalesce(root, F.lit("")) == "", "malformed")
-        .when(~(closed | self_closed), "malformed")
+        .when(~(closed | self_closed) | ~is_balanced(body), "malformed")
         .when(local_name(root).isin(SPREADSHEET_ROOTS), "spreadsheet")
         .when(has("Series") & has("Obs"), "sdmx_data")
         .when(has("Codelist") | has("ConceptScheme"), "sdmx_structure")
@@ -144,9 +147,8 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
     """
     routed = documents.select(
         "department_id", "document_id", F.nullif("title", F.lit("")).alias("title"),
-        xml_route(F.col("text")).alias("route"),
-        F.regexp_replace("text", _COMMENTS, "").alias("text"),
-    )
+        plain_xml(F.col("text")).alias("text"),
+    ).withColumn("route", _route(F.col("text")))
     if routes is not None:
         routed = routed.filter(F.col("route").isin(routes))
 

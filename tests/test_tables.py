@@ -43,9 +43,9 @@ def test_html(spark):
         spark, html_tables,
         "<table><tr><th>A</th><th>B</th></tr><tr><td>1</td></tr><tr><td></td></tr></table><table><tr><td>x</td></tr></table>"
         "<TABLE id=1><tr><td>H</td><td> </td></tr><tr><td>a &amp; <b>b</b>&nbsp;</td><td>drop</td></tr></TABLE>",
-        "<p>none</p>",
+        "<p>none</p>", "<table><tr><td>caf&eacute;&#xe9;</td></tr><tr><td>&unknown; &amp;eacute; &#x1F600;</td></tr></table>",
     )
-    assert got == {"0": (["A", "B"], [["1", None]]), "0/2": (["H"], [["a &b"]])}
+    assert got == {"0": (["A", "B"], [["1", None]]), "0/2": (["H"], [["a &b"]]), "2": (["caféé"], [["&unknown; &eacute; \U0001F600"]])}
 
 
 def test_xml(spark):
@@ -54,10 +54,13 @@ def test_xml(spark):
         '<D xmlns:m="u"><m:DataSet><m:Series B="1" A="2"><m:Obs T="2020" V="5"/><m:Obs T="2021" B="own"/></m:Series></m:DataSet></D>',
         '<S><Codelist id="C"><Code value="1"><Name>One</Name></Code></Codelist><Codelist id="E"/></S>',
         "<r><i><n>1</n></i><i k='v'/><other/></r>", "<r><i/></r>", "<Workbook><Row/><Row/></Workbook>", "<a><b></a>x", "plain",
+        '<r><i k="a>b" l=\'<![CDATA[\'/><i><n><![CDATA[<x> & &lt;]]></n></i><!-- <i/> --></r>'.replace("<![CDATA['", "&#38;'"),
+        "<r><i><n>1</n></i><i><n>2</i></n></r>", "<r><i>a & b</i><i>c</i></r>",
     )
     assert got == {
         "0": (["A", "B", "T", "V"], [["2", "1", "2020", "5"], ["2", "own", "2021", None]]),
         "1": (["Name", "value"], [["One", "1"]]), "2": (["k", "n"], [[None, "1"], ["v", None]]),
+        "7": (["k", "l", "n"], [["a>b", "&", None], [None, None, "<x> & &lt;"]]),
     }
 
 
