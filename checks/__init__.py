@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load():
     """All queries and all reference SQL, by name."""
-    from . import extract, functions, ingest, mapping, reshape, serve  # noqa: F401
+    from . import extract, functions, ingest, jobs, mapping, reshape, serve  # noqa: F401
     from .kit import ORACLE, QUERIES
 
     return dict(QUERIES), dict(ORACLE)

@@ -102,7 +102,7 @@ def _first_claims(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return list(claimed.items())
 
 
-GEO_TERMS = values(_first_claims([(t, c) for c, _, en, _, syn in dic.GEOGRAPHIES for t in [c, en, *syn]]), "term, code")
+GEO_TERMS = values(_first_claims([(t, c) for c, _, en, fr, syn in dic.GEOGRAPHIES for t in [c, en, fr, *syn]]), "term, code")
 SCENARIO_TERMS = values(_first_claims([(t, k) for k, syn in dic.SCENARIOS for t in syn]), "term, entity")
 METRIC_TERMS = values(_first_claims([(t, m[0]) for m in dic.METRICS for t in m[-1]]), "term, entity")
 METRIC_ROWS = values([m[:6] for m in dic.METRICS], "entity, name_en, name_fr, family, unit, is_additive")

@@ -51,16 +51,120 @@ SCENARIOS = [
 
 # Fixed values: (key, English name, French name, family, unit, additive, spellings).
 METRICS = [
-    ("gdp_real_growth", "Real GDP Growth", "Croissance du PIB réel", "macroeconomic", "percent", False, ["real gdp growth"]),
-    ("gdp_nominal", "Nominal GDP", "PIB nominal", "macroeconomic", "billions_cad", True, ["nominal gdp"]),
-    ("unemployment_rate", "Unemployment Rate", "Taux de chômage", "labour", "percent", False, ["unemployment rate", "taux de chômage"]),
-    ("employment", "Employment", "Emploi", "labour", "thousands_persons", True, ["employment", "total employment", "emploi"]),
-    ("population", "Population", "Population", "demographic", "persons", True, ["population", "total population"]),
-    ("cpi_inflation", "CPI Inflation", "Inflation de l'IPC", "prices", "percent", False, ["cpi inflation", "consumer price index inflation"]),
-    ("budgetary_revenues", "Budgetary Revenues", "Revenus budgétaires", "fiscal", "millions_cad", True, ["budgetary revenues", "revenues", "total revenues"]),
-    ("program_expenses", "Program Expenses", "Charges de programme", "fiscal", "millions_cad", True, ["program expenses", "expenses"]),
-    ("public_debt_charges", "Public Debt Charges", "Frais de la dette publique", "fiscal", "millions_cad", True, ["public debt charges"]),
-    ("budgetary_balance", "Budgetary Balance", "Solde budgétaire", "fiscal", "millions_cad", True, ["budgetary balance", "deficit", "surplus"]),
+    ("gdp_real_growth", "Real GDP Growth", "Croissance du PIB réel", "macroeconomic", "percent", False,
+     ["real gdp growth", "croissance du pib réel", "real gross domestic product growth", "gdp growth (real)"]),
+    ("gdp_nominal", "Nominal GDP", "PIB nominal", "macroeconomic", "billions_cad", True,
+     ["nominal gdp", "pib nominal", "nominal gross domestic product", "gdp (nominal)"]),
+    ("gdp_nominal_growth", "Nominal GDP Growth", "Croissance du PIB nominal", "macroeconomic", "percent", False,
+     ["nominal gdp growth", "croissance du pib nominal"]),
+    ("gdp_real_level", "Real GDP", "PIB réel", "macroeconomic", "billions_cad", True,
+     ["real gdp", "pib réel", "real gross domestic product"]),
+    ("gdp_deflator", "GDP Inflation", "Inflation du PIB", "macroeconomic", "percent", False,
+     ["gdp inflation", "inflation du pib", "gdp deflator", "déflateur du pib", "gdp price index"]),
+    ("output_gap", "Output Gap", "Écart de production", "macroeconomic", "percent", False,
+     ["output gap", "écart de production"]),
+    ("us_gdp_real_growth", "US Real GDP Growth", "Croissance du PIB réel des É.-U.", "macroeconomic", "percent", False,
+     ["us real gdp growth", "croissance du pib réel des é.-u.", "u.s. real gdp growth", "united states real gdp growth"]),
+    ("cpi_inflation", "CPI Inflation", "Inflation selon l'IPC", "macroeconomic", "percent", False,
+     ["cpi inflation", "inflation selon l'ipc", "consumer price index inflation", "inflation (cpi)", "inflation ipc"]),
+    ("core_inflation", "Core Inflation", "Inflation fondamentale", "macroeconomic", "percent", False,
+     ["core inflation", "inflation fondamentale", "underlying inflation"]),
+    ("core_inflation_cpix", "Core Inflation (CPIX)", "Inflation fondamentale (IPCX)", "macroeconomic", "percent", False,
+     ["core inflation (cpix)", "inflation fondamentale (ipcx)", "cpix", "ipcx"]),
+    ("us_cpi_inflation", "US CPI Inflation", "Inflation selon l'IPC des É.-U.", "macroeconomic", "percent", False,
+     ["us cpi inflation", "inflation selon l'ipc des é.-u.", "u.s. cpi inflation"]),
+    ("us_gdp_inflation", "US GDP Inflation", "Inflation du PIB des É.-U.", "macroeconomic", "percent", False,
+     ["us gdp inflation", "inflation du pib des é.-u.", "u.s. gdp inflation"]),
+    ("unemployment_rate", "Unemployment Rate", "Taux de chômage", "labour", "percent", False,
+     ["unemployment rate", "taux de chômage", "unemp. rate", "unemp rate"]),
+    ("employment_growth", "Employment Growth", "Croissance de l'emploi", "labour", "percent", False,
+     ["employment growth", "croissance de l'emploi", "emp. growth", "emp growth"]),
+    ("employment", "Employment", "Emploi", "labour", "thousands", True,
+     ["employment", "emploi", "number employed"]),
+    ("labour_force", "Labour Force", "Population active", "labour", "thousands", True,
+     ["labour force", "population active", "labor force", "labour force characteristics"]),
+    ("participation_rate", "Participation Rate", "Taux d'activité", "labour", "percent", False,
+     ["participation rate", "taux d'activité", "labour force participation rate"]),
+    ("population", "Population", "Population", "labour", "thousands", True,
+     ["population", "total population", "population totale"]),
+    ("hours_worked", "Average Hours Worked", "Heures moyennes travaillées", "labour", "hours", False,
+     ["average hours worked", "heures moyennes travaillées", "hours worked", "actual hours worked"]),
+    ("hourly_earnings", "Average Hourly Earnings", "Rémunération horaire moyenne", "labour", "cad", False,
+     ["average hourly earnings", "rémunération horaire moyenne", "hourly wage rate"]),
+    ("interest_rate_3m", "3-Month Treasury Bill Rate", "Taux des bons du Trésor à 3 mois", "monetary", "percent", False,
+     ["3-month treasury bill rate", "taux des bons du trésor à 3 mois", "3-month t-bill", "treasury bill rate"]),
+    ("interest_rate_10y", "10-Year Government Bond Rate", "Taux des obligations d'État à 10 ans", "monetary", "percent", False,
+     ["10-year government bond rate", "taux des obligations d'état à 10 ans", "10-year bond yield", "government of canada 10-year benchmark bond yield"]),
+    ("exchange_rate_usdcad", "Exchange Rate (USD/CAD)", "Taux de change (USD/CAD)", "monetary", "cents_usd", False,
+     ["exchange rate (usd/cad)", "taux de change (usd/cad)", "canada/u.s. exchange rate", "us exchange rate"]),
+    ("policy_rate", "Policy Interest Rate", "Taux directeur", "monetary", "percent", False,
+     ["policy interest rate", "taux directeur", "overnight rate", "bank of canada policy rate"]),
+    ("exports", "Exports of Goods and Services", "Exportations de biens et services", "trade", "billions_cad", True,
+     ["exports of goods and services", "exportations de biens et services", "exports", "exportations"]),
+    ("imports", "Imports of Goods and Services", "Importations de biens et services", "trade", "billions_cad", True,
+     ["imports of goods and services", "importations de biens et services", "imports", "importations"]),
+    ("trade_balance", "Trade Balance", "Balance commerciale", "trade", "billions_cad", True,
+     ["trade balance", "balance commerciale", "net exports", "exportations nettes"]),
+    ("current_account_balance", "Current Account Balance", "Solde du compte courant", "trade", "billions_cad", True,
+     ["current account balance", "solde du compte courant"]),
+    ("wti_crude_oil", "Crude Oil Price (WTI)", "Prix du pétrole brut (WTI)", "trade", "usd_per_barrel", False,
+     ["crude oil price (wti)", "prix du pétrole brut (wti)", "west texas intermediate", "wti", "crude oil"]),
+    ("total", "Total", "Total", "fiscal", "billions_cad", True,
+     ["total"]),
+    ("budgetary_revenues", "Budgetary Revenues", "Revenus budgétaires", "fiscal", "billions_cad", True,
+     ["budgetary revenues", "revenus budgétaires", "revenues", "revenus"]),
+    ("personal_income_tax", "Personal Income Tax", "Impôt sur le revenu des particuliers", "fiscal", "billions_cad", True,
+     ["personal income tax", "impôt sur le revenu des particuliers", "personal income tax revenues"]),
+    ("corporate_income_tax", "Corporate Income Tax", "Impôt sur le revenu des sociétés", "fiscal", "billions_cad", True,
+     ["corporate income tax", "impôt sur le revenu des sociétés", "corporate income tax revenues"]),
+    ("gst_revenues", "GST Revenues", "Revenus de la TPS", "fiscal", "billions_cad", True,
+     ["gst revenues", "revenus de la tps", "goods and services tax", "taxe sur les produits et services"]),
+    ("ei_premium_revenues", "EI Premium Revenues", "Revenus des cotisations d'AE", "fiscal", "billions_cad", True,
+     ["ei premium revenues", "revenus des cotisations d'ae", "employment insurance premium revenues"]),
+    ("program_expenses", "Program Expenses", "Charges de programmes", "fiscal", "billions_cad", True,
+     ["program expenses", "charges de programmes", "program spending", "expenses"]),
+    ("public_debt_charges", "Public Debt Charges", "Frais de la dette publique", "fiscal", "billions_cad", True,
+     ["public debt charges", "frais de la dette publique", "interest on debt"]),
+    ("total_expenses", "Total Expenses", "Total des charges", "fiscal", "billions_cad", True,
+     ["total expenses", "total des charges", "total spending"]),
+    ("budgetary_balance", "Budgetary Balance", "Solde budgétaire", "fiscal", "billions_cad", True,
+     ["budgetary balance", "solde budgétaire", "budget balance", "surplus/deficit"]),
+    ("federal_debt", "Federal Debt", "Dette fédérale", "fiscal", "billions_cad", True,
+     ["federal debt", "dette fédérale", "accumulated deficit", "déficit accumulé"]),
+    ("debt_to_gdp", "Federal Debt-to-GDP Ratio", "Ratio de la dette fédérale au PIB", "fiscal", "percent", False,
+     ["federal debt-to-gdp ratio", "ratio de la dette fédérale au pib", "debt-to-gdp", "debt to gdp ratio"]),
+    ("net_debt", "Net Debt", "Dette nette", "fiscal", "billions_cad", True,
+     ["net debt", "dette nette"]),
+    ("expenditure", "Expenditure", "Dépenses", "expenditure", "cad", True,
+     ["expenditure", "dépenses", "amount", "montant"]),
+    ("budgetary_authority", "Budgetary Authorities", "Autorisations budgétaires", "expenditure", "cad", True,
+     ["budgetary", "budgétaire", "budgetary authorities", "autorisations budgétaires"]),
+    ("authorities_to_date", "Authorities To Date", "Autorisations à ce jour", "expenditure", "cad", True,
+     ["authorities to date", "autorisations à ce jour"]),
+    ("statutory_expenditure", "Statutory Expenditure", "Dépenses législatives", "expenditure", "cad", True,
+     ["statutory expenditure", "dépenses législatives", "statutory", "législatif"]),
+    ("voted_expenditure", "Voted Expenditure", "Dépenses votées", "expenditure", "cad", True,
+     ["voted expenditure", "dépenses votées", "voted", "voté"]),
+    ("transfer_payments", "Transfer Payments", "Paiements de transfert", "expenditure", "cad", True,
+     ["transfer payments", "paiements de transfert", "transfers"]),
+    ("consumer_confidence", "Consumer Confidence Index", "Indice de confiance des consommateurs", "survey", "index", False,
+     ["consumer confidence index", "indice de confiance des consommateurs", "consumer confidence"]),
+    ("business_confidence", "Business Confidence Index", "Indice de confiance des entreprises", "survey", "index", False,
+     ["business confidence index", "indice de confiance des entreprises", "business outlook"]),
+    ("housing_starts", "Housing Starts", "Mises en chantier", "survey", "thousands", True,
+     ["housing starts", "mises en chantier"]),
+    ("census_population", "Census Population", "Population recensée", "demographic", "persons", True,
+     ["population", "pop", "population count", "total population"]),
+    ("census_population_density", "Population Density", "Densité de population", "demographic", "per_sq_km", False,
+     ["population density per square kilometre", "population density", "density"]),
+    ("census_total_private_dwellings", "Total Private Dwellings", "Logements privés totaux", "demographic", "count", True,
+     ["total private dwellings", "private dwellings", "dwellings"]),
+    ("census_occupied_private_dwellings", "Private Dwellings Occupied by Usual Residents", "Logements privés occupés par des résidents habituels", "demographic", "count", True,
+     ["private dwellings occupied by usual residents", "occupied private dwellings"]),
+    ("census_land_area", "Land Area", "Superficie des terres", "demographic", "sq_km", True,
+     ["land area in square kilometres", "land area", "area"]),
+    ("census_population_change", "Population Percent Change", "Variation de population en pourcentage", "demographic", "percent", False,
+     ["population, % change", "population percent change", "population % change"]),
 ]
 
 # Fixed values: (type key, English name, [(value key, English, French)]).
@@ -168,8 +272,8 @@ class Dictionaries:
             if text.strip() and entry[slot] is None:
                 entry[slot:slot + len(values)] = values
 
-        for code, kind, name_en, _, synonyms in geographies:
-            for text in [code, name_en, *synonyms]:
+        for code, kind, name_en, name_fr, synonyms in geographies:
+            for text in [code, name_en, name_fr, *synonyms]:
                 claim(text, 0, code, kind)
         for key, synonyms in scenarios:
             for text in synonyms:
@@ -225,7 +329,7 @@ class Dictionaries:
 
         no_texts = F.array().cast("array<string>")
         synonyms = F.coalesce("synonyms", no_texts)
-        geo = spellings(geographies, "code", F.concat(F.array("code", "name_en"), synonyms))
+        geo = spellings(geographies, "code", F.concat(F.array("code", "name_en", "name_fr"), synonyms))
         geo = geo.join(geographies.select("code", "geo_type"), "code", "left")
         made.terms = (
             geo.withColumnRenamed("code", "geo_code")
