@@ -253,7 +253,7 @@ SNIFF_FORMAT = "case when doc_id % 7 = 0 then 'XLSX' else 'csv' end"
 
 
 @check("binary_sniff", f"""select doc_id, case when doc_id % 7 = 0 then false when doc_id % 5 = 3 then true
-  when doc_id % 5 = 4 then 60 > 0.1 * least(512, 60 + octet_length(encode(text))) else false end as is_binary from documents""")
+  when doc_id % 5 = 4 then 60 > 0.1 * (60 + octet_length(encode(text))) else false end as is_binary from documents""")
 def _(spark, sf):
     docs = table(spark, sf, "documents").selectExpr("doc_id", f"{BYTES_SPARK} as content", f"{SNIFF_FORMAT} as f")
     return docs.select("doc_id", is_binary(F.col("content"), F.col("f")).alias("is_binary"))

@@ -81,7 +81,7 @@ j as (select w.*, p.p_label, g.code from w join p on c0 = raw left join {GEO_TER
     "census": f"""with j as (select w.*, g.code from ({i.CENSUS_GRID.wide_sql()}) w left join {GEO_TERMS} g on g.term = {norm('c0')}) """ + emit(
         i.CENSUS_GRID, "j", EMPTY, None, f"case when c0 is not null then {_geo('c0')} end", "true",
         [(1, "2016", None, None, entity("metric", "'population'")), (2, "2011", None, None, entity("metric", "'average income'")),
-         (4, "2006", None, None, entity("metric", "'pop'"))], "census"),
+         (4, "2006", None, None, entity("metric", "'census_population'"))], "census"),
     "financial": f"with j as ({i.FINANCIAL_GRID.wide_sql()}) " + emit(
         i.FINANCIAL_GRID, "j", EMPTY, None, NO_GEO, "true", [(2, None, None, None, None)], "financial"),
     "survey": f"with j as ({i.SURVEY_GRID.wide_sql()}) " + emit(
