@@ -17,6 +17,7 @@ record by shard and offset.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -32,8 +33,8 @@ from factloom.llm.common import python_batches, shared_folder, texts_of
 
 END_ID = 1
 _HEAD, _SUM, _LEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB")
-#: Words a worker remembers the ids of; it starts anew beyond that.
-MEMO_WORDS = 300_000
+#: Words a worker remembers the ids of: those met since half as many were new, and those before.
+MEMO_WORDS = 400_000
 _MARKS = "★♥•€§"
 _ENDING = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
 _ENCODERS: dict[tuple[int, bool], Encoder] = {}
@@ -77,11 +78,12 @@ class Encoder:
     """
 
     def __init__(self, source: str, by_words: bool) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.by_words, self.memo = by_words, {}
+        self.by_words, self.memo, self.older = by_words, {}, {}
         self.mark, self.mark_id = next(
             ((m, ids[0]) for m in _MARKS if len(ids := self.direct([m])[0]) == 1), ("", 0)
         )
@@ -110,10 +112,13 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_words or not self.mark:
             return [self.packed(ids) for ids in self.direct([t.decode() for t in texts])]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        if len(self.memo) > MEMO_WORDS // 2:  # words in use come over from the older half, the rest is forgotten
+            self.memo, self.older = {}, self.memo
         split = [None if b"<|" in t else _ENDING.sub(rb" \1", t.lower()).split() for t in texts]
-        self.learn(list(set().union(*(s for s in split if s)).difference(self.memo)))
+        new = set().union(*(s for s in split if s)).difference(self.memo)
+        known = new & self.older.keys()
+        self.memo.update((w, self.older[w]) for w in known)
+        self.learn(list(new - known))
         return [
             self.packed(self.direct([t.decode()])[0]) if s is None else b"".join(map(self.memo.__getitem__, s))
             for t, s in zip(texts, split)
@@ -142,7 +147,7 @@ def write_records(
     """
     spark = docs.sparkSession
     source = Path(tokenizer).read_text(encoding="utf-8")
-    python_batches(spark)
+    python_batches(spark, 200, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(source, by_words)
