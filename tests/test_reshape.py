@@ -71,7 +71,7 @@ def test_census(spark, known):
     got = facts(spark, known, "statcan", ["DAUID2006", "Population, 2016", "POP2006", "Name 2016"], [["35001", "1,200", "x", "9"], ["", "4", "5", "9"]])
     assert [(g.metric_id, g.time_id, g.geography_id, g.value_numeric) for g in got] == [
         (entity("metric|population"), entity("time|2016"), entity("geo|35001"), 1200.0),
-        (entity("metric|population"), entity("time|2016"), None, 4.0), (entity("metric|pop"), entity("time|2006"), None, 5.0)]
+        (entity("metric|population"), entity("time|2016"), None, 4.0), (entity("metric|census_population"), entity("time|2006"), None, 5.0)]
 
 
 def test_treasury_shapes_and_none(spark, known):
