@@ -113,13 +113,25 @@ class Warehouse:
         number = versions[-1] + 1 if versions else 1
         self._write(conform(df, layer), LAYERS[layer], self._path(layer, f"version={number}"))
 
+    def _finish(self, layer: str) -> None:
+        """Put complete rewritten batches in the place of old ones that are gone already."""
+        names = self._children(self._path(layer))
+        for name in names:
+            if name.startswith("_batch_id=") and name[1:] not in names and "_SUCCESS" in self._children(self._path(layer, name)):
+                made = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(layer, name))
+                made.getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(
+                    made, self.spark._jvm.org.apache.hadoop.fs.Path(self._path(layer, name[1:]))
+                )
+
     def forget(self, layer: str, keys: DataFrame) -> None:
         """Drop the rows of an appended layer whose key is in ``keys``; other rows can then be made again.
 
         A batch is written anew beside the old one, in a folder that readers
         pass over until it takes the old one's place by a rename; batches without
-        such rows are left alone.
+        such rows are left alone. A run that ended between the two is finished
+        first.
         """
+        self._finish(layer)
         key = keys.columns[0]
         schema = T.StructType.fromDDL(LAYERS[layer].ddl)
         for batch in [c for c in self._children(self._path(layer)) if c.startswith("batch_id=")]:

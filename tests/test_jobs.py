@@ -155,6 +155,16 @@ def test_stream_of_files(spark, tmp_path):
     assert read_files(spark, str(folder), max_bytes=1).count() == 1
 
 
+def test_a_rewrite_that_was_cut_off_is_finished(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    rows = spark.createDataFrame([("l", "a", "d1", "t", "r"), ("l", "b", "d2", "t", "r")], "layer string, record_id string, document_id string, table_id string, reason string")
+    store.append("rejects", rows, "b1")
+    (tmp_path / "rejects" / "batch_id=b1").rename(tmp_path / "rejects" / "_batch_id=b1")
+    assert store.read("rejects").count() == 0
+    store.forget("rejects", rows.filter("document_id = 'd1'").select("document_id"))
+    assert [r.document_id for r in store.read("rejects").collect()] == ["d2"]
+
+
 def test_catalogue_tables(spark):
     create_tables(spark, "layers")
     create_tables(spark, "layers")
