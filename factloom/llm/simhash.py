@@ -196,18 +196,23 @@ def near_duplicates(
     return prints.join(of_class, "fp").select("id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, errors: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their group, one row for an id; rows without id stay."""
-    near = near_duplicates(docs, id_col, text_col, words, errors)
+def without_copies(docs: DataFrame, near: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is its component's in ``near`` (``id, component_id``), one row for an id; rows without id stay."""
+    near = stored(near.select("id", "component_id"), "near")
     # narrow tables are written, so that Spark knows their size when it chooses whether texts are shuffled
-    gone = stored(near.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col)).distinct(), "simhash-gone")
+    gone = stored(near.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col)).distinct(), "near-gone")
     repeated = stored(
-        near.where("id = component_id").groupBy(F.col("id").alias(id_col)).count().where("count > 1").select(id_col), "simhash-repeated"
+        near.where("id = component_id").groupBy(F.col("id").alias(id_col)).count().where("count > 1").select(id_col), "near-repeated"
     )
     single = docs.join(gone.union(repeated), id_col, "left_anti")
     return single.unionByName(docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])).select(docs.columns)
 
 
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, errors: int = 2) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their group, one row for an id; rows without id stay."""
+    return without_copies(docs, near_duplicates(docs, id_col, text_col, words, errors), id_col)
+
+
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all ``documents`` at 2 or fewer differing bits."""
     near = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
