@@ -36,6 +36,8 @@ _HEAD, _SUM, _LEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<q
 #: Words a worker remembers the ids of: those met since half as many were new, and those before.
 MEMO_WORDS = 400_000
 _MARKS = "★♥•€§"
+#: These capitals keep their case: with what follows they may compose otherwise than their lower-case letters do.
+_BOUND = re.compile(rb"[A-Z](?=[\x80-\xff])")
 _ENDING = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[ \t-\r]|\Z)")
 _ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
@@ -68,6 +70,16 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at += 17 + size
 
 
+def lowered(text: bytes) -> bytes:
+    """The text with A-Z in lower case, but for letters before a character outside ASCII: the tokenizer composes marks before it lower-cases."""
+    if text.isascii():
+        return text.lower()
+    out = bytearray(text.lower())
+    for m in _BOUND.finditer(text):
+        out[m.start()] = text[m.start()]
+    return bytes(out)
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes.
 
@@ -114,7 +126,7 @@ class Encoder:
             return [self.packed(ids) for ids in self.direct([t.decode() for t in texts])]
         if len(self.memo) > MEMO_WORDS // 2:  # words in use come over from the older half, the rest is forgotten
             self.memo, self.older = {}, self.memo
-        split = [None if b"<|" in t else _ENDING.sub(rb" \1", t.lower()).split() for t in texts]
+        split = [None if b"<|" in t else _ENDING.sub(rb" \1", lowered(t)).split() for t in texts]
         new = set().union(*(s for s in split if s)).difference(self.memo)
         known = new & self.older.keys()
         self.memo.update((w, self.older[w]) for w in known)

@@ -27,6 +27,14 @@ def test_words_in_turn_give_the_ids_of_the_whole_text(tokenizer, texts):
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in every]
 
 
+def test_capitals_with_marks_of_their_own_give_the_ids_of_the_whole_text(tokenizer):
+    bare = ["H\u0331", "T\u0308", "J\u030c", "W\u030a", "Y\u030a", "H\u05b0\u0331", "h\u0331", "E\u0301", "ÀÉ", "RÉ"]
+    every = bare + [f"{b}a Word, {b}. x{b}B{b}! {b.lower()}" for b in bare] + [" ".join(bare) + " PLAIN"]
+    coder = Encoder(open(PATH, encoding="utf-8").read(), by_words=True)
+    got = [np.frombuffer(b, dtype="<u2").tolist() for b in coder.encode([t.encode() for t in every])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in every]
+
+
 def test_frames_round_trip_and_refuse_damage():
     data = b"".join(frame(k, np.arange(n, dtype="<u2").tobytes(), 2) + b"\n" for k, n in ((5, 3), (None, 0), (-1, 10), (10, 10)))
     rows = list(frames(data))
