@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm.common import python_batches, texts_of
@@ -23,6 +23,8 @@ DIM, GRAM, SEED = 512, 3, 2016
 UNKNOWN = "und"
 #: Documents' unit vectors are added as whole numbers of this fraction, so sums do not depend on their order.
 UNIT = 1 << 16
+#: Floor of the score: this share of what all but the lowest of the held-out rows reach; with fewer rows there is none.
+FLOOR, LOW, FEW = 0.5, 0.02, 100
 #: Characters counted together, and n-grams multiplied together.
 _CHARS, _COLUMNS = 400_000, 8192
 _SPACE = 0
@@ -150,14 +152,8 @@ class Languages:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, known)], score
 
 
-def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", gram: int = GRAM, dim: int = DIM, seed: int = SEED) -> Languages:
-    """Prototypes from all rows of ``labelled`` with a language and a letter.
-
-    Each task bundles the unit vectors of its documents by language; the sums are
-    added up by (language, dimension), folded before the shuffle. What comes to
-    the driver is the model: one vector for each language. Without labelled rows
-    no language is learned and every text is ``und``.
-    """
+def _sums(labelled: DataFrame, text_col: str, key: Column, gram: int, dim: int, seed: int) -> dict[str, np.ndarray]:
+    """Sum of the unit vectors of the texts of each non-null key."""
     python_batches(labelled.sparkSession)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,16 +167,73 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", g
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v for v in sums.values()], pa.list_(pa.int64()))], ["lang", "vector"])
 
-    parts = labelled.select(F.col(text_col), F.col(lang_col).cast("string")).where(F.col(lang_col).isNotNull()).mapInArrow(bundle, "lang string, vector array<long>")
+    parts = labelled.select(F.col(text_col), key.alias("key")).where(F.col("key").isNotNull()).mapInArrow(bundle, "lang string, vector array<long>")
     sums = (
         parts.select("lang", F.posexplode("vector").alias("k", "v")).groupBy("lang", "k").agg(F.sum("v").alias("v"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("kv")).select("lang", "kv.v").collect()
     )
-    rows = sorted((r.lang, np.array(r.v, dtype=np.float64)) for r in sums if any(r.v))
+    return {r.lang: np.array(r.v, dtype=np.float64) for r in sums}
+
+
+def _model(sums: dict[str, np.ndarray], gram: int, dim: int, seed: int) -> Languages:
+    rows = sorted((name, v) for name, v in sums.items() if any(v))
     vectors = np.array([v / np.linalg.norm(v) for _, v in rows], dtype=np.float32).reshape(len(rows), dim)
     return Languages([name for name, _ in rows], vectors, gram, seed)
 
 
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", gram: int = GRAM, dim: int = DIM, seed: int = SEED) -> Languages:
+    """Prototypes from all rows of ``labelled`` with a language and a letter.
+
+    Each task bundles the unit vectors of its documents by language; the sums are
+    added up by (language, dimension), folded before the shuffle. What comes to
+    the driver is the model: one vector for each language. Without labelled rows
+    no language is learned and every text is ``und``.
+    """
+    return _model(_sums(labelled, text_col, F.col(lang_col).cast("string"), gram, dim, seed), gram, dim, seed)
+
+
+def length_class(text_col: str = "text") -> Column:
+    """Texts of a class are at most twice as long as each other."""
+    return F.floor(F.log2(F.greatest(F.length(text_col), F.lit(1)))).cast("int")
+
+
+def learn_with_floors(
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", gram: int = GRAM, dim: int = DIM, seed: int = SEED
+) -> tuple[Languages, dict[str, list[float]]]:
+    """Prototypes from all labelled rows, and for each language the score that a text of a length class must have.
+
+    The floors are fitted on the held-out labelled rows with prototypes of the
+    others: ``FLOOR`` times the score that all but ``LOW`` of a language's rows of
+    that length reach, where it was told rightly. A class with fewer than
+    ``FEW`` such rows has the floor of the next shorter one, and the shortest
+    none (0): short texts and small languages are not judged by their score.
+    """
+    held = F.coalesce(held_out(id_col), F.lit(False))
+    lang = F.col(lang_col).cast("string")
+    sums = _sums(labelled, text_col, F.concat(F.when(held, "1").otherwise("0"), lang), gram, dim, seed)
+    parts = [{k[1:]: v for k, v in sums.items() if k[0] == part} for part in "01"]
+    others, whole = parts[0], {k: parts[0].get(k, 0) + parts[1].get(k, 0) for k in parts[0].keys() | parts[1].keys()}
+    tried = labelled.where(held & lang.isNotNull()).select(lang.alias("lang"), length_class(text_col).alias("length"), F.col(text_col).alias("text"))
+    rows = (
+        identify(tried, _model(others, gram, dim, seed)).where("lang_pred = lang").groupBy("lang", "length")
+        .agg(F.count("*").alias("n"), F.percentile_approx("score", LOW, 10_000).alias("low")).where(F.col("n") >= FEW).collect()
+    )
+    floors: dict[str, list[float]] = {}
+    for r in sorted(rows, key=lambda r: (r.lang, r.length)):
+        mine = floors.setdefault(r.lang, [])
+        mine += [mine[-1] if mine else 0.0] * (r.length - len(mine)) + [FLOOR * r.low]
+    return _model(whole, gram, dim, seed), floors
+
+
+def score_floor(floors: dict[str, list[float]], text_col: str = "text") -> Column:
+    """The floor for ``lang_pred`` and the length of the text; 0 where there is none."""
+    if not floors:
+        return F.lit(0.0)
+    table = F.create_map(*[x for lang, mine in floors.items() for x in (F.lit(lang), F.array(*map(F.lit, mine)))])
+    mine = table[F.col("lang_pred")]
+    return F.coalesce(F.get(mine, F.least(length_class(text_col), F.size(mine) - 1)), F.lit(0.0))
+
+
 def identify(docs: DataFrame, model: Languages, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
 

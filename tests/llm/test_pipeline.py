@@ -41,3 +41,28 @@ def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert callable(read_records)
+
+
+SPEECH = {"en": "the quick brown fox jumps over lazy dog while other animals watch from river and think about their dinner".split(),
+          "de": "der schnelle braune fuchs springt über den faulen hund während andere tiere vom fluss aus zuschauen und nachdenken".split()}
+
+
+def test_the_language_told_decides(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    say = lambda lang, n: " ".join(rng.choices(SPEECH[lang], k=n))
+    clean = [(n, say(lang, 60), lang, "s") for n, lang in enumerate(["en", "de"] * 500)]
+    clean += [(2000, say("de", 80), None, "s"), (2001, say("de", 80), "en", "s"), (2002, "dog", "en", "s")]
+    greek = " ".join(rng.choices("η γρήγορη καφέ αλεπού πηδά πάνω από το τεμπέλικο σκυλί ενώ άλλα ζώα".split(), k=80))
+    junk = [(3000, greek, None, "s"), (3001, "x " + "#$% 12 -- ;; " * 40, "en", "s"), (3002, "12 --", "en", "s")]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string").repartition(3)
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, str(tmp_path)).collect()}
+    assert set(kept) == {n for n, *_ in clean}
+    assert kept[2000] == kept[2001] == "de" and all(kept[n] == lang for n, _, lang, _ in clean[:1000])
+
+
+def test_without_labels_documents_with_letters_stay(spark, tmp_path):
+    rows = [(1, "some text", None, "s"), (2, "12 --", None, "s"), (3, None, None, "s"), (4, "日本", None, "s"), (5, "", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert sorted(r.doc_id for r in corpus_pipeline.known_language(spark, docs, str(tmp_path)).collect()) == [1, 4]
