@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from factloom.llm.common import stored
 
 #: What may be a secret: at least 16 characters of keys, hashes, base64 and the like.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: A name and ``=`` at its head (``NAME=value``) are not part of it.
+CANDIDATE = r"(?!=)(?![A-Za-z_][A-Za-z0-9_-]{0,63}=[A-Za-z0-9+/_-]{16})[A-Za-z0-9+/_=-]{16,}"
 #: Characters of the text that are looked at before and after a candidate.
 BEFORE, AFTER = 64, 32
 #: Pieces of four letters that make up the dictionary, the most frequent of all words.
@@ -23,6 +24,8 @@ FEATURES = [
     "length", "digits", "uppers", "hex", "distinct", "changes", "vowel_turns", "covered", "in_path", "in_address", "goes_on",
     "assigned", "quoted", "key_word", "hash_word",
 ]
+#: Beginnings of keys that their issuers have fixed.
+PREFIXES = r"^(?:AKIA[0-9A-Z]{16}$|ASIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_|glpat-|xox[abprs]-|sk_live_|sk-[A-Za-z0-9]{20}|AIza[A-Za-z0-9_-]{35}$)"
 #: Words by a candidate that speak for a credential, and for a plain digest or identifier.
 KEY_WORDS = r"(?i)(?:key|token|secret|passw|pwd|auth|credential|bearer|private|signature)"
 HASH_WORDS = r"(?i)(?:sha\d|md5|checksum|commit|digest|etag|uuid|hash|revision)"
@@ -86,10 +89,27 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
 
 
 def rule_label() -> Column:
-    """Label of a finding by rule, for texts without labelled findings: a quoted value with letters and digits, assigned to a name of a credential."""
-    mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
-    named = F.col("before").rlike(KEY_WORDS + r"""\w*\s*[=:]\s*["'`]$""")
-    return (mixed & named & F.col("after").rlike(r"""^["'`]""")).cast("int")
+    """Label of a finding by rule, for texts without labelled findings: 1 if one rule speaks for a secret, 0 on evidence for something else, else null.
+
+    For a secret speak a value with letters and digits that is assigned to a
+    credential's name (code, JSON, YAML, ``.env``, headers), one after ``Bearer``
+    or the like, a known prefix, and the lines of a private key. For something
+    else speak a place in a path or address, a word for digests, and a candidate
+    of plain words only. The inner lines of a key block have no label.
+    """
+    c, before, after = F.col("candidate"), F.col("before"), F.col("after")
+    mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+    quoted = before.rlike(KEY_WORDS + r"""\w*["'`]?\s*(?:[=:]|:=|=>)\s*["'`]$""") & after.rlike(r"""^["'`]""")
+    bare = before.rlike(KEY_WORDS + r"""\w*["'`]?[ \t]*[=:][ \t]*$""") & (after.rlike(r"^\s") | (after == ""))
+    bearer = before.rlike(r"""(?i)\b(?:bearer|basic|token)[ \t]+["'`]?$""") & before.rlike("(?i)authorization|bearer")
+    known = c.rlike(PREFIXES)
+    key_block = before.rlike(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*$") | after.rlike(r"^\s*-----END [A-Z ]*PRIVATE")
+    joined = F.concat("before", F.left("candidate", F.lit(4)))
+    placed = joined.rlike(r"(?:://|www\.|@|[/\\])\S*$")
+    digest = before.rlike(HASH_WORDS + r"""\d*["'`]?[\s=:]*["'`]?$""")
+    words = ~c.rlike("[0-9+=]") & ~c.rlike("[a-z][A-Z]")
+    secret = known | key_block | (mixed & ~digest & (quoted | bare | bearer))
+    return F.when(secret, 1).when(placed | digest | words, 0).cast("int")
 
 
 def probability(featured: DataFrame, training: int = TRAINING) -> DataFrame:
