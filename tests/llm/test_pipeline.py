@@ -7,7 +7,7 @@ from .conftest import WORDS, rows_of
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_stages_take_effect_one_after_another(spark, tmp_path, texts, monkeypatch):
