@@ -84,10 +84,15 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
         "assigned": joined.rlike(r"""[=:]\s*["'`]?[^/\s"'`]{4}$""").cast("double"), "quoted": flag("before", r"""["'`]$""") * flag("after", r"""^["'`]"""),
         "key_word": flag("before", KEY_WORDS + r"[^\n]{0,16}$"), "hash_word": flag("before", HASH_WORDS + r"[^\n]{0,16}$"),
     }
-    return found.select("row", "id", "number", "gap", F.length("candidate").alias("size"), *[made[f].cast("float").alias(f) for f in FEATURES],
+    return found.select("row", "id", "number", "gap", F.length("candidate").alias("size"), kind_of().alias("kind"), *[made[f].cast("float").alias(f) for f in FEATURES],
                         F.col("label") if "label" in found.columns else F.lit(None).cast("int").alias("label"))
 
 
+def kind_of() -> Column:
+    """Which of digits, small letters, capitals and signs a candidate holds: 0 to 15."""
+    return sum(F.col("candidate").rlike(p).cast("int") * (1 << k) for k, p in enumerate(("[0-9]", "[a-z]", "[A-Z]", "[+/_=-]")))
+
+
 def rule_label() -> Column:
     """Label of a finding by rule, for texts without labelled findings: 1 if one rule speaks for a secret, 0 on evidence for something else, else null.
 
@@ -95,7 +100,8 @@ def rule_label() -> Column:
     credential's name (code, JSON, YAML, ``.env``, headers), one after ``Bearer``
     or the like, a known prefix, and the lines of a private key. For something
     else speak a place in a path or address, a word for digests, and a candidate
-    of plain words only. The inner lines of a key block have no label.
+    of plain words or of digits and signs only. The inner lines of a key block
+    have no label.
     """
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
@@ -107,7 +113,7 @@ def rule_label() -> Column:
     joined = F.concat("before", F.left("candidate", F.lit(4)))
     placed = joined.rlike(r"(?:://|www\.|@|[/\\])\S*$")
     digest = before.rlike(HASH_WORDS + r"""\d*["'`]?[\s=:]*["'`]?$""")
-    words = ~c.rlike("[0-9+=]") & ~c.rlike("[a-z][A-Z]")
+    words = ~c.rlike("[0-9+=]") & ~c.rlike("[a-z][A-Z]") | ~c.rlike("[A-Za-z]")
     secret = known | key_block | (mixed & ~digest & (quoted | bare | bearer))
     return F.when(secret, 1).when(placed | digest | words, 0).cast("int")
 
@@ -115,27 +121,33 @@ def rule_label() -> Column:
 def probability(featured: DataFrame, training: int = TRAINING) -> DataFrame:
     """``row, id, number, gap, size, probability`` of every finding, by a forest fitted on labelled ones.
 
-    Of each kind ``training`` findings at most are fitted on, picked by a hash.
-    With labelled findings of one kind only, or of none, nothing can be told
-    apart: every finding has that kind's probability, or 0.5.
+    Of each label about ``training`` findings at most are fitted on, picked by a
+    hash, and weighed so that the forest sees the labels as often as the data has
+    them. A finding of a kind (``kind_of``) that no labelled finding has is
+    outside what was learned: its probability is null. With labelled findings of
+    one label only, or of none, nothing can be told apart: every finding has
+    that label's probability, or 0.5.
     """
-    counts = {r.label: r["count"] for r in featured.where("label in (0, 1)").groupBy("label").count().collect()}
+    tally = featured.where("label in (0, 1)").groupBy("label", "kind").count().collect()  # 32 rows at most
+    counts = {label: sum(r["count"] for r in tally if r.label == label) for label in {r.label for r in tally}}
+    seen = F.col("kind").isin(sorted({r.kind for r in tally}))
     if set(counts) != {0, 1}:
-        return featured.withColumn("probability", F.lit(float(next(iter(counts), 0.5)))).drop("label", *FEATURES)
+        return featured.withColumn("probability", F.lit(float(next(iter(counts), 0.5)))).drop("label", "kind", *FEATURES)
     pick = F.pmod(F.xxhash64("id", "number", *FEATURES), F.lit(1_000_000))
-    rate = F.when(F.col("label") == 1, min(1.0, training / counts[1])).otherwise(min(1.0, training / counts[0]))
-    sample = featured.where("label in (0, 1)").where(pick < rate * 1_000_000).select(*FEATURES, "label")
+    rates = {label: min(1.0, training / n) for label, n in counts.items()}
+    rate = F.when(F.col("label") == 1, rates[1]).otherwise(rates[0])
+    sample = featured.where("label in (0, 1)").where(pick < rate * 1_000_000).select(*FEATURES, "label", (1 / rate).alias("weight"))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     ordered = assembler.transform(sample.coalesce(1).sortWithinPartitions("label", *FEATURES))  # so that reruns agree
-    forest = RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=1.0).fit(ordered)
+    forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=1.0).fit(ordered)
     scored = forest.transform(assembler.transform(featured))
-    return scored.select("row", "id", "number", "gap", "size", vector_to_array("probability")[1].alias("probability"))
+    return scored.select("row", "id", "number", "gap", "size", F.when(seen, vector_to_array("probability")[1]).alias("probability"))
 
 
 def secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: Column | None = None, threshold: float = 0.5, training: int = TRAINING
 ) -> DataFrame:
-    """``id, number, start, length, probability`` of the findings that the forest takes for secrets.
+    """``id, number, start, length, probability`` of the findings that the forest takes for secrets: those above ``threshold``.
 
     ``start`` counts characters from 0, ``number`` the candidates of the text.
     ``label`` gives the kind (1 secret, 0 none, null not labelled) of a candidate
@@ -146,7 +158,7 @@ def secrets(
     """
     found = candidates(docs, id_col, text_col).withColumn("label", rule_label() if label is None else label)
     featured = stored(with_features(found, dictionary(docs, text_col)), "secret-candidates")
-    likely = probability(featured, training).where(F.col("probability") >= threshold)
+    likely = probability(featured, training).where(F.col("probability") > threshold)
     earlier = Window.partitionBy("row").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)  # candidates of one text
     starts = featured.select("row", "number", (F.coalesce(F.sum(F.col("gap") + F.col("size")).over(earlier), F.lit(0)) + F.col("gap")).alias("start"))
     return likely.join(starts, ["row", "number"]).select("id", "number", "start", F.col("size").alias("length"), "probability")

@@ -83,3 +83,23 @@ def test_every_form_of_a_secret_is_labelled_and_doubt_is_not(spark):
     got = {r.id: (r.candidate, r.label) for r in candidates(docs).withColumn("label", rule_label()).collect()}
     assert [got[n][1] for n in range(len(forms))] == list(forms.values())
     assert got[1][0] == key
+
+
+def test_findings_grow_as_the_rows_do(spark):
+    rng = random.Random(11)
+    rows, _ = corpus()
+    rows += [(1000 + n, f"card {''.join(rng.choices(string.digits, k=16))} of {rng.choice(WORDS)}, id {''.join(rng.choices(string.ascii_uppercase, k=20))}_", None, None) for n in range(200)]
+    found = {}
+    for times in (1, 5, 25):
+        docs = rows_of(spark, rows).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).withColumn("id", F.lit("x")).withColumn("doc_id", F.col("doc_id") * 100 + F.col("copy"))
+        found[times] = secrets(docs, training=100).count() / times
+    assert found[1] > 70 and all(abs(n / found[1] - 1) <= 0.05 for n in found.values())
+
+
+def test_kinds_without_a_label_are_not_reported(spark):
+    rows, _ = corpus()
+    odd = [(2000 + n, "see " + "Q" * n + "+" * 16 + " there", None, None) for n in range(1, 30)]  # capitals and signs only
+    docs = rows_of(spark, rows + odd)
+    feats = with_features(candidates(docs).withColumn("label", F.when(F.col("id") < 2000, rule_label())), dictionary(docs))
+    got = probability(feats).where("id > 2000").select("probability").distinct().collect()
+    assert [r.probability for r in got] == [None]
