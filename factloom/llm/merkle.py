@@ -162,8 +162,8 @@ def manifest(
     tops, top_pivots = levels(top.select("tree", "n", "size", "hash", "group"), "merkle-top", ["group"])
     end = docs.sparkSession.sql("select '' as tree, cast(array() as array<struct<left: string, right: string>>) as path")
     above = stored(
-        paths(tops, top_pivots, end, ["group"]).select(F.col("group").alias("tree"), "path", F.col("hash").alias("subroot"))
-        .join(roots(tops).select(F.col("hash").alias("root")), how="cross"), "merkle-above",  # the one root beside every subroot
+        paths(tops, top_pivots, end, ["group"]).join(roots(tops).withColumnRenamed("hash", "root"), "tree")
+        .select(F.col("group").alias("tree"), "path", F.col("hash").alias("subroot"), "root"), "merkle-above",
     )
     found = paths(heights, pivots, above.select("tree", "path"), kept).join(above.select("tree", "subroot", "root"), "tree")
     group = F.when(F.col("tree") != "", F.substr("tree", F.lit(2)))
