@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import time
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_SHARED = "/tmp/checkpoints"
@@ -37,6 +42,32 @@ def python_batches(spark: SparkSession, rows: int = 500, megabytes: int = 4) ->
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
+def give_back() -> None:
+    """Return memory that is free to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` that gives its memory back now and then and when a task's rows are through: workers are used again, by other stages too."""
+    def wrapped(batches: Iterator) -> Iterator:
+        last = time.monotonic()
+        try:
+            for out in run(batches):
+                yield out
+                if time.monotonic() - last > 0.5:
+                    del out
+                    give_back()
+                    last = time.monotonic()
+        finally:
+            gc.collect()
+            give_back()
+
+    return wrapped
+
+
 def texts_of(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow text column; null is empty."""
     return [b"" if v is None else v for v in column.cast("binary").to_pylist()]

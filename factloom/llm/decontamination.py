@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm.common import python_batches, stored, texts_of
+from factloom.llm.common import python_batches, stored, texts_of, tidied
 from factloom.llm.tokens import hashed_grams, hashed_words
 
 #: Words of the shortest tile, and the share of an item's words that tiles must cover.
@@ -81,7 +81,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, smallest: int) -> D
             rows = [words[a:b].view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["item", "words"])
 
-    made = benchmark.select(F.col(id_col).cast("long"), F.col(text_col)).where(F.col(id_col).isNotNull()).mapInArrow(run, "item long, words array<long>")
+    made = benchmark.select(F.col(id_col).cast("long"), F.col(text_col)).where(F.col(id_col).isNotNull()).mapInArrow(tidied(run), "item long, words array<long>")
     one = made.where(F.size("words") > 0).groupBy(F.xxhash64("words").alias("h"), "words").agg(F.min("item").alias("item"))
     # an item shorter than the shortest tile is a tile of its own
     return one.select("item", "words", F.least(F.size("words"), F.lit(smallest)).alias("tile"))
@@ -106,7 +106,7 @@ def _seeds(items: DataFrame, coverage: float) -> tuple[DataFrame, DataFrame]:
                     ["item", "at", "tile", "size", "seed"],
                 )
 
-    every = stored(items.select("item", "words", "tile").mapInArrow(shingle, "item long, at int, tile int, size int, seed long"), "benchmark-seeds")
+    every = stored(items.select("item", "words", "tile").mapInArrow(tidied(shingle), "item long, at int, tile int, size int, seed long"), "benchmark-seeds")
     common = every.groupBy("seed").agg(F.count_distinct("item").alias("items"))
     gathered = every.join(common, "seed").groupBy("item", "tile", "size").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("items")).alias("rank"), "at", "seed"))).alias("seeds")
@@ -126,7 +126,7 @@ def _seeds(items: DataFrame, coverage: float) -> tuple[DataFrame, DataFrame]:
                 kept = sorted(set(kept))
                 yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array([item] * len(kept), pa.int64())], ["seed", "item"])
 
-    return every, stored(gathered.mapInArrow(choose, "seed long, item long"), "benchmark-keys")
+    return every, stored(gathered.mapInArrow(tidied(choose), "seed long, item long"), "benchmark-keys")
 
 
 def leaks(
@@ -196,7 +196,7 @@ def leaks(
 
     runs = stored(
         docs.select(*_key(id_col, text_col), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(run, "k1 long, k2 int, id long, at long, words array<long>, seeds array<long>"), "benchmark-runs",
+        .mapInArrow(tidied(run), "k1 long, k2 int, id long, at long, words array<long>, seeds array<long>"), "benchmark-runs",
     )
     pairs = runs.select("k1", "k2", F.explode("seeds").alias("seed")).distinct().join(keys, "seed").select("k1", "k2", "item").distinct()
     of_doc = runs.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.sort_array(F.collect_set(F.struct("at", "words"))).alias("runs"))
@@ -223,7 +223,7 @@ def leaks(
     names = ["k1", "k2", "id", "item_id", "item_words", "covered", "coverage", "tiles"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.list_(spec)]
     return both.mapInArrow(
-        tile, "k1 long, k2 int, id long, item_id long, item_words int, covered int, coverage double,"
+        tidied(tile), "k1 long, k2 int, id long, item_id long, item_words int, covered int, coverage double,"
         " tiles array<struct<doc_start: long, item_start: int, length: int>>",
     )
 

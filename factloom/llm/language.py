@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm.common import python_batches, texts_of
+from factloom.llm.common import python_batches, texts_of, tidied
 
 DIM, GRAM, SEED = 512, 3, 2016
 UNKNOWN = "und"
@@ -167,7 +167,7 @@ def _sums(labelled: DataFrame, text_col: str, key: Column, gram: int, dim: int,
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v for v in sums.values()], pa.list_(pa.int64()))], ["lang", "vector"])
 
-    parts = labelled.select(F.col(text_col), key.alias("key")).where(F.col("key").isNotNull()).mapInArrow(bundle, "lang string, vector array<long>")
+    parts = labelled.select(F.col(text_col), key.alias("key")).where(F.col("key").isNotNull()).mapInArrow(tidied(bundle), "lang string, vector array<long>")
     sums = (
         parts.select("lang", F.posexplode("vector").alias("k", "v")).groupBy("lang", "k").agg(F.sum("v").alias("v"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("kv")).select("lang", "kv.v").collect()
@@ -234,23 +234,24 @@ def score_floor(floors: dict[str, list[float]], text_col: str = "text") -> Colum
     return F.coalesce(F.get(mine, F.least(length_class(text_col), F.size(mine) - 1)), F.lit(0.0))
 
 
-def identify(docs: DataFrame, model: Languages, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
+def identify(docs: DataFrame, model: Languages, text_col: str = "text", kept: list[str] | None = None) -> DataFrame:
+    """The columns ``kept`` of ``docs`` (all, if not given) with ``lang_pred`` and ``score``; columns of these names are replaced.
 
     Null texts and texts without a letter are ``und`` with score 0. The
     prediction sees nothing but the text. Repeated rows stay; no rows: no rows.
     """
     python_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in (docs.columns if kept is None else kept) if c not in ("lang_pred", "score")]
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("lang_pred", "string").add("score", "double")
-    at = len(kept)
+    n = len(kept)
+    at, sent = (kept.index(text_col), []) if text_col in kept else (n, [F.col(f"`{text_col}`").alias("text to judge")])  # the text goes to the workers once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = model.predict(texts_of(batch.column(at)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(langs, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(langs, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("text to judge")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept], *sent).mapInArrow(tidied(run), schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -262,4 +263,4 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = learn(docs.where(~F.coalesce(held_out(), F.lit(False))))
-    return identify(docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text"), model).drop("text")
+    return identify(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), model, kept=["doc_id", "held_out"])

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import python_batches, stored
+from factloom.llm.common import python_batches, stored, tidied
 
 #: Weights of the sources in code-point order (null last), repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -174,7 +174,7 @@ def shard_quotas(spark: SparkSession, quotas: list[Quota], shards: int, seed: in
 
     if not total:
         return spark.createDataFrame([], "shard long, source_no int, first long, n long")
-    return spark.range(shards).mapInPandas(walk, "shard long, source_no int, first long, n long")
+    return spark.range(shards).mapInPandas(tidied(walk), "shard long, source_no int, first long, n long")
 
 
 def draws_of(rows: DataFrame, quotas: list[Quota], shards: int, seed: int = 0) -> DataFrame:

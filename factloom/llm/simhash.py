@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import lowest_labels, python_batches, stored, texts_of
+from factloom.llm.common import lowest_labels, python_batches, stored, texts_of, tidied
 from factloom.llm.components import components
 
 SEED = 42
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.array([fingerprint(t, words) for t in texts_of(batch.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "fp"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"id {id_type}, fp long")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidied(run), f"id {id_type}, fp long")
 
 
 def trie_pairs(keys: np.ndarray, first: np.ndarray, top: int, errors: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -66,3 +66,18 @@ def test_without_labels_documents_with_letters_stay(spark, tmp_path):
     rows = [(1, "some text", None, "s"), (2, "12 --", None, "s"), (3, None, None, "s"), (4, "日本", None, "s"), (5, "", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert sorted(r.doc_id for r in corpus_pipeline.known_language(spark, docs, str(tmp_path)).collect()) == [1, 4]
+
+
+def test_records_keep_the_mixed_order(spark, tmp_path):
+    import random
+
+    rng = random.Random(21)
+    rows = [(n, " ".join(rng.choices(WORDS, k=rng.randint(5, 60))), "xx", f"s{n % 3}") for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    corpus_pipeline.mixed_sources(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    index = corpus_pipeline.token_records(spark, mixed, str(tmp_path)).collect()
+    said = [r.doc_id for r in sorted(index, key=lambda r: r.start)]
+    assert said == [r.doc_id for r in mixed.collect()] and said != sorted(said)
+    twice = [k for k in set(said) if said.count(k) == 2]
+    assert twice and sum(said[said.index(k) + 1] == k for k in twice) < len(twice) / 4  # copies lie apart

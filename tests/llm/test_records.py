@@ -17,7 +17,33 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
-ODD = ["It's 12,5% of <|endoftext|> THIS, isn't it?", "★ star ★", "naïve Straße, ÉCOLE... éa", "a b c\x1cd", "x" * 3000, "Σίσυφος ΣΑΣ.", "<|ENDOFTEXT|> end.", "foo.bar, baz!? ok"]
+ODD = ["It's 12,5% of <|endoftext|> THIS, isn't it?", "★ star ★", "naïve Straße, ÉCOLE... éa", "a b c\x1cd", "x" * 3000, "Σίσυφος ΣΑΣ.", "<|ENDOFTEXT|> end.", "foo.bar, baz!? ok",
+       "it's we've I'll $'s a'$b 's't ''re x'1 'S 1'st 92.142.22.65 a$$$ b&&&c ..-- é.é. ★.a a★. =\u0338a a=\u0338 a\u0301. 3\u0301x ²x x² Ⅳ. v1.2.3-rc_4", "\n \t", "a\x00b \x7f c\x85d\u00a0e"]
+
+
+def test_long_texts_are_cut_after_white_space(tokenizer, monkeypatch):
+    import random
+
+    import factloom.llm.records as records
+
+    rng = random.Random(3)
+    every = [" ".join(rng.choices([o for o in ODD if "<|" not in o], k=30)), "y" * 500, " " * 300, "Ä" * 90 + " B."]
+    monkeypatch.setattr(records, "PIECE", 64)
+    monkeypatch.setattr(records, "MEMO_WORDS", 20)  # words are forgotten in between
+    coder = Encoder(open(PATH, encoding="utf-8").read(), by_words=True)
+    got = [np.frombuffer(b, dtype="<u2").tolist() for b in coder.encode([t.encode() for t in every])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in every]
+
+
+def test_random_texts_give_the_ids_of_the_whole_text(tokenizer):
+    import random
+
+    rng = random.Random(17)
+    signs = list("abzAZ09 .,;'\"$&-\n\t") + ["'s", "'T", "'Re", "é", "É", "\u0301", "\u0338", "ß", "★", "¼", "日", "\u00a0", "İ", "ſ", "\u2028", "K", "x" * 40]
+    every = ["".join(rng.choices(signs, k=rng.randint(1, 80))) for _ in range(3000)]
+    coder = Encoder(open(PATH, encoding="utf-8").read(), by_words=True)
+    got = [np.frombuffer(b, dtype="<u2").tolist() for b in coder.encode([t.encode() for t in every])]
+    assert [t for t, ids in zip(every, got) if ids != tokenizer.encode(t, add_special_tokens=False).ids] == []
 
 
 def test_words_in_turn_give_the_ids_of_the_whole_text(tokenizer, texts):
