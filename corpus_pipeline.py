@@ -16,7 +16,7 @@ from factloom.llm.decontamination import decontaminated
 from factloom.llm.language import UNKNOWN, identify, learn_with_floors, score_floor
 from factloom.llm.mixing import mix
 from factloom.llm.records import write_records
-from factloom.llm.shingles import first_of_near
+from factloom.llm.simhash import first_of_each
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more) stays, that with the smallest id."""
-    return first_of_near(docs)
+    """One document of each group of near copies (fingerprints of three-word shingles, linked at 2 or fewer bits) stays, that with the smallest id."""
+    return first_of_each(docs, words=3, errors=2)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +49,15 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as a framed token record; the index of the shards."""
+    """Every document as a framed token record, in the mixed order; the index of the shards.
+
+    The rows are not moved: what the mix has put into one file, and the order it
+    has there, is how the records follow each other.
+    """
     import public_tokenizers
 
     path = shared_folder(spark, "pipeline-records")
-    index = write_records(docs, path, public_tokenizers.path("word_bpe_49k.json"), by_words=True)
+    index = write_records(docs, path, public_tokenizers.path("word_bpe_49k.json"), by_words=True, as_they_stand=True)
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "number", "offset", "length")
 
 
