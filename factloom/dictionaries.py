@@ -7,7 +7,7 @@ DataFrame with a row per text, so that classification needs a single look-up.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -250,6 +250,11 @@ class Dictionaries:
     attributes: DataFrame
     departments: DataFrame
     junk: str = field(default_factory=lambda: junk_pattern(JUNK_HEADERS))
+    #: What rules and reviews decide for texts, see ``candidates.decisions_by_text``.
+    decided: DataFrame | None = None
+
+    def with_decisions(self, decided: DataFrame) -> "Dictionaries":
+        return replace(self, decided=decided)
 
     @classmethod
     def default(cls, spark: SparkSession) -> "Dictionaries":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..dictionaries import Dictionaries
 from ..functions.keys import entity_key
+from ..functions.text import normalize_header
 
 AUTO_APPROVE = 0.8
 MIN_SCORE = 0.5
@@ -160,6 +161,57 @@ def apply_reviews(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     )
 
 
+#: What decides a text before the dictionaries do, best first.
+DECIDING = ["review", "exact_rule", "scoped_rule"]
+
+
+def reviewed_texts(candidates: DataFrame, headers: DataFrame, decisions: DataFrame) -> DataFrame:
+    """What reviews decide: ``normalized, department_id, document_type, entity_type, entity_id, decided_at``.
+
+    An approval chooses the best candidate of the header (see ``best_mapping``)
+    for its text in its department; a refusal leaves the text without an entity.
+    ``decisions`` may name the ``canonical_entity_id`` that it approves.
+    """
+    named = "canonical_entity_id" in decisions.columns
+    latest = decisions.groupBy("header_id").agg(F.max_by(
+        F.struct("approved", "decided_at", (F.col("canonical_entity_id") if named else F.lit(None).cast("string")).alias("wanted")),
+        F.struct("decided_at", "approved"),
+    ).alias("d")).select("header_id", "d.*")
+    own = candidates.join(latest, "header_id").filter(F.col("wanted").isNull() | (F.col("wanted") == F.col("canonical_entity_id")))
+    best = best_mapping(own.select(*CANDIDATE_COLUMNS))
+    texts = headers.select("header_id", "department_id", normalize_header(F.col("header_raw")).alias("normalized")).distinct()
+    return texts.join(latest, "header_id").join(best, "header_id").select(
+        "normalized", "department_id", F.lit(None).cast("string").alias("document_type"), F.col("canonical_entity_type").alias("entity_type"),
+        F.when(F.col("approved"), F.col("canonical_entity_id")).alias("entity_id"), "decided_at",
+    )
+
+
+def decisions_by_text(rules: DataFrame | None = None, reviews: DataFrame | None = None) -> DataFrame:
+    """``normalized, options``: all that rules and reviews decide for a text, best first.
+
+    ``rules`` as for ``scoped_candidates``, ``reviews`` as ``reviewed_texts``
+    gives them. Reviews go before rules, later reviews before earlier ones; of
+    rules one for all departments goes before one for a department, as
+    ``PRIORITY`` has it, and one that also names the document type before one
+    that does not. A text has as many options as rules and reviews name it.
+    """
+    parts = []
+    none = F.lit(None).cast("timestamp")
+    if reviews is not None:
+        parts.append(reviews.withColumn("method", F.lit("review")))
+    if rules is not None:
+        scoped = F.when(F.col("department_id").isNull(), "exact_rule").otherwise("scoped_rule")
+        parts.append(rules.withColumn("method", scoped).withColumn("decided_at", none))
+    if not parts:
+        raise ValueError("neither rules nor reviews")
+    fields = ["department_id", "document_type", "entity_type", "entity_id", "method"]
+    every = reduce(DataFrame.unionByName, [p.select("normalized", *fields, F.col("decided_at").cast("timestamp").alias("decided_at")) for p in parts])
+    rank = F.array_position(F.array(*[F.lit(m) for m in DECIDING]), F.col("method"))
+    late = F.coalesce(-F.unix_micros("decided_at"), F.lit(0))
+    option = F.struct(rank.alias("rank"), late.alias("late"), F.col("document_type").isNull().alias("any_type"), F.col("entity_id").isNull().alias("refused"), *fields)
+    return every.groupBy("normalized").agg(F.array_sort(F.collect_set(option)).alias("options"))
+
+
 def mapping_counts(resolved: DataFrame, by: str = "department_id") -> DataFrame:
     """Headers seen, mapped on their own, left for review, unmapped; and shares."""
     score, kind = F.col("verdict.confidence"), F.col("verdict.header_class")

@@ -91,7 +91,43 @@ def resolve_headers(classified: DataFrame, dictionaries: Dictionaries) -> DataFr
 
 
 def classify_and_resolve(df: DataFrame, header: str, dictionaries: Dictionaries) -> DataFrame:
-    return resolve_headers(classify_headers(df, header, dictionaries), dictionaries)
+    """Both steps; where ``dictionaries`` carries decisions and ``df`` says the department, they come first."""
+    found = resolve_headers(classify_headers(df, header, dictionaries), dictionaries)
+    return found if dictionaries.decided is None or "department_id" not in df.columns else with_decisions(found, dictionaries.decided)
+
+
+#: The class that a text has once an entity of a type was chosen for it.
+DECIDED_CLASS = {"metric": "metric", "time": "time", "geography": "geography", "scenario": "scenario", "attribute_type": "attribute"}
+
+
+def with_decisions(resolved: DataFrame, decided: DataFrame) -> DataFrame:
+    """Replace ``verdict`` and ``mapping`` where a rule or a review decides a text.
+
+    ``decided(normalized, options)`` has a row for a text and, best first, what
+    was decided for which department and document type (null: any); see
+    ``candidates.decisions_by_text``. It is one look-up by the text. An option
+    without an entity is a refusal: the text then stands for nothing.
+    """
+    kept = resolved.columns
+    kind = F.col("document_type") if "document_type" in kept else F.lit(None).cast("string")
+    table = decided.select(F.col("normalized").alias("_text"), F.col("options").alias("_options"))
+    fits = lambda o: (
+        (o["department_id"].isNull() | (o["department_id"] == F.col("department_id")))
+        & (o["document_type"].isNull() | F.coalesce(o["document_type"] == kind, F.lit(False)))
+    )
+    joined = resolved.join(table, F.col("normalized") == F.col("_text"), "left").withColumn("_first", F.get(F.filter("_options", fits), 0))
+    chosen = F.col("_first.entity_type")
+    header_class = F.lit("junk")
+    for entity, name in DECIDED_CLASS.items():
+        header_class = F.when((chosen == entity) & F.col("_first.entity_id").isNotNull(), name).otherwise(header_class)
+    verdict = F.struct(
+        header_class.alias("header_class"), F.lit(1.0).alias("confidence"), F.col("_first.method").alias("method"), F.lit(None).cast("string").alias("hint"),
+    )
+    keys = {"metric_id": "metric", "time_id": "time", "geography_id": "geography", "scenario_id": "scenario", "attribute_type_id": "attribute_type"}
+    mapping = F.struct(*[F.when(chosen == e, F.col("_first.entity_id")).alias(k) for k, e in keys.items()], F.col("_first.entity_id").isNull().alias("is_junk"))
+    there = F.col("_first").isNotNull()
+    made = {"verdict": F.when(there, verdict).otherwise(F.col("verdict")), "mapping": F.when(there, mapping).otherwise(F.col("mapping"))}
+    return joined.select(*[made[c].alias(c) if c in made else F.col(c) for c in kept])
 
 
 def with_geography_key(df: DataFrame, source: Column, dictionaries: Dictionaries, out: str) -> DataFrame:

@@ -142,22 +142,51 @@ def resolved_dimensions(facts: DataFrame, dictionaries: Dictionaries) -> dict[st
 
 
 def build_dim_document(documents: DataFrame, facts: DataFrame) -> DataFrame:
-    """Documents that facts refer to."""
+    """Documents that facts refer to, one row for an id: of departments that hold the same file, the first."""
     used = facts.select("document_id").distinct()
     columns = [
-        "document_id", "department_id", "title", "document_type", "language", "published_date",
+        "department_id", "title", "document_type", "language", "published_date",
         "fiscal_year_label", "source_url", "gcs_uri",
     ]
-    return documents.join(used, "document_id", "left_semi").select(
-        *[F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    named = documents.join(used, "document_id", "left_semi").select(
+        "document_id", *[F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in columns]
     )
+    return one_per_key(named, "document_id")
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row for each key, null keys left out: the least by its other columns from left to right, null last.
+
+    A minimum, combined before the shuffle, so a key that fills the table is one row by then.
+    """
+    fields = [c for c in df.columns if c != key]
+    if not fields:
+        return df.filter(F.col(key).isNotNull()).distinct()
+    row = F.struct(*[F.struct(F.col(c).isNull().alias("absent"), F.col(c).alias("v")).alias(c) for c in fields])
+    least = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("_row"))
+    return least.select(*[F.col(c) if c == key else F.col(f"_row.{c}.v").alias(c) for c in df.columns])
+
+
+def changed_rows(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The keys of ``incoming`` (one row each) that ``stored`` lacks, or holds with another value; a null brings nothing."""
+    fields = [c for c in incoming.columns if c != key and c in stored.columns]
+    old = one_per_key(stored.select(key, *fields), key).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in fields])
+    other = [F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in fields]
+    differs = F.col("_key").isNull()
+    for o in other:
+        differs = differs | o
+    return incoming.join(old, F.col(key) == F.col("_key"), "left").filter(differs).select(key)
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Merge rows by key: a new value replaces the stored one unless it is NULL; other rows stay."""
+    """Merge rows by key: a new value replaces the stored one unless it is NULL; other rows stay.
+
+    Each side counts once for a key, see ``one_per_key``, so repeated keys never multiply.
+    """
     fields = [c for c in stored.columns if c != key]
-    old = stored.select(key, F.struct(*fields).alias("_old"))
-    new = incoming.select(key, F.struct(*[c for c in incoming.columns if c != key]).alias("_new"))
+    own, fresh = one_per_key(stored, key), one_per_key(incoming, key)
+    old = own.select(key, F.struct(*fields).alias("_old"))
+    new = fresh.select(key, F.struct(*[c for c in incoming.columns if c != key]).alias("_new"))
     brought = set(incoming.columns)
     return old.join(new, key, "full").select(
         key,

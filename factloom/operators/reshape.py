@@ -25,6 +25,7 @@ from ..functions.numeric import parse_numeric
 from ..functions.text import (
     blank_to_null, header_without_years, header_year, is_measure_year_header, names_geo_id, strip,
 )
+from .candidates import DECIDING
 from .classify import classify_and_resolve, with_geography_key
 from .ordinals import block_of, spread, with_ordinal
 
@@ -77,7 +78,7 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
     """
     text = F.col("header_raw")
     known = classify_and_resolve(
-        headers.select("department_id", "table_id", "column_number", F.coalesce(text, F.lit("")).alias("header_raw")),
+        headers.select("department_id", "table_id", "column_number", F.coalesce(text, F.lit("")).alias("header_raw"), *_kind_of_document(headers)),
         "header_raw", dictionaries,
     )
     measured = known.withColumn("_year_measure", is_measure_year_header(text)).withColumn(
@@ -86,7 +87,9 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
         "normalized", "period", "term"
     )
     labelled = classify_and_resolve(measured, "_year_label", dictionaries).select(
-        *measured.columns, F.when(F.col("_year_measure"), F.col("mapping.metric_id")).alias("_year_metric")
+        *measured.columns,
+        F.when(F.col("_year_measure"), F.when(F.col("_verdict.method").isin(DECIDING), F.col("_mapping.metric_id")).otherwise(F.col("mapping.metric_id")))
+        .alias("_year_metric"),
     )
     kind, own = F.col("_verdict.header_class"), F.col("_mapping")
     name = strip(F.lower(text))
@@ -100,6 +103,8 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
         F.first("department_id").alias("_department"),
         F.count_if(is_time).alias("_n_time"),
         F.count_if(is_geo).alias("_n_geo"),
+        F.when(F.count("column_number") < F.count(F.lit(1)), "header_without_column")
+        .when(F.count(F.lit(1)) > F.count_distinct("column_number"), "two_headers_of_a_column").alias("error"),
         _first_named(FINANCE_VALUE, F.col("_name")).alias("_finance_value"),
         _first_named(LONG_VALUE, F.col("_bare")).alias("_long_value"),
         _first_named(LONG_TIME, F.col("_bare")).alias("_long_time"),
@@ -156,31 +161,42 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
         F.when(F.col("shape") == "long", F.col("_long_geo"))
         .when(F.col("shape") == "census", F.col("_geo_id_column")).alias("geo_column"),
         "label_columns", emissions.alias("emissions"),
-        F.col("_n_time").alias("time_columns"), F.col("_n_geo").alias("geo_columns"),
+        F.col("_n_time").alias("time_columns"), F.col("_n_geo").alias("geo_columns"), "error",
     )
 
 
 def source_rows(cells: DataFrame) -> DataFrame:
     """Cells of one source row as ``values map<column, text>``, keyed and laid out by (table, block).
 
-    A cell staged twice counts once.
+    A cell staged twice counts once. ``row_error`` says what is wrong with a row:
+    cells without a place, or two values in one place.
     """
     filled = cells.select(
-        "department_id", "document_id", "table_id", "source_row_number",
+        "department_id", "document_id", "table_id", "source_row_number", *_kind_of_document(cells),
         F.col("source_column_number").cast("bigint").alias("_column"), blank_to_null(F.col("value_raw")).alias("_value"),
-        block_of("source_row_number").alias("_block"),
+        _block().alias("_block"),
     )
+    lost = F.col("source_row_number").isNull() | F.exists("_cells", lambda c: c["_column"].isNull())
+    twice = F.size(F.array_distinct(F.transform("_cells", lambda c: c["_column"]))) < F.size("_cells")
     return (
         filled.repartition("table_id", "_block")
-        .groupBy("table_id", "_block", "source_row_number", "department_id", "document_id")
+        .groupBy("table_id", "_block", "source_row_number", "department_id", "document_id", *_kind_of_document(cells))
         .agg(F.array_sort(F.collect_set(F.struct("_column", "_value"))).alias("_cells"))
-        .withColumn("values", F.map_from_entries(F.filter(
-            "_cells", lambda c, i: (i == 0) | (F.get("_cells", i - 1)["_column"] != c["_column"])
-        )))
+        .withColumn("row_error", F.when(lost, "cell_without_place").when(twice, "two_values_in_a_cell"))
+        .withColumn("values", F.when(F.col("row_error").isNull(), F.map_from_entries("_cells")))
         .drop("_cells")
     )
 
 
+def _kind_of_document(df: DataFrame) -> list[str]:
+    """Rules may ask for the type of the document, where it is known."""
+    return [c for c in ("document_type",) if c in df.columns]
+
+
+def _block() -> Column:
+    return F.coalesce(block_of("source_row_number"), F.lit(-1))
+
+
 def _value(column: Column) -> Column:
     return F.try_element_at("values", column.cast("bigint"))
 
@@ -222,13 +238,15 @@ def _emitted_values(finite_only: bool) -> Column:
         raw, lambda p: F.struct(p["e"].alias("e"), p["raw"].alias("raw"), parse_numeric(p["raw"], finite_only).alias("value_numeric"))
     )
     takes_text = shape.isin("time_columns", "long")
-    return F.filter(
+    good = F.filter(
         F.transform(parsed, lambda p: F.struct(
             p["e"].alias("e"), p["value_numeric"].alias("value_numeric"),
             F.when(takes_text & p["value_numeric"].isNull(), p["raw"]).alias("value_text"),
         )),
         lambda p: p["value_numeric"].isNotNull() | p["value_text"].isNotNull() | (shape == "long"),
     )
+    none = F.array(F.struct(F.lit(None).cast(_EMISSION).alias("e"), F.lit(None).cast("double").alias("value_numeric"), F.lit(None).cast("string").alias("value_text")))
+    return F.when(F.col("error").isNull(), good).otherwise(none)
 
 
 def composite_labels(cells: DataFrame, label_columns: list[str] | None = None) -> DataFrame:
@@ -253,14 +271,16 @@ Shape = Callable[[DataFrame], DataFrame]
 
 def observations(
     cells: DataFrame, dictionaries: Dictionaries, headers: DataFrame | None = None,
-    finite_only: bool = False, extra_shapes: dict[str, Shape] | None = None,
+    finite_only: bool = False, extra_shapes: dict[str, Shape] | None = None, errors: bool = False,
 ) -> DataFrame:
     """Observations of every table in ``cells``, in the layout of the fact table.
 
     ``shape`` and ``mapping_confidence`` (how sure the metric of a row label is)
     are extra columns, and so are the texts that the keys were resolved from:
     ``row_label``, ``column_label`` and ``area_label``. ``headers`` saves a pass over the cells when header
-    records exist.
+    records exist. With ``errors`` rows that cannot be read are not passed over in
+    silence: each gives one row with the reason in ``error`` and no observation,
+    see ``parted``; without it they give nothing.
     ``extra_shapes`` maps a department to a function from its cells to
     observations, for sources that need a rule of their own.
     """
@@ -268,8 +288,15 @@ def observations(
     own = cells.filter(~F.col("department_id").isin(list(extra_shapes))) if extra_shapes else cells
     specs = table_specs(headers_of(own) if headers is None else headers, dictionaries)
     rows = source_rows(own)
-    blocked = own.select("table_id", block_of("source_row_number").alias("_block"))
-    placed = rows.join(spread(specs, blocked, "table_id"), ["table_id", "_block"])
+    blocked = own.select("table_id", _block().alias("_block"))
+    if errors:
+        placed = rows.join(spread(specs.withColumn("_known", F.lit(True)), blocked, "table_id"), ["table_id", "_block"], "left")
+        wrong = F.coalesce("error", "row_error", F.when(F.col("_known").isNull(), "no_headers"))
+        placed = placed.withColumn("error", wrong).drop("_known", "row_error")
+    else:
+        placed = rows.filter("row_error is null").drop("row_error").join(
+            spread(specs.filter("error is null"), blocked, "table_id"), ["table_id", "_block"]
+        )
     read = classify_and_resolve(placed.withColumn("row_text", _row_text()), "row_text", dictionaries)
     geo_text = F.when(F.col("shape").isin("long", "census"), _value(F.col("geo_column")))
     located = with_geography_key(read, geo_text, dictionaries, "row_geography_id")
@@ -277,7 +304,7 @@ def observations(
         "department_id", "document_id", "table_id", "shape", "source_row_number",
         F.col("mapping.metric_id").alias("row_metric_id"), F.col("verdict.confidence").alias("row_confidence"),
         F.col("mapping.time_id").alias("row_time_id"), F.col("row_text").alias("row_label"), geo_text.alias("area_label"),
-        "row_geography_id", F.inline(_emitted_values(finite_only)),
+        "row_geography_id", "error", F.inline(_emitted_values(finite_only)),
     )
     shape, column = F.col("shape"), F.col("e.column_number")
     by_cell = ~shape.isin("long", "financial", "survey")
@@ -302,14 +329,28 @@ def observations(
         F.when(by_cell, column).alias("source_column_number"),
         F.lit(None).cast("double").alias("quality_score"), "shape",
         F.when(shape.isin("time_columns", "dimensional"), F.col("row_confidence")).alias("mapping_confidence"),
-        "row_label", F.col("e.label").alias("column_label"), "area_label",
+        "row_label", F.col("e.label").alias("column_label"), "area_label", "error",
     )
+    facts = facts.withColumn("observation_id", F.when(F.col("error").isNull(), F.col("observation_id"))) if errors else facts.drop("error")
     for department, make in extra_shapes.items():
         made = make(cells.filter(F.col("department_id") == department))
         facts = facts.unionByName(made.withColumn("shape", F.lit(department)), allowMissingColumns=True)
     return facts
 
 
+def parted(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Observations of good tables, and ``department_id, document_id, table_id, error`` of bad ones, from rows with ``error``.
+
+    One row that cannot be read makes its whole table a bad one, as half a table
+    would pass for all of it; other tables keep their observations. The reason
+    is the first by name. Reasons are folded before the shuffle, so a table of
+    bad rows only is one row by then.
+    """
+    bad = found.filter("error is not null").groupBy("department_id", "document_id", "table_id").agg(F.min("error").alias("error"))
+    good = found.filter("error is null").join(bad.select("table_id"), "table_id", "left_anti")
+    return good.drop("error"), bad
+
+
 def _source_order() -> list:
     return ["source_row_number", F.coalesce("source_column_number", F.lit(0)), "observation_id"]
 

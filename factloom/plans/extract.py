@@ -90,16 +90,19 @@ DERIVED = [
 def extract(
     warehouse: Warehouse, contents: DataFrame, batch: str, department: str | None = None, grids: DataFrame | None = None,
     limit: int | None = None, max_tables: int | None = None, max_columns: int | None = None, min_rows: int | None = None,
+    only_batch: bool = False,
 ) -> DataFrame:
     """Read pending documents and store tables, headers and cells; returns statistics.
 
     ``contents(document_id, content)`` holds the bytes of the stored documents,
     ``grids(document_id, sheet_index, sheet_name, row_number, cells)`` the decoded
     rows of workbooks; a workbook without its grid stays pending. Tables are left
-    out only where a bound is given, and are then recorded as rejects.
+    out only where a bound is given, and are then recorded as rejects. With
+    ``only_batch`` just the documents that this batch took in are looked at.
     """
+    known = warehouse.read("raw_documents", batch=batch if only_batch else None)
     done = warehouse.read("document_status", but_batch=batch).filter((F.col("stage") == "extract") & (F.col("status") != AWAITING_GRID))
-    pending = pending_documents(warehouse.read("raw_documents"), done, department, limit)
+    pending = pending_documents(known, done, department, limit)
     # an address that several departments hold is read once, for the first of them
     pending = pending.groupBy("document_id").agg(F.min_by(F.struct(*[c for c in pending.columns if c != "document_id"]), "department_id").alias("d")).select("document_id", "d.*")
     documents = route(pending.join(contents.select("document_id", "content"), "document_id"))
@@ -165,5 +168,5 @@ def reprocess(warehouse: Warehouse, contents: DataFrame, documents: DataFrame, b
     }
     keys["bridge_observation_attribute"] = keys["observation_quality"]
     for layer in DERIVED:
-        warehouse.forget(layer, keys.get(layer, ids))
+        warehouse.forget(layer, keys.get(layer, ids), batch)
     return extract(warehouse, contents, batch, grids=grids)

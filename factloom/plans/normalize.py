@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..dictionaries import Dictionaries
 from ..operators import dimensions as dims
-from ..operators.candidates import mapping_candidates
+from ..operators.candidates import decisions_by_text, mapping_candidates, reviewed_texts
 from ..operators.classify import classify_and_resolve
 from ..operators.quality import with_scores
-from ..operators.reshape import beyond_cap, capped, observations
+from ..operators.reshape import beyond_cap, capped, observations, parted
 from ..sources.warehouse import Warehouse
 
 
@@ -38,31 +38,50 @@ def table_yield(tables: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+DIMENSIONS = {"time_id": "dim_time", "metric_id": "dim_metric", "geography_id": "dim_geography", "scenario_id": "dim_scenario"}
+
+
 def normalize(
     warehouse: Warehouse, dictionaries: Dictionaries, batch: str, department: str | None = None,
-    limit: int | None = None, max_tables: int | None = None,
+    limit: int | None = None, max_tables: int | None = None, rules: DataFrame | None = None,
+    reviews: DataFrame | None = None, only_batch: bool = False,
 ) -> DataFrame:
     """Make facts of pending tables, score them, keep the dimensions; returns statistics.
 
     ``max_tables`` bounds the batch; ``limit`` bounds the observations of a
-    table, and those beyond it are recorded as rejects.
+    table, and those beyond it are recorded as rejects. A table that cannot be
+    read is recorded there with its reason and does not hold up the others.
+    ``rules`` (as for ``scoped_candidates``) and ``reviews`` (decisions on
+    headers, as for ``apply_reviews``) come before the dictionaries. With
+    ``only_batch`` just the tables that this batch extracted are looked at.
     """
-    tables = warehouse.read("extracted_tables")
+    own = batch if only_batch else None
+    tables = warehouse.read("extracted_tables", batch=own)
+    documents = warehouse.read("raw_documents", batch=own)
     known = warehouse.read("fact_observation", but_batch=batch)
     tried = warehouse.read("document_status", but_batch=f"{batch}.normalize").filter("stage = 'normalize'").select("document_id")
-    pending = pending_tables(tables, warehouse.read("raw_documents"), known, department).join(
-        tried, "document_id", "left_anti"
-    )
+    if only_batch:
+        known, tried = known.limit(0), tried.limit(0)  # what this batch extracted, no other has normalised
+    pending = pending_tables(tables, documents, known, department).join(tried, "document_id", "left_anti")
     if max_tables is not None:
         pending = pending.orderBy("document_id", "table_id").limit(max_tables)
     pending = warehouse.staged(pending, "pending", batch)
-    cells = warehouse.read("row_values_long").join(pending.select("table_id"), "table_id", "left_semi")
-    headers = warehouse.read("headers").join(pending.select("table_id"), "table_id", "left_semi")
-    found = warehouse.staged(observations(cells, dictionaries, headers), "observations", batch)
-    facts = with_scores(capped(found, limit), F.col("mapping_confidence"))
+    if pending.isEmpty() and warehouse.read("document_status", batch=f"{batch}.normalize").isEmpty():
+        return table_yield(pending, known.limit(0)).withColumn("tables_failed", F.lit(0).cast("long"))
+    cells = warehouse.read("row_values_long", batch=own).join(pending.select("table_id"), "table_id", "left_semi")
+    headers = warehouse.read("headers", batch=own).join(pending.select("table_id"), "table_id", "left_semi")
+    if rules is not None or reviews is not None:
+        dictionaries = decided(warehouse, dictionaries, rules, reviews, batch)
+        kinds = documents.groupBy("document_id").agg(F.min("document_type").alias("document_type"))
+        cells, headers = (df.join(kinds, "document_id", "left") for df in (cells, headers))
+    found = warehouse.staged(observations(cells, dictionaries, headers, errors=True), "observations", batch)
+    good, bad = parted(found)
+    facts = with_scores(capped(good, limit), F.col("mapping_confidence"))
     facts = facts if limit is None else warehouse.staged(facts, "facts", batch)
-    if limit is not None:
-        warehouse.append("rejects", beyond_cap(found, limit), f"{batch}.normalize")
+    rejected = bad.select(
+        F.lit("fact_observation").alias("layer"), F.col("table_id").alias("record_id"), "document_id", "table_id", F.col("error").alias("reason")
+    )
+    warehouse.append("rejects", rejected if limit is None else rejected.unionByName(beyond_cap(good, limit)), f"{batch}.normalize")
     warehouse.append("observation_quality", facts, batch)
     warehouse.append(
         "fact_observation", facts.withColumn("quality_score", F.col("quality_confidence")), batch
@@ -72,33 +91,30 @@ def normalize(
     )
     warehouse.append("mapping_candidates", mapping_candidates(resolved, dictionaries), batch)
 
-    layers = {"time_id": "dim_time", "metric_id": "dim_metric", "geography_id": "dim_geography", "scenario_id": "dim_scenario"}
-    for key, rows in dims.resolved_dimensions(found, dictionaries).items():
-        merge_dimension(warehouse, layers[key], rows, key)
-    documents = dims.build_dim_document(warehouse.read("raw_documents"), warehouse.read("fact_observation"))
-    merge_dimension(warehouse, "dim_document", documents, "document_id")
+    for key, rows in dims.resolved_dimensions(good, dictionaries).items():
+        warehouse.merge(DIMENSIONS[key], rows, batch)
+    warehouse.merge("dim_document", dims.build_dim_document(documents, warehouse.read("fact_observation", batch=batch)), batch)
     bridge, values = dims.attribute_bridge(cells, facts)
     warehouse.append("bridge_observation_attribute", bridge, batch)
-    merge_dimension(warehouse, "dim_attribute_value", values, "attribute_value_id")
+    warehouse.merge("dim_attribute_value", values, batch)
 
-    status = pending.select("document_id").distinct().select(
-        "document_id", F.lit("normalize").alias("stage"), F.lit("normalized").alias("status")
+    failed = bad.select("document_id").distinct().withColumn("_failed", F.lit(True))
+    status = pending.select("document_id").distinct().join(failed, "document_id", "left").select(
+        "document_id", F.lit("normalize").alias("stage"), F.when(F.col("_failed"), "with_errors").otherwise("normalized").alias("status")
     )
     warehouse.append("document_status", status, f"{batch}.normalize")
-    return table_yield(pending, facts)
+    lost = bad.groupBy("department_id").agg(F.count(F.lit(1)).alias("tables_failed"))
+    return table_yield(pending, facts).join(lost, "department_id", "left").fillna(0, ["tables_failed"])
 
 
-def merge_dimension(warehouse: Warehouse, layer: str, incoming: DataFrame, key: str) -> None:
-    merged = dims.upsert(warehouse.read(layer), incoming, key) if warehouse.exists(layer) else incoming
-    warehouse.replace(layer, merged)
+def decided(warehouse: Warehouse, dictionaries: Dictionaries, rules: DataFrame | None, reviews: DataFrame | None, batch: str) -> Dictionaries:
+    """``dictionaries`` with what rules, and reviews of stored candidates, decide by text; written once."""
+    if reviews is not None:
+        reviews = reviewed_texts(warehouse.read("mapping_candidates"), warehouse.read("headers"), reviews)
+    return dictionaries.with_decisions(warehouse.staged(decisions_by_text(rules, reviews), "decided", batch))
 
 
 def seed(warehouse: Warehouse, dictionaries: Dictionaries) -> None:
     """Store the dimension rows of the dictionaries."""
-    keys = {
-        "dim_geography": "geography_id", "dim_scenario": "scenario_id", "dim_metric": "metric_id",
-        "dim_attribute_type": "attribute_type_id", "dim_attribute_value": "attribute_value_id",
-        "dim_department": "department_id",
-    }
     for layer, rows in dims.seed_dimensions(dictionaries).items():
-        merge_dimension(warehouse, layer, rows, keys[layer])
+        warehouse.merge(layer, rows, "seed")

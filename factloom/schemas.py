@@ -125,4 +125,7 @@ LAYERS: dict[str, Layer] = {
         "document_id string, stage string, status string, tables_kept bigint, tables_skipped bigint, updated_at timestamp",
         ["document_id", "stage"], ["document_id", "stage"], {"updated_at": "current_timestamp()"},
     ),
+    "batch_commits": Layer(
+        "batch string, committed_at timestamp", ["batch"], ["batch"], {"committed_at": "current_timestamp()"},
+    ),
 }

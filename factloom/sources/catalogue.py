@@ -64,6 +64,11 @@ def resource_url(url: Column, host: str = HOST) -> Column:
     return F.when(url.startswith("/"), F.concat(F.lit(host), url)).otherwise(url)
 
 
+def source_address() -> Column:
+    """The full address of a landed resource."""
+    return resource_url(F.col("url"))
+
+
 def document_type(title: Column) -> Column:
     lower = F.lower(F.coalesce(title, F.lit("")))
     chain = F.when(lower.rlike(DOCUMENT_TYPES[0][0]), DOCUMENT_TYPES[0][1])

@@ -1,17 +1,24 @@
-"""The layers as parquet below one root, written so that a repeated job changes nothing.
+"""The layers as parquet below one root, partitioned so that a repeated job changes nothing.
 
-``append`` writes a batch into its own directory and replaces it when the same
-batch runs again. ``replace`` writes a whole new version and never touches the
-one being read; readers take the newest complete version.
+Appended layers are partitioned by ``batch_id``: a batch that runs again writes
+its own partition anew and touches no other. Dimensions are partitioned by
+``bucket``, a hash of the key: a merge writes anew just the buckets in which a
+row changes. Replacing partitions is Spark's own dynamic partition overwrite;
+what is written anew from a layer's own rows is staged first.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import LAYERS, Layer
+from ..operators.dimensions import changed_rows, one_per_key, upsert
+from ..schemas import LAYERS
+
+#: Partitions of a dimension; a merge reads and writes those it has to.
+BUCKETS = 16
 
 
 def conform(df: DataFrame, layer: str) -> DataFrame:
@@ -52,6 +59,10 @@ def run_sql(spark: SparkSession, text: str, **params: str) -> DataFrame:
     return spark.sql(text, args={k: str(v) for k, v in params.items()})
 
 
+def bucket_of(key: str, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -60,87 +71,97 @@ class Warehouse:
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def _children(self, path: str) -> list[str]:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(target):
-            return []
-        return [s.getPath().getName() for s in fs.listStatus(target)]
-
-    def _versions(self, layer: str) -> list[int]:
-        found = [c for c in self._children(self._path(layer)) if c.startswith("version=")]
-        done = [c for c in found if "_SUCCESS" in self._children(self._path(layer, c))]
-        return sorted(int(c.split("=")[1]) for c in done)
+    def _stored(self, layer: str, partition: str, kind: T.DataType = T.StringType()) -> DataFrame | None:
+        """All rows of a layer with the column of its partition; null if it was never written."""
+        schema = T.StructType.fromDDL(LAYERS[layer].ddl).add(partition, kind)
+        try:
+            return self.spark.read.schema(schema).parquet(self._path(layer))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def exists(self, layer: str) -> bool:
-        return bool(self._versions(layer)) or any(
-            c.startswith("batch_id=") for c in self._children(self._path(layer))
-        )
+        return self._stored(layer, "batch_id") is not None
+
+    def read(self, layer: str, but_batch: str | None = None, batch: str | None = None) -> DataFrame:
+        """A layer; an absent one is empty.
 
-    def read(self, layer: str, but_batch: str | None = None) -> DataFrame:
-        """A layer; an absent one is empty. ``but_batch`` leaves out what that batch wrote."""
+        ``but_batch`` leaves out what that batch wrote, ``batch`` reads nothing
+        else; both choose partitions, not rows.
+        """
         schema = T.StructType.fromDDL(LAYERS[layer].ddl)
-        columns = schema.fieldNames()
-        versions = self._versions(layer)
-        if versions:
-            return self.spark.read.schema(schema).parquet(self._path(layer, f"version={versions[-1]}")).select(columns)
-        if not self.exists(layer):
+        df = self._stored(layer, "batch_id")
+        if df is None:
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())]))
-        df = stored.parquet(self._path(layer))
         if but_batch is not None:
             df = df.filter(F.col("batch_id") != but_batch)
-        return df.select(columns)
+        if batch is not None:
+            df = df.filter(F.col("batch_id") == batch)
+        return df.select(schema.fieldNames())
 
-    def _write(self, df: DataFrame, layer: Layer, path: str) -> None:
-        if layer.partition_by or layer.sort_by:
-            df = df.sortWithinPartitions(*layer.partition_by, *layer.sort_by)
-        # the whole folder is replaced: a partition that the batch no longer has must not stay
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*layer.partition_by).parquet(path)
+    def _sorted(self, df: DataFrame, layer: str, *first: str) -> DataFrame:
+        spec = LAYERS[layer]
+        order = [*first, *spec.partition_by, *spec.sort_by]
+        return df.sortWithinPartitions(*order) if order else df
 
     def staged(self, df: DataFrame, name: str, batch: str) -> DataFrame:
         """``df`` written once below the root and read back, for a job that uses it several times."""
         path = self._path("_work", batch, name)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, layer: str, df: DataFrame, batch: str) -> None:
-        self._write(conform(df, layer), LAYERS[layer], self._path(layer, f"batch_id={batch}"))
-
-    def replace(self, layer: str, df: DataFrame) -> None:
-        versions = self._versions(layer)
-        number = versions[-1] + 1 if versions else 1
-        self._write(conform(df, layer), LAYERS[layer], self._path(layer, f"version={number}"))
-
-    def _finish(self, layer: str) -> None:
-        """Put complete rewritten batches in the place of old ones that are gone already."""
-        names = self._children(self._path(layer))
-        for name in names:
-            if name.startswith("_batch_id=") and name[1:] not in names and "_SUCCESS" in self._children(self._path(layer, name)):
-                made = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(layer, name))
-                made.getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(
-                    made, self.spark._jvm.org.apache.hadoop.fs.Path(self._path(layer, name[1:]))
-                )
-
-    def forget(self, layer: str, keys: DataFrame) -> None:
+        """Write a batch; its partition is replaced as a whole, also by no rows."""
+        rows = self._sorted(conform(df, layer), layer)
+        rows.write.mode("overwrite").parquet(self._path(layer, f"batch_id={batch}"))
+
+    def _overwrite(self, layer: str, rows: DataFrame, partition: str) -> None:
+        """Replace the partitions that ``rows`` have, in one write."""
+        self._sorted(rows, layer, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(self._path(layer))
+
+    def merge(self, layer: str, incoming: DataFrame, batch: str) -> None:
+        """Bring rows into a dimension by its key; see ``upsert``.
+
+        Both sides count once for a key, so the result is a function of the key
+        whatever a layer or a batch repeats. Buckets without a changed row are
+        not written; with none, nothing is.
+        """
+        (key,) = LAYERS[layer].key
+        brought = [F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(LAYERS[layer].ddl) if f.name in incoming.columns]
+        fresh = self.staged(one_per_key(incoming.select(*brought), key).withColumn("bucket", bucket_of(key)), f"{layer}_incoming", batch)
+        stored = self._stored(layer, "bucket", T.IntegerType())
+        if stored is None:
+            self._overwrite(layer, conform(fresh, layer).withColumn("bucket", bucket_of(key)), "bucket")
+            return
+        touched = changed_rows(stored.drop("bucket"), fresh.drop("bucket"), key).select(bucket_of(key).alias("bucket")).distinct()
+        touched = self.staged(touched, f"{layer}_buckets", batch)  # a number for a bucket, BUCKETS rows at most
+        if touched.isEmpty():
+            return
+        old, new = (df.join(touched, "bucket", "left_semi").drop("bucket") for df in (stored, fresh))
+        merged = self.staged(conform(upsert(old, new, key), layer).withColumn("bucket", bucket_of(key)), f"{layer}_merged", batch)
+        self._overwrite(layer, merged, "bucket")
+
+    def forget(self, layer: str, keys: DataFrame, batch: str) -> None:
         """Drop the rows of an appended layer whose key is in ``keys``; other rows can then be made again.
 
-        A batch is written anew beside the old one, in a folder that readers
-        pass over until it takes the old one's place by a rename; batches without
-        such rows are left alone. A run that ended between the two is finished
-        first.
+        One join finds the batches with such rows; what is left of them is staged
+        and replaces them in one write. Batches without such rows are left alone;
+        one that has no other rows becomes an empty partition.
         """
-        self._finish(layer)
         key = keys.columns[0]
-        schema = T.StructType.fromDDL(LAYERS[layer].ddl)
-        for batch in [c for c in self._children(self._path(layer)) if c.startswith("batch_id=")]:
-            path, new = self._path(layer, batch), self._path(layer, f"_{batch}")
-            rows = self.spark.read.schema(schema).parquet(path)
-            if rows.join(keys, key, "left_semi").isEmpty():
-                continue
-            self._write(rows.join(keys, key, "left_anti"), LAYERS[layer], new)
-            old, made = self.spark._jvm.org.apache.hadoop.fs.Path(path), self.spark._jvm.org.apache.hadoop.fs.Path(new)
-            fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            fs.delete(old, True)
-            fs.rename(made, old)
+        rows = self._stored(layer, "batch_id")
+        if rows is None:
+            return
+        hit = self.staged(rows.join(keys, key, "left_semi").select("batch_id").distinct(), f"{layer}_hit", batch)
+        left = self.staged(rows.join(hit, "batch_id", "left_semi").join(keys, key, "left_anti"), f"{layer}_left", batch)
+        self._overwrite(layer, left.select(*rows.columns), "batch_id")
+        for r in hit.join(left.select("batch_id").distinct(), "batch_id", "left_anti").collect():  # names of batches
+            self.append(layer, self.spark.createDataFrame([], T.StructType.fromDDL(LAYERS[layer].ddl)), r.batch_id)
+
+    def commit(self, batch: str) -> None:
+        """Note that a batch has gone through all of its jobs."""
+        self.append("batch_commits", self.spark.createDataFrame([(batch,)], "batch string"), batch)
+
+    def committed(self, batch: str) -> bool:
+        return not self.read("batch_commits", batch=batch).isEmpty()

@@ -13,7 +13,9 @@ from factloom.plans.normalize import normalize, seed
 from factloom.schemas import LAYERS
 from factloom.sources.files import read_files
 from factloom.sources.warehouse import Warehouse, create_tables, table_exists
-from factloom.streaming.documents import file_stream, for_each_batch
+from factloom.operators.candidates import decisions_by_text, reviewed_texts
+from factloom.operators.reshape import observations, parted
+from factloom.streaming.documents import fact_batch, facts_stream, file_stream, for_each_batch, landed_stream
 
 SF = "/root/testdata/sf0.001"
 LANDED = (
@@ -152,17 +154,109 @@ def test_stream_of_files(spark, tmp_path):
     run()
     run()
     assert [files for _, files in seen] == [["a.csv"], ["b.csv"]]
+    assert len({batch.rsplit("-", 1)[0] for batch, _ in seen}) == 1 and [batch[-8:] for batch, _ in seen] == ["00000000", "00000001"]
     assert read_files(spark, str(folder), max_bytes=1).count() == 1
 
 
-def test_a_rewrite_that_was_cut_off_is_finished(spark, tmp_path):
+REJECTS = "layer string, record_id string, document_id string, table_id string, reason string"
+
+
+def test_forgetting_rewrites_only_the_batches_that_hold_the_rows(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    for batch, ids in {"b1": ["d1", "d2"], "b2": ["d3"], "b3": ["d1"]}.items():
+        store.append("rejects", spark.createDataFrame([("l", batch, d, "t", "r") for d in ids], REJECTS), batch)
+    files = lambda batch: sorted(f.name for f in (tmp_path / "rejects" / f"batch_id={batch}").iterdir() if f.suffix == ".parquet")
+    before = files("b2")
+    store.forget("rejects", spark.createDataFrame([("d1",), ("d9",)], "document_id string"), "x")
+    assert sorted((r.record_id, r.document_id) for r in store.read("rejects").collect()) == [("b1", "d2"), ("b2", "d3")]
+    assert files("b2") == before and store.read("rejects", batch="b3").isEmpty() and store.read("rejects", but_batch="b1").count() == 1
+    store.forget("headers", spark.createDataFrame([("d1",)], "document_id string"), "x")  # an absent layer
+
+
+def test_a_dimension_is_a_function_of_its_key(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
-    rows = spark.createDataFrame([("l", "a", "d1", "t", "r"), ("l", "b", "d2", "t", "r")], "layer string, record_id string, document_id string, table_id string, reason string")
-    store.append("rejects", rows, "b1")
-    (tmp_path / "rejects" / "batch_id=b1").rename(tmp_path / "rejects" / "_batch_id=b1")
-    assert store.read("rejects").count() == 0
-    store.forget("rejects", rows.filter("document_id = 'd1'").select("document_id"))
-    assert [r.document_id for r in store.read("rejects").collect()] == ["d2"]
+    rows = lambda *r: spark.createDataFrame(list(r), "geography_id string, geo_type string, code string, name_en string")
+    store.merge("dim_geography", rows(("a", "t", "2", None), ("a", "t", "1", "x"), (None, "t", "9", "n"), *[(f"k{n}", "t", str(n), "y") for n in range(40)]), "b1")
+    held = lambda: {r.geography_id: (r.geo_type, r.code, r.name_en, r.name_fr) for r in store.read("dim_geography").collect()}
+    assert held()["a"] == ("t", "1", "x", None) and len(held()) == 41 == store.read("dim_geography").count()
+    files = lambda: {str(f) for f in (tmp_path / "dim_geography").rglob("*.parquet")}
+    first, when = files(), {r.geography_id: r.created_at for r in store.read("dim_geography").collect()}
+    store.merge("dim_geography", rows(("a", None, "1", "x"), ("k3", "t", "3", "y"), ("k3", "t", "3", "y")), "b2")
+    assert files() == first  # nothing changed, nothing is written
+    store.merge("dim_geography", rows(("a", "u", "1", None), ("new", "t", "5", "z")), "b3")
+    assert held()["a"] == ("u", "1", "x", None) and held()["new"][1] == "5" and len(held()) == 42
+    assert first - files() and len(first & files()) >= len(first) - 2
+    assert {r.geography_id: r.created_at for r in store.read("dim_geography").collect() if r.geography_id in when} == when
+
+
+def test_two_streams_share_a_store_and_facts_follow_batches(spark, known, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "store"))
+    seed(store, known)
+    one = landed(spark, ("fin", "a", "csv", "en", "Item,2020-21\nRevenues,1\nExpenses,3\n"), ("fin", "b", "csv", "en", "Item,2020-21\nRevenues,2\n"))
+    two = landed(spark, ("fin", "c", "csv", "en", "Item,2021-22\nRevenues,5\n"), ("statcan", "a", "csv", "en", "Item,2020-21\nRevenues,1\nExpenses,3\n"))
+    for name, rows in (("x", one), ("y", two)):
+        rows.write.parquet(str(tmp_path / name))
+        facts_stream(store, known, landed_stream(spark, str(tmp_path / name), rows.schema), str(tmp_path / f"check-{name}")).awaitTermination()
+    assert store.read("raw_documents").count() == 4 and store.read("fact_observation").count() == 4
+    names = sorted(r.batch for r in store.read("batch_commits").collect())
+    assert len(names) == 2 and all(n.endswith("-00000000") for n in names) and no_orphans(store)
+    said = lambda: sorted(map(str, store.read("fact_observation").drop("created_at").collect()))
+    first, dims = said(), store.read("dim_document").count()
+    assert dims == 3 == store.read("dim_document").select("document_id").distinct().count()
+
+    class Again(Warehouse):
+        """A store in which no commit is seen: a batch does all of its work again."""
+
+        def committed(self, batch):
+            return False
+
+    for batch in names:
+        rows = one if store.read("raw_documents", batch=batch).filter("source_url like '%/b.csv'").count() else two
+        fact_batch(store, known, two, batch)  # committed: nothing happens
+        fact_batch(Again(spark, store.root), known, rows, batch)
+    assert said() == first and store.read("dim_document").count() == dims and store.read("raw_documents").count() == 4
+
+
+CELLS = "department_id string, document_id string, table_id string, source_row_number long, source_column_number long, header_raw string, value_raw string"
+
+
+def test_a_bad_table_does_not_hold_up_the_others(spark, known):
+    def table(name, *extra):
+        heads = ["Item", "2020-21"]
+        return [("fin", f"d-{name}", name, n, k, heads[k], v) for n, row in enumerate([["Revenues", "1"], ["Expenses", "2"]]) for k, v in enumerate(row)] + list(extra)
+
+    rows = table("good") + table("same", ("fin", "d-same", "same", 0, 1, "2020-21", "1")) + table("twice", ("fin", "d-twice", "twice", 1, 1, "2020-21", "7"))
+    rows += table("lost", ("fin", "d-lost", "lost", None, 1, "2020-21", "7")) + table("place", ("fin", "d-place", "place", 1, None, "2020-21", "7")) + table("bare") + table("heads")
+    cells = spark.createDataFrame(rows, CELLS)
+    heads = [("fin", t, k, h) for t in ("good", "same", "twice", "lost", "place", "heads") for k, h in enumerate(["Item", "2020-21"])] + [("fin", "heads", 1, "2021-22")]
+    headers = spark.createDataFrame(heads, "department_id string, table_id string, column_number long, header_raw string")
+    good, bad = parted(observations(cells, known, headers, errors=True))
+    assert {r.table_id: r["count"] for r in good.groupBy("table_id").count().collect()} == {"good": 2, "same": 2}
+    assert {r.table_id: r.error for r in bad.collect()} == {
+        "twice": "two_values_in_a_cell", "lost": "cell_without_place", "place": "cell_without_place", "bare": "no_headers", "heads": "two_headers_of_a_column"}
+    assert observations(cells, known, headers).filter("table_id in ('good', 'same')").count() == 4
+
+
+def test_rules_and_reviews_reach_the_facts(spark, known):
+    heads = spark.createDataFrame([("fin", "t", 0, "Item"), ("fin", "t", 1, "2020-21"), ("statcan", "s", 0, "DAUID2016"), ("statcan", "s", 1, "Population 2016")],
+                                  "department_id string, table_id string, column_number long, header_raw string")
+    labels = ["Revenues", "Odd one", "Other", "Refused"]
+    rows = [("fin", "d", "t", n, k, h, v) for n, t in enumerate(labels) for k, (h, v) in enumerate((("Item", t), ("2020-21", str(n))))]
+    rows += [("statcan", "e", "s", 0, 0, "DAUID2016", "1001001"), ("statcan", "e", "s", 0, 1, "Population 2016", "5")]
+    cells = spark.createDataFrame(rows, CELLS).withColumn("document_type", F.lit("budget"))
+    rules = spark.createDataFrame([
+        ("odd one", None, None, "metric", "M1"), ("odd one", "fin", None, "metric", "M2"), ("other", "fin", "estimates", "metric", "M3"), ("other", "fin", "budget", "metric", "M4"),
+        ("revenues", "statcan", None, "metric", "M5"),
+    ], "normalized string, department_id string, document_type string, entity_type string, entity_id string")
+    candidates = spark.createDataFrame([("h1", "metric", "M6", "fuzzy", 0.7), ("h1", "metric", "M7", "fallback", 0.3), ("h2", "metric", "M8", "fallback", 0.3)],
+                                       "header_id string, canonical_entity_type string, canonical_entity_id string, candidate_method string, candidate_score double")
+    texts = spark.createDataFrame([("h1", "statcan", "Population 2016"), ("h2", "fin", " REFUSED")], "header_id string, department_id string, header_raw string")
+    said = spark.createDataFrame([("h1", False, 1), ("h1", True, 2), ("h2", False, 3)], "header_id string, approved boolean, decided_at int").withColumn(
+        "decided_at", F.timestamp_seconds("decided_at"))
+    decided = known.with_decisions(decisions_by_text(rules, reviewed_texts(candidates, texts, said)))
+    got = {(r.table_id, r.source_row_number): r.metric_id for r in observations(cells, decided, heads.withColumn("document_type", F.lit("budget"))).collect()}
+    plain = {(r.table_id, r.source_row_number): r.metric_id for r in observations(cells, known, heads).collect()}
+    assert got == {("t", 0): plain["t", 0], ("t", 1): "M1", ("t", 2): "M4", ("s", 0): "M6"} and len(plain) == 5
 
 
 def test_catalogue_tables(spark):
