@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import stored
 
-#: A line goes when more than this share of its host's pages hold it, and at least so many pages.
-RATIO, MIN_PAGES = 0.1, 5
+#: A line goes when more than this share of its host's pages hold it; a line of one page alone repeats nothing.
+RATIO, MIN_PAGES = 0.1, 2
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 HIDDEN = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<!--.*?-->"
 BLOCK = (
