@@ -130,6 +130,8 @@ class Warehouse:
         (key,) = LAYERS[layer].key
         brought = [F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(LAYERS[layer].ddl) if f.name in incoming.columns]
         fresh = self.staged(one_per_key(incoming.select(*brought), key).withColumn("bucket", bucket_of(key)), f"{layer}_incoming", batch)
+        if fresh.isEmpty():
+            return
         stored = self._stored(layer, "bucket", T.IntegerType())
         if stored is None:
             self._overwrite(layer, conform(fresh, layer).withColumn("bucket", bucket_of(key)), "bucket")
