@@ -48,10 +48,10 @@ TIME_LABEL = f"""case cast(o_orderkey % 10 as int)
 HEADERS = [
     "concat('  ', upper(p_name), '  ( % ): ')", "'2019-20'", "'Projection 2024-2025'", "'Year 2'", "'Ontario'", "'qc'",
     "'@Geography'", "'@Sex_at_birth'", "'@DGUID'", "'Status'", "'VALUE'", "'@OBS_VALUE'", "'UOM'", "'per cent'",
-    "'Population, 2016'", "'Total  revenues'", "'Forecast'", "'employmant'", "'Populatoin'", "concat(p_type, ' M$US')",
+    "'Population, 2016'", "'Total  revenues'", "'Forecast'", "'employmant'", "'Populatoin'", "'mployment'", "'Xopulation'", "concat(p_type, ' M$US')",
     "'April to June 2021-22'", "''", "concat('“', p_brand, '” — total')", "'Taux de chômage'",
 ]
-HEADER_TEXT = "case cast(p_partkey % 24 as int) " + " ".join(
+HEADER_TEXT = "case cast(p_partkey % 26 as int) " + " ".join(
     f"when {i} then {h}" for i, h in enumerate(HEADERS)
 ) + " end"
 

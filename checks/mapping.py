@@ -30,8 +30,7 @@ DIRECT = " union all ".join(
 )
 FUZZY = f"""select header_id, 'metric' as canonical_entity_type, {entity('metric', 'entity')} as canonical_entity_id, 'fuzzy' as candidate_method,
   max(1 - levenshtein(normalized, term) / greatest(length(normalized), length(term))) as candidate_score
-  from c join {METRIC_TERMS} m on substr(normalized, 1, 1) = substr(term, 1, 1) and abs(length(normalized) - length(term)) <= 2
-    and levenshtein(normalized, term) <= 2 where method = 'fallback' group by header_id, entity
+  from c join {METRIC_TERMS} m on levenshtein(normalized, term) <= 2 where method = 'fallback' group by header_id, entity
   having max(1 - levenshtein(normalized, term) / greatest(length(normalized), length(term))) >= 0.5"""
 ALL = f"""{HEADERS_SQL}, cand as (select * from ({DIRECT}) union all select * from ({FUZZY})),
 mc as (select *, case when candidate_score >= 0.8 then true end as approved_flag from cand where candidate_score >= 0.5 or candidate_method = 'fallback')"""
@@ -59,6 +58,27 @@ def _(spark, sf):
     return cand.fuzzy_candidates(resolved(spark, sf), Dictionaries.default(spark))
 
 
+# Words of the documents against the names of parts and the words of the benchmark, and long texts of both kinds.
+WORDS_SQL = """select distinct w as text from (select unnest(string_split_regex(text, '[^a-z]+')) as w from documents where lang = 'en') where w <> ''
+  union select distinct concat(p_brand, ' of the kind ', p_name, ' ', p_size % 3) from part"""
+TERMS_SQL = """select distinct w as term from (select unnest(string_split_regex(text, '[^a-z]+')) as w from benchmark) where w <> ''
+  union select distinct concat('xrand#', o_custkey % 30, ' of the kind ', p_name) from orders join part on o_orderkey = p_partkey"""
+
+
+@check("fuzzy_all_pairs", f"""with x as ({WORDS_SQL}), t as ({TERMS_SQL})
+select text, term, cast(levenshtein(text, term) as int) as edits from x join t on abs(length(text) - length(term)) <= 2 and levenshtein(text, term) <= 2""")
+def _(spark, sf):
+    words = lambda df: df.select(F.explode(F.split("text", "[^a-z]+")).alias("w")).filter("w <> ''")
+    texts = words(spread(spark, sf, "documents").filter("lang = 'en'")).unionByName(
+        table(spark, sf, "part").selectExpr("concat(p_brand, ' of the kind ', p_name, ' ', p_size % 3) as w")
+    )
+    terms = words(table(spark, sf, "benchmark")).unionByName(
+        table(spark, sf, "orders").join(table(spark, sf, "part"), F.expr("o_orderkey = p_partkey"))
+        .selectExpr("concat('xrand#', o_custkey % 30, ' of the kind ', p_name) as w")
+    )
+    return cand.near_terms(texts.withColumnRenamed("w", "text"), terms.withColumnRenamed("w", "term"))
+
+
 RULES_SQL = f"""select distinct {norm('p_name')} as normalized, case when p_size > 25 then p_type end as department_id,
   case when p_size > 40 then 'budget' end as document_type, 'metric' as entity_type, {entity('metric', 'p_brand')} as entity_id from part"""
 

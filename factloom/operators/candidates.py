@@ -13,6 +13,8 @@ from ..functions.text import normalize_header
 AUTO_APPROVE = 0.8
 MIN_SCORE = 0.5
 MAX_EDITS = 2
+#: Letters up to which a term is indexed by what remains of it when letters are left out.
+SHORT_TERM = 20
 
 # Where a candidate comes from, best first.
 PRIORITY = [
@@ -43,27 +45,72 @@ def direct_candidates(resolved: DataFrame) -> DataFrame:
     )
 
 
+def _left_out(text: Column, most: int) -> Column:
+    """All strings that remain when up to ``most`` letters are left out."""
+    without = lambda s: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
+        lambda n: F.concat(F.substr(s, F.lit(1), n - 1), F.substr(s, n + 1)),
+    )
+    found = F.array(text)
+    for _ in range(most):
+        found = F.array_distinct(F.concat(found, F.flatten(F.transform(found, without))))
+    return found
+
+
+def _pieces(length: Column, max_edits: int) -> Column:
+    """``(number, start, size)`` of the ``max_edits + 1`` pieces that a term of this length is cut into."""
+    numbers = F.sequence(F.lit(0), F.lit(max_edits))
+    edge = lambda n: F.floor(n * length / (max_edits + 1)).cast("int")
+    return F.transform(numbers, lambda n: F.struct(n.alias("number"), edge(n).alias("start"), (edge(n + 1) - edge(n)).alias("size")))
+
+
+def near_terms(texts: DataFrame, terms: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
+    """All pairs ``(text, term, edits)`` within ``max_edits`` edits, by equality joins on hashed keys.
+
+    Two strings that near share a string left when each loses up to
+    ``max_edits`` letters, so short terms are joined on those. Their number grows
+    with a power of the length; a term of more than ``SHORT_TERM`` letters is cut
+    into ``max_edits + 1`` pieces instead, one of which stands unchanged in the
+    text, at most ``max_edits`` letters from its place. Either way no pair is
+    missed, and the exact distance decides. NULL is near nothing; texts and terms
+    are folded first, so a pair comes out once.
+    """
+    text, term = F.col("text"), F.col("term")
+    texts = texts.select("text").distinct().filter(text.isNotNull())
+    terms = terms.select("term").distinct().filter(term.isNotNull())
+    hashed = lambda keys, *more: F.explode(F.array_distinct(F.transform(keys, lambda k: F.xxhash64(k, *more))))
+    left_out = lambda df, c: df.select(c, hashed(_left_out(F.col(c), max_edits)).alias("_key"))
+    short = left_out(texts.filter(F.length(text) <= SHORT_TERM + max_edits), "text").join(
+        left_out(terms.filter(F.length(term) <= SHORT_TERM), "term"), "_key"
+    )
+    cut = lambda p: F.xxhash64(F.length(term), p["number"], F.substr(term, p["start"] + 1, p["size"]))
+    long_terms = terms.filter(F.length(term) > SHORT_TERM).select(
+        "term", F.explode(F.array_distinct(F.transform(_pieces(F.length(term), max_edits), cut))).alias("_key")
+    )
+    lengths = F.sequence(F.greatest(F.length(text) - max_edits, F.lit(SHORT_TERM + 1)), F.length(text) + max_edits)
+    shifts = F.sequence(F.lit(-max_edits), F.lit(max_edits))
+    seen = lambda size, p: F.transform(
+        F.filter(shifts, lambda d: (p["start"] + d).between(F.lit(0), F.length(text) - p["size"])),
+        lambda d: F.xxhash64(size, p["number"], F.substr(text, p["start"] + d + 1, p["size"])),
+    )
+    keys = F.flatten(F.transform(lengths, lambda size: F.flatten(F.transform(_pieces(size, max_edits), lambda p: seen(size, p)))))
+    long_texts = texts.filter(F.length(text) > SHORT_TERM - max_edits).select("text", F.explode(F.array_distinct(keys)).alias("_key"))
+    pairs = short.unionByName(long_texts.join(long_terms, "_key")).select("text", "term").distinct()
+    return pairs.withColumn("edits", F.levenshtein(text, term, max_edits)).filter("edits >= 0")
+
+
 def fuzzy_candidates(resolved: DataFrame, dictionaries: Dictionaries, max_edits: int = MAX_EDITS) -> DataFrame:
     """Dictionary metrics within a few edits of a header text that nothing else matched.
 
-    Texts are compared once each, and only with terms of the same first letter
-    and a length within ``max_edits``: an equality join, not a cross product.
-    Headers are joined back on the text afterwards.
+    Texts are compared once each (see :func:`near_terms`), and headers are
+    joined back on the text afterwards.
     """
     unresolved = resolved.filter(F.col("verdict.method") == "fallback").select("header_id", "normalized")
-    texts = unresolved.select("normalized").distinct().select(
-        "normalized", F.substring("normalized", 1, 1).alias("_letter"), F.length("normalized").alias("_length")
-    )
-    spans = F.sequence(F.length("term") - max_edits, F.length("term") + max_edits)
-    terms = dictionaries.terms.filter("metric_key is not null").select(
-        "term", "metric_key", F.substring("term", 1, 1).alias("_letter"), F.explode(spans).alias("_length")
-    )
-    edits = F.levenshtein("normalized", "term", max_edits)
-    longest = F.greatest(F.length("normalized"), F.length("term"))
+    terms = dictionaries.terms.filter("metric_key is not null").select("term", "metric_key")
+    longest = F.greatest(F.length("text"), F.length("term"))
     pairs = (
-        texts.join(terms, ["_letter", "_length"]).withColumn("_edits", edits).filter(F.col("_edits") >= 0)
-        .select("normalized", "metric_key", (1 - F.col("_edits") / longest).alias("_score"))
-        .groupBy("normalized", "metric_key").agg(F.max("_score").alias("candidate_score"))
+        near_terms(unresolved.select(F.col("normalized").alias("text")), terms, max_edits).join(terms, "term")
+        .groupBy(F.col("text").alias("normalized"), "metric_key").agg(F.max(1 - F.col("edits") / longest).alias("candidate_score"))
         .filter(F.col("candidate_score") >= MIN_SCORE)
     )
     return unresolved.join(pairs, "normalized").select(
