@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.operators.cells import (
-    column_inventory, extracted_cells, garbage_headers, guarded_tables, header_records, row_values_long, sheet_row_values,
+    column_inventory, extracted_cells, garbage_headers, guarded_tables, header_records, row_values_long, sheet_cells, sheet_row_values,
     with_staging_columns,
 )
+from factloom.operators.large_csv import csv_file_rows, csv_lines, csv_records
 from factloom.operators.tables import csv_tables, html_tables, rectangularise
 from factloom.operators.xml import xml_route, xml_tables
 from factloom.plans.extract import extract_stats, extract_tables, pending_documents, route
@@ -15,6 +16,7 @@ from factloom.sources.files import decode_text, is_binary, uri_parts
 
 from . import inputs as i
 from .kit import BLANKS, blank_null, check, key, language, norm, number, q, strip, table
+from .scratch import folder, written
 
 CELL = ["document_id", "table_id", "table_index", "source_row_number", "source_column_number", "header_raw", "value_raw"]
 
@@ -36,13 +38,15 @@ def flat(tables):
 # --- CSV ---------------------------------------------------------------------
 
 _F = r'(?:"(?:[^"]|"")*"?)?[^,\r\n]*'
+# The same for texts in which every quote is closed, where no other reading of a field is possible.
+_F_CLOSED = r'(?:"(?:[^"]|"")*"(?:[^",\r\n][^,\r\n]*)?|[^",\r\n][^,\r\n]*|)'
 NONBLANK = lambda x: f"coalesce(length({strip(x)}) > 0, false)"
 
 
-def csv_sql(source: str) -> str:
+def csv_sql(source: str, form: str = _F) -> str:
     """Reference reading of ``source(document_id, text)``: records, fields, rules, cells."""
-    record = q(rf"(?:{_F},)*{_F}(?:\r\n|\r|\n)")
-    field = q(rf"({_F}),")
+    record = q(rf"(?:{form},)*{form}(?:\r\n|\r|\n)")
+    field = q(rf"({form}),")
     unquote = (
         "case when f[1] = '\"' then replace(regexp_extract(f, '(?s)^\"((?:[^\"]|\"\")*)\"?', 1), '\"\"', '\"') "
         "|| regexp_extract(f, '(?s)^\"(?:[^\"]|\"\")*\"?(.*)$', 1) else f end"
@@ -70,6 +74,31 @@ def _(spark, sf):
     return flat(csv_tables(i.csv_blobs(spark, sf).unionByName(texts)))
 
 
+# One file for each priority, a record for each order; some records go over several lines, with quotes and commas.
+LARGE_RECORD = """concat(case when o_orderkey = m then concat('Key,"Price,', chr(10), 'total",  ,Note', chr(10)) else '' end, o_orderkey, ',', case cast(o_custkey % 5 as int)
+  when 0 then concat('"', o_custkey, ',5",drop,"said ""hi""', chr(10), 'there, ""', o_orderstatus, '""', '"') when 1 then concat('5" tall,,"', chr(10), chr(10), ',"') when 2 then 'a,b,c,d,e'
+  when 3 then concat('é', chr(13), chr(10), ' , ,,') else '' end)"""
+LARGE_ORDERS = "select *, min(o_orderkey) over (partition by o_orderpriority) as m from orders"
+LARGE_SOURCE = f"""select o_orderpriority as document_id, concat(string_agg({LARGE_RECORD}, chr(10) order by o_orderkey), chr(10)) as text
+from ({LARGE_ORDERS}) group by all"""
+
+
+@check("csv_extract_split", f"with {csv_sql(LARGE_SOURCE, _F_CLOSED)} select * from cells")
+def _(spark, sf):
+    least = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.min("o_orderkey").alias("m"))
+    orders = table(spark, sf, "orders").join(least, "o_orderpriority")
+    path = folder(spark, "large-csv")
+    orders.select("o_orderpriority", "o_orderkey", F.expr(LARGE_RECORD).alias("line")).repartition("o_orderpriority").sortWithinPartitions(
+        "o_orderpriority", "o_orderkey"
+    ).select("o_orderpriority", "line").write.partitionBy("o_orderpriority").text(path)
+    name = F.regexp_extract("uri", "o_orderpriority=([^/]+)/", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("uri")).select(
+        "uri", F.lit("fin").alias("department_id"), name.alias("document_id")
+    )
+    rows = csv_file_rows(csv_records(csv_lines(spark, path), written), files, written)
+    return sheet_cells(rows).withColumn("table_index", F.lit(0).cast("long")).select(*CELL)
+
+
 GRID_ROWS = """[[' ', 'A', 'B', ''], ['r', cast(o_custkey as string), '', 'x'], ['', ' ', '', ''], ['', o_orderpriority], ['k', 'l', 'm', 'n', 'over']]"""
 
 

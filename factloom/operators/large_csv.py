@@ -19,6 +19,7 @@ from ..functions.keys import row_key
 from .ordinals import block_of, spread, with_ordinal
 from .tables import csv_grid, has_content, named_columns, pick
 
+Staged = Callable[[DataFrame, str], DataFrame]
 #: Lines per chunk, as a power of two.
 CHUNK_BITS = 12
 # Whole fields with their separators, then a quoted field that is still open at the end.
@@ -31,12 +32,13 @@ _FUNCTION = ["end0", "end1", "n0", "n1"]
 def csv_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of the files below ``path`` with their place: ``uri, _size, _block, _place, _line``.
 
-    Lines end at a line feed; a carriage return stays with its line. The bytes
+    ``uri`` is spelled as in ``read_files``. Lines end at a line feed; a carriage return stays with its line. The bytes
     are kept as they are, but for a byte order mark at the beginning.
     """
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    uri = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     return lines.select(
-        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("_size"),
+        uri.alias("uri"), F.col("_metadata.file_size").alias("_size"),
         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_place"),
         F.col("value").alias("_line"),
     )
@@ -93,10 +95,10 @@ def _whole(composed: DataFrame, group: list[str], order: str, *more: Column) ->
     )
 
 
-def _starts(lines: DataFrame) -> DataFrame:
+def _starts(functions: DataFrame) -> DataFrame:
     """For each chunk of lines: state and number of records before it, and whether its file is Latin-1 and ends in a line end."""
     line = F.col("_line")
-    narrow = _as_functions(lines).select(
+    narrow = functions.select(
         *_CHUNK, "_place", "_size", *_FUNCTION, (F.octet_length(line) + 1).cast("long").alias("_bytes"), F.is_valid_utf8(line).alias("_valid")
     )
     facts = [F.sum("_bytes").alias("_bytes"), F.bool_and("_valid").alias("_valid"), F.max("_size").alias("_size")]
@@ -114,15 +116,18 @@ def _starts(lines: DataFrame) -> DataFrame:
     )
 
 
-def csv_records(lines: DataFrame) -> DataFrame:
+def csv_records(lines: DataFrame, staged: Staged) -> DataFrame:
     """``uri, record, part, fields array<string>``: the records of files, from :func:`csv_lines`.
 
     Records are numbered from 0 within their file; where lines end in lone
     carriage returns, ``part`` numbers the records of a line. Fields are those of
     the reader of whole files, and so is the decoding, by all bytes of the file.
     A quote that is never closed takes the rest of its file into one record.
+    ``staged(df, name)`` writes rows and reads them back: places of lines are
+    those of one scan, and another scan may cut the files in another way.
     """
-    placed = _composed(_as_functions(lines).drop("_size"), _CHUNK, "_place").join(_starts(lines), _CHUNK)
+    functions = staged(_as_functions(lines), "csv_lines")
+    placed = _composed(functions.drop("_size"), _CHUNK, "_place").join(_starts(functions), _CHUNK)
     own = lambda name: F.when(F.col("_start") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
     text = F.when(F.col("_is_latin"), _latin(F.col("_line"))).otherwise(F.col("_line"))
     read = placed.withColumn("_before", own("before")).select(
@@ -142,15 +147,13 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return one.unionByName(several).select("uri", "record", F.posexplode(csv_grid(F.col("_text"))).alias("part", "fields"))
 
 
-def csv_file_rows(
-    records: DataFrame, files: DataFrame, staged: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
-) -> DataFrame:
+def csv_file_rows(records: DataFrame, files: DataFrame, staged: Staged) -> DataFrame:
     """Data rows of large files under their headers, for ``sheet_tables`` and ``sheet_cells``.
 
     ``files(uri, department_id, document_id)`` names the documents; files not in
     it are left out. The rules are those of ``csv_tables``: the first record is
     the header, unnamed columns and blank rows go, rows are cut or padded. As
-    records serve headers and rows, ``staged`` may write them once.
+    records serve headers and rows, ``staged`` writes them once.
     """
     keyed = staged(records.join(files.select("uri", "department_id", "document_id"), "uri").select(
         "department_id", "document_id", row_key(F.col("document_id"), "csv", F.lit(0)).alias("table_id"),

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.cells import guarded_tables, header_records, rejected_tables, row_values_long, sheet_cells, sheet_rows, sheet_tables
+from ..operators.large_csv import csv_file_rows, csv_lines, csv_records
 from ..operators.tables import csv_tables, html_tables
 from ..operators.xml import xml_tables
 from ..sources.files import decode_text, is_binary
@@ -90,14 +91,16 @@ DERIVED = [
 def extract(
     warehouse: Warehouse, contents: DataFrame, batch: str, department: str | None = None, grids: DataFrame | None = None,
     limit: int | None = None, max_tables: int | None = None, max_columns: int | None = None, min_rows: int | None = None,
-    only_batch: bool = False,
+    only_batch: bool = False, large_files: tuple[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Read pending documents and store tables, headers and cells; returns statistics.
 
     ``contents(document_id, content)`` holds the bytes of the stored documents,
     ``grids(document_id, sheet_index, sheet_name, row_number, cells)`` the decoded
     rows of workbooks; a workbook without its grid stays pending. Tables are left
-    out only where a bound is given, and are then recorded as rejects. With
+    out only where a bound is given, and are then recorded as rejects.
+    ``large_files`` is a folder of CSV files with ``files(uri, document_id)``;
+    these need no row in ``contents`` and are read by many tasks each. With
     ``only_batch`` just the documents that this batch took in are looked at.
     """
     known = warehouse.read("raw_documents", batch=batch if only_batch else None)
@@ -114,12 +117,11 @@ def extract(
         "rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers"))
     )))
     seen = None
-    if grids is not None:
-        workbooks = documents.filter("reader = 'sheet'").select("document_id", "department_id", "file_format")
-        own = grids.join(workbooks, "document_id")
-        rows = warehouse.staged(sheet_rows(own), "sheet_rows", batch)
+
+    def add_rows(rows: DataFrame, name: str) -> None:
+        nonlocal tables, headers, cells, rejected, every
         sheets = warehouse.staged(
-            guarded_tables(sheet_tables(rows), **bounds, rows=F.col("row_count"), columns=F.size("headers")), "sheets", batch
+            guarded_tables(sheet_tables(rows), **bounds, rows=F.col("row_count"), columns=F.size("headers")), name, batch
         )
         good = sheets.filter("guard = 'kept'")
         tables = tables.unionByName(good, allowMissingColumns=True)
@@ -127,6 +129,24 @@ def extract(
         cells = cells.unionByName(sheet_cells(rows.join(good.select("table_id"), "table_id", "left_semi")), allowMissingColumns=True)
         rejected = rejected.unionByName(rejected_tables(sheets))
         every = every.unionByName(sheets.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), F.col("row_count") * F.size("headers"))))
+
+    if large_files is not None:
+        path, named = large_files
+        # one address for a document: copies of a file are read once
+        named = named.groupBy("document_id").agg(F.min("uri").alias("uri"))
+        unread = pending.join(contents.select("document_id"), "document_id", "left_anti").filter(F.lower("file_format") == "csv")
+        large = warehouse.staged(unread.select("document_id", "department_id").join(named, "document_id"), "large_files", batch)
+        once = lambda df, name: warehouse.staged(df, name, batch)
+        records = csv_records(csv_lines(warehouse.spark, path).join(large.select("uri"), "uri", "left_semi"), once)
+        add_rows(once(csv_file_rows(records, large, once), "csv_rows"), "large_tables")
+        documents = documents.select("document_id", "department_id", "file_format", "reader").unionByName(
+            large.select("document_id", "department_id", F.lit("csv").alias("file_format"), F.lit("csv").alias("reader"))
+        )
+    if grids is not None:
+        workbooks = documents.filter("reader = 'sheet'").select("document_id", "department_id", "file_format")
+        own = grids.join(workbooks, "document_id")
+        rows = warehouse.staged(sheet_rows(own), "sheet_rows", batch)
+        add_rows(rows, "sheets")
         seen = own.select("document_id").distinct().withColumn("_grid", F.lit(True))
     warehouse.append("extracted_tables", tables, batch)
     warehouse.append("headers", headers, batch)
