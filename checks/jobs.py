@@ -64,6 +64,35 @@ def _(spark, sf):
     return out
 
 
+SHARED = f"""select d as department_id, s_name as metric, cast({VALUE} as double) as value_numeric, cast(1 as bigint) as facts, cast(1 as bigint) as documents
+  from supplier, (values ('fin', 0), ('fin', 1), ('fin', 2), ('health', 0), ('health', 1), ('transport', 0)) o(d, k) where s_suppkey % 3 = k"""
+
+
+@check("job_shared_file", f"{SHARED}")
+def _(spark, sf):
+    """One file in up to three departments, taken in at once or by a later batch, and three runs: each has its facts once."""
+    store, known = Warehouse(spark, folder(spark, "shared")), Dictionaries.default(spark)
+    seed(store, known)
+    lots = [("fin", "true", 1), ("health", "s_suppkey % 3 = 0", 1), ("health", "s_suppkey % 3 = 1", 2), ("transport", "s_suppkey % 3 = 0", 2)]
+    suppliers = table(spark, sf, "supplier")
+    for run in (1, 2, 3):
+        landed = None
+        for department, which, since in lots:
+            part = suppliers.filter(which).filter(F.lit(since <= run)).select(
+                F.lit(department).alias("department_id"), F.col("s_suppkey").cast("string").alias("resource_id"), F.lit("").alias("name"), F.lit("csv").alias("format"),
+                F.concat(F.lit("https://e.org/"), "s_suppkey", F.lit(".csv")).alias("url"), F.lit("en").alias("language"), F.lit(None).cast("string").alias("date_published"),
+                F.lit("Tables").alias("title"), F.expr(f"cast(concat('Item,2020-21\n', {NAME}, ',', {VALUE}, '\n') as binary)").alias("content"),
+            )
+            landed = part if landed is None else landed.unionByName(part)
+        ingest(store, landed, f"b{run}")
+        files = landed.select("department_id", F.col("url").alias("source_url"), "content")
+        extract(store, store.read("raw_documents").join(files, ["department_id", "source_url"]), f"b{run}")
+        normalize(store, known, f"b{run}")
+    documents = store.read("dim_document").groupBy("document_id").agg(F.count(F.lit(1)).alias("documents"))
+    facts = store.read("fact_observation").join(store.read("dim_metric"), "metric_id").join(documents, "document_id")
+    return facts.groupBy("department_id", F.col("canonical_name").alias("metric"), "value_numeric", "documents").agg(F.countDistinct("observation_id").alias("facts"))
+
+
 class Again(Warehouse):
     """A store in which no commit is seen: a batch does all of its work again."""
 

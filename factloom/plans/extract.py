@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.keys import row_key
 from ..operators.cells import guarded_tables, header_records, rejected_tables, row_values_long, sheet_cells, sheet_rows, sheet_tables
 from ..operators.large_csv import csv_file_rows, csv_lines, csv_records
 from ..operators.tables import csv_tables, html_tables
@@ -17,11 +18,15 @@ READERS = {"csv": csv_tables, "html": html_tables, "xml": xml_tables}
 
 
 def pending_documents(documents: DataFrame, done: DataFrame, department: str | None = None, limit: int | None = None) -> DataFrame:
-    """Documents taken in with success and not worked on yet, optionally a bounded batch in id order."""
+    """Documents taken in with success and not worked on yet, optionally a bounded batch in id order.
+
+    With a department in ``done``, each department's own record of a document counts.
+    """
     pending = documents.filter("ingestion_status = 'success'")
     if department is not None:
         pending = pending.filter(F.col("department_id") == department)
-    pending = pending.join(done.select("document_id").distinct(), "document_id", "left_anti")
+    own = [c for c in ("document_id", "department_id") if c in done.columns]
+    pending = pending.join(done.select(*own).distinct(), own, "left_anti")
     return pending if limit is None else pending.orderBy("document_id").limit(limit)
 
 
@@ -58,9 +63,9 @@ def _sizes(headers: Column, cells: Column) -> list[Column]:
 
 
 def _per_document(every: DataFrame) -> DataFrame:
-    """Tables kept and skipped, headers and cells of each document."""
+    """Tables kept and skipped, headers and cells of each document in each department."""
     own = lambda c: F.sum(F.when(F.col("guard") == "kept", F.col(c)).otherwise(0)).alias(c)
-    return every.groupBy("document_id").agg(
+    return every.groupBy("document_id", "department_id").agg(
         F.count_if(F.col("guard") == "kept").alias("kept"), F.count_if(F.col("guard") != "kept").alias("skipped"),
         own("_headers"), own("_cells"),
     )
@@ -68,7 +73,7 @@ def _per_document(every: DataFrame) -> DataFrame:
 
 def _per_department(documents: DataFrame, per_document: DataFrame) -> DataFrame:
     total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
-    return documents.select("document_id", "department_id").join(per_document, "document_id", "left").groupBy("department_id").agg(
+    return documents.select("document_id", "department_id").join(per_document, ["document_id", "department_id"], "left").groupBy("department_id").agg(
         F.count(F.lit(1)).alias("documents"), total("kept", "tables_kept"), total("skipped", "tables_skipped"),
         total("_headers", "headers"), total("_cells", "cells"),
     )
@@ -77,7 +82,34 @@ def _per_department(documents: DataFrame, per_document: DataFrame) -> DataFrame:
 def extract_stats(documents: DataFrame, guarded: DataFrame) -> DataFrame:
     """Documents, tables kept and skipped, headers and cells per department."""
     cells = F.aggregate("rows", F.lit(0).cast("long"), lambda n, r: n + F.least(F.size(r), F.size("headers")))
-    return _per_department(documents, _per_document(guarded.select("document_id", "guard", *_sizes(F.size("headers"), cells))))
+    return _per_department(documents, _per_document(guarded.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), cells))))
+
+
+def with_owners(pending: DataFrame, done: DataFrame) -> DataFrame:
+    """One row for each document, its ``department_id`` an array of all departments that wait for it.
+
+    Columns are those of the first department's record. ``again`` marks the
+    departments that do not keep the plain ids of tables, as these belong to the
+    first department, or to one that was served before.
+    """
+    taken = done.select("document_id").distinct().withColumn("_taken", F.lit(True))
+    rest = [c for c in pending.columns if c != "document_id"]
+    folded = pending.groupBy("document_id").agg(
+        F.min_by(F.struct(*rest), "department_id").alias("d"), F.array_sort(F.collect_set("department_id")).alias("_departments")
+    ).join(taken, "document_id", "left")
+    again = lambda d: F.coalesce("_taken", F.lit(False)) | (d != F.col("d.department_id"))
+    return folded.select(
+        "document_id", *[F.col(f"d.{c}") for c in rest if c != "department_id"], F.col("d.department_id").alias("read_for"),
+        F.transform("_departments", lambda d: F.struct(d.alias("department_id"), again(d).alias("again"))).alias("department_id"),
+    )
+
+
+def for_owners(tables: DataFrame) -> DataFrame:
+    """Tables, or their rows, of ``with_owners`` for each department; ids are told apart by the department."""
+    return tables.withColumn("_owner", F.explode("department_id")).withColumns({
+        "department_id": F.col("_owner.department_id"),
+        "table_id": F.when(F.col("_owner.again"), row_key(F.col("table_id"), F.col("_owner.department_id"))).otherwise(F.col("table_id")),
+    }).drop("_owner")
 
 
 AWAITING_GRID = "awaiting_grid"
@@ -100,17 +132,21 @@ def extract(
     rows of workbooks; a workbook without its grid stays pending. Tables are left
     out only where a bound is given, and are then recorded as rejects.
     ``large_files`` is a folder of CSV files with ``files(uri, document_id)``;
-    these need no row in ``contents`` and are read by many tasks each. With
+    these need no row in ``contents`` and are read by many tasks each. A document
+    that several departments hold is read once, and each of them gets its tables;
+    ``contents`` has one row for it, or one for each ``department_id``. With
     ``only_batch`` just the documents that this batch took in are looked at.
     """
     known = warehouse.read("raw_documents", batch=batch if only_batch else None)
     done = warehouse.read("document_status", but_batch=batch).filter((F.col("stage") == "extract") & (F.col("status") != AWAITING_GRID))
     pending = pending_documents(known, done, department, limit)
-    # an address that several departments hold is read once, for the first of them
-    pending = pending.groupBy("document_id").agg(F.min_by(F.struct(*[c for c in pending.columns if c != "document_id"]), "department_id").alias("d")).select("document_id", "d.*")
-    documents = route(pending.join(contents.select("document_id", "content"), "document_id"))
+    shared = with_owners(pending, done)
+    on = ["document_id"]
+    if "department_id" in contents.columns:
+        contents, on = contents.withColumnRenamed("department_id", "read_for"), ["document_id", "read_for"]
+    documents = route(shared.join(contents.select(*on, "content"), on))
     bounds = {"max_tables": max_tables, "max_columns": max_columns, "min_rows": min_rows}
-    guarded = warehouse.staged(guarded_tables(extract_tables(documents), **bounds), "tables", batch)
+    guarded = for_owners(warehouse.staged(guarded_tables(extract_tables(documents), **bounds), "tables", batch))
     kept = guarded.filter("guard = 'kept'")
     tables, headers, cells, rejected = kept, header_records(kept), row_values_long(kept), rejected_tables(guarded)
     every = guarded.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), F.aggregate(
@@ -120,6 +156,7 @@ def extract(
 
     def add_rows(rows: DataFrame, name: str) -> None:
         nonlocal tables, headers, cells, rejected, every
+        rows = for_owners(rows)
         sheets = warehouse.staged(
             guarded_tables(sheet_tables(rows), **bounds, rows=F.col("row_count"), columns=F.size("headers")), name, batch
         )
@@ -134,7 +171,7 @@ def extract(
         path, named = large_files
         # one address for a document: copies of a file are read once
         named = named.groupBy("document_id").agg(F.min("uri").alias("uri"))
-        unread = pending.join(contents.select("document_id"), "document_id", "left_anti").filter(F.lower("file_format") == "csv")
+        unread = shared.join(contents.select("document_id"), "document_id", "left_anti").filter(F.lower("file_format") == "csv")
         large = warehouse.staged(unread.select("document_id", "department_id").join(named, "document_id"), "large_files", batch)
         once = lambda df, name: warehouse.staged(df, name, batch)
         records = csv_records(csv_lines(warehouse.spark, path).join(large.select("uri"), "uri", "left_semi"), once)
@@ -153,10 +190,11 @@ def extract(
     warehouse.append("row_values_long", cells, batch)
     warehouse.append("rejects", rejected, batch)
     per_document = _per_document(every)
-    status = documents.select("document_id", "reader").join(per_document, "document_id", "left")
+    owners = documents.select("document_id", "reader", F.explode("department_id").alias("_owner")).select("document_id", "reader", "_owner.department_id")
+    status = owners.join(per_document, ["document_id", "department_id"], "left")
     status = status.withColumn("_grid", F.lit(None).cast("boolean")) if seen is None else status.join(seen, "document_id", "left")
     warehouse.append("document_status", status.select(
-        "document_id", F.lit("extract").alias("stage"),
+        "document_id", "department_id", F.lit("extract").alias("stage"),
         F.when(F.col("reader") == "binary", "binary_content")
         .when(F.col("reader") == "unsupported", "unsupported_format")
         .when((F.col("reader") == "sheet") & F.col("_grid").isNull(), AWAITING_GRID)

@@ -14,12 +14,13 @@ from ..sources.warehouse import Warehouse
 
 
 def pending_tables(tables: DataFrame, documents: DataFrame, facts: DataFrame, department: str | None = None) -> DataFrame:
-    """Tables of known documents without any observation."""
+    """Tables of known documents without any observation; a table of one department is no other's."""
     own = documents.select("document_id", F.col("department_id").alias("department_id"))
     if department is not None:
         own = own.filter(F.col("department_id") == department)
+    on = [c for c in ("document_id", "department_id") if c in tables.columns]
     return (
-        tables.select("table_id", "document_id").join(own, "document_id")
+        tables.select("table_id", *on).join(own, on)
         .join(facts.select("table_id").distinct(), "table_id", "left_anti")
         .select("table_id", "document_id", "department_id").distinct()
     )
@@ -59,10 +60,10 @@ def normalize(
     tables = warehouse.read("extracted_tables", batch=own)
     documents = warehouse.read("raw_documents", batch=own)
     known = warehouse.read("fact_observation", but_batch=batch)
-    tried = warehouse.read("document_status", but_batch=f"{batch}.normalize").filter("stage = 'normalize'").select("document_id")
+    tried = warehouse.read("document_status", but_batch=f"{batch}.normalize").filter("stage = 'normalize'").select("document_id", "department_id")
     if only_batch:
         known, tried = known.limit(0), tried.limit(0)  # what this batch extracted, no other has normalised
-    pending = pending_tables(tables, documents, known, department).join(tried, "document_id", "left_anti")
+    pending = pending_tables(tables, documents, known, department).join(tried, ["document_id", "department_id"], "left_anti")
     if max_tables is not None:
         pending = pending.orderBy("document_id", "table_id").limit(max_tables)
     pending = warehouse.staged(pending, "pending", batch)
@@ -98,9 +99,10 @@ def normalize(
     warehouse.append("bridge_observation_attribute", bridge, batch)
     warehouse.merge("dim_attribute_value", values, batch)
 
-    failed = bad.select("document_id").distinct().withColumn("_failed", F.lit(True))
-    status = pending.select("document_id").distinct().join(failed, "document_id", "left").select(
-        "document_id", F.lit("normalize").alias("stage"), F.when(F.col("_failed"), "with_errors").otherwise("normalized").alias("status")
+    own_document = ["document_id", "department_id"]
+    failed = bad.select(*own_document).distinct().withColumn("_failed", F.lit(True))
+    status = pending.select(*own_document).distinct().join(failed, own_document, "left").select(
+        *own_document, F.lit("normalize").alias("stage"), F.when(F.col("_failed"), "with_errors").otherwise("normalized").alias("status")
     )
     warehouse.append("document_status", status, f"{batch}.normalize")
     lost = bad.groupBy("department_id").agg(F.count(F.lit(1)).alias("tables_failed"))

@@ -122,8 +122,8 @@ LAYERS: dict[str, Layer] = {
         ["layer", "record_id"], ["layer", "record_id", "reason"], {"rejected_at": "current_timestamp()"},
     ),
     "document_status": Layer(
-        "document_id string, stage string, status string, tables_kept bigint, tables_skipped bigint, updated_at timestamp",
-        ["document_id", "stage"], ["document_id", "stage"], {"updated_at": "current_timestamp()"},
+        "document_id string, department_id string, stage string, status string, tables_kept bigint, tables_skipped bigint, updated_at timestamp",
+        ["document_id", "department_id", "stage"], ["document_id", "stage"], {"updated_at": "current_timestamp()"},
     ),
     "batch_commits": Layer(
         "batch string, committed_at timestamp", ["batch"], ["batch"], {"committed_at": "current_timestamp()"},
