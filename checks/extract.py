@@ -170,6 +170,29 @@ xml_check("generic_xml_extract", i.GENERIC_BLOB, """values (0, 0, 'id', '$key'),
           key("p_partkey", "'generic_xml'", "'row'"))
 
 
+LINES = "select l_orderkey as o, l_linenumber as n, l_partkey as p, l_suppkey as s, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as r from lineitem"
+
+
+@check("html_nested", f"""with l as ({LINES}),
+inside as (select o, r, 0 as c, 'No' as h, cast(n as varchar) as v from l union all select o, r, 1, 'Part', cast(p as varchar) from l),
+outside as (select o, 0 as r, 0 as c, cast(o as varchar) as v from l where r = 0 union all select o, 0, 1, 'NoPart' || string_agg(concat(n, p), '' order by r) from l group by o
+  union all select o, 1, 0, 'No' from l where r = 0 union all select o, 1, 1, 'Part' from l where r = 0 union all select o, r + 2, c, v from inside)
+select cast(o as varchar) as document_id, {key('o', "'html'", '0')} as table_id, cast(0 as bigint) as table_index, cast(r as bigint) as source_row_number,
+  cast(c as bigint) as source_column_number, case c when 0 then 'Order' else 'Lines' end as header_raw, v as value_raw from outside
+union all select cast(o as varchar), {key('o', "'html'", '1')}, 1, r, c, h, v from inside""")
+def _(spark, sf):
+    return flat(html_tables(i.line_blobs(spark, sf, i.NESTED_HTML)))
+
+
+@check("xml_nested", f"""with l as ({LINES}), t as (select *, count(*) over (partition by o) as lines, max(n % 2 = 0) over (partition by o) as twice from l),
+cells as (select o, r, 0 as c, 'line' as h, case when n % 2 = 0 then cast(s as varchar) end as v from t where lines >= 2 and twice
+  union all select o, r, cast(twice as int), 'no', cast(n as varchar) from t where lines >= 2 union all select o, r, 1 + cast(twice as int), 'part', cast(p as varchar) from t where lines >= 2)
+select cast(o as varchar) as document_id, {key('o', "'generic_xml'", "'line'")} as table_id, cast(0 as bigint) as table_index, cast(r as bigint) as source_row_number,
+  cast(c as bigint) as source_column_number, h as header_raw, v as value_raw from cells""")
+def _(spark, sf):
+    return flat(xml_tables(i.line_blobs(spark, sf, i.NESTED_XML)))
+
+
 @check("xml_route", f"""select cast(p_partkey as varchar) as document_id, case cast(p_partkey % 5 as int) when 0 then 'sdmx_data' when 1 then 'sdmx_structure'
   when 2 then 'generic' when 3 then 'spreadsheet' else 'malformed' end as route from part""")
 def _(spark, sf):

@@ -248,6 +248,21 @@ def xml_blobs(spark, sf_dir, text=XML_BLOB):
     return blobs(spark, sf_dir, "part", "'statcan'", "cast(p_partkey as string)", text)
 
 
+# --- files in which elements stand within others of their name: one per order, from its lines ---
+
+NESTED_HTML = """concat('<table><tr><th>Order</th><th>Lines</th><th> </th></tr><tr><td>', l_orderkey, '</td><td><TABLE border="0"><tr><th>No</th><th>Part</th></tr>',
+ array_join(transform(line, x -> concat('<tr><td>', x.l_linenumber, '<td>', x.l_partkey, '</td></tr>')), ''), '</TABLE></td><td>drop</td></tr></table>')"""
+NESTED_XML = """concat('<line><head>h</head>', array_join(transform(line, x -> concat(case when x.l_partkey % 2 = 0 then '<line' else '<x:line xmlns:x="u"' end, ' no="', x.l_linenumber, '"><part>', x.l_partkey,
+ '</part>', case when x.l_linenumber % 2 = 0 then concat('<line no="inner">', x.l_suppkey, '<part>inner</part></line>') else '' end, case when x.l_partkey % 2 = 0 then '</line>' else '</x:line>' end)), ''), '</line>')"""
+
+
+def line_blobs(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.expr("array_sort(collect_list(struct(l_linenumber, l_partkey, l_suppkey)))").alias("line")
+    )
+    return lines.selectExpr("'fin' as department_id", "cast(l_orderkey as string) as document_id", "'' as title", f"{text} as text")
+
+
 # --- star schema over line items ---------------------------------------------
 
 METRIC_NAME = "concat(p_type, ' ', p_brand)"

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import row_key
 from ..functions.markup import HTML_NAMES, references
+from ..functions.nesting import LABEL, nested_tables
 from ..functions.text import WS, not_blank, strip
 
 TABLE_FIELDS = [
@@ -116,9 +117,11 @@ def csv_tables(documents: DataFrame, offset: int = 0) -> DataFrame:
 
 
 HTML_DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-HTML_TABLE = r"(?is)<table\b.*?</table\s*>"
-HTML_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\b|<tr\b|</table\b)"
-HTML_CELL = r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]\b|<t[hd]\b|</tr\b|\z)"
+# Looking ahead, a pattern finds elements inside elements too; see functions.nesting for the label.
+HTML_TABLE = rf"(?is)(?=<table({LABEL})\b([^>]*>.*?)(?:</table\1\b|\z))"
+HTML_ROW = rf"(?is)(?=<tr({LABEL})\b[^>]*>(.*?)(?:</?tr\1\b|</table\1\b|\z))"
+HTML_CELL = rf"(?is)(?=<t[hd]({LABEL})\b[^>]*>(.*?)(?:</?t[hd]\1\b|</?tr\1\b|</table\1\b|\z))"
+
 
 def markup_text(markup: Column) -> Column:
     """Text of a fragment: every text node stripped, then joined without separator."""
@@ -127,14 +130,18 @@ def markup_text(markup: Column) -> Column:
 
 
 def html_tables(documents: DataFrame) -> DataFrame:
-    """One table per ``<table>`` element; ``table_index`` counts all of them, kept or not."""
-    clean = F.regexp_replace("text", HTML_DROPPED, "")
+    """One table per ``<table>`` element; ``table_index`` counts all of them, kept or not, in the order of their first tags.
+
+    A table inside another is a table of its own, and its rows and cells count in
+    the outer one too: a row there has the cells of all tables that it holds.
+    """
+    clean = nested_tables(F.regexp_replace("text", HTML_DROPPED, ""))
     tables = documents.select(
         "department_id", "document_id", F.nullif("title", F.lit("")).alias("table_title_raw"),
-        F.posexplode(F.regexp_extract_all(clean, F.lit(HTML_TABLE), F.lit(0))).alias("table_index", "markup"),
+        F.posexplode(F.regexp_extract_all(clean, F.lit(HTML_TABLE), F.lit(2))).alias("table_index", "markup"),
     )
-    rows = F.regexp_extract_all(F.col("markup"), F.lit(HTML_ROW), F.lit(1))
-    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(HTML_CELL), F.lit(1)), markup_text)
+    rows = F.regexp_extract_all(F.col("markup"), F.lit(HTML_ROW), F.lit(2))
+    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(HTML_CELL), F.lit(2)), markup_text)
     grids = tables.select(
         "department_id", "document_id", "table_title_raw", F.col("table_index").cast("long"),
         F.transform(rows, cells).alias("grid"),

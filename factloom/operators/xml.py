@@ -1,9 +1,9 @@
 """Tables from XML documents: statistical data, statistical code lists, repeated elements.
 
 Elements are cut with regular expressions inside the row of their document.
-Comments go, CDATA is escaped and ill-formed text refused beforehand. Limits: an
-element nested in another of the same name is not told apart, and prefixed
-attributes keep their prefix.
+Comments go, CDATA is escaped and ill-formed text refused beforehand. Where an
+element stands in another of the same name, tags are labelled with their depth
+first. Prefixed attributes keep their prefix.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import row_key
-from ..functions.markup import XML_NAMES, is_balanced, plain_xml, references
+from ..functions.markup import XML_NAMES, element_shape, plain_xml, references
+from ..functions.nesting import LABEL, nested_elements
 
 _PREFIX = r"(?:[\w.-]+:)?"
 _ATTRIBUTE = r"""([\w:.-]+)\s*=\s*(?:"[^"]*"|'[^']*')"""
 _ATTRIBUTE_VALUE = r"""[\w:.-]+\s*=\s*["']((?:(?<=")[^"]*)|(?:(?<=')[^']*))["']"""
-_CHILD = rf"(?s)<{_PREFIX}([\w.-]+)(?=[\s/>])([^>]*?)(?:/>|>(.*?)</{_PREFIX}\1\s*>)"
+_CHILD = rf"(?s)<{_PREFIX}([\w.-]+{LABEL})(?=[\s/>])([^>]*?)(?:/>|>(.*?)</{_PREFIX}\1\s*>)"
 _PROLOG = r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
 
 # Root elements of spreadsheet formatting files, which hold no data.
@@ -29,12 +30,12 @@ def local_name(tag: Column) -> Column:
 
 
 def _element(name: str) -> str:
-    return rf"(?s)<{_PREFIX}{name}(?=[\s/>])(?:[^>]*?/>|[^>]*>.*?</{_PREFIX}{name}\s*>)"
+    return rf"(?s)(?=(<{_PREFIX}{name}({LABEL})(?=[\s/>])(?:[^>]*?/>|[^>]*>.*?</{_PREFIX}{name}\2\s*>)))"
 
 
 def find_elements(text: Column, name: str) -> Column:
-    """Source text of every element with this local name."""
-    return F.regexp_extract_all(text, F.lit(_element(name)), F.lit(0))
+    """Source text of every element with this local name, those inside each other too."""
+    return F.regexp_extract_all(text, F.lit(_element(name)), F.lit(1))
 
 
 def _open_tag(element: Column) -> Column:
@@ -80,18 +81,23 @@ def _row(entries: Column, headers: Column) -> Column:
 
 def xml_route(text: Column) -> Column:
     """``malformed``, ``spreadsheet``, ``sdmx_data``, ``sdmx_structure`` or ``generic``."""
-    return _route(plain_xml(text))
+    plain = plain_xml(text)
+    return _route(plain, element_shape(_body(plain))["balanced"])
 
 
-def _route(text: Column) -> Column:
-    body = F.regexp_replace(text, _PROLOG, "")
+def _body(text: Column) -> Column:
+    return F.regexp_replace(text, _PROLOG, "")
+
+
+def _route(text: Column, balanced: Column) -> Column:
+    body = _body(text)
     root = F.regexp_extract(body, r"^<([\w:.-]+)", 1)
     closed = F.regexp_extract(body, r"(?s)</([\w:.-]+)\s*>\s*$", 1) == root
     self_closed = body.rlike(r"(?s)^<[^>]*/>\s*$")
     has = lambda name: body.rlike(rf"<{_PREFIX}{name}(?=[\s/>])")
     return (
         F.when(F.coalesce(root, F.lit("")) == "", "malformed")
-        .when(~(closed | self_closed) | ~is_balanced(body), "malformed")
+        .when(~(closed | self_closed) | ~balanced, "malformed")
         .when(local_name(root).isin(SPREADSHEET_ROOTS), "spreadsheet")
         .when(has("Series") & has("Obs"), "sdmx_data")
         .when(has("Codelist") | has("ConceptScheme"), "sdmx_structure")
@@ -148,7 +154,10 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
     routed = documents.select(
         "department_id", "document_id", F.nullif("title", F.lit("")).alias("title"),
         plain_xml(F.col("text")).alias("text"),
-    ).withColumn("route", _route(F.col("text")))
+    ).withColumn("shape", element_shape(_body(F.col("text")))).select(
+        "department_id", "document_id", "title", _route(F.col("text"), F.col("shape.balanced")).alias("route"),
+        F.when(F.col("shape.balanced") & F.col("shape.nested"), nested_elements(_body(F.col("text")))).otherwise(F.col("text")).alias("text"),
+    )
     if routes is not None:
         routed = routed.filter(F.col("route").isin(routes))
 

@@ -64,6 +64,46 @@ def test_xml(spark):
     }
 
 
+def test_nested_html_tables_are_tables_of_their_own_and_part_of_the_outer_one(spark):
+    inner = "<table><tr><th>x</th><th>y</th></tr><tr><td>1</td><td>2</td></tr></table>"
+    got = tables(
+        spark, html_tables,
+        f"<table><tr><th>A</th><th>B</th></tr><tr><td>out</td><td>{inner}</td></tr><tr><td>p<td>q</table><TABLE><tr><td>h<tr><td>v</TABLE>",
+        f"</table><table><tr><td>A<tr><td><table><tr><td>I<tr><td>{inner}</table>after",
+        "<table><tr><th>open</th></tr><tr><td>end",
+    )
+    inside = (["x", "y"], [["1", "2"]])
+    assert got == {
+        "0": (["A", "B"], [["out", "xy12"], ["x", "y"], ["1", "2"], ["p", "q"]]), "0/1": inside, "0/2": (["h"], [["v"]]),
+        "1": (["A"], [["Ixy12after"], ["I"], ["xy12"], ["x"], ["1"]]), "1/1": (["I"], [["xy12"], ["x"], ["1"]]), "1/2": inside,
+        "2": (["open"], [["end"]]),
+    }
+
+
+def test_depth_of_many_tables(spark):
+    """More tables than one chunk of the running depth, and a nest as deep as a chunk and more."""
+    many = "<table><tr><td>h</td></tr><tr><td>a<table><tr><td>i</td></tr><tr><td>b</td></tr></table></td></tr></table>" * 700
+    deep = "<table>" * 600 + "<tr><td>h</td></tr><tr><td>v</td></tr>" + "</table>" * 600
+    got = tables(spark, html_tables, many, deep)
+    assert sum(1 for k in got if k.split("/")[0] == "0") == 1400 and got["0/1399"] == (["i"], [["b"]])
+    assert got["0/1398"] == (["h"], [["aib"], ["i"], ["b"]])
+    assert [got[f"1/{n}"] for n in (1, 511, 512, 599)] == [(["h"], [["v"]])] * 4
+
+
+def test_xml_elements_within_elements_of_their_name(spark):
+    got = tables(
+        spark, xml_tables,
+        "<r><i k='1'><n>a</n><i k='no'><n>no</n></i></i><b:i xmlns:b='u' k='2'><n>c<n>d</n></n></b:i><i/></r>",
+        '<D><DataSet><Series A="1"><Obs V="5"/><Series A="2"><Obs V="6"></Obs></Series></Series></DataSet></D>',
+        '<S><Codelist id="C"><Code value="1"><Code value="2"><Name>x</Name></Code></Code></Codelist></S>',
+    )
+    assert got == {
+        "0": (["i", "k", "n"], [["", "1", "a"], [None, "2", "c"], [None, None, None]]),
+        "1": (["A", "V"], [["1", "5"], ["1", "6"], ["2", "6"]]),
+        "2": (["Code", "Name", "value"], [["", None, "1"], [None, "x", "2"]]),
+    }
+
+
 def test_cells_and_headers(spark):
     df = spark.createDataFrame([("d", "1", "T", "Name,Total: \n Ann ,1,5\n,x%\n")], SCHEMA)
     made = csv_tables(df)
