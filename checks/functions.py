@@ -14,6 +14,7 @@ from factloom.functions.text import (
 )
 from factloom.operators.cells import find_column
 from factloom.operators.classify import classify_and_resolve, classify_headers, flat_periods
+from factloom.operators.quality import refused_periods
 from factloom.operators.reshape import composite_labels, headers_of
 
 from . import inputs as i
@@ -63,6 +64,45 @@ def _(spark, sf):
     return parsed.select("o_orderkey", "raw", *flat_periods(parsed), F.col("period").isNotNull().alias("is_time_like"))
 
 
+Y, M = "year(l_shipdate)", "month(l_shipdate)"
+TWO = lambda x: f"lpad(cast(({x}) % 100 as string), 2, '0')"
+# Spellings of periods, taken and refused, and texts that are none, with the reason that each was made to have.
+SPELLED = [
+    (f"concat({Y}, '-', {TWO(Y + ' + 1')})", "case when year = 1999 then 'century_turn' end"),
+    (f"concat(' ', {Y}, '-', {TWO(Y + ' + 3')})", "case when (year + 3) % 100 between 1 and 12 then 'year_and_month' else 'years_not_neighbours' end"),
+    (f"concat({Y}, '-', {TWO(M)})", "case when (year + 1) % 100 <> month(l_shipdate) then 'year_and_month' end"),
+    (f"cast({Y} + 200 as string)", "'year_out_of_range'"),
+    (f"concat('SEPT ', {Y})", "'unknown_month'"),
+    (f"concat('Q', quarter(l_shipdate), ' ', {Y})", "'quarter'"),
+    ("cast(cast(l_shipdate as date) as string)", "'day'"),
+    (f"concat('January 31, ', {Y})", "'day'"),
+    (f"concat({Y}, ' to ', {Y} + 2)", "'range_of_years'"),
+    (f"concat('March ', {Y} - 150)", "'year_out_of_range'"),
+    (f"concat('Projection ', {Y}, '-', {Y} + 5)", "'years_not_neighbours'"),
+    (f"concat('Population ', {Y})", "null"),
+    ("l_returnflag", "null"),
+    ("'1999-00'", "'century_turn'"),
+    (f"concat({Y}, '/99')", "'other_form'"),
+    (f"concat('Year ', {M}, ' of ', {M})", "'other_form'"),
+    (f"case when {M} > 6 then '' end", "null"),
+    (f"concat('Actual ', {Y})", "null"),
+]
+SPELLING = f"case cast(l_partkey % {len(SPELLED)} as int) {' '.join(f'when {n} then {made}' for n, (made, _) in enumerate(SPELLED))} end"
+PERIOD_WORDS = """'january','jan','janvier','february','feb','février','march','mar','mars','april','apr','avril','may','mai','june','jun','juin','july','jul','juillet','august','aug','août',
+ 'september','sep','septembre','october','oct','octobre','november','nov','novembre','december','dec','décembre','janv','févr','mär','avr','juil','sept','déc','q','quarter','trimestre',
+ 'to','à','and','et','year','fiscal','fy','calendar','projection','forecast','actual','historical','baseline','prévision'"""
+
+
+@check("refused_periods", f"""with t as (select {SPELLING} as text, case cast(l_partkey % {len(SPELLED)} as int) {' '.join(f'when {n} then {r}' for n, (_, r) in enumerate(SPELLED))} end as reason
+  from (select *, year(l_shipdate) as year from lineitem)),
+w as (select *, regexp_extract_all(lower(text), '[a-zà-öø-ÿœ]+|[0-9]+') as words from t where reason is not null),
+s as (select *, coalesce(list_sum(list_transform(list_filter(words, lambda x: x in ({PERIOD_WORDS}) or regexp_matches(x, '^([0-9]{{4}}|[0-9]{{1,2}})$')), lambda x: length(x))), 0)
+  / list_sum(list_transform(words, lambda x: length(x))) as share from w)
+select text, round(cast(share as double), 4) as score, reason, count(*) as occurrences from s group by all""")
+def _(spark, sf):
+    return refused_periods(spread(spark, sf, "lineitem").selectExpr(f"{SPELLING} as spelled"), "spelled")
+
+
 @check("dimension_keys", f"""
 select 'metric' as kind, p_name as label, {entity('metric', 'p_name')} as id, count(*) as uses from part group by p_name
 union all select 'geo', n_name, {entity('geo', 'n_name')}, count(*) from customer join nation on c_nationkey = n_nationkey group by n_name

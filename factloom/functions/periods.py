@@ -30,6 +30,14 @@ MONTH_PATTERN = rf"^([a-zéûî]+)\.?{WS}+(\d{{4}})$"
 RANGE_PATTERN = rf"^([a-zéûî]+){WS}+to{WS}+([a-zéûî]+){WS}+(\d{{4}}[-–](?:\d{{4}}|\d{{2}}))$"
 RELATIVE_PATTERN = rf"^year{WS}+(\d+)$"
 
+# Month spellings and words of periods that are known but not taken.
+SHORT_MONTHS = ["janv", "févr", "mär", "avr", "juil", "sept", "déc"]
+QUARTER_WORDS = ["q", "quarter", "trimestre"]
+SPAN_WORDS = ["to", "à", "and", "et"]
+YEAR_WORDS = ["year", "fiscal", "fy", "calendar"]
+DAY_PATTERN = r"^(?:\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4})$"
+MIN_PERIOD_SCORE = 0.6
+
 PERIOD_FIELDS = [
     "time_type", "label", "start_date", "end_date", "is_projection", "scenario_hint",
 ]
@@ -146,3 +154,58 @@ def with_period(df: DataFrame, source: Column, out: str, century_roll: bool = Fa
 def with_is_time_like(df: DataFrame, source: Column, out: str = "is_time_like") -> DataFrame:
     parsed = with_period(df, source, "_period")
     return parsed.withColumn(out, F.col("_period").isNotNull()).drop("_period")
+
+
+def with_refusal(
+    df: DataFrame, source: Column, out: str = "refusal", min_score: float = MIN_PERIOD_SCORE, century_roll: bool = False
+) -> DataFrame:
+    """Add ``out``, a struct of ``score`` and ``reason`` for a text that looks like a period and is none, else NULL.
+
+    The score is the share of letters and digits that stand in words of the
+    period grammar: month names, words for years, quarters, spans and scenarios,
+    numbers of four digits or of at most two. A text looks like a period from
+    ``min_score`` on, if it has a number of four digits, or any number beside
+    the name of a month or a word for a year or a quarter. Reasons, first that holds:
+    ``year_out_of_range``, ``century_turn`` (``1999-00``), ``year_and_month``
+    (``2020-01``), ``years_not_neighbours``, ``quarter``, ``day``,
+    ``unknown_month``, ``range_of_years``, ``other_form``. NULL and blank texts
+    and accepted periods give NULL.
+    """
+    kept = [F.col(c) for c in df.columns if c != out]
+    months = [name for names in MONTHS.values() for name in names]
+    grammar = sql_list([*months, *SHORT_MONTHS, *QUARTER_WORDS, *SPAN_WORDS, *YEAR_WORDS, *SCENARIO_WORDS])
+    number = "x RLIKE '^[0-9]+$'"
+    some = lambda words: f"exists(_words, x -> x IN {sql_list(words)})"
+    letters = lambda condition: f"aggregate(filter(_words, x -> {condition}), 0, (n, x) -> n + length(x))"
+    start = f"try_cast({_extract(FISCAL_PATTERN, 1, '_body')} AS int)"
+    end = _extract(FISCAL_PATTERN, 2, "_body")
+    staged = (
+        with_period(df, source, "_accepted", century_roll)
+        .withColumn("_text", F.when(F.col("_accepted").isNull(), strip(F.lower(source))))
+        .selectExpr(
+            "*", r"regexp_extract_all(_text, '[a-zà-öø-ÿœ]+|[0-9]+', 0) AS _words",
+            f"btrim(regexp_replace(_text, {sql_text('^(?:' + '|'.join(SCENARIO_WORDS) + ')')}, ''), {sql_text(BLANKS)}) AS _body",
+        )
+        .selectExpr(
+            "*", f"{letters(f'x IN {grammar} OR x RLIKE {chr(39)}^([0-9]{{4}}|[0-9]{{1,2}})${chr(39)}')} / nullif({letters('true')}, 0) AS _score",
+            "size(filter(_words, x -> x RLIKE '^[0-9]{4}$')) AS _years",
+            f"size(filter(_words, x -> {number})) AS _numbers",
+            f"{some(months)} AS _in_month",
+            f"{_extract(MONTH_PATTERN, 1)} AS _name",
+        )
+        .selectExpr(
+            "*", f"_score >= {min_score}D AND (_years > 0 OR (_numbers > 0 AND (_in_month OR {some([*SHORT_MONTHS, *QUARTER_WORDS, *YEAR_WORDS])}))) AS _looks",
+            f"{start} AS _start", f"{end} AS _end",
+        )
+    )
+    reason = F.expr(
+        f"CASE WHEN _body RLIKE '^[0-9]{{4}}$' OR _start < 1000 OR {month_number('_name')} IS NOT NULL THEN 'year_out_of_range' "
+        "WHEN length(_end) = 2 AND pmod(_start + 1, 100) = try_cast(_end AS int) THEN 'century_turn' "
+        "WHEN length(_end) = 2 AND try_cast(_end AS int) BETWEEN 1 AND 12 THEN 'year_and_month' "
+        "WHEN _end != '' THEN 'years_not_neighbours' "
+        f"WHEN {some(QUARTER_WORDS)} THEN 'quarter' "
+        f"WHEN _body RLIKE {sql_text(DAY_PATTERN)} OR (_in_month AND _years = 1 AND _numbers = 2) THEN 'day' "
+        f"WHEN {some(SHORT_MONTHS)} THEN 'unknown_month' WHEN _years > 1 THEN 'range_of_years' ELSE 'other_form' END"
+    )
+    refusal = F.struct(F.round("_score", 4).alias("score"), reason.alias("reason"))
+    return staged.select(*kept, F.when(F.col("_looks"), refusal).alias(out))

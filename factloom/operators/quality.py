@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.periods import MIN_PERIOD_SCORE, with_refusal
 from ..schemas import LAYERS
 
 MIN_CONFIDENCE = 0.8
@@ -125,6 +126,18 @@ def conflicting_units(facts: DataFrame, metric: str = "metric_id", unit: str = "
     )
 
 
+def refused_periods(texts: DataFrame, column: str, min_score: float = MIN_PERIOD_SCORE) -> DataFrame:
+    """``(text, score, reason, occurrences)`` of every text in ``column`` that looks like a period and was refused.
+
+    Texts are folded first, so each is looked at once, however often it occurs.
+    """
+    folded = texts.groupBy(F.col(column).alias("text")).agg(F.count(F.lit(1)).alias("occurrences"))
+    judged = with_refusal(folded, F.col("text"), "_refusal", min_score)
+    # a generator, as a filter would be pushed below the rules and run them twice
+    found = judged.select("text", "occurrences", F.inline(F.array_compact(F.array("_refusal"))))
+    return found.select("text", "score", "reason", "occurrences")
+
+
 def layer_report(layers: dict[str, DataFrame]) -> DataFrame:
     """Rows, required values that are missing and repeated keys of each layer, by its declared constraints."""
     parts = []

@@ -155,3 +155,22 @@ def test_files(spark):
     assert [r.t for r in texts.select(decode_text(F.col("c")).alias("t")).collect()] == ["é", "é"]
     uris = apply(spark, uri_parts, ["gs://b/x/y.csv", "s3://b/x", "gs://b"])
     assert tuple(uris[0]) == ("b", "x/y.csv", None) and uris[1].error and tuple(uris[2]) == ("b", "", None)
+
+
+def test_refused_periods_carry_a_reason(spark):
+    from factloom.functions.periods import with_refusal
+    from factloom.operators.quality import refused_periods
+
+    want = {
+        "2020-21": None, "2020": None, "June 2020": None, "April to June 2020-21": None, "Year 3": None, "": None, None: None, "total": None,
+        "population 2016": None, "12": None, "123456": None, "1,234.50": None, "forecast": None,
+        "1899": "year_out_of_range", "mars 2150": "year_out_of_range", "0999-00": "year_out_of_range", "1999-00": "century_turn", "2020-01": "year_and_month",
+        "2020-22": "years_not_neighbours", "Forecast 2020–2023": "years_not_neighbours", "2020 Q3": "quarter", "1 trimestre 2020": "quarter", "31/12/2020": "day",
+        "2020-12-31": "day", "December 31, 2020": "day", "janv. 2020": "unknown_month", "2019 to 2021": "range_of_years", "June": None, "June 20": "other_form", "2020/21": "other_form",
+    }
+    rows = [(k, "kept") for k in want]
+    got = {r.t: r.refusal and r.refusal.reason for r in with_refusal(spark.createDataFrame(rows, "t string, note string"), F.col("t")).collect()}
+    assert got == want
+    found = refused_periods(spark.createDataFrame([("2019 to 2021",)] * 3 + [("2020",), (None,)], "t string"), "t").collect()
+    assert [tuple(r) for r in found] == [("2019 to 2021", 1.0, "range_of_years", 3)]
+    assert refused_periods(spark.createDataFrame([], "t string"), "t").count() == 0
