@@ -13,7 +13,7 @@ from factloom.functions.text import (
     infer_geo_type, is_measure_year_header, normalize_header,
 )
 from factloom.operators.cells import find_column
-from factloom.operators.classify import classify_and_resolve, classify_headers, flat_periods
+from factloom.operators.classify import classify_and_resolve, classify_headers, classify_texts, flat_periods
 from factloom.operators.quality import refused_periods
 from factloom.operators.reshape import composite_labels, headers_of
 
@@ -155,6 +155,24 @@ def _(spark, sf):
     return classify_headers(headers, "raw", Dictionaries.default(spark)).select("p_partkey", "normalized", "verdict.*")
 
 
+# Headers and row labels of line items: one text fills a third of the rows, an empty or missing one another part of them.
+HEADER_OF_LINE = f"case when l_suppkey % 3 = 0 then 'Ontario' when l_suppkey % 7 = 0 then '' when l_suppkey % 11 = 0 then null else {i.HEADER_TEXT} end"
+LABEL_OF_LINE = "case when l_suppkey % 5 = 0 then p_brand else concat(year(l_shipdate), '') end"
+LINE_KEY = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
+
+
+@check("classify_distinct", f"""with src as (select {LINE_KEY} as k, unnest(['header', 'label']) as part, unnest([{HEADER_OF_LINE}, {LABEL_OF_LINE}]) as raw from lineitem join part on l_partkey = p_partkey),
+{classify_ctes('src', 'raw', 'c')} select k, part, cls as header_class, method, metric_id, time_id, geography_id from c""")
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.expr("l_partkey = p_partkey")).selectExpr(
+        f"{LINE_KEY} as k", f"{HEADER_OF_LINE} as header", f"{LABEL_OF_LINE} as label"
+    )
+    read = classify_texts(lines, {"header": "h", "label": "l"}, Dictionaries.default(spark))
+    return read.select("k", F.expr("stack(2, 'header', h, 'label', l) as (part, c)")).select(
+        "k", "part", "c.verdict.header_class", "c.verdict.method", "c.mapping.metric_id", "c.mapping.time_id", "c.mapping.geography_id"
+    )
+
+
 LABELS_SQL = f"select o_orderkey as k, {i.TIME_LABEL} as raw from orders union all select -1 - p_partkey, {i.HEADER_TEXT} from part"
 
 

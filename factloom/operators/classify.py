@@ -1,8 +1,8 @@
 """Header classification and resolution to dimension keys.
 
 Both are map-side: the dictionary is one small look-up table joined on the
-normalised text, and the rest is one chain of expressions. No shuffle of the
-headers, so a text that fills a third of the rows costs nothing extra.
+normalised text, and the rest is one chain of expressions. ``classify_texts``
+does this for distinct texts only and hands the results back to the rows.
 """
 
 from __future__ import annotations
@@ -96,6 +96,35 @@ def classify_and_resolve(df: DataFrame, header: str, dictionaries: Dictionaries)
     return found if dictionaries.decided is None or "department_id" not in df.columns else with_decisions(found, dictionaries.decided)
 
 
+SALTS = 16
+
+
+def classify_texts(df: DataFrame, texts: dict[str, str], dictionaries: Dictionaries, salts: int = SALTS) -> DataFrame:
+    """Add for each text column of ``texts`` a struct of ``verdict`` and ``mapping``, each distinct text classified once.
+
+    All columns share one table of texts, folded before it is shuffled; where
+    decisions hold, texts of different departments and document types are kept
+    apart. Results go back to the rows by text and one of ``salts`` numbers, so
+    that a text of a third of all rows is many keys; the table of texts is the
+    one that is multiplied. NULL counts as the empty text. Meant for narrow
+    rows: a wide row is better served by ``classify_and_resolve``, which does
+    not move it.
+    """
+    scope = [c for c in ("department_id", "document_type") if dictionaries.decided is not None and c in df.columns]
+    each = F.explode(F.array_distinct(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in texts]))).alias("_spelled")
+    known = classify_and_resolve(df.select(*scope, each).distinct(), "_spelled", dictionaries).select(
+        *[F.col(c).alias(f"_in_{c}") for c in scope], "_spelled", F.struct("verdict", "mapping").alias("_known"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    found = df.withColumn("_dealt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    for text, out in texts.items():
+        same = (F.coalesce(F.col(text), F.lit("")) == F.col("_spelled")) & (F.col("_dealt") == F.col("_salt"))
+        for c in scope:
+            same &= F.col(c).eqNullSafe(F.col(f"_in_{c}"))
+        found = found.join(known, same, "left").drop("_spelled", "_salt", *[f"_in_{c}" for c in scope]).withColumnRenamed("_known", out)
+    return found.drop("_dealt")
+
+
 #: The class that a text has once an entity of a type was chosen for it.
 DECIDED_CLASS = {"metric": "metric", "time": "time", "geography": "geography", "scenario": "scenario", "attribute_type": "attribute"}
 

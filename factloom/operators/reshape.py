@@ -26,7 +26,7 @@ from ..functions.text import (
     blank_to_null, header_without_years, header_year, is_measure_year_header, names_geo_id, strip,
 )
 from .candidates import DECIDING
-from .classify import classify_and_resolve, with_geography_key
+from .classify import classify_and_resolve, classify_texts, with_geography_key
 from .ordinals import block_of, spread, with_ordinal
 
 # Column names looked for, in order of preference.
@@ -77,21 +77,14 @@ def table_specs(headers: DataFrame, dictionaries: Dictionaries) -> DataFrame:
     ``headers(department_id, table_id, column_number, header_raw)``.
     """
     text = F.col("header_raw")
-    known = classify_and_resolve(
-        headers.select("department_id", "table_id", "column_number", F.coalesce(text, F.lit("")).alias("header_raw"), *_kind_of_document(headers)),
-        "header_raw", dictionaries,
-    )
+    known = headers.select("department_id", "table_id", "column_number", F.coalesce(text, F.lit("")).alias("header_raw"), *_kind_of_document(headers))
     measured = known.withColumn("_year_measure", is_measure_year_header(text)).withColumn(
         "_year_label", F.when(F.col("_year_measure"), header_without_years(text))
-    ).withColumnRenamed("mapping", "_mapping").withColumnRenamed("verdict", "_verdict").drop(
-        "normalized", "period", "term"
     )
-    labelled = classify_and_resolve(measured, "_year_label", dictionaries).select(
-        *measured.columns,
-        F.when(F.col("_year_measure"), F.when(F.col("_verdict.method").isin(DECIDING), F.col("_mapping.metric_id")).otherwise(F.col("mapping.metric_id")))
-        .alias("_year_metric"),
+    labelled = classify_texts(measured, {"header_raw": "_own", "_year_label": "_year"}, dictionaries).withColumn(
+        "_year_metric", F.when(F.col("_year_measure"), F.when(F.col("_own.verdict.method").isin(DECIDING), F.col("_own.mapping.metric_id")).otherwise(F.col("_year.mapping.metric_id"))),
     )
-    kind, own = F.col("_verdict.header_class"), F.col("_mapping")
+    kind, own = F.col("_own.verdict.header_class"), F.col("_own.mapping")
     name = strip(F.lower(text))
     bare = F.regexp_replace(name, "^@", "")
     is_time = kind.isin("time", "time_range")

@@ -174,3 +174,17 @@ def test_refused_periods_carry_a_reason(spark):
     found = refused_periods(spark.createDataFrame([("2019 to 2021",)] * 3 + [("2020",), (None,)], "t string"), "t").collect()
     assert [tuple(r) for r in found] == [("2019 to 2021", 1.0, "range_of_years", 3)]
     assert refused_periods(spark.createDataFrame([], "t string"), "t").count() == 0
+
+
+def test_texts_classified_once_read_like_rows_classified_one_by_one(spark, known):
+    from factloom.operators.classify import classify_texts
+
+    words = ["Ontario"] * 40 + ["2020-21", "", None, "Real GDP growth", " ontario ", "@x", "$ millions", "actual"] * 2
+    rows = spark.createDataFrame([(n, w, words[-n - 1]) for n, w in enumerate(words)], "n long, a string, b string")
+    got = classify_texts(rows, {"a": "ra", "b": "rb"}, known, salts=3)
+    assert got.columns == ["n", "a", "b", "ra", "rb"]
+    one = lambda c: {r.n: (r.verdict, r.mapping) for r in classify_and_resolve(rows.select("n", c), c, known).collect()}
+    a, b = one("a"), one("b")
+    found = got.collect()
+    assert len(found) == len(words) and all((r.ra.verdict, r.ra.mapping) == a[r.n] and (r.rb.verdict, r.rb.mapping) == b[r.n] for r in found)
+    assert classify_texts(rows.limit(0), {"a": "ra"}, known).count() == 0
