@@ -16,6 +16,7 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,13 +69,13 @@ def arc_image(records: list[tuple[str, str, str, str, bytes]], version: int, nam
     return b"".join(out)
 
 
-def arc_records(data: bytes) -> Iterator[ArcRecord]:
-    """Records of an ARC file of version 1 or 2, without the version block.
+def arc_records(data: bytes | io.BufferedIOBase) -> Iterator[ArcRecord]:
+    """Records of an ARC file (its bytes or an open file) of version 1 or 2, without the version block.
 
     A header line without the fields of its version, a length that is no number
     or one that runs past the end raises ``ValueError``.
     """
-    source = io.BytesIO(data)
+    source = io.BytesIO(data) if isinstance(data, bytes) else data
 
     def take(fields: tuple[str, ...], line: bytes) -> tuple[dict[str, str], bytes]:
         parts = line.decode("utf-8", "replace").rstrip("\r\n").split(" ")
@@ -116,27 +117,34 @@ def record_id(url: str, date: str, key: object, payload_digest: str) -> str:
     return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {key} {payload_digest}').urn}>"
 
 
-def warc_record(record: ArcRecord, key: int | None, lead: int | None) -> bytes:
+def warc_record(record: ArcRecord, key: int | str | None, lead: int | None, original: tuple[str, str, str] | None = None) -> bytes:
     """The WARC record of an ARC record, without its last two line ends.
 
-    A record with ``lead`` becomes a revisit of the record with that key: the
-    protocol's header stays, the payload goes, its digest stays.
+    A record with ``lead`` becomes a revisit of the page with that key, one with
+    ``original`` (record id, address and 14-digit date) a revisit of that record:
+    the protocol's header stays, the payload goes, its digest stays. A key that
+    is text only makes the identifier.
     """
     head, payload = record.head_and_payload
-    block, of_payload = record.block if lead is None else head, digest(payload)
+    first = lead is None and original is None
+    block, of_payload = record.block if first else head, digest(payload)
     http = record.block.startswith(b"HTTP/")
     lines = [
-        "WARC/1.1", f"WARC-Type: {'response' if lead is None and http else 'resource' if lead is None else 'revisit'}",
+        "WARC/1.1", f"WARC-Type: {'response' if first and http else 'resource' if first else 'revisit'}",
         f"WARC-Record-ID: {record_id(record.url, record.date, key, of_payload)}", f"WARC-Date: {timestamp(record.date)}",
         f"WARC-Target-URI: {record.url}", f"WARC-IP-Address: {record.ip}", f"WARC-Payload-Digest: sha1:{of_payload}",
         f"WARC-Block-Digest: sha1:{digest(block)}", f"WARC-Identified-Payload-Type: {record.mime}",
         f"Content-Type: {'application/http; msgtype=response' if http else record.mime}",
         f"X-Payload-Length: {len(payload)}",
     ]
-    if key is not None:
+    if isinstance(key, int):
         lines.append(f"X-Page-Id: {key}")
+    if not first:
+        lines.append(f"WARC-Profile: {SAME_PAYLOAD}")
     if lead is not None:
-        lines += [f"WARC-Profile: {SAME_PAYLOAD}", f"X-Refers-To-Page-Id: {lead}"]
+        lines.append(f"X-Refers-To-Page-Id: {lead}")
+    if original is not None:
+        lines += [f"WARC-Refers-To: {original[0]}", f"WARC-Refers-To-Target-URI: {original[1]}", f"WARC-Refers-To-Date: {timestamp(original[2])}"]
     lines.append(f"Content-Length: {len(block)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
@@ -187,11 +195,7 @@ def pages_to_warc(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        about = b"software: factloom\r\nformat: WARC File Format 1.1\r\n"
-        yield pa.RecordBatch.from_arrays([pa.array([
-            f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Date: {timestamp(date)}\r\nWARC-Record-ID: {record_id('warcinfo', date, 0, '')}\r\n"
-            f"Content-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n".encode() + about
-        ], pa.binary())], ["record"])
+        yield _records([_about(date)])
         for batch in batches:
             ids, urls, leads = (batch.column(k).to_pylist() for k in (0, 1, 3))
             images: dict[int, list] = {1: [], 2: []}
@@ -203,14 +207,108 @@ def pages_to_warc(
             for version, made in images.items():
                 old = arc_records(arc_image([m[0] for m in made], version))
                 out += [warc_record(r, key, lead) for r, (_, key, lead) in zip(old, made, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+            yield _records(out)
+
+    _lay_down(rows.mapInArrow(run, "record binary"), path, compression)
+
+
+ARC_ROW = pa.schema([
+    ("file", pa.string()), ("place", pa.int64()), ("version", pa.int32()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()),
+    ("mime", pa.string()), ("block", pa.binary()), ("payload_digest", pa.string()), ("size", pa.int64()), ("record_id", pa.string()), ("error", pa.string()),
+])
+
+
+def read_arc(spark: SparkSession, source: str, name_filter: str = "*.arc*") -> DataFrame:
+    """Records of the ``.arc`` and ``.arc.gz`` files at ``source``, a task for some files each.
+
+    ``file, place`` (from 0), ``version, url, ip, date, mime, block,
+    payload_digest, size`` (of the payload), ``record_id`` and ``error``. Every
+    file ends with a row without a block; where it is damaged that row has the
+    reason, and the records before the damage are there. Spark passes over files
+    of no bytes. A file is read as one value, so it holds less than 2 GB.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw, rows, held, place, error = data.as_buffer(), [], 0, 0, None
+                packed = raw.slice(0, 2).to_pybytes() == b"\x1f\x8b"
+                name = path.rsplit("/", 1)[-1]
+                try:
+                    for r in arc_records(gzip.GzipFile(fileobj=pa.BufferReader(raw)) if packed else io.BufferedReader(pa.BufferReader(raw))):
+                        payload = r.head_and_payload[1]
+                        of_payload = digest(payload)
+                        identifier = record_id(r.url, r.date, f"{name}#{place}", of_payload)
+                        rows.append((path, place, r.version, r.url, r.ip, r.date, r.mime, r.block, of_payload, len(payload), identifier, None))
+                        place, held = place + 1, held + len(r.block)
+                        if held > 8 << 20 or len(rows) == 1000:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ARC_ROW)], schema=ARC_ROW)
+                            rows, held = [], 0
+                except (ValueError, EOFError, OSError, zlib.error) as damage:
+                    error = str(damage) or type(damage).__name__
+                rows.append((path, place, *[None] * 9, error))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ARC_ROW)], schema=ARC_ROW)
+
+    schema = ("file string, place long, version int, url string, ip string, date string, mime string, block binary, payload_digest string, size long, "
+              "record_id string, error string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_filter).option("recursiveFileLookup", "true").load(source)
+    return files.select("path", "content").mapInArrow(run, schema)
+
+
+def arc_to_warc(spark: SparkSession, source: str, path: str, min_bytes: int = 0, compression: str = "gzip") -> DataFrame:
+    """Convert the ARC files at ``source`` to WARC archives at ``path``; returns ``file, records, error``.
+
+    Of records with equal payloads of at least ``min_bytes`` the earliest by
+    date, then file and place, stays whole and the others revisit it by its
+    identifier. A damaged file gives the records before the damage and its
+    reason. Files are parsed once: the records are written to the shared folder,
+    where a lost executor's tasks find them again. The same files give the same
+    identifiers.
+    """
+    python_batches(spark, rows=100)
+    records = stored(read_arc(spark, source), "arc-records")
+    whole = records.where("block is not null")
+    leads = stored(
+        whole.where(F.col("size") >= min_bytes).groupBy("payload_digest")
+        .agg(F.min(F.struct("date", "file", "place", "record_id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("payload_digest", F.struct("first.record_id", "first.url", "first.date").alias("first")), "arc-leads",
+    )
+    rows = whole.join(leads, "payload_digest", "left").select(
+        "file", "place", "version", "url", "ip", "date", "mime", "block", F.when(F.col("first.record_id") != F.col("record_id"), F.col("first")).alias("first"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _records([_about("20000101000000")])
+        for batch in batches:
+            out = []
+            for file, place, version, url, ip, date, mime, block, first in zip(*(c.to_pylist() for c in batch.columns)):
+                key = f"{file.rsplit('/', 1)[-1]}#{place}"
+                original = first and (first["record_id"], first["url"], first["date"])
+                out.append(warc_record(ArcRecord(version, url, ip, date, mime, block), key, None, original))
+            yield _records(out)
+
+    _lay_down(rows.mapInArrow(run, "record binary"), path, compression)
+    return records.groupBy("file").agg(F.count("block").alias("records"), F.max("error").alias("error"))
+
+
+def _about(date: str) -> bytes:
+    """The record that says what made an archive."""
+    about = b"software: factloom\r\nformat: WARC File Format 1.1\r\n"
+    return (
+        f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Date: {timestamp(date)}\r\nWARC-Record-ID: {record_id('warcinfo', date, 0, '')}\r\n"
+        f"Content-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n".encode() + about
+    )
+
+
+def _records(made: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+
 
-    made = rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-    made.write.option("compression", compression).text(path, lineSep=END)
+def _lay_down(records: DataFrame, path: str, compression: str) -> None:
+    records.select(F.col("record").cast("string").alias("value")).write.option("compression", compression).text(path, lineSep=END)
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """``page_id, url, date, payload_bytes, payload_digest, record_type, refers_to, record_id`` of every page record.
+    """``page_id, url, date, payload_bytes, payload_digest, record_type, refers_to, record_id, refers_to_record`` of every record.
 
     Archives may be compressed; they are read through, record by record. With
     ``with_payload`` the payload of responses is returned, too.
@@ -233,7 +331,7 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
                     key, lead = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
                     rows.append((
                         key and int(key), fields["warc-target-uri"], fields["warc-date"], int(fields["x-payload-length"]), of_payload,
-                        fields["warc-type"], lead and int(lead), fields["warc-record-id"],
+                        fields["warc-type"], lead and int(lead), fields["warc-record-id"], fields.get("warc-refers-to"),
                         *([payload if fields["warc-type"] != "revisit" else None] if with_payload else []),
                     ))
                     held += len(block)
@@ -243,9 +341,9 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
                 if rows:
                     yield as_batch(rows)
 
-    schema = "page_id long, url string, date string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string"
+    schema = "page_id long, url string, date string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, refers_to_record string"
     names = [f.split(" ")[0] for f in schema.split(", ")]
-    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
     if with_payload:
         schema, names, types = f"{schema}, payload binary", [*names, "payload"], [*types, pa.binary()]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)

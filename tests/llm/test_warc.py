@@ -1,10 +1,11 @@
 import hashlib
 import base64
+import gzip
 import io
 
 import pytest
 
-from factloom.llm.warc import arc_image, arc_records, pages_to_warc, read_warc, timestamp, warc_record, warc_records
+from factloom.llm.warc import arc_image, arc_to_warc, arc_records, pages_to_warc, read_warc, timestamp, warc_record, warc_records
 
 
 def test_arc_of_either_version_is_read_by_declared_lengths():
@@ -59,3 +60,38 @@ def test_archives_hold_every_page(spark, tmp_path, least, compression):
 def test_no_pages(spark, tmp_path):
     pages_to_warc(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "e"))
     assert read_warc(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_arc_files_of_any_kind_become_archives(spark, tmp_path):
+    head = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    first = [("http://a/1", "1.2.3.4", "20010101000000", "text/html", head + b"same"), ("http://a/2", "1.2.3.4", "20000101000000", "text/html", head + b"own\xff\x00")]
+    second = [("dns:a", "1.2.3.4", "2002", "text/dns", b"plain"), ("http://a/3", "1.2.3.4", "19990101000000", "text/html", b"HTTP/1.0 200 OK\r\n\r\nsame"),
+              ("http://a/4", "1.2.3.4", "20030101000000", "text/html", head), ("http://a/5", "1.2.3.4", "20030101000000", "text/html", head)]
+    source = tmp_path / "arcs"
+    (source / "deep").mkdir(parents=True)
+    (source / "one.arc").write_bytes(arc_image(first, 1))
+    image = arc_image(second, 2)
+    (source / "deep" / "two.arc.gz").write_bytes(gzip.compress(image[:100]) + gzip.compress(image[100:]))  # a member for some records each
+    (source / "cut.arc").write_bytes(arc_image(first, 1)[:-3])
+    (source / "cut.arc.gz").write_bytes(gzip.compress(arc_image(first * 50, 1))[:-40])
+    (source / "empty.arc").write_bytes(b"")
+    (source / "other.arc").write_bytes(b"no archive\n")
+    (source / "notes.txt").write_bytes(b"not read")
+    said = {r.file.rsplit("/", 1)[-1]: (r.records, r.error) for r in arc_to_warc(spark, str(source), str(tmp_path / "w")).collect()}
+    assert said["one.arc"] == (2, None) and said["two.arc.gz"] == (4, None) and not {"empty.arc", "notes.txt"} & set(said)
+    assert said["cut.arc"] == (1, "ARC record is cut short") and said["other.arc"][0] == 0 and said["other.arc"][1] and said["cut.arc.gz"][1]
+    got = read_warc(spark, str(tmp_path / "w"), with_payload=True).collect()
+    assert len(got) == sum(n for n, _ in said.values()) and len({r.record_id for r in got}) == len(got) and {r.page_id for r in got} == {None}
+    whole = {r.payload_digest: r for r in got if r.record_type != "revisit"}
+    assert {bytes(r.payload) for r in whole.values()} == {b"same", b"own\xff\x00", b"plain", b""}
+    same = next(r for r in whole.values() if bytes(r.payload) == b"same")
+    assert (same.url, same.date) == ("http://a/3", "1999-01-01T00:00:00Z") and next(r for r in got if r.url == "dns:a").record_type == "resource"
+    assert all(r.refers_to_record == whole[r.payload_digest].record_id for r in got if r.record_type == "revisit")
+    arc_to_warc(spark, str(source), str(tmp_path / "again"))
+    assert sorted(map(tuple, read_warc(spark, str(tmp_path / "again")).collect())) == sorted(map(tuple, read_warc(spark, str(tmp_path / "w")).collect()))
+
+
+def test_no_arc_files(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    assert arc_to_warc(spark, str(tmp_path / "none"), str(tmp_path / "w")).count() == 0
+    assert read_warc(spark, str(tmp_path / "w")).count() == 0
