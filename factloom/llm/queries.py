@@ -13,7 +13,7 @@ from factloom.llm.secrets import op10_secrets
 from factloom.llm.simhash import op6_simhash
 from factloom.llm.sites import OP3_SQL, op3_line_dedup
 from factloom.llm.suffixes import op4_suffixes
-from factloom.llm.vectors import op5_vectors
+from factloom.llm.vectors import OP5_SQL, op5_vectors
 from factloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
@@ -31,4 +31,6 @@ QUERIES = {
     "op12_merkle": op12_merkle,
     "op13_divergence": op13_divergence,
 }
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_warc": OP9_SQL, "op12_merkle": OP12_SQL, "op13_divergence": OP13_SQL}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL, "op5_vectors": OP5_SQL, "op9_warc": OP9_SQL, "op12_merkle": OP12_SQL, "op13_divergence": OP13_SQL,
+}

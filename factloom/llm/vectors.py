@@ -159,3 +159,13 @@ def near_vectors(
 def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all rows of ``embeddings`` at cosine 0.95."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+OP5_SQL = """
+with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+ok as (select vec_id, e from v where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.95),
+r as (select vec_id as id, vec_id as low from v union select l.b, r.low from r join l on l.a = r.id and r.low < l.b),
+c as (select id, min(low) as low from r group by id), n as (select a, count(*) as n from l group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, low as component_id, vec_id = low as kept from v join c on id = vec_id left join n on a = vec_id
+"""
