@@ -38,7 +38,11 @@ def _(spark, sf):
     return resources(spark, sf).select("dataset_id", "resource_id", cat.resource_language(F.col("language")).alias("language"))
 
 
-TYPE = "case " + " ".join(f"when regexp_matches(lower(title), {q(p)}) then {q(k)}" for p, k in cat.DOCUMENT_TYPES) + " else 'other' end"
+TYPE = """case when lower(title) like '%budget%' then 'budget' when lower(title) like '%estimate%' then 'estimates' when lower(title) like '%fiscal monitor%' then 'fiscal_monitor'
+  when regexp_matches(lower(title), 'economic (and fiscal )?(update|statement)') then 'economic_update' when lower(title) like '%survey%forecast%' then 'economic_survey'
+  when lower(title) like '%transfer%' then 'transfer_tables' when lower(title) like '%proactive disclosure%' then 'proactive_disclosure'
+  when lower(title) like '%employee survey%' or lower(title) like '%pses%' then 'employee_survey' when lower(title) like '%infobase%' or lower(title) like '%covid%' then 'expenditure_tracking'
+  when lower(title) like '%aid%' or lower(title) like '%iati%' then 'international_aid' else 'other' end"""
 
 
 @check("document_type", f"""{RES} select dataset_id, title, {TYPE} as document_type, nullif(regexp_extract(title, '(20\\d{{2}})', 1), '') as year

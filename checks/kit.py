@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from factloom import dictionaries as dic
-from factloom.functions.periods import MONTHS, SCENARIO_WORDS
 from factloom.functions.text import (
     BLANKS, DASHES_QUOTES_MARK, ENGLISH_WORDS, FRENCH_LETTERS, FRENCH_WORDS, WS,
 )
@@ -114,7 +113,11 @@ def in_list(x: str, items: list[str]) -> str:
 
 
 def month_no(x: str) -> str:
-    return "case " + " ".join(f"when {in_list(x, names)} then {n}" for n, names in MONTHS.items()) + " end"
+    return f"""case when {x} in ('january', 'jan', 'janvier') then 1 when {x} in ('february', 'feb', 'février') then 2
+  when {x} in ('march', 'mar', 'mars') then 3 when {x} in ('april', 'apr', 'avril') then 4 when {x} in ('may', 'mai') then 5
+  when {x} in ('june', 'jun', 'juin') then 6 when {x} in ('july', 'jul', 'juillet') then 7 when {x} in ('august', 'aug', 'août') then 8
+  when {x} in ('september', 'sep', 'septembre') then 9 when {x} in ('october', 'oct', 'octobre') then 10
+  when {x} in ('november', 'nov', 'novembre') then 11 when {x} in ('december', 'dec', 'décembre') then 12 end"""
 
 
 def period_ctes(source: str, text: str, out: str) -> str:
@@ -130,7 +133,7 @@ def period_ctes(source: str, text: str, out: str) -> str:
     two = lambda x: f"lpad(cast(({x}) % 100 as varchar), 2, '0')"
     return f"""
 {n}_a as (select *, {strip(f'lower({text})')} as t_ from {source}),
-{n}_b as (select *, nullif(regexp_extract(t_, '^({"|".join(SCENARIO_WORDS)})', 1), '') as w_ from {n}_a),
+{n}_b as (select *, nullif(regexp_extract(t_, '^(projection|forecast|actual|historical|baseline|prévision)', 1), '') as w_ from {n}_a),
 {n}_c as (select *, case when w_ is null then t_ else {strip('substr(t_, length(w_) + 1)')} end as b_ from {n}_b),
 {n}_d as (select *, regexp_extract(b_, {fiscal}, 1) as fa_, regexp_extract(b_, {fiscal}, 2) as fb_,
     {month_no(f'regexp_extract(t_, {months}, 1)')} as m_, try_cast(regexp_extract(t_, {months}, 2) as int) as my_,
@@ -169,8 +172,8 @@ def classify_ctes(source: str, text: str, out: str) -> str:
     rules = [
         ("normalized = ''", "junk", 1.0, "empty", "null"),
         (junk, "junk", 1.0, "junk_pattern", "null"),
-        (in_list("normalized", dic.VALUE_COLUMNS), "metric", 0.9, "statcan_value_column", "'observation_value'"),
-        (in_list("normalized", dic.UNIT_COLUMNS), "unit", 0.95, "statcan_unit_column", "null"),
+        ("normalized in ('@obs_value', 'obs', 'value')", "metric", 0.9, "statcan_value_column", "'observation_value'"),
+        ("normalized in ('@uom', 'uom', 'uom_id', '@scalar_factor', 'scalar_factor', 'scalar_id')", "unit", 0.95, "statcan_unit_column", "null"),
         ("p_type = 'range'", "time_range", 0.95, "time_parser", "p_hint"),
         ("p_type is not null", "time", 0.95, "time_parser", "p_hint"),
         ("g.code is not null", "geography", 0.95, "geo_dictionary", "null"),
