@@ -104,6 +104,19 @@ def with_owners(pending: DataFrame, done: DataFrame) -> DataFrame:
     )
 
 
+def served_before(warehouse: Warehouse, done: DataFrame, batch: str) -> DataFrame:
+    """``done`` without the documents whose plain table ids are this batch's own, from an earlier try.
+
+    Another batch that came later has ids made of these and its department.
+    """
+    own = warehouse.read("extracted_tables", batch=batch).select("document_id", "table_index", F.col("table_id").alias("_own"))
+    if own.isEmpty():
+        return done
+    other = warehouse.read("extracted_tables", but_batch=batch).select("document_id", "table_index", "table_id", "department_id")
+    mine = own.join(other, ["document_id", "table_index"]).filter(F.col("table_id") == row_key(F.col("_own"), F.col("department_id")))
+    return done.join(warehouse.staged(mine.select("document_id").distinct(), "plain", batch), "document_id", "left_anti")
+
+
 def for_owners(tables: DataFrame) -> DataFrame:
     """Tables, or their rows, of ``with_owners`` for each department; ids are told apart by the department."""
     return tables.withColumn("_owner", F.explode("department_id")).withColumns({
@@ -140,7 +153,7 @@ def extract(
     known = warehouse.read("raw_documents", batch=batch if only_batch else None)
     done = warehouse.read("document_status", but_batch=batch).filter((F.col("stage") == "extract") & (F.col("status") != AWAITING_GRID))
     pending = pending_documents(known, done, department, limit)
-    shared = with_owners(pending, done)
+    shared = with_owners(pending, served_before(warehouse, done, batch))
     on = ["document_id"]
     if "department_id" in contents.columns:
         contents, on = contents.withColumnRenamed("department_id", "read_for"), ["document_id", "read_for"]
