@@ -12,7 +12,6 @@ HTML_NAMES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apo
 _REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 _SECTION = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _TAG = r"""<[A-Za-z_](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>"""
-_ANY_TAG = r"<[/A-Za-z_][^>]*>"
 
 
 def references(text: Column, names: dict[str, str]) -> Column:
@@ -52,29 +51,3 @@ def plain_xml(text: Column) -> Column:
     closed = lambda t: F.concat(F.replace(F.substr(t, F.lit(1), F.length(t) - 1), F.lit(">"), F.lit("&gt;")), F.lit(">"))
     may_quote = without.rlike(r"""=\s*(?:"[^"<]*>[^"<]*"|'[^'<]*>[^'<]*')""")
     return F.when(may_quote, F.aggregate(tags, without, lambda done, t: F.replace(done, t, closed(t)))).otherwise(without)
-
-
-def element_shape(text: Column) -> Column:
-    """``balanced``: every element of ``plain_xml`` text is closed in its turn and every ``&`` begins a reference of XML;
-    ``nested``: an element stands in another of the same local name."""
-    found = F.filter(F.regexp_extract_all(text, F.lit(_ANY_TAG), F.lit(0)), lambda t: ~t.endswith("/>"))
-    tags = F.transform(found, lambda t: F.struct(
-        t.startswith("</").alias("close"), F.regexp_extract(t, r"^</?([\w:.-]+)", 1).alias("name"),
-    ))
-    local = lambda n: F.substring_index(n, ":", -1)
-    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(True).alias("good"), F.lit(False).alias("nested"))
-
-    def step(state: Column, tag: Column) -> Column:
-        held, close = state["open"], tag["close"]
-        same = F.try_element_at(held, F.lit(-1)).eqNullSafe(tag["name"])
-        return F.struct(
-            F.when(~close, F.concat(held, F.array(tag["name"]))).when(same, F.slice(held, F.lit(1), F.size(held) - 1)).otherwise(held).alias("open"),
-            (state["good"] & (~close | same)).alias("good"),
-            (state["nested"] | (~close & F.exists(held, lambda h: local(h) == local(tag["name"])))).alias("nested"),
-        )
-
-    stray = text.rlike(r"&(?!(?:#[0-9]+|#x[0-9A-Fa-f]+|lt|gt|quot|apos|amp);)")
-    return F.aggregate(
-        tags, start, step,
-        lambda s: F.struct((s["good"] & (F.size(s["open"]) == 0) & ~stray).alias("balanced"), s["nested"].alias("nested")),
-    )

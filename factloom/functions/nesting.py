@@ -8,16 +8,19 @@ in text that was not labelled, so the same patterns read both.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
 LABEL = r"(?: ~\d+)?+"
 _CHUNK = 512
 
 _TABLE_PIECE = r"(?is)</?table\b[^>]*+>[^<]*+(?:<(?!/?table\b)[^<]*+)*+"
 _TABLE_TAG = r"(?i)<(/?(?:table|t[rhd]))\b"
-_ELEMENT_PIECE = r"<[/A-Za-z_][^>]*+>[^<]*+(?:<[^/A-Za-z_][^<]*+)*+"
+_ELEMENT_PIECE = re.compile(r"<(?=[/A-Za-z_])(/?)([\w:.-]*)([^>]*)(>[^<]*(?:<[^/A-Za-z_][^<]*)*)", re.ASCII)
 
 
 def _scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
@@ -87,18 +90,45 @@ def nested_tables(html: Column) -> Column:
     return F.element_at(F.transform(F.array(pieces), rewritten), 1)
 
 
-def nested_elements(xml: Column) -> Column:
-    """Well-formed XML, from its root on, with the depth at every tag."""
-    pieces = F.regexp_extract_all(xml, F.lit(_ELEMENT_PIECE), F.lit(0))
-    tag_end = lambda p: F.instr(p, ">")
-    alone = lambda p: F.substr(p, tag_end(p) - 1, F.lit(1)) == "/"
-    steps = lambda found: F.transform(
-        found, lambda p: F.when(p.startswith("</"), -1).when(alone(p), 0).otherwise(1)
-    )
-
-    def label(piece: Column, step: Column, depth: Column) -> Column:
-        name = F.regexp_extract(piece, r"^</?[\w:.-]+", 0)
-        level = F.when(step == 1, depth).otherwise(depth + 1)
-        return F.concat(name, F.lit(" ~"), level, F.substr(piece, F.length(name) + 1, F.length(piece)))
-
-    return F.element_at(F.transform(F.array(pieces), lambda found: _labelled(found, steps(found), label)), 1)
+def _shape(text: str) -> tuple[bool, bool, str | None]:
+    held, within, good, nested = [], Counter(), True, False
+    pieces, total, lowest = [], 0, 0
+    for tag in _ELEMENT_PIECE.finditer(text):
+        slash, name, rest, after = tag.groups()
+        alone = rest.endswith("/") or not (name or rest)
+        if not alone:
+            local = name.rpartition(":")[2]
+            if not slash:
+                nested = nested or within[local] > 0
+                held.append(name)
+                within[local] += 1
+            elif held and held[-1] == name:
+                within[local] -= 1
+                held.pop()
+            else:
+                good = False
+        step = -1 if slash else 0 if alone else 1
+        total += step
+        lowest = min(lowest, total)
+        level = total - lowest + (step != 1)
+        pieces.append(f"<{slash}{name} ~{level}{rest}{after}" if name else f" ~{level}{tag.group()}")
+    balanced = good and not held
+    return balanced, nested, "".join(pieces) if balanced and nested else None
+
+
+def _shapes(texts: pa.Array) -> pa.Array:
+    found = [(None, None, None) if t is None else _shape(t) for t in texts.to_pylist()]
+    columns = zip(*found, strict=True) if found else ((), (), ())
+    kinds = (pa.bool_(), pa.bool_(), pa.string())
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["balanced", "nested", "text"])
+
+
+def element_shape(text: Column) -> Column:
+    """``balanced``: every element of ``plain_xml`` text, from its root on, is closed in its turn;
+    ``nested``: an element stands in another of the same local name; ``text``: if both hold, with the depth at every tag.
+
+    One scan over the tags with a list of the open ones, which functions over
+    arrays would copy for every tag.
+    """
+    fields = T.StructType([T.StructField("balanced", T.BooleanType()), T.StructField("nested", T.BooleanType()), T.StructField("text", T.StringType())])
+    return F.arrow_udf(_shapes, fields)(text)

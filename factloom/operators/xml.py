@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import row_key
-from ..functions.markup import XML_NAMES, element_shape, plain_xml, references
-from ..functions.nesting import LABEL, nested_elements
+from ..functions.markup import XML_NAMES, plain_xml, references
+from ..functions.nesting import LABEL, element_shape
 
 _PREFIX = r"(?:[\w.-]+:)?"
 _ATTRIBUTE = r"""([\w:.-]+)\s*=\s*(?:"[^"]*"|'[^']*')"""
 _ATTRIBUTE_VALUE = r"""[\w:.-]+\s*=\s*["']((?:(?<=")[^"]*)|(?:(?<=')[^']*))["']"""
 _CHILD = rf"(?s)<{_PREFIX}([\w.-]+{LABEL})(?=[\s/>])([^>]*?)(?:/>|>(.*?)</{_PREFIX}\1\s*>)"
+_STRAY = r"&(?!(?:#[0-9]+|#x[0-9A-Fa-f]+|lt|gt|quot|apos|amp);)"
 _PROLOG = r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
 
 # Root elements of spreadsheet formatting files, which hold no data.
@@ -59,13 +60,11 @@ def child_texts(element: Column) -> Column:
     """``array<struct<k,v>>`` of the direct children: local name and leading text."""
     body = F.regexp_extract(element, r"(?s)^<[^>]*[^/]>(.*)</[^>]*>$", 1)
     children = F.regexp_extract_all(body, F.lit(_CHILD), F.lit(0))
-    return F.transform(
-        children,
-        lambda c: F.struct(
-            F.regexp_extract(c, rf"^<{_PREFIX}([\w.-]+)", 1).alias("k"),
-            _unescape(F.regexp_extract(c, r"(?s)^<[^>]*[^/]>([^<]*)", 1)).alias("v"),
-        ),
-    )
+    # in two steps, as the text would be cut again for each use of it
+    raw = F.transform(children, lambda c: F.struct(
+        F.regexp_extract(c, rf"^<{_PREFIX}([\w.-]+)", 1).alias("k"), F.regexp_extract(c, r"(?s)^<[^>]*[^/]>([^<]*)", 1).alias("v"),
+    ))
+    return F.transform(raw, lambda e: F.struct(e["k"].alias("k"), _unescape(e["v"]).alias("v")))
 
 
 def _keys(entries: Column) -> Column:
@@ -97,7 +96,7 @@ def _route(text: Column, balanced: Column) -> Column:
     has = lambda name: body.rlike(rf"<{_PREFIX}{name}(?=[\s/>])")
     return (
         F.when(F.coalesce(root, F.lit("")) == "", "malformed")
-        .when(~(closed | self_closed) | ~balanced, "malformed")
+        .when(~(closed | self_closed) | ~balanced | body.rlike(_STRAY), "malformed")
         .when(local_name(root).isin(SPREADSHEET_ROOTS), "spreadsheet")
         .when(has("Series") & has("Obs"), "sdmx_data")
         .when(has("Codelist") | has("ConceptScheme"), "sdmx_structure")
@@ -156,7 +155,7 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
         plain_xml(F.col("text")).alias("text"),
     ).withColumn("shape", element_shape(_body(F.col("text")))).select(
         "department_id", "document_id", "title", _route(F.col("text"), F.col("shape.balanced")).alias("route"),
-        F.when(F.col("shape.balanced") & F.col("shape.nested"), nested_elements(_body(F.col("text")))).otherwise(F.col("text")).alias("text"),
+        F.coalesce("shape.text", "text").alias("text"),
     )
     if routes is not None:
         routed = routed.filter(F.col("route").isin(routes))
@@ -201,7 +200,10 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
         F.when(F.col("route") == "sdmx_data", data).when(F.col("route") == "sdmx_structure", structure).otherwise(plain)
     )
     document, index, own_id = F.col("document_id"), F.col("table_index"), F.col("_id")
+    # Rows come out of a generator: a filter on them would be pushed below it and make them a second time.
     return tables.select(
+        "*", F.inline(F.array(F.struct(F.transform("unit.rows", lambda r: _row(r, F.col("headers"))).alias("rows")))),
+    ).select(
         "department_id", "document_id",
         by_route(
             row_key(document, "sdmx_data", index),
@@ -214,6 +216,5 @@ def xml_tables(documents: DataFrame, routes: list[str] | None = None) -> DataFra
         ).alias("extraction_method"),
         by_route(F.col("title"), F.concat(F.lit("Codelist: "), own_id), F.col("title")).alias("table_title_raw"),
         F.lit(None).cast("string").alias("sheet_name"),
-        "headers",
-        F.transform("unit.rows", lambda r: _row(r, F.col("headers"))).alias("rows"),
+        "headers", "rows",
     )

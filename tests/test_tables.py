@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from factloom.functions.nesting import element_shape
 from factloom.operators.cells import extracted_cells, guarded_tables, header_records, row_values_long, sheet_row_values
 from factloom.operators.ordinals import with_ordinal
 from factloom.operators.tables import csv_tables, html_tables
@@ -104,6 +105,27 @@ def test_xml_elements_within_elements_of_their_name(spark):
     }
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_xml_are_made_once(spark):
+    texts = spark.createDataFrame([("d", "1", "T", "<r><a><b>1</b></a><a><b>2</b></a></r>")], SCHEMA)
+    filters = [line for line in optimized(row_values_long(xml_tables(texts))).split("\n") if "Filter" in line]
+    assert not [f for f in filters if "transform(" in f]
+
+
+def test_shape_of_elements(spark):
+    cases = {
+        "<a><b/></a>": (True, False, None), "<a><a>x</a> y</a>": (True, True, "<a ~1><a ~2>x</a ~2> y</a ~1>"),
+        '<a><p:a n="1"><c/></p:a></a>': (True, True, '<a ~1><p:a ~2 n="1"><c ~3/></p:a ~2></a ~1>'), "<a><b></a></b>": (False, False, None),
+        "<a><a></a>": (False, True, None), "<a><b></b><b></b></a>": (True, False, None), "</a>": (False, False, None), "plain": (True, False, None),
+    }
+    df = spark.createDataFrame([(t,) for t in [*cases, None]], "text string")
+    got = {r.text: tuple(r["shape"]) for r in df.select("text", element_shape(F.col("text")).alias("shape")).collect()}
+    assert got == cases | {None: (None, None, None)}
+
+
 def test_cells_and_headers(spark):
     df = spark.createDataFrame([("d", "1", "T", "Name,Total: \n Ann ,1,5\n,x%\n")], SCHEMA)
     made = csv_tables(df)
