@@ -118,15 +118,21 @@ def csv_tables(documents: DataFrame, offset: int = 0) -> DataFrame:
 
 HTML_DROPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # Looking ahead, a pattern finds elements inside elements too; see functions.nesting for the label.
-HTML_TABLE = rf"(?is)(?=<table({LABEL})\b([^>]*>.*?)(?:</table\1\b|\z))"
-HTML_ROW = rf"(?is)(?=<tr({LABEL})\b[^>]*>(.*?)(?:</?tr\1\b|</table\1\b|\z))"
-HTML_CELL = rf"(?is)(?=<t[hd]({LABEL})\b[^>]*>(.*?)(?:</?t[hd]\1\b|</?tr\1\b|</table\1\b|\z))"
+# The tags that end an element are looked for at "<" only; where none comes, it goes on to the end of the text.
+_UNTIL = r"[^<]*+(?:<(?!{})[^<]*+)*+"
+HTML_TABLE = rf"(?i)<(?=table({LABEL})\b([^>]*+>{_UNTIL.format(r'/table\1\b')}))"
+HTML_ROW = rf"(?i)<(?=tr({LABEL})\b[^>]*+>({_UNTIL.format(r'/?tr\1\b|/table\1\b')}))"
+HTML_CELL = rf"(?i)<(?=t[hd]({LABEL})\b[^>]*+>({_UNTIL.format(r'/?t(?:[hd]|r)\1\b|/table\1\b')}))"
 
 
-def markup_text(markup: Column) -> Column:
-    """Text of a fragment: every text node stripped, then joined without separator."""
-    text = F.regexp_replace(markup, r"&nbsp;|&#160;|&#[xX][aA]0;", " ")
-    return references(strip(F.regexp_replace(text, f"{WS}*<[^>]*>{WS}*", "")), HTML_NAMES)
+def markup_texts(fragments: Column) -> Column:
+    """Text of each fragment: every text node stripped, then joined without separator.
+
+    One step after the other over the whole array, as a text would be made again for each use of it.
+    """
+    spaced = F.transform(fragments, lambda m: F.when(m.contains("&"), F.regexp_replace(m, r"&nbsp;|&#160;|&#[xX][aA]0;", " ")).otherwise(m))
+    bare = F.transform(spaced, lambda m: strip(F.when(m.contains("<"), F.regexp_replace(m, f"{WS}*+<[^>]*>{WS}*+", "")).otherwise(m)))
+    return F.transform(bare, lambda m: references(m, HTML_NAMES))
 
 
 def html_tables(documents: DataFrame) -> DataFrame:
@@ -141,7 +147,7 @@ def html_tables(documents: DataFrame) -> DataFrame:
         F.posexplode(F.regexp_extract_all(clean, F.lit(HTML_TABLE), F.lit(2))).alias("table_index", "markup"),
     )
     rows = F.regexp_extract_all(F.col("markup"), F.lit(HTML_ROW), F.lit(2))
-    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(HTML_CELL), F.lit(2)), markup_text)
+    cells = lambda row: markup_texts(F.regexp_extract_all(row, F.lit(HTML_CELL), F.lit(2)))
     grids = tables.select(
         "department_id", "document_id", "table_title_raw", F.col("table_index").cast("long"),
         F.transform(rows, cells).alias("grid"),

@@ -115,6 +115,11 @@ def test_rows_of_xml_are_made_once(spark):
     assert not [f for f in filters if "transform(" in f]
 
 
+def test_text_of_an_html_cell_is_made_once(spark):
+    texts = spark.createDataFrame([("d", "1", "T", "<table><tr><td>a</td></tr></table>")], SCHEMA)
+    assert optimized(html_tables(texts)).count("<[^>]*>") == 1
+
+
 def test_shape_of_elements(spark):
     cases = {
         "<a><b/></a>": (True, False, None), "<a><a>x</a> y</a>": (True, True, "<a ~1><a ~2>x</a ~2> y</a ~1>"),
