@@ -17,6 +17,7 @@ record by shard and offset.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -30,14 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import python_batches, shared_folder, texts_of, tidied
+from factloom.llm.common import give_back, python_batches, shared_folder, texts_of, tidied
 
 END_ID = 1
 _HEAD, _SUM, _LEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB")
 #: Words a worker remembers the ids of; beyond, those that were not met again since the last time are forgotten.
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 18
 #: Bytes of text that words are cut from together; text of a shard, at most, where rows are dealt out anew.
-PIECE, SHARD_BYTES = 2 << 20, 128 << 20
+PIECE, SHARD_BYTES = 1 << 20, 128 << 20
 _MARKS = "★♥•€§"
 _SPACES = b" \t\n\v\f\r"
 _SPACE, _APOSTROPHE, _WIDE = 0, 4, 5
@@ -48,7 +49,7 @@ _KIND = np.array([
 _ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
 
-def masked_sum(data: bytes) -> int:
+def masked_sum(data: bytes | memoryview) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
@@ -60,16 +61,16 @@ def frame(key: int | None, ids: bytes, width: int) -> bytes:
     return head + _SUM.pack(masked_sum(head)) + payload + _SUM.pack(masked_sum(payload))
 
 
-def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
+def frames(data: bytes | pa.Buffer) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
     """``offset, length, id, tokens`` of every record of a shard; a wrong checksum raises."""
-    at, view = 0, memoryview(data)
-    while at < len(data):
+    at, view = 0, memoryview(data)  # a shard is read where it lies, without a copy
+    while at < len(view):
         head = bytes(view[at : at + 8])
         size = _HEAD.unpack(head)[0]
-        if _SUM.unpack_from(data, at + 8)[0] != masked_sum(head):
+        if _SUM.unpack_from(view, at + 8)[0] != masked_sum(head):
             raise ValueError(f"bad length checksum at {at}")
         payload = view[at + 12 : at + 12 + size]
-        if _SUM.unpack_from(data, at + 12 + size)[0] != masked_sum(payload) or data[at + 16 + size] != 10:
+        if _SUM.unpack_from(view, at + 12 + size)[0] != masked_sum(payload) or view[at + 16 + size] != 10:
             raise ValueError(f"bad record checksum at {at}")
         key, null, width = _LEAD.unpack_from(payload)
         yield at, 16 + size, None if null else key, np.frombuffer(payload, dtype=f"<u{width}", offset=_LEAD.size)
@@ -226,6 +227,13 @@ def encoder(source: str, by_words: bool) -> Encoder:
     return _ENCODERS[key]
 
 
+def drop_encoders() -> None:
+    """A worker that reads shards keeps no vocabulary and no words beside them; writing makes its encoder anew."""
+    _ENCODERS.clear()
+    gc.collect()
+    give_back()
+
+
 def write_records(
     docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
     end_id: int = END_ID, by_words: bool = False, as_they_stand: bool = False, shard_bytes: int = SHARD_BYTES,
@@ -243,7 +251,7 @@ def write_records(
     """
     spark = docs.sparkSession
     source = Path(tokenizer).read_text(encoding="utf-8")
-    python_batches(spark, 2000, 4)
+    python_batches(spark, 1000, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(source, by_words)
@@ -272,10 +280,11 @@ def scan_shards(spark: SparkSession, path: str, with_tokens: bool = False) -> Da
     ``before`` counts the tokens of the shard before the record.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         for batch in batches:
             for place, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shard, before, rows, held = int(re.search(r"part-(\d+)", place)[1]), 0, [], 0
-                for number, (offset, length, key, ids) in enumerate(frames(data.as_buffer().to_pybytes())):
+                for number, (offset, length, key, ids) in enumerate(frames(data.as_buffer())):
                     wide = ids.astype("<u4")
                     rows.append((shard, number, offset, length, key, before, len(ids), zlib.crc32(wide.tobytes()),
                                  *([wide.view("<i4")] if with_tokens else [])))

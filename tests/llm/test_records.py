@@ -91,3 +91,19 @@ def test_shards_hold_every_text(spark, tmp_path, tokenizer, texts):
 
 def test_no_rows(spark, tmp_path):
     assert write_records(rows_of(spark, []), str(tmp_path / "b"), PATH).count() == 0
+
+
+def test_reading_shards_drops_the_encoder_and_copies_no_shard():
+    import pyarrow as pa
+
+    import factloom.llm.records as records
+
+    data = b"".join(frame(k, np.arange(n, dtype="<u2").tobytes(), 2) + b"\n" for k, n in ((5, 3), (6, 10)))
+    held = pa.array([data], pa.binary())[0].as_buffer()
+    rows = list(frames(held))
+    assert [(k, i.tolist()) for _, _, k, i in rows] == [(5, [0, 1, 2]), (6, list(range(10)))]
+    low, high = held.address, held.address + held.size
+    assert all(low <= i.ctypes.data < high for _, _, _, i in rows)
+    records._ENCODERS[0, False] = None
+    records.drop_encoders()
+    assert not records._ENCODERS
