@@ -188,3 +188,26 @@ def test_texts_classified_once_read_like_rows_classified_one_by_one(spark, known
     found = got.collect()
     assert len(found) == len(words) and all((r.ra.verdict, r.ra.mapping) == a[r.n] and (r.rb.verdict, r.rb.mapping) == b[r.n] for r in found)
     assert classify_texts(rows.limit(0), {"a": "ra"}, known).count() == 0
+
+
+def test_classification_runs_in_methods_that_are_compiled(spark):
+    from factloom.dictionaries import Dictionaries
+
+    held = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        df = spark.createDataFrame([("Ontario",), ("2019-20",)], "t string")
+        assert classify_and_resolve(df, "t", Dictionaries.default(spark)).filter("mapping.is_junk").count() == 0
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", held)
+
+
+def test_a_bare_number_is_read_as_the_text_is(spark):
+    from factloom.functions.numeric import bare_number, parse_bare
+
+    texts = ["$ 1,000.5", "12 %", "\u00a0+7\u2009", "NaN", "-inf", "Infinity", "1e400", "1_000", "...", "", None, "n/a", "F", "nan1", ".5e3"]
+    two_steps = lambda c: parse_bare(bare_number(c), False)
+    want = [1000.5, 12.0, 7.0, math.nan, -math.inf, math.inf, math.inf, 1000.0, None, None, None, None, None, None, 500.0]
+    plain = lambda v: "nan" if v is not None and math.isnan(v) else v
+    assert [plain(v) for v in apply(spark, two_steps, texts)] == [plain(v) for v in want]
