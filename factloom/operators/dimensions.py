@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..dictionaries import DIMENSION_COLUMNS, Dictionaries
 from ..functions.keys import entity_key
 from ..functions.text import (
-    attribute_type_name, blank_to_null, header_without_years, header_year, infer_geo_type, is_measure_year_header, normalize_header, strip,
+    blank_to_null, header_without_years, header_year, infer_geo_type, is_measure_year_header, normalize_header, strip,
 )
 from ..functions.periods import FISCAL_START_MONTH
 from .classify import classify_and_resolve, classify_headers, flat_periods, with_geography_key, with_scenario_of_period
@@ -201,12 +201,13 @@ def attribute_bridge(cells: DataFrame, facts: DataFrame) -> tuple[DataFrame, Dat
     """Dimension cells of a source row as attribute values of its observations.
 
     Returns the bridge ``(observation_id, attribute_value_id)`` and the values
-    themselves. The join is on the source row, so no key is hot.
+    themselves. The join is on the source row, so no key is hot. A header is
+    one of the names by then, and these are normalised as they stand.
     """
     name = strip(F.lower("header_raw"))
     value = blank_to_null(F.col("value_raw"))
     dims = cells.filter(name.isin(DIMENSION_COLUMNS) & value.isNotNull()).select(
-        "table_id", "source_row_number", attribute_type_name(F.col("header_raw")).alias("type_key"),
+        "table_id", "source_row_number", name.alias("type_key"),
         value.alias("value_en"), normalize_header(value).alias("normalized_value"),
     )
     dims = dims.withColumn(

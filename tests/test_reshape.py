@@ -5,9 +5,11 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from factloom.dictionaries import DIMENSION_COLUMNS
+from factloom.functions.text import attribute_type_name
 from factloom.operators.candidates import apply_reviews, best_mapping, fuzzy_candidates, mapping_candidates, review_queue
 from factloom.operators.classify import classify_and_resolve
-from factloom.operators.dimensions import upsert
+from factloom.operators.dimensions import attribute_bridge, upsert
 from factloom.operators.quality import score_observations
 from factloom.operators.reshape import capped, observations
 
@@ -138,3 +140,22 @@ def test_upsert(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, w string")
     new = spark.createDataFrame([("b", None, "z"), ("c", 3, None)], "k string, v int, w string")
     assert sorted(map(tuple, upsert(old, new, "k").collect())) == [("a", 1, "x"), ("b", 2, "z"), ("c", 3, None)]
+
+
+def test_rows_are_not_broadcast_to_the_specs(spark, known):
+    """Two rows of cells look small; broadcast, all rows would be read where the specs lie."""
+    found = observations(cells(spark, "fin", ["CATEGORY", "VALUE"], [["a", "1"], ["b", "2"]]), known)
+    assert {r.value_numeric for r in found.collect()} == {1.0, 2.0}
+    ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    on_blocks = [line for line in ran.splitlines() if "Join [table_id" in line and "_block" in line]
+    assert on_blocks and all("SortMergeJoin" in line for line in on_blocks)
+
+
+def test_dimension_names_are_normalised_as_they_stand(spark, known):
+    names = spark.createDataFrame([(n,) for n in DIMENSION_COLUMNS], "name string")
+    assert names.filter(attribute_type_name(F.col("name")) != F.col("name")).isEmpty()
+    own = cells(spark, "fin", [" Vote Number\u00a0", "VALUE"], [["A  b", "1"]])
+    bridge, values = attribute_bridge(own, observations(own, known))
+    assert "regexp_replace(trim(rtrim(replace(replace(regexp_replace(trim(regexp_replace(translate(lower(header_raw" not in bridge._jdf.queryExecution().optimizedPlan().toString()
+    (value,) = values.collect()
+    assert (value.attribute_value_id, value.attribute_type_id) == (entity("attr_val|vote number|a b"), entity("attr_type|vote number"))
