@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from ..functions.keys import row_key
@@ -13,19 +15,22 @@ from .tables import has_content, named_columns, pick
 
 def guarded_tables(
     tables: DataFrame, max_tables: int | None = None, max_columns: int | None = None, min_rows: int | None = None,
-    rows: Column | None = None, columns: Column | None = None,
+    rows: Column | None = None, columns: Column | None = None, once: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``guard``: ``kept``, ``beyond_table_limit``, ``too_many_columns`` or ``too_few_rows``.
 
     A rule applies only where its bound is given; without any, all tables are
     kept. The position inside the document counts every table found and is
-    computed by blocks; it is only needed for its own rule.
+    computed by blocks; it is only needed for its own rule. It reads the tables
+    three times: ``once`` writes them and reads them back, so that documents are
+    not read again for each.
     """
     rows = F.size("rows") if rows is None else rows
     columns = F.size("headers") if columns is None else columns
     if max_tables is None:
         ranked = tables.withColumn("_position", F.lit(0))
     else:
+        tables = tables if once is None else once(tables, "found_tables")
         ranked = with_ordinal(tables, "document_id", "table_index", ["table_index", "table_id"], "_position")
     broken = lambda bound, rule: F.lit(False) if bound is None else rule
     guard = (

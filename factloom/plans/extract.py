@@ -158,8 +158,9 @@ def extract(
     if "department_id" in contents.columns:
         contents, on = contents.withColumnRenamed("department_id", "read_for"), ["document_id", "read_for"]
     documents = route(shared.join(contents.select(*on, "content"), on))
+    once = lambda df, name: warehouse.staged(df, name, batch)
     bounds = {"max_tables": max_tables, "max_columns": max_columns, "min_rows": min_rows}
-    guarded = for_owners(warehouse.staged(guarded_tables(extract_tables(documents), **bounds), "tables", batch))
+    guarded = for_owners(warehouse.staged(guarded_tables(extract_tables(documents), **bounds, once=once), "tables", batch))
     kept = guarded.filter("guard = 'kept'")
     tables, headers, cells, rejected = kept, header_records(kept), row_values_long(kept), rejected_tables(guarded)
     every = guarded.select("document_id", "department_id", "guard", *_sizes(F.size("headers"), F.aggregate(
@@ -186,7 +187,6 @@ def extract(
         named = named.groupBy("document_id").agg(F.min("uri").alias("uri"))
         unread = shared.join(contents.select("document_id"), "document_id", "left_anti").filter(F.lower("file_format") == "csv")
         large = warehouse.staged(unread.select("document_id", "department_id").join(named, "document_id"), "large_files", batch)
-        once = lambda df, name: warehouse.staged(df, name, batch)
         records = csv_records(csv_lines(warehouse.spark, path).join(large.select("uri"), "uri", "left_semi"), once)
         add_rows(once(csv_file_rows(records, large, once), "csv_rows"), "large_tables")
         documents = documents.select("document_id", "department_id", "file_format", "reader").unionByName(

@@ -35,8 +35,9 @@ def is_binary(content: Column, file_format: Column, sample_bytes: int | None = N
     """Content that must not reach a text reader, judged by all of it unless a sample size is given."""
     head = F.hex(F.substring(content, 1, 4))
     prefixed = reduce(lambda a, b: a | b, [head.startswith(p) for p in BINARY_PREFIXES])
-    sample = F.decode(content if sample_bytes is None else F.substring(content, 1, sample_bytes), "ISO-8859-1")
-    control = F.length(F.regexp_replace(sample, r"[^\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
+    sample = content if sample_bytes is None else F.substring(content, 1, sample_bytes)
+    # a character for each byte; other than control characters go by runs
+    control = F.length(F.regexp_replace(F.decode(sample, "ISO-8859-1"), r"[^\x00-\x08\x0b\x0c\x0e-\x1f]++", ""))
     share = control / F.greatest(F.length(sample), F.lit(1))
     return (
         F.when(F.lower(file_format).isin(BINARY_FORMATS), False)

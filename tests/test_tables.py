@@ -164,6 +164,27 @@ def test_guards(spark):
     assert got == {"t0": "kept", "t1": "too_many_columns", "t2": "too_few_rows", "t3": "beyond_table_limit"}
 
 
+def test_tables_with_positions_are_made_once(spark, tmp_path):
+    """Positions read the tables several times; the documents behind them are read once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    kind = "document_id string, table_id string, table_index long, headers array<string>, rows array<array<string>>"
+    tables = spark.createDataFrame([("d", f"t{n}", n, ["h"], [["v"]]) for n in range(5)], kind).mapInPandas(count, kind)
+
+    def once(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+
+    got = guarded_tables(tables, max_tables=3, once=once).collect()
+    assert sorted(r.table_id for r in got if r.guard == "kept") == ["t0", "t1", "t2"] and len(got) == 5
+    assert made.value == 5
+
+
 def test_sheets(spark):
     rows = [(0, ["A", "", "B"]), (1, ["1", "x", "2"]), (2, [None, "y", " "]), (3, ["3", None, None])]
     df = spark.createDataFrame(
