@@ -155,7 +155,7 @@ def test_dimension_names_are_normalised_as_they_stand(spark, known):
     names = spark.createDataFrame([(n,) for n in DIMENSION_COLUMNS], "name string")
     assert names.filter(attribute_type_name(F.col("name")) != F.col("name")).isEmpty()
     own = cells(spark, "fin", [" Vote Number\u00a0", "VALUE"], [["A  b", "1"]])
-    bridge, values = attribute_bridge(own, observations(own, known))
-    assert "regexp_replace(trim(rtrim(replace(replace(regexp_replace(trim(regexp_replace(translate(lower(header_raw" not in bridge._jdf.queryExecution().optimizedPlan().toString()
+    _, values = attribute_bridge(own, observations(own, known))
+    assert "coalesce(header_raw" not in values._jdf.queryExecution().analyzed().toString()
     (value,) = values.collect()
     assert (value.attribute_value_id, value.attribute_type_id) == (entity("attr_val|vote number|a b"), entity("attr_type|vote number"))
