@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..dictionaries import DIMENSION_COLUMNS, Dictionaries
@@ -60,7 +62,10 @@ def attribute_dimensions(attributes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def build_dim_time(labels: DataFrame, dictionaries: Dictionaries, text: str = "label_raw") -> DataFrame:
     """One row per period named by the texts in use; two spellings of a period give one row."""
-    read = classify_and_resolve(labels.select(text).distinct(), text, dictionaries)
+    return _time_rows(classify_and_resolve(labels.select(text).distinct(), text, dictionaries))
+
+
+def _time_rows(read: DataFrame) -> DataFrame:
     return (
         read.filter(F.col("mapping.time_id").isNotNull())
         .select(F.col("mapping.time_id").alias("time_id"), *flat_periods(read))
@@ -76,10 +81,13 @@ def build_dim_time(labels: DataFrame, dictionaries: Dictionaries, text: str = "l
 
 def build_dim_metric(labels: DataFrame, dictionaries: Dictionaries, text: str = "label_raw") -> DataFrame:
     """Metrics named by the texts in use. Texts outside the dictionary are kept, marked by family."""
+    return _metric_rows(classify_and_resolve(labels.select(text).distinct(), text, dictionaries), dictionaries, text)
+
+
+def _metric_rows(read: DataFrame, dictionaries: Dictionaries, text: str) -> DataFrame:
     known = dictionaries.metrics.select(
         F.col("metric_key").alias("_key"), "name_en", "name_fr", "family", "unit", "is_additive"
     )
-    read = classify_and_resolve(labels.select(text).distinct(), text, dictionaries)
     named = read.filter(F.col("mapping.metric_id").isNotNull()).join(
         known, F.col("term.metric_key") == F.col("_key"), "left"
     )
@@ -116,27 +124,36 @@ def build_dim_geography(labels: DataFrame, dictionaries: Dictionaries, text: str
 
 def build_dim_scenario(labels: DataFrame, dictionaries: Dictionaries, text: str = "label_raw") -> DataFrame:
     """Scenarios named by the texts in use, on their own or with a period."""
-    read = with_scenario_of_period(classify_headers(labels.select(text).distinct(), text, dictionaries), dictionaries, "_of_period")
+    return _scenario_rows(classify_headers(labels.select(text).distinct(), text, dictionaries), dictionaries)
+
+
+def _scenario_rows(classified: DataFrame, dictionaries: Dictionaries) -> DataFrame:
+    read = with_scenario_of_period(classified, dictionaries, "_of_period")
     key = F.coalesce("_of_period", "term.scenario_key")
     return read.filter(key.isNotNull()).select(
         entity_key("scenario", key).alias("scenario_id"), key.alias("scenario_name")
     ).groupBy("scenario_id").agg(F.min("scenario_name").alias("scenario_name"))
 
 
-def resolved_dimensions(facts: DataFrame, dictionaries: Dictionaries) -> dict[str, DataFrame]:
+def resolved_dimensions(
+    facts: DataFrame, dictionaries: Dictionaries, once: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """The dimension rows of exactly the keys that ``facts`` carry, from the texts they were resolved from.
 
     Texts are made distinct before they are classified again; a key whose text
     is a column name with a year (``Population, 2016``) gets its two parts.
+    Three dimensions are read from the classified texts; ``once`` writes these and reads them back.
     """
     column = F.col("column_label")
     texts = facts.select(F.explode(F.array(
         F.col("row_label"), column, header_year(column), F.when(is_measure_year_header(column), header_without_years(column))
     )).alias("label_raw")).filter("label_raw is not null").distinct()
     areas = facts.select(F.explode(F.array("area_label", "column_label")).alias("label_raw")).filter("label_raw is not null").distinct()
+    read = classify_and_resolve(texts, "label_raw", dictionaries)
+    read = read if once is None else once(read, "label_texts")
     built = {
-        "time_id": build_dim_time(texts, dictionaries), "metric_id": build_dim_metric(texts, dictionaries),
-        "geography_id": build_dim_geography(areas, dictionaries), "scenario_id": build_dim_scenario(texts, dictionaries),
+        "time_id": _time_rows(read), "metric_id": _metric_rows(read, dictionaries, "label_raw"),
+        "geography_id": build_dim_geography(areas, dictionaries), "scenario_id": _scenario_rows(read, dictionaries),
     }
     return {key: rows.join(facts.select(key).distinct(), key, "left_semi") for key, rows in built.items()}
 

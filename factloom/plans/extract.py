@@ -157,8 +157,9 @@ def extract(
     on = ["document_id"]
     if "department_id" in contents.columns:
         contents, on = contents.withColumnRenamed("department_id", "read_for"), ["document_id", "read_for"]
-    documents = route(shared.join(contents.select(*on, "content"), on))
     once = lambda df, name: warehouse.staged(df, name, batch)
+    # every reader and the status look at the documents, so they are brought together with their contents once
+    documents = once(route(shared.join(contents.select(*on, "content"), on)), "documents")
     bounds = {"max_tables": max_tables, "max_columns": max_columns, "min_rows": min_rows}
     guarded = for_owners(warehouse.staged(guarded_tables(extract_tables(documents), **bounds, once=once), "tables", batch))
     kept = guarded.filter("guard = 'kept'")

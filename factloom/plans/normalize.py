@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..dictionaries import Dictionaries
 from ..operators import dimensions as dims
-from ..operators.candidates import decisions_by_text, mapping_candidates, reviewed_texts
-from ..operators.classify import classify_and_resolve
+from ..operators.candidates import decisions_by_text, header_candidates, reviewed_texts
 from ..operators.quality import with_scores
 from ..operators.reshape import beyond_cap, capped, observations, parted
 from ..sources.warehouse import Warehouse
@@ -76,7 +75,8 @@ def normalize(
         kinds = documents.groupBy("document_id").agg(F.min("document_type").alias("document_type"))
         cells, headers = (df.join(kinds, "document_id", "left") for df in (cells, headers))
     found = warehouse.staged(observations(cells, dictionaries, headers, errors=True), "observations", batch)
-    good, bad = parted(found)
+    once = lambda df, name: warehouse.staged(df, name, batch)
+    good, bad = parted(found, once)
     facts = with_scores(capped(good, limit), F.col("mapping_confidence"))
     facts = facts if limit is None else warehouse.staged(facts, "facts", batch)
     rejected = bad.select(
@@ -87,12 +87,9 @@ def normalize(
     warehouse.append(
         "fact_observation", facts.withColumn("quality_score", F.col("quality_confidence")), batch
     )
-    resolved = classify_and_resolve(
-        headers.select("header_id", "header_raw").dropDuplicates(["header_id"]), "header_raw", dictionaries
-    )
-    warehouse.append("mapping_candidates", mapping_candidates(resolved, dictionaries), batch)
+    warehouse.append("mapping_candidates", header_candidates(headers, dictionaries, once), batch)
 
-    for key, rows in dims.resolved_dimensions(good, dictionaries).items():
+    for key, rows in dims.resolved_dimensions(good, dictionaries, once).items():
         warehouse.merge(DIMENSIONS[key], rows, batch)
     warehouse.merge("dim_document", dims.build_dim_document(documents, warehouse.read("fact_observation", batch=batch)), batch)
     bridge, values = dims.attribute_bridge(cells, facts)
